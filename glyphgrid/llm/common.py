@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +16,17 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 8 << 20
 
 
+def workers_find_package(spark: SparkSession) -> None:
+    """Let Python workers import this package where it is on the driver's path only by its folder."""
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    workers_find_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -5,16 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, rank_bpe, token_counts
+from . import common, divergence_rules, language_id, neighbour_quality, rank_bpe, token_counts
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = common.read(spark, sf_dir, "documents")
+    held_out = common.crc_mod("doc_id", 4) == 2
+    fitted = language_id.fit(documents.where(~held_out))
+    found = language_id.identify(documents, fitted)
+    return found.select("doc_id", (common.crc_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "accepted")
+
+
+def op5_neighbour_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = (common.read(spark, sf_dir, t) for t in ("documents", "labels"))
+    voters = neighbour_quality.fit(documents, labels.where(common.crc_mod("doc_id", 5) != 0))
+    scored = neighbour_quality.score(documents, voters, 0.3)
+    return scored.select("doc_id", (common.crc_mod("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(common.read(spark, sf_dir, "documents"), "byte_bpe_50k.json", 1024)
 
 
+def op8_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence_rules.judge(common.read(spark, sf_dir, "documents"))
+
+
 def op10_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_bpe.round_trip_digests(common.read(spark, sf_dir, "documents"), "byte_bpe_50k.json")
 
 
-QUERIES = {"op6_token_counts": op6_token_counts, "op10_rank_bpe": op10_rank_bpe}
+QUERIES = {"op1_language_id": op1_language_id, "op5_neighbour_quality": op5_neighbour_quality, "op8_divergence_rules": op8_divergence_rules, "op6_token_counts": op6_token_counts, "op10_rank_bpe": op10_rank_bpe}
 ORACLES: dict[str, str] = {}
