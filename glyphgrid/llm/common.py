@@ -35,16 +35,17 @@ def crc_mod(column: str, modulus: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(modulus)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the cluster's shared folder.
-
-    The folder is ``spark.checkpoint.dir``; a temporary one is set only where
-    the session has none, as in local tests.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's shared folder: ``spark.checkpoint.dir``, or a temporary one where it is unset, as in local tests."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints"))
+    return spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Cut lineage with a reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

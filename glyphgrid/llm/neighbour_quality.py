@@ -168,7 +168,7 @@ def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = 6000, rank:
             yield pa.RecordBatch.from_arrays([common.column(batch, "id"), common.column(batch, "label"), *lists], ["id", "label", "buckets", "counts"])
 
     kinds = dict(chosen.dtypes)
-    rows = texts.join(chosen, "id").select("id", "label", "text").mapInArrow(features, f"id {kinds['id']}, label {kinds['label']}, buckets array<int>, counts array<float>")
+    rows = texts.join(F.broadcast(chosen), "id").select("id", "label", "text").mapInArrow(features, f"id {kinds['id']}, label {kinds['label']}, buckets array<int>, counts array<float>")
     seen = sorted(rows.collect(), key=lambda r: r.id)  # bounded by sample_rows
     if not seen:
         return None

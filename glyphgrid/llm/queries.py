@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, divergence_rules, language_id, neighbour_quality, rank_bpe, token_counts
+from . import additive_ann, common, divergence_rules, language_id, neighbour_quality, order_minhash, rank_bpe, soft_mixing, token_counts, url_trust
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +16,22 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (common.crc_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "accepted")
 
 
+def op2_additive_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return additive_ann.search(common.read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+#: Rules of the contract.
+URL_RULES = [("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/")]
+
+
+def op3_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_trust.judge(common.read(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.classes(common.read(spark, sf_dir, "documents"), 0.8)
+
+
 def op5_neighbour_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = (common.read(spark, sf_dir, t) for t in ("documents", "labels"))
     voters = neighbour_quality.fit(documents, labels.where(common.crc_mod("doc_id", 5) != 0))
@@ -27,6 +43,13 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(common.read(spark, sf_dir, "documents"), "byte_bpe_50k.json", 1024)
 
 
+def op7_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = soft_mixing.label_domains(common.read(spark, sf_dir, "labels"))
+    mixed = soft_mixing.mix(common.read(spark, sf_dir, "documents"), labels, soft_mixing.TARGETS, budget=1.02)
+    shares = [F.col("p")[i].alias(f"p_{domain}") for i, domain in enumerate(soft_mixing.TARGETS)]
+    return mixed.select("doc_id", "tokens", *shares, "rate")
+
+
 def op8_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence_rules.judge(common.read(spark, sf_dir, "documents"))
 
@@ -35,5 +58,5 @@ def op10_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_bpe.round_trip_digests(common.read(spark, sf_dir, "documents"), "byte_bpe_50k.json")
 
 
-QUERIES = {"op1_language_id": op1_language_id, "op5_neighbour_quality": op5_neighbour_quality, "op8_divergence_rules": op8_divergence_rules, "op6_token_counts": op6_token_counts, "op10_rank_bpe": op10_rank_bpe}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_additive_ann, op3_url_trust, op4_order_minhash, op5_neighbour_quality, op6_token_counts, op7_soft_mixing, op8_divergence_rules, op10_rank_bpe)}
 ORACLES: dict[str, str] = {}
