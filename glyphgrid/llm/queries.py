@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import additive_ann, common, divergence_rules, language_id, neighbour_quality, order_minhash, rank_bpe, soft_mixing, token_counts, url_trust
+from . import additive_ann, common, context_coder, divergence_rules, language_id, neighbour_quality, order_minhash, rank_bpe, soft_mixing, token_counts, url_trust
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,9 +54,13 @@ def op8_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence_rules.judge(common.read(spark, sf_dir, "documents"))
 
 
+def op9_context_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_coder.written_digests(common.read(spark, sf_dir, "documents"), "word_bpe_49k.json", 2)
+
+
 def op10_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_bpe.round_trip_digests(common.read(spark, sf_dir, "documents"), "byte_bpe_50k.json")
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_additive_ann, op3_url_trust, op4_order_minhash, op5_neighbour_quality, op6_token_counts, op7_soft_mixing, op8_divergence_rules, op10_rank_bpe)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_additive_ann, op3_url_trust, op4_order_minhash, op5_neighbour_quality, op6_token_counts, op7_soft_mixing, op8_divergence_rules, op9_context_coder, op10_rank_bpe)}
 ORACLES: dict[str, str] = {}
