@@ -93,7 +93,7 @@ class Features:
         marks = [np.minimum(np.log2(safe), 15).astype(int), 16 + (distinct * 15 // safe), 32 + (most * 15 // safe).astype(int), 48 + self._line_marks(texts), 64 + (np.bincount(owner[1:][(codes[1:] == codes[:-1]) & (owner[1:] == owner[:-1])], minlength=n) * 15 // safe)]
         for mark in marks:
             out[np.arange(n), BUCKETS - 128 + mark] += 2.0
-        out[sizes == 0] = 0
+        out[pc.equal(pc.utf8_trim_whitespace(texts), "").to_numpy(zero_copy_only=False)] = 0
         return out
 
     @staticmethod
