@@ -42,10 +42,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return order_minhash.keep_one(docs, 0.8)
 
 
+#: Poor documents left in the first two stages, so the mixture has targets for the others only.
+TARGETS = {"clean": 0.98, "toxic": 0.02}
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mixture asks for."""
     labels = soft_mixing.label_domains(common.read(spark, sf_dir, "labels"))
-    return soft_mixing.take(docs, soft_mixing.mix(docs, labels, soft_mixing.TARGETS, budget=1.02))
+    return soft_mixing.take(docs, soft_mixing.mix(docs, labels, TARGETS, budget=1.02))
 
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
