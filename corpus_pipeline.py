@@ -32,7 +32,9 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that base rules and divergence keep."""
-    kept = divergence_rules.judge(docs).where("kept").select("doc_id")
+    # judged once and cut: a filter pushed into the rules' expressions would evaluate them many times over
+    judged = common.cut(divergence_rules.judge(docs).select("doc_id", "kept"))
+    kept = judged.where("kept").select("doc_id")
     return docs.join(kept, "doc_id", "left_semi")
 
 
