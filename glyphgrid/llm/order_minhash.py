@@ -11,7 +11,10 @@ misses all 20 sketches about once in a million pairs.
 In each bucket every text is compared with its leader, the least id. Those that
 fail go on with a new leader, in the first turns with keys refined by a further
 sketch, later with ``LEADERS`` leaders at once, until no bucket holds two of them;
-so neither a bucket's size is capped nor its pairs emitted.
+so neither a bucket's size is capped nor its pairs emitted. A text linked to a
+leader leaves the bucket; afterwards the texts that failed against that leader meet
+those that it linked. 1 - L / (n1 + n2 - L) is a metric, so a failed text whose
+distance to the leader exceeds a linked one's by more than 1 - ``threshold`` is passed over.
 Two texts are linked if the alignment of their k-mer sequences within a diagonal
 band matches L of them with L / (n1 + n2 - L) >= ``threshold``. Exact copies are
 collapsed first by a digest and take part once. Classes are the connected
@@ -42,6 +45,9 @@ WORDS = 5
 REFINE = 2
 #: Texts of a bucket that all others meet in one turn, once keys are no longer refined.
 LEADERS = 32
+#: Pairs of failed and linked texts that are compared at once; beyond that in rounds of growing shares of the linked texts.
+ROUND_PAIRS = 200_000
+SHARES = (1 / 64, 1 / 8, 1.0)
 #: Most ids whose set is broadcast; a larger set is joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 #: Bytes of text that one step of sketching holds as arrays.
@@ -153,12 +159,17 @@ def sketch(documents: DataFrame, sketches: int, length: int) -> DataFrame:
     return documents.mapInArrow(sketched, f"id {documents.schema['id'].dataType.simpleString()}, copy binary, n long, sketches array<long>")
 
 
-def aligned(left: np.ndarray, right: np.ndarray, threshold: float) -> bool:
-    """Whether an alignment of two k-mer sequences reaches the threshold; cells beyond the band can't."""
+def least_matches(n1: int, n2: int, threshold: float) -> int:
+    """Least L with L / (n1 + n2 - L) >= threshold."""
+    return -int((1e-9 - threshold * (n1 + n2) / (1 + threshold)) // 1)
+
+
+def matches(left: np.ndarray, right: np.ndarray, floor: float) -> int:
+    """L of the best alignment of two k-mer sequences, or -1 where it can't reach ``floor``; cells beyond the band can't."""
     n1, n2 = len(left), len(right)
-    needed = -int((1e-9 - threshold * (n1 + n2) / (1 + threshold)) // 1)  # least L with L / (n1 + n2 - L) >= threshold
-    if min(n1, n2) < needed or not n1:
-        return False
+    needed = least_matches(n1, n2, floor)
+    if min(n1, n2) < needed or not n1 or not n2:
+        return -1
     short = min(n1, n2)
     differ = np.flatnonzero(left[:short] != right[:short])
     head = int(differ[0]) if len(differ) else short
@@ -166,12 +177,10 @@ def aligned(left: np.ndarray, right: np.ndarray, threshold: float) -> bool:
     differ = np.flatnonzero(left[n1 - rest :][::-1] != right[n2 - rest :][::-1]) if rest else np.zeros(0)
     tail = int(differ[0]) if len(differ) else rest
     matched = head + tail
-    if matched >= needed:
-        return True
     left, right = left[head : n1 - tail], right[head : n2 - tail]
     shared = np.isin(right, left)
     if matched + shared.sum() < needed:
-        return False
+        return -1
     places: dict[int, int] = defaultdict(int)
     for i, key in enumerate(left.tolist()):
         places[key] |= 1 << i
@@ -183,11 +192,12 @@ def aligned(left: np.ndarray, right: np.ndarray, threshold: float) -> bool:
         match = places[int(right[j])] >> low << low & ((1 << (j + band + 1)) - 1)
         kept = state & match
         state = (state + kept | state - kept) & full
-    return matched + len(left) - state.bit_count() >= needed
+    matched += len(left) - state.bit_count()
+    return matched if matched >= needed else -1
 
 
-def verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """(id, leader, linked) of pairs; each row holds both texts only while it is compared."""
+def verify(pairs: DataFrame, texts: DataFrame, threshold: float, floor: float) -> DataFrame:
+    """(id, leader, n, linked, gap) of pairs: gap is the distance, null below ``floor``; each row holds both texts only while it is compared."""
 
     def compared(batches):
         hasher = worker_hasher()
@@ -199,13 +209,38 @@ def verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
                 keys, offsets = kmers(words, ends)
                 sides.append((keys, offsets, coded.indices.to_numpy(zero_copy_only=False)))
             (k1, o1, c1), (k2, o2, c2) = sides
-            linked = [aligned(k1[o1[a] : o1[a + 1]], k2[o2[b] : o2[b + 1]], threshold) for a, b in zip(c1, c2, strict=True)]
-            yield pa.RecordBatch.from_arrays([common.column(batch, "id"), common.column(batch, "leader"), pa.array(linked, pa.bool_())], ["id", "leader", "linked"])
+            found = [matches(k1[o1[a] : o1[a + 1]], k2[o2[b] : o2[b + 1]], floor) for a, b in zip(c1, c2, strict=True)]
+            n1, n2 = np.diff(o1)[c1].tolist(), np.diff(o2)[c2].tolist()
+            linked = [m >= 0 and m >= least_matches(a, b, threshold) for m, a, b in zip(found, n1, n2, strict=True)]
+            gap = [1 - m / (a + b - m) if m >= 0 else None for m, a, b in zip(found, n1, n2, strict=True)]
+            yield pa.RecordBatch.from_arrays([common.column(batch, "id"), common.column(batch, "leader"), pa.array(n1, pa.int64()), pa.array(linked, pa.bool_()), pa.array(gap, pa.float64())], ["id", "leader", "n", "linked", "gap"])
 
     kind = pairs.schema["id"].dataType.simpleString()
     first = pairs.join(texts, "id")
     both = first.join(texts.select(F.col("id").alias("leader"), F.col("text").alias("leader_text")), "leader")
-    return both.select("id", "leader", "text", "leader_text").mapInArrow(compared, f"id {kind}, leader {kind}, linked boolean")
+    return both.select("id", "leader", "text", "leader_text").mapInArrow(compared, f"id {kind}, leader {kind}, n long, linked boolean, gap double")
+
+
+def member_links(checked: DataFrame, links: DataFrame, texts: DataFrame, threshold: float, floor: float) -> DataFrame:
+    """Links between texts that failed against a leader and those that it linked, added to ``links``."""
+    members, others = checked.where("linked"), checked.where("not linked")
+    sizes = members.groupBy("leader").agg(F.count(F.lit(1)).alias("m")).join(others.groupBy("leader").agg(F.count(F.lit(1)).alias("o")), "leader")
+    total = sizes.agg(F.sum(F.col("m") * F.col("o"))).first()[0]
+    if not total:
+        return links
+    part = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1 << 20)) / (1 << 20)
+    done = 0.0
+    for share in SHARES if total > ROUND_PAIRS else SHARES[-1:]:
+        labels = components(links)  # a text in its leader's class has no more to find there
+        own = labels.select("id", F.col("label").alias("own"))
+        open_others = others.join(own, "id", "left").join(labels.select(F.col("id").alias("leader"), "label"), "leader").where("own is null or own <> label")
+        right = open_others.select("leader", F.col("id").alias("other"), F.col("n").alias("other_n"), F.col("gap").alias("other_gap"))
+        pairs = members.where((part >= done) & (part < share)).join(right, "leader").where("id <> other").where(F.col("other_gap") <= F.col("gap") + (1 - threshold + 1e-9))
+        pairs = pairs.where(F.least("n", "other_n") >= F.lit(threshold - 1e-9) * F.greatest("n", "other_n"))
+        pairs = pairs.select(F.greatest("id", "other").alias("id"), F.least("id", "other").alias("leader")).distinct()
+        links = links.union(common.cut(verify(pairs, texts, threshold, threshold).where("linked").select("id", "leader")))
+        done = share
+    return links
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -238,7 +273,8 @@ def classes(documents: DataFrame, threshold: float = 0.8, sketches: int = 20, le
     if needed.count() <= BROADCAST_IDS:  # then texts that no pair needs are not shuffled
         needed = F.broadcast(needed)
     texts = common.cut(rows.join(needed, "id", "left_semi").dropDuplicates(["id"]))
-    links = None
+    floor = max(0.0, 2 * threshold - 1)  # a text less similar to a leader can't be linked to what that leader links
+    kept = None
     turn = 0
     while True:
         turn += 1
@@ -248,10 +284,10 @@ def classes(documents: DataFrame, threshold: float = 0.8, sketches: int = 20, le
         leading = leaders.select("key", F.col("leader").alias("id"), F.lit(True).alias("leads"))
         met = live.join(leading, ["key", "id"], "left").join(leaders, "key")
         # two leaders meet once; an alignment can't reach the threshold where the lengths differ too much
-        met = met.where("if(leads is null, id <> leader, id > leader)").where(F.least("n", "leader_n") >= F.lit(threshold - 1e-9) * F.greatest("n", "leader_n"))
-        checked = common.cut(verify(met.select("id", "leader").distinct(), texts, threshold))
+        met = met.where("if(leads is null, id <> leader, id > leader)").where(F.least("n", "leader_n") >= F.lit(floor - 1e-9) * F.greatest("n", "leader_n"))
+        checked = common.cut(verify(met.select("id", "leader").distinct(), texts, threshold, floor).where("gap is not null"))
         found = checked.where("linked").select("id", "leader")
-        links = found if links is None else links.union(found)
+        kept = checked if kept is None else kept.union(checked)
         settled = met.join(found, ["id", "leader"], "left_semi").select("key", "id").union(leading.drop("leads")).distinct()
         failed = live.join(settled, ["key", "id"], "left_anti")
         finer = F.xxhash64("key", f"r{turn}") if turn <= REFINE else F.col("key")
@@ -260,7 +296,7 @@ def classes(documents: DataFrame, threshold: float = 0.8, sketches: int = 20, le
         live = common.cut(failed.join(crowded, "key", "left_semi"))
         if live.isEmpty():
             break
-    labels = components(links)
+    labels = components(member_links(kept, kept.where("linked").select("id", "leader"), texts, threshold, floor))
     joined = sketched.select("id", "copy").join(copies, "copy", "left")
     joined = joined.select("id", F.coalesce("first", "id").alias("first")).join(labels.select(F.col("id").alias("first"), "label"), "first", "left")
     return joined.select(F.col("id").alias(id_column), F.coalesce("label", "first").alias("class_id"))

@@ -145,3 +145,37 @@ def test_word_ids():
     for text, n in zip(texts, counts, strict=True):
         assert ids[at : at + n].tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
         at += n
+
+
+def planted_classes(texts: dict[int, str], threshold: float = 0.8) -> dict[int, int]:
+    """Least id of each class, from the alignment of all pairs by plain dynamic programming."""
+    grams = {}
+    for i, text in texts.items():
+        words = ["".join(filter(str.isalnum, w.lower())) for w in text.split()]
+        grams[i] = [tuple(words[k : k + 5]) for k in range(len(words) - 4)]
+    label = {i: i for i in texts}
+    for i in sorted(texts):
+        for j in sorted(texts):
+            if i < j and label[i] != label[j]:
+                row = [0] * (len(grams[j]) + 1)
+                for g in grams[i]:
+                    before = 0
+                    for k, h in enumerate(grams[j], 1):
+                        before, row[k] = row[k], before + 1 if g == h else max(row[k], row[k - 1])
+                if row[-1] >= threshold * (len(grams[i]) + len(grams[j]) - row[-1]) - 1e-9:
+                    low, high = sorted((label[i], label[j]))
+                    label = {k: low if v == high else v for k, v in label.items()}
+    return label
+
+
+def test_near_duplicate_chains(spark):
+    """A chain L - A - B in whose buckets A leaves with the leader L, to which B is not linked."""
+    texts = {}
+    for chain in range(40):
+        words = [f"c{chain}w{i}" for i in range(204)]
+        for k, changed in enumerate(([], [199], [199, *range(20, 20 + 9 * 4, 9)])):
+            texts[chain * 3 + k] = " ".join("new" + w if i in changed else w for i, w in enumerate(words))
+    want = planted_classes({i: t for i, t in texts.items() if i < 3})
+    assert want == {0: 0, 1: 0, 2: 0}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in order_minhash.classes(frame).collect()} == {i: i // 3 * 3 for i in texts}
