@@ -9,9 +9,10 @@ rare k-mers in the same order, which edit similarity makes likely. At similarity
 misses all 20 sketches about once in a million pairs.
 
 In each bucket every text is compared with its leader, the least id. Those that
-fail go on with a new leader, in the first turns with keys refined by a further
-sketch, later with ``LEADERS`` leaders at once, until no bucket holds two of them;
-so neither a bucket's size is capped nor its pairs emitted. A text linked to a
+fail go on with a new leader, after ``SINGLE`` turns with ``LEADERS`` and more at once,
+until no bucket holds two of them. Texts of buckets that are still crowded then take
+their rarest k-mers as keys, as many as a pair at ``threshold`` must share one of
+(a prefix filter, exact whatever the order of k-mers), so no pair of a bucket is lost. A text linked to a
 leader leaves the bucket; afterwards the texts that failed against that leader meet
 those that it linked. 1 - L / (n1 + n2 - L) is a metric, so a failed text whose
 distance to the leader exceeds a linked one's by more than 1 - ``threshold`` is passed over.
@@ -41,10 +42,13 @@ from pyspark.sql import functions as F
 from . import common
 
 WORDS = 5
-#: Turns in which a bucket's key is refined.
-REFINE = 2
-#: Texts of a bucket that all others meet in one turn, once keys are no longer refined.
-LEADERS = 32
+#: Turns in which a bucket has one leader.
+SINGLE = 2
+#: Texts of a bucket that all others meet in the turn after those, doubled each turn up to MOST_LEADERS;
+#: buckets of more texts than LEADERS go on by their texts' rarest k-mers.
+LEADERS, MOST_LEADERS = 32, 256
+#: Texts, picked by a hash of the id, whose repeated k-mers set the order of k-mers; any order gives the same pairs.
+ORDER_TEXTS, ORDER_KMERS = 4096, 200_000
 #: Pairs of failed and linked texts that are compared at once; beyond that in rounds of growing shares of the linked texts.
 ROUND_PAIRS = 200_000
 SHARES = (1 / 64, 1 / 8, 1.0)
@@ -243,6 +247,48 @@ def member_links(checked: DataFrame, links: DataFrame, texts: DataFrame, thresho
     return links
 
 
+def prefix_keys(texts: DataFrame, threshold: float) -> DataFrame:
+    """(id, n, key): keys of each text's rarest k-mers; texts linked at ``threshold`` share one at least."""
+    kind = texts.schema["id"].dataType.simpleString()
+
+    def labelled(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        keys, offsets = kmers(*worker_hasher().flat(text))
+        return label_occurrences(keys, np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))), offsets
+
+    def all_keys(batches):
+        for batch in common.text_slices(batches, limit=SKETCH_BYTES):
+            yield pa.RecordBatch.from_arrays([pa.array(labelled(common.column(batch, "text"))[0].view(np.int64))], ["key"])
+
+    share = ORDER_TEXTS / max(texts.count(), 1)
+    sample = texts.where(F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1 << 20)) < int(share * (1 << 20)))
+    counted = sample.mapInArrow(all_keys, "key long").groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").orderBy(F.desc("c"), "key").limit(ORDER_KMERS).toArrow()
+    known = counted["key"].to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(known)
+    known, often = known[order], counted["c"].to_numpy()[order]
+
+    def prefixes(batches):
+        for batch in common.text_slices(batches, limit=SKETCH_BYTES):
+            keys, offsets = labelled(common.column(batch, "text"))
+            sizes = np.diff(offsets)
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            times = np.zeros(len(keys), dtype=np.int64)
+            if len(known):
+                at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+                times = np.where(known[at] == keys, often[at], 0)
+            rank = np.lexsort((keys, times, owner))
+            length = sizes - np.ceil(threshold * sizes - 1e-9).astype(np.int64) + 1
+            taken = rank[(np.arange(len(keys)) - offsets[:-1][owner]) < length[owner]]
+            ids = common.column(batch, "id").take(pa.array(owner[taken]))
+            yield pa.RecordBatch.from_arrays([ids, pa.array(sizes[owner[taken]]), pa.array(keys[taken].view(np.int64))], ["id", "n", "key"])
+
+    return texts.mapInArrow(prefixes, f"id {kind}, n long, key long")
+
+
+def several_texts(live: DataFrame, least: int = 2) -> DataFrame:
+    """Keys of ``least`` texts or more."""
+    return live.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= least).select("key")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, label): least id of each connected component of links (id, leader)."""
     edges = common.cut(links.select("id", F.col("leader").alias("other")).union(links.select("leader", "id")).distinct())
@@ -263,12 +309,9 @@ def classes(documents: DataFrame, threshold: float = 0.8, sketches: int = 20, le
     sketched = common.cut(sketch(rows, sketches, length))
     copies = sketched.where("copy is not null").groupBy("copy").agg(F.min("id").alias("first"))
     several = sketched.where("n > 0").join(copies.select(F.col("first").alias("id")), "id", "left_semi").dropDuplicates(["id"])
-    # a bucket row is an id and a key, which depends on its sketch's number; only rows of shared keys get the rest
-    buckets = several.select("id", F.explode("sketches").alias("key"))
-    crowded = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    shared = buckets.join(crowded, "key", "left_semi").join(several.select("id", "n", "sketches"), "id")
-    place = F.array_position("sketches", F.col("key"))
-    live = common.cut(shared.select("id", "n", "key", *[F.element_at("sketches", (F.pmod(place - 1 + r, F.lit(sketches)) + 1).cast("int")).alias(f"r{r}") for r in range(1, REFINE + 1)]))
+    # a bucket row is an id, a size and a key, which depends on its sketch's number
+    buckets = several.select("id", "n", F.explode("sketches").alias("key"))
+    live = common.cut(buckets.join(several_texts(buckets), "key", "left_semi"))
     needed = common.cut(live.select("id").distinct())
     if needed.count() <= BROADCAST_IDS:  # then texts that no pair needs are not shuffled
         needed = F.broadcast(needed)
@@ -278,8 +321,9 @@ def classes(documents: DataFrame, threshold: float = 0.8, sketches: int = 20, le
     turn = 0
     while True:
         turn += 1
-        # while keys are refined a bucket has one leader, then up to LEADERS: the least id of each salt
-        salt = F.pmod(F.xxhash64("id"), F.lit(LEADERS if turn > REFINE else 1))
+        # a bucket has one leader at first, then up to LEADERS and more: the least id of each salt
+        salts = 1 if turn <= SINGLE else min(LEADERS << (turn - SINGLE - 1), MOST_LEADERS)
+        salt = F.pmod(F.xxhash64("id"), F.lit(salts))
         leaders = live.groupBy("key", salt.alias("salt")).agg(F.min(F.struct("id", "n")).alias("l")).select("key", F.col("l.id").alias("leader"), F.col("l.n").alias("leader_n"))
         leading = leaders.select("key", F.col("leader").alias("id"), F.lit(True).alias("leads"))
         met = live.join(leading, ["key", "id"], "left").join(leaders, "key")
@@ -290,10 +334,14 @@ def classes(documents: DataFrame, threshold: float = 0.8, sketches: int = 20, le
         kept = checked if kept is None else kept.union(checked)
         settled = met.join(found, ["id", "leader"], "left_semi").select("key", "id").union(leading.drop("leads")).distinct()
         failed = live.join(settled, ["key", "id"], "left_anti")
-        finer = F.xxhash64("key", f"r{turn}") if turn <= REFINE else F.col("key")
-        failed = failed.select("id", "n", finer.alias("key"), *[f"r{r}" for r in range(1, REFINE + 1)])
-        crowded = failed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-        live = common.cut(failed.join(crowded, "key", "left_semi"))
+        live = common.cut(failed.select("id", "n", "key").join(several_texts(failed), "key", "left_semi"))
+        if turn == SINGLE:
+            hot = common.cut(several_texts(live, LEADERS + 1))
+            crowded = common.cut(texts.join(live.join(hot, "key", "left_semi").select("id").distinct(), "id", "left_semi"))
+            if not crowded.isEmpty():
+                rare = prefix_keys(crowded, threshold)
+                rare = rare.join(several_texts(rare), "key", "left_semi")
+                live = common.cut(live.join(hot, "key", "left_anti").select("id", "n", "key").union(rare.select("id", "n", "key")))
         if live.isEmpty():
             break
     labels = components(member_links(kept, kept.where("linked").select("id", "leader"), texts, threshold, floor))

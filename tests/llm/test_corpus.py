@@ -179,3 +179,20 @@ def test_near_duplicate_chains(spark):
     assert want == {0: 0, 1: 0, 2: 0}
     frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     assert {r.doc_id: r.class_id for r in order_minhash.classes(frame).collect()} == {i: i // 3 * 3 for i in texts}
+
+
+def template_pairs(pairs: int) -> dict[int, str]:
+    """Texts of one template (0.74 similar) in pairs that share some of their own words too (0.81)."""
+    texts = {}
+    for i in range(2 * pairs):
+        own = [f"p{i // 2}w{k}" if k < 9 else f"t{i}w{k}" for k in range(30)]
+        texts[i] = " ".join([f"template{k}" for k in range(174)] + own)
+    return texts
+
+
+def test_near_duplicates_in_a_template(spark):
+    """All texts meet in every bucket, where only pairs are linked."""
+    texts = template_pairs(150)
+    assert planted_classes({i: texts[i] for i in range(4)}) == {0: 0, 1: 0, 2: 2, 3: 2}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in order_minhash.classes(frame).collect()} == {i: i // 2 * 2 for i in texts}
