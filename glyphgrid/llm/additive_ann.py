@@ -3,7 +3,7 @@
 A vector is approximated by a sum of one codeword from each of several
 full-dimensional codebooks. Codebooks are learned on residuals of a bounded
 sample, then refitted jointly by least squares; beam search encodes every vector,
-and the squared norm of its approximation is stored. A query scores codes by
+and the squared norm of its approximation is computed but not kept. A query scores codes by
 adding entries of its lookup tables (inner products with all codewords), and the
 best of each block are reranked by exact double-precision inner products.
 
