@@ -51,7 +51,8 @@ TARGETS = {"clean": 0.98, "toxic": 0.02}
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mixture asks for."""
     labels = soft_mixing.label_domains(common.read(spark, sf_dir, "labels"))
-    return soft_mixing.take(docs, soft_mixing.mix(docs, labels, TARGETS, budget=1.02))
+    mixture, _ = soft_mixing.fit_mixture(docs, labels, TARGETS, budget=1.02)
+    return soft_mixing.take(docs, mixture)
 
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
