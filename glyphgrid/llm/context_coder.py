@@ -1,22 +1,32 @@
-"""Token ids in compressed blocks: adaptive context mixing drives a binary range coder.
-
-A block codes up to ``BLOCK`` ids (below 65536) and starts from a fresh model. For each id
-the order-2 and order-1 contexts (hashes of the ids before) offer the id seen last
-after them. Whether the order-2 offer holds is coded with a logistic mix of three
-adaptive probabilities, by the confidences of both offers and their joint state;
-then, if need be, whether the order-1 offer holds; otherwise the id's 16 bits go
-through an order-0 binary tree of adaptive probabilities. All arithmetic is in
-integers. A block is a header (magic, ids, their crc32) and the coder's bytes, so
-any block is decoded and checked alone. Many blocks are coded side by side, one a
-lane of the arrays, which is what makes the steps whole-array ones.
-
-Files are a Parquet folder of rows (part, block, payload, doc_id, n_tokens): blocks
-of a part in order, and the ids that each document has in them. Parts hold
-ascending ranges of doc_id.
-
-Defined results: null is an empty text (the end id alone); rows of one doc_id follow
-each other in the order of their texts; an empty table writes no rows; a block
-whose magic, count or crc32 is wrong raises ValueError.
+"""Token ids in compressed blocks: adaptive context mixing drives a range coder.
+
+A block codes up to ``BLOCK`` unsigned 32-bit ids and starts from a fresh model.
+For each id the order-2 and order-1 contexts (hashes of the ids before) predict the
+id that came after them last, each with a confidence; order 0 predicts a
+distribution by adaptive counts of ``BUCKETS`` ranges of ids, small ids alone and
+larger ones in ranges of growing size, even within a range. The id's probability
+is the mixture of the three: three adaptive tables (by the order-2 confidence, by
+the order-1 confidence, by both and whether the two agree) give weights of the
+orders, and their sum is weighted in turn by how well each table has foretold the
+ids so far (Bayesian weights with a floor). The range coder takes the order that holds in one step, and
+for order 0 the bucket and the place in it in two more. It has 64-bit low and
+range and gives 32-bit words.
+
+A block is a header (magic, ids, their crc32) and the coder's words, so any block
+is decoded and checked alone. All blocks of a chunk are coded side by side, one a
+lane of the arrays, which is what makes the steps whole-array ones. Model
+arithmetic is elementwise (additions, products, quotients of float32), which
+IEEE 754 fixes, so blocks decode alike on any machine.
+
+Files are a Parquet folder of chunks (part, chunk, offset, n_ids, doc_ids, counts,
+blocks): whole documents in order, the ids that each has, and their blocks. Parts
+hold ascending ranges of doc_id and about ``PART_BYTES`` of text; ``offset`` counts a
+part's ids before the chunk.
+
+Defined results: null is an empty text (the end id alone); a null doc_id comes
+first; rows of one doc_id follow each other in the order of a hash of their texts,
+and may be dealt to several parts; an empty table writes no rows; a block whose
+magic, count or crc32 is wrong, or an id beyond 32 bits, raises ValueError.
 """
 
 from __future__ import annotations
@@ -37,157 +47,229 @@ from pyspark.sql import functions as F
 from . import common
 from .rank_bpe import vocabulary_path
 
-BLOCK = 4096
-LANES = 2048
-SLOTS = 4096
-MAGIC = b"CMX1"
+BLOCK = 1024
+#: Ids after which a chunk ends with the document, and blocks that are coded side by side at most.
+CHUNK_IDS, LANES = 3 << 20, 4096
+SLOTS = 1024
+#: Confidences of an offer, and rows of the weight tables: by order 2, by order 1, by both and their agreement.
+TRUST = 8
+ROWS = TRUST + TRUST + TRUST * TRUST * 2
+MAGIC = b"CMX2"
 HEAD = struct.Struct("<4sII")
-PART_ROWS = 8192
-MEMO = 300_000
+PART_BYTES = 10 << 20
+MEMO = 150_000
+BUCKETS = 256
+#: What an order-0 count grows by; counts of a block of BLOCK ids stay below 2 ** 16.
+GROWTH = 16
+#: Steps of the coder have totals up to 2 ** 12 (orders), 2 ** 16 (buckets) and 2 ** 30 (places); a range has 2 ** 32 at least.
+CLASS_BITS = 12
+U32 = np.uint64(32)
+LEAST = np.uint64(1 << 32)
+
+
+def buckets_of(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket of each id, and its place there: ids below 64 alone, 16 buckets an octave below 2 ** 16, 2 an octave above."""
+    octave = np.frexp(np.maximum(ids, 1).astype(np.float64))[1] - 1
+    bits = np.where(octave < 6, 0, np.where(octave < 16, octave - 4, octave - 1))
+    first = np.where(octave < 6, 0, np.where(octave < 16, 64 + (octave - 6) * 16 - 16, 224 + (octave - 16) * 2 - 2))
+    return first + (ids >> bits), ids & ((1 << bits) - 1)
 
 
 @functools.lru_cache(maxsize=1)
-def logistic_tables() -> tuple[np.ndarray, np.ndarray]:
-    """stretch (12-bit probability to logit x 256) and squash (logit + 2048 to 12-bit probability)."""
-    p = (np.arange(4096) + 0.5) / 4096
-    stretch = np.clip(np.round(np.log(p / (1 - p)) * 256), -2047, 2047).astype(np.int64)
-    squash = np.clip(np.round(4096 / (1 + np.exp(-(np.arange(4096) - 2048) / 256))), 1, 4095).astype(np.int64)
-    return stretch, squash
+def bucket_tables() -> tuple[np.ndarray, np.ndarray]:
+    """First id of each bucket and the bits of a place in it."""
+    bits = np.array([0] * 64 + [k - 4 for k in range(6, 16) for _ in range(16)] + [k - 1 for k in range(16, 32) for _ in range(2)])
+    sizes = np.int64(1) << bits
+    return np.cumsum(sizes) - sizes, bits
 
 
 class Writer:
-    """Range coder lanes that take bits."""
+    """Range coder lanes that take symbols as (start, size) of a total."""
 
     def __init__(self, lanes: int, room: int):
-        self.low, self.high = np.zeros(lanes, dtype=np.int64), np.full(lanes, 0xFFFFFFFF, dtype=np.int64)
-        self.out, self.size = np.zeros((lanes, room), dtype=np.uint8), np.zeros(lanes, dtype=np.int64)
-
-    def bit(self, at: np.ndarray, p: np.ndarray, bits: np.ndarray) -> np.ndarray:
-        """Code bits of lanes ``at``; p is the 12-bit probability of a one."""
-        low, high = self.low[at], self.high[at]
-        middle = low + ((high - low) >> 12) * p
-        low, high = np.where(bits, low, middle + 1), np.where(bits, middle, high)
-        while True:
-            same = np.flatnonzero((low ^ high) < 1 << 24)
-            if not len(same):
-                break
-            lanes = at[same]
-            self.out[lanes, self.size[lanes]] = high[same] >> 24
+        self.low, self.range = np.zeros(lanes, dtype=np.uint64), np.full(lanes, 0xFFFFFFFFFFFFFFFF, dtype=np.uint64)
+        self.out, self.size = np.zeros((lanes, room), dtype=np.uint32), np.zeros(lanes, dtype=np.int64)
+
+    def _carry(self, lanes: np.ndarray) -> None:
+        at = self.size[lanes] - 1
+        while len(lanes):
+            self.out[lanes, at] += np.uint32(1)
+            over = self.out[lanes, at] == 0
+            lanes, at = lanes[over], at[over] - 1
+
+    def put(self, at, unit: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
+        """Code on lanes ``at`` (indices or a slice); unit is the range of one count."""
+        old = self.low[at]
+        low, width = old + unit * start, unit * size
+        over = low < old
+        if over.any():
+            self._carry((np.arange(len(self.low))[at])[over])
+        short = np.flatnonzero(width < LEAST)
+        if len(short):
+            lanes = short if isinstance(at, slice) else at[short]
+            self.out[lanes, self.size[lanes]] = low[short] >> U32
             self.size[lanes] += 1
-            low[same], high[same] = low[same] << 8 & 0xFFFFFFFF, high[same] << 8 & 0xFFFFFFFF | 255
-        self.low[at], self.high[at] = low, high
-        return bits
+            low[short] <<= U32
+            width[short] <<= U32
+        self.low[at], self.range[at] = low, width
 
     def finish(self) -> list[bytes]:
-        for shift in (24, 16, 8, 0):
-            self.out[np.arange(len(self.low)), self.size] = self.high >> shift & 255
-            self.size += 1
-        return [row[:n].tobytes() for row, n in zip(self.out, self.size, strict=True)]
+        last = self.low + np.uint64(0xFFFFFFFF)
+        over = last < self.low
+        if over.any():
+            self._carry(np.flatnonzero(over))
+        self.out[np.arange(len(last)), self.size] = last >> U32
+        self.size += 1
+        return [row[:n].astype("<u4").tobytes() for row, n in zip(self.out, self.size, strict=True)]
 
 
 class Reader:
-    """Range coder lanes that give bits."""
+    """Range coder lanes that give symbols; zeros follow a payload's end."""
 
     def __init__(self, payloads: list[bytes]):
         lanes = len(payloads)
-        self.data = np.zeros((lanes, max(map(len, payloads)) + 8), dtype=np.uint8)
+        self.data = np.zeros((lanes, max(len(p) // 4 for p in payloads) + 4), dtype=np.uint64)
         for row, p in zip(self.data, payloads, strict=True):
-            row[: len(p)] = np.frombuffer(p, dtype=np.uint8)
-        self.low, self.high = np.zeros(lanes, dtype=np.int64), np.full(lanes, 0xFFFFFFFF, dtype=np.int64)
-        first = self.data[:, :4].astype(np.int64)
-        self.code, self.at = first[:, 0] << 24 | first[:, 1] << 16 | first[:, 2] << 8 | first[:, 3], np.full(lanes, 4, dtype=np.int64)
-
-    def bit(self, at: np.ndarray, p: np.ndarray, _: np.ndarray | None) -> np.ndarray:
-        low, high, code = self.low[at], self.high[at], self.code[at]
-        middle = low + ((high - low) >> 12) * p
-        bits = code <= middle
-        low, high = np.where(bits, low, middle + 1), np.where(bits, middle, high)
-        while True:
-            same = np.flatnonzero((low ^ high) < 1 << 24)
-            if not len(same):
-                break
-            lanes = at[same]
-            fresh = self.data[lanes, np.minimum(self.at[lanes], self.data.shape[1] - 1)]
-            self.at[lanes] += 1
-            low[same], high[same] = low[same] << 8 & 0xFFFFFFFF, high[same] << 8 & 0xFFFFFFFF | 255
-            code[same] = code[same] << 8 & 0xFFFFFFFF | fresh
-        self.low[at], self.high[at], self.code[at] = low, high, code
-        return bits
-
-
-def _adapt(table: np.ndarray, lanes: np.ndarray, slot: np.ndarray, old: np.ndarray, bits: np.ndarray, speed: int) -> None:
-    table[lanes, slot] = np.clip(old + np.where(bits, (4096 - old) >> speed, -(old >> speed)), 32, 4064)
-
-
-def run_lanes(coder, sizes: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
-    """Code or decode lanes of ``sizes`` ids (longest lane first) step by step; returns ids (lanes x steps)."""
-    stretch, squash = logistic_tables()
-    n = len(sizes)
-    out = np.zeros((n, int(sizes[0]) if n else 0), dtype=np.int64)
-    offers = [np.zeros((n, SLOTS), dtype=np.uint16) for _ in range(2)]
-    trust = [np.zeros((n, SLOTS), dtype=np.uint8) for _ in range(2)]
-    joint, by2, by1, second = (np.full((n, w), 1024, dtype=np.int32) for w in (512, 16, 16, 16))
-    weights = np.full((n, 3), 24_000, dtype=np.int64)
-    high_tree, low_tree = np.full((n, 256), 2048, dtype=np.int16), np.full((n, 8192), 2048, dtype=np.int16)
+            row[: len(p) // 4] = np.frombuffer(p, dtype="<u4", count=len(p) // 4)
+        self.ahead = self.data[:, 0] << U32 | self.data[:, 1]  # the code's distance from low
+        self.range, self.next = np.full(lanes, 0xFFFFFFFFFFFFFFFF, dtype=np.uint64), np.full(lanes, 2, dtype=np.int64)
+
+    def take(self, at, unit: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
+        ahead, width = self.ahead[at] - unit * start, unit * size
+        short = np.flatnonzero(width < LEAST)
+        if len(short):
+            lanes = short if isinstance(at, slice) else at[short]
+            fresh = self.data[lanes, np.minimum(self.next[lanes], self.data.shape[1] - 1)]
+            self.next[lanes] += 1
+            ahead[short] = ahead[short] << U32 | fresh
+            width[short] <<= U32
+        self.ahead[at], self.range[at] = ahead, width
+
+
+class Model:
+    """Adaptive state of ``lanes`` blocks."""
+
+    def __init__(self, lanes: int):
+        self.offers = [np.zeros(lanes * SLOTS, dtype=np.int64) for _ in range(2)]  # id << 3 | confidence
+        first = np.empty((lanes, ROWS, 4), dtype=np.float32)
+        first[:] = (0.3, 0.3, 0.4, 1.0)  # counts of the orders 2, 1 and 0, and their sum
+        self.counts = first.reshape(-1)
+        self.weights = [np.full(lanes, 1 / 3, dtype=np.float32) for _ in range(3)]
+        self.coarse = np.full((lanes, 16), 16, dtype=np.int64)
+        self.fine = np.ones((lanes * 16, 16), dtype=np.int64)
+
+
+def code_lanes(coder: Writer | Reader, sizes: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
+    """Code or decode lanes of ``sizes`` ids (longest lane first) step by step; returns ids (steps x lanes)."""
+    n, steps = len(sizes), int(sizes[0]) if len(sizes) else 0
+    model = Model(n)
+    firsts, bits_of = bucket_tables()
+    out = np.zeros((steps, n), dtype=np.int64) if ids is None else ids
+    bucket_of, place_of = buckets_of(ids) if ids is not None else (None, None)
     before, earlier = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
-    every = np.arange(n)
-    for t in range(out.shape[1]):
-        live = every[: int(np.searchsorted(-sizes, -t, side="left"))]
-        m = len(live)
+    lanes = np.arange(n)
+    live_counts = np.searchsorted(-sizes, -np.arange(steps), side="left")
+    share = np.float32((1 << CLASS_BITS) - 6)
+    for t in range(steps):
+        m = int(live_counts[t])
+        live = slice(0, m)
+        lane = lanes[:m]
         a, b = before[:m], earlier[:m]
-        slots = ((a * 0x9E3779B1 ^ b * 0x85EBCA6B) >> 11 & SLOTS - 1, a * 0x9E3779B1 >> 9 & SLOTS - 1)
-        two, one = offers[0][live, slots[0]].astype(np.int64), offers[1][live, slots[1]].astype(np.int64)
-        c2, c1 = trust[0][live, slots[0]].astype(np.int64), trust[1][live, slots[1]].astype(np.int64)
-        wanted = None if ids is None else ids[:m, t]
-        state = (c2 << 4 | c1) << 1 | (two == one)
-        old = [by2[live, c2], by1[live, c1], joint[live, state]]
-        logits = np.stack([stretch[o] for o in old], axis=1)
-        p = squash[np.clip((logits * weights[:m]).sum(axis=1) >> 16, -2047, 2047) + 2048]
-        hit = coder.bit(live, p, None if wanted is None else wanted == two)
-        weights[:m] += logits * (np.where(hit, 4096, 0) - p)[:, None] >> 10
-        for table, slot, o in zip((by2, by1, joint), (c2, c1, state), old, strict=True):
-            _adapt(table, live, slot, o, hit, 4)
-        found = two.copy()
-        rest = live[~hit & (two != one)]
-        if len(rest):
-            o = second[rest, c1[rest]]
-            got = coder.bit(rest, o.astype(np.int64), None if wanted is None else wanted[rest] == one[rest])
-            _adapt(second, rest, c1[rest], o, got, 4)
-            found[rest[got]] = one[rest[got]]
-            hit = hit.copy()
-            hit[rest[got]] = True
-        rest = live[~hit]
+        mixed = a * 0x9E3779B1
+        slots = lane * SLOTS + ((mixed ^ b * 0x85EBCA6B) >> 11 & SLOTS - 1), lane * SLOTS + (mixed >> 9 & SLOTS - 1)
+        packed = [table.take(s) for table, s in zip(model.offers, slots, strict=True)]
+        (two, one), (c2, c1) = [p >> 3 for p in packed], [p & 7 for p in packed]
+        state = (c2 << 3 | c1) << 1 | (two == one)
+        rows = [(lane * ROWS + r) << 2 for r in (c2, TRUST + c1, 2 * TRUST + state)]
+        counts = model.counts
+        chances = []
+        for row in rows:
+            total = counts.take(row + 3)
+            chances.append([counts.take(row) / total, counts.take(row + 1) / total])
+        w = [x[:m] for x in model.weights]
+        size2 = ((w[0] * chances[0][0] + w[1] * chances[1][0] + w[2] * chances[2][0]) * share).astype(np.int64) + 1
+        size1 = ((w[0] * chances[0][1] + w[1] * chances[1][1] + w[2] * chances[2][1]) * share).astype(np.int64) + 1
+        below0 = size2 + size1
+        unit = coder.range[:m] >> np.uint64(CLASS_BITS)
+        if ids is not None:
+            wanted = out[t, :m]
+            order = np.where(wanted == two, 0, np.where(wanted == one, 1, 2))
+        else:
+            value = (coder.ahead[:m] // unit).astype(np.int64)
+            order = (value >= size2).astype(np.int64) + (value >= below0)
+        start = np.where(order == 0, 0, np.where(order == 1, size2, below0))
+        size = np.where(order == 0, size2, np.where(order == 1, size1, (1 << CLASS_BITS) - below0))
+        step = coder.put if ids is not None else coder.take
+        step(live, unit, start.astype(np.uint64), size.astype(np.uint64))
+        if ids is None:
+            wanted = out[t, :m]
+            np.copyto(wanted, np.where(order == 0, two, one))
+        rest = np.flatnonzero(order == 2)
         if len(rest):
-            node = np.ones(len(rest), dtype=np.int64)
-            for step in range(16):
-                table = high_tree if step < 8 else low_tree
-                slot = node if step < 8 else (node >> (step - 8)) * 0x2F + (node & (1 << step - 8) - 1 | 1 << step - 8) * 0x11 & 8191
-                o = table[rest, slot].astype(np.int64)
-                got = coder.bit(rest, o, None if wanted is None else (wanted[rest] >> 15 - step & 1).astype(bool))
-                _adapt(table, rest, slot, o, got, 4)
-                node = node << 1 | got
-            found[rest] = node & 0xFFFF
-        out[:m, t] = found
-        for k, offered in enumerate((two, one)):
-            sure = trust[k][live, slots[k]].astype(np.int64)
-            right = offered == found
-            offers[k][live, slots[k]] = np.where(right | (sure > 0), offered, found)
-            trust[k][live, slots[k]] = np.where(right, np.minimum(sure + 1, 15), sure >> 1)
-        earlier[:m], before[:m] = a, found
+            whole = model.coarse[rest].cumsum(axis=1)
+            unit = coder.range[rest] // whole[:, 15].astype(np.uint64)
+            at = np.arange(len(rest))
+            if ids is not None:
+                bucket = bucket_of[t, rest]
+                major, minor = bucket >> 4, bucket & 15
+            else:
+                value = np.minimum((coder.ahead[rest] // unit).astype(np.int64), whole[:, 15] - 1)
+                major = (whole <= value[:, None]).sum(axis=1)
+            floor = whole[at, major] - model.coarse[rest, major]
+            cells = rest * 16 + major
+            part = model.fine[cells].cumsum(axis=1)
+            if ids is None:
+                minor = (part <= (value - floor)[:, None]).sum(axis=1)
+                bucket = major << 4 | minor
+            size = model.fine[cells, minor]
+            step(rest, unit, (floor + part[at, minor] - size).astype(np.uint64), size.astype(np.uint64))
+            model.fine[cells, minor] = size + GROWTH
+            model.coarse[rest, major] += GROWTH
+            bits = bits_of[bucket]
+            wide = np.flatnonzero(bits)
+            there = rest[wide]
+            shift = bits[wide].astype(np.uint64)
+            unit = coder.range[there] >> shift
+            if ids is not None:
+                place = place_of[t, there]
+            else:
+                place = np.minimum((coder.ahead[there] // unit).astype(np.int64), (1 << bits[wide]) - 1)
+                wanted[rest] = firsts[bucket]
+                wanted[there] += place
+            step(there, unit, place.astype(np.uint64), np.ones(len(there), dtype=np.uint64))
+        # the tables that gave the order that held a larger chance gain weight
+        total = np.zeros(m, dtype=np.float32)
+        gained = []
+        for x, (p2, p1) in zip(w, chances, strict=True):
+            gained.append(x * np.where(order == 0, p2, np.where(order == 1, p1, 1 - p2 - p1)))
+            total = total + gained[-1]
+        scale = np.float32(0.97) / total
+        for x, g in zip(w, gained, strict=True):
+            np.copyto(x, g * scale + np.float32(0.01))
+        for row in rows:
+            counts[row + order] += 1
+            counts[row + 3] += 1
+        for table, s, offered, sure in zip(model.offers, slots, (two, one), (c2, c1), strict=True):
+            right = offered == wanted
+            table[s] = np.where(right, offered << 3 | np.minimum(sure + 1, 7), np.where(sure > 0, offered << 3 | sure >> 1, wanted << 3))
+        np.copyto(b, a)
+        np.copyto(a, wanted)
     return out
 
 
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
-    """Payloads of blocks of ids below 65536."""
+    """Payloads of blocks of unsigned 32-bit ids."""
     if not blocks:
         return []
     sizes = np.array([len(b) for b in blocks])
     order = np.argsort(-sizes, kind="stable")
-    ids = np.zeros((len(blocks), int(sizes.max())), dtype=np.int64)
-    for row, i in enumerate(order):
-        ids[row, : sizes[i]] = blocks[i]
-    writer = Writer(len(blocks), 4 * ids.shape[1] + 16)
-    run_lanes(writer, sizes[order], ids)
+    ids = np.zeros((int(sizes.max()), len(blocks)), dtype=np.int64)
+    for lane, i in enumerate(order):
+        ids[: sizes[i], lane] = blocks[i]
+    if ids.size and (ids.min() < 0 or ids.max() >> 32):
+        raise ValueError("a token id is beyond 32 bits")
+    writer = Writer(len(blocks), 2 * ids.shape[0] + 4)
+    code_lanes(writer, sizes[order], ids)
     out: list[bytes] = [b""] * len(blocks)
     for i, body in zip(order, writer.finish(), strict=True):
         out[i] = HEAD.pack(MAGIC, sizes[i], zlib.crc32(blocks[i].astype("<u4").tobytes())) + body
@@ -203,15 +285,27 @@ def decode_blocks(payloads: list[bytes]) -> list[np.ndarray]:
         raise ValueError("not a block of token ids")
     sizes = np.array([n for _, n, _ in heads])
     order = np.argsort(-sizes, kind="stable")
-    ids = run_lanes(Reader([payloads[i][HEAD.size :] for i in order]), sizes[order], None)
+    ids = code_lanes(Reader([payloads[i][HEAD.size :] for i in order]), sizes[order], None)
+    columns = np.ascontiguousarray(ids.T)
     out: list[np.ndarray] = [np.zeros(0, dtype=np.uint32)] * len(payloads)
-    for row, i in enumerate(order):
-        out[i] = ids[row, : sizes[i]].astype(np.uint32)
+    for lane, i in enumerate(order):
+        out[i] = columns[lane, : sizes[i]].astype(np.uint32)
         if zlib.crc32(out[i].astype("<u4").tobytes()) != heads[i][2]:
             raise ValueError("a block's checksum is wrong")
     return out
 
 
+def blocks_of(ids: np.ndarray) -> list[bytes]:
+    """Payloads of a run of ids, LANES blocks at a time."""
+    blocks = [ids[i : i + BLOCK] for i in range(0, len(ids), BLOCK)]
+    return [p for low in range(0, len(blocks), LANES) for p in encode_blocks(blocks[low : low + LANES])]
+
+
+def ids_of(payloads: list[bytes]) -> np.ndarray:
+    found = [b for low in range(0, len(payloads), LANES) for b in decode_blocks(payloads[low : low + LANES])]
+    return np.concatenate(found) if found else np.zeros(0, dtype=np.uint32)
+
+
 class PieceEncoder:
     """Ids by the library; white space never joins tokens of this vocabulary, so distinct pieces are encoded once."""
 
@@ -252,88 +346,78 @@ def worker_encoder(name: str) -> PieceEncoder:
     return PieceEncoder(name)
 
 
-ROW = "part int, block long, payload binary, doc_id long, n_tokens long"
-
-
 def write_ids(documents: DataFrame, folder: str, tokenizer: str = "word_bpe_49k.json", end_id: int = 2, id_column: str = "doc_id") -> None:
     """Write all documents' ids, with the end id after each, in ascending order of their ids."""
-    rows = common.plain_names(documents, id_column, "text").toDF("id", "text").where("id is not null")
-    parts = max(1, -(-rows.select("id").count() // PART_ROWS))
+    rows = common.plain_names(documents, id_column, "text").toDF("id", "text")
+    kind = rows.schema["id"].dataType.simpleString()
+    total = rows.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 16)).first()[0] or 0
+    parts = max(1, -(-total // PART_BYTES))
 
     def encoded(batches):
         from pyspark import TaskContext
 
-        part, block = TaskContext.get().partitionId(), 0
+        part, chunk, done = TaskContext.get().partitionId(), 0, 0
         encoder = worker_encoder(tokenizer)
-        left = np.zeros(0, dtype=np.uint32)
-
-        def blocks(ids: np.ndarray):
-            nonlocal block
-            for low in range(0, len(ids), LANES * BLOCK):
-                payloads = encode_blocks([ids[i : min(i + BLOCK, low + LANES * BLOCK)] for i in range(low, min(len(ids), low + LANES * BLOCK), BLOCK)])
-                n = len(payloads)
-                yield pa.RecordBatch.from_arrays([pa.array([part] * n, pa.int32()), pa.array(range(block, block + n), pa.int64()), pa.array(payloads, pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], names)
-                block += n
-
-        names = ["part", "block", "payload", "doc_id", "n_tokens"]
-        for batch in common.text_slices(batches):
-            ids, counts = encoder.slice_ids(pc.fill_null(common.column(batch, "text"), ""), end_id)
-            n = len(counts)
-            yield pa.RecordBatch.from_arrays([pa.array([part] * n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), common.column(batch, "id").cast(pa.int64()), pa.array(counts)], names)
-            left = np.concatenate([left, ids])
-            ready = len(left) // (LANES * BLOCK) * (LANES * BLOCK)
-            yield from blocks(left[:ready])
-            left = left[ready:]
-        yield from blocks(left)
-
-    dealt = rows.repartitionByRange(parts, "id").sortWithinPartitions("id", "text")
-    dealt.mapInArrow(encoded, ROW).write.parquet(folder)
-
-
-def read_digests(spark: SparkSession, folder: str) -> DataFrame:
+        ids, counts, runs = [], [], []
+        names = ["part", "chunk", "offset", "n_ids", "doc_ids", "counts", "blocks"]
+
+        def close():
+            nonlocal chunk, done, ids, counts, runs
+            flat = np.concatenate(runs)
+            columns = [[part], [chunk], [done], [len(flat)], [pa.concat_arrays(ids)], [np.concatenate(counts)], [blocks_of(flat)]]
+            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(ids[0].type), pa.list_(pa.int64()), pa.list_(pa.binary())]
+            chunk, done, ids, counts, runs = chunk + 1, done + len(flat), [], [], []
+            return pa.RecordBatch.from_arrays([pa.array([c.to_pylist() if isinstance(c, pa.Array) else c for c in col], k) for col, k in zip(columns, kinds, strict=True)], names)
+
+        held = 0
+        for batch in common.text_slices(batches, limit=2 << 20):
+            found, sizes = encoder.slice_ids(pc.fill_null(common.column(batch, "text"), ""), end_id)
+            ids.append(common.column(batch, "id"))
+            counts.append(sizes)
+            runs.append(found)
+            held += len(found)
+            if held >= CHUNK_IDS:
+                yield close()
+                held = 0
+        if held:
+            yield close()
+
+    # rows of one id are told apart by a hash and their place, so that no id is bound to one part
+    keyed = rows.withColumn("hash", F.xxhash64("text")).withColumn("row", F.monotonically_increasing_id())
+    dealt = keyed.repartitionByRange(parts, "id", "hash", "row").sortWithinPartitions("id", "hash", "row").select("id", "text")
+    dealt.mapInArrow(encoded, f"part int, chunk int, offset long, n_ids long, doc_ids array<{kind}>, counts array<long>, blocks array<binary>").write.parquet(folder)
+
+
+def starts_of(chunks: DataFrame) -> DataFrame:
+    """(part, base): ids of all parts before; sums run in groups of 1024 parts and over the groups' totals."""
+    totals = chunks.groupBy("part").agg(F.sum("n_ids").alias("own")).withColumn("group", F.shiftright("part", 10))
+    groups = totals.groupBy("group").agg(F.sum("own").alias("own"))
+    groups = groups.select("group", (F.sum("own").over(Window.orderBy("group")) - F.col("own")).alias("before"))
+    within = F.sum("own").over(Window.partitionBy("group").orderBy("part")) - F.col("own")
+    return totals.select("part", "group", within.alias("within")).join(groups, "group").select("part", (F.col("within") + F.col("before")).alias("base"))
+
+
+def read_digests(spark: SparkSession, folder: str, id_column: str = "doc_id") -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) from the files alone."""
-    rows = spark.read.schema(ROW).parquet(folder)
+    chunks = spark.read.parquet(folder)
+    kind = chunks.schema["doc_ids"].dataType.elementType.simpleString()
 
     def decoded(batches):
-        names = ["part", "doc_id", "offset", "n_tokens", "ids_crc32"]
-        part, docs, place, done, payloads = None, [], 0, 0, []
-        ids = np.zeros(0, dtype=np.uint32)
-
-        def drain():
-            """Documents whose ids are all there."""
-            nonlocal ids, place, done, payloads
-            ids = np.concatenate([ids, *decode_blocks(payloads)])
-            payloads, found, used = [], [], 0
-            while place < len(docs) and used + docs[place][1] <= len(ids):
-                doc, n = docs[place]
-                found.append((part, doc, done, n, zlib.crc32(ids[used : used + n].astype("<u4").tobytes())))
-                used, done, place = used + n, done + n, place + 1
-            ids = ids[used:]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found, strict=True), kinds, strict=True)] if found else [pa.array([], k) for k in kinds], names)
-
-        kinds = [pa.int32(), *[pa.int64()] * 4]
         for batch in batches:
-            for p, payload, doc, n in zip(*(common.column(batch, c).to_pylist() for c in ("part", "payload", "doc_id", "n_tokens")), strict=True):
-                if p != part:
-                    if payloads:
-                        yield drain()
-                    part, docs, place, done, ids = p, [], 0, 0, ids[:0]
-                if payload is None:
-                    docs.append((doc, n))
-                else:
-                    payloads.append(payload)
-                    if len(payloads) == LANES:
-                        yield drain()
-        if payloads:
-            yield drain()
-
-    # ids order equal doc_ids as they were written: a part's documents come in file order
-    ordered = rows.withColumn("file_order", F.monotonically_increasing_id()).repartition("part").sortWithinPartitions("part", F.col("block").asc_nulls_first(), "file_order")
-    found = ordered.select("part", "payload", "doc_id", "n_tokens").mapInArrow(decoded, "part int, doc_id long, offset long, n_tokens long, ids_crc32 long")
-    # a row for each part: the ids of all parts before it
-    totals = rows.where("n_tokens is not null").groupBy("part").agg(F.sum("n_tokens").alias("own"))
-    bases = totals.select("part", (F.sum("own").over(Window.orderBy("part")) - F.col("own")).alias("base"))
-    return found.join(bases, "part").select("doc_id", (F.col("base") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32")
+            for i in range(batch.num_rows):
+                part, offset, blocks, counts = (common.column(batch, c)[i].as_py() for c in ("part", "offset", "blocks", "counts"))
+                raw = ids_of(blocks).astype("<u4")
+                ends = np.cumsum(counts)
+                if ends[-1] != len(raw):
+                    raise ValueError("a chunk's blocks don't hold its documents")
+                view, starts = memoryview(raw).cast("B"), ends - counts
+                sums = [zlib.crc32(view[4 * a : 4 * b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+                n = len(counts)
+                columns = [pa.array([part] * n, pa.int32()), common.column(batch, "doc_ids")[i].values, pa.array(starts + offset), pa.array(counts, pa.int64()), pa.array(sums, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["part", "id", "offset", "n_tokens", "ids_crc32"])
+
+    found = chunks.select("part", "offset", "doc_ids", "counts", "blocks").mapInArrow(decoded, f"part int, id {kind}, offset long, n_tokens long, ids_crc32 long")
+    return found.join(starts_of(chunks), "part").select(F.col("id").alias(id_column), (F.col("base") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def written_digests(documents: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id: int = 2, id_column: str = "doc_id") -> DataFrame:
@@ -341,4 +425,4 @@ def written_digests(documents: DataFrame, tokenizer: str = "word_bpe_49k.json",
     spark = documents.sparkSession
     folder = f"{common.shared_folder(spark)}/token-ids-{uuid.uuid4().hex}"
     write_ids(documents, folder, tokenizer, end_id, id_column)
-    return read_digests(spark, folder)
+    return read_digests(spark, folder, id_column)
