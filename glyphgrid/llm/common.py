@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from pathlib import Path
 
 import numpy as np
@@ -36,10 +37,13 @@ def crc_mod(column: str, modulus: int) -> Column:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder: ``spark.checkpoint.dir``, or a temporary one where it is unset, as in local tests."""
+    """The cluster's shared folder: ``spark.checkpoint.dir``, or a temporary one where it is unset in local mode, as in tests."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints"))
     return spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
 
 
@@ -49,6 +53,46 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class Scratch:
+    """Tables written below the shared folder to cut lineage, deleted when they are no longer needed.
+
+    ``close`` (or the end of a ``with``) deletes all but those marked ``keep``, which a lazy result still reads.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folder = spark, f"{shared_folder(spark)}/scratch-{uuid.uuid4().hex}"
+        self.made: list[str] = []
+
+    def table(self, df: DataFrame, keep: bool = False) -> DataFrame:
+        path = f"{self.folder}/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        if not keep:
+            self.made.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def _delete(self, path: str) -> None:
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+        self.made.remove(path)
+
+    def drop(self, df: DataFrame) -> None:
+        """Delete the tables that ``df`` reads directly."""
+        read = {f.split("/scratch-", 1)[-1] for f in df.inputFiles()}
+        for path in list(self.made):
+            if any(f.startswith(path.split("/scratch-", 1)[-1] + "/") for f in read):
+                self._delete(path)
+
+    def close(self) -> None:
+        for path in list(self.made):
+            self._delete(path)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
+
 def plain_names(df: DataFrame, *names: str) -> DataFrame:
     """Only the named columns: extra ones can't clash with an operator's own."""
     return df.select(*[F.col(f"`{n}`") for n in names])

@@ -8,55 +8,52 @@ rare k-mers in the same order, which edit similarity makes likely. At similarity
 0.8 a pair shares one sketch of three k-mers with probability about 0.5, so it
 misses all 20 sketches about once in a million pairs.
 
-In each bucket every text is compared with its leader, the least id. Those that
-fail go on with a new leader, after ``SINGLE`` turns with ``LEADERS`` and more at once,
-until no bucket holds two of them. Texts of buckets that are still crowded then take
-their rarest k-mers as keys, as many as a pair at ``threshold`` must share one of
-(a prefix filter, exact whatever the order of k-mers), so no pair of a bucket is lost. A text linked to a
-leader leaves the bucket; afterwards the texts that failed against that leader meet
-those that it linked. 1 - L / (n1 + n2 - L) is a metric, so a failed text whose
-distance to the leader exceeds a linked one's by more than 1 - ``threshold`` is passed over.
-Two texts are linked if the alignment of their k-mer sequences within a diagonal
-band matches L of them with L / (n1 + n2 - L) >= ``threshold``. Exact copies are
-collapsed first by a digest and take part once. Classes are the connected
-components of links, by label propagation over Spark tables.
+Equal texts are one node, by a digest. In each bucket every node is aligned with
+the bucket's leader, the node that shares most buckets with others. Two are linked if
+the alignment of their k-mer sequences within a diagonal band matches L of them
+with L / (n1 + n2 - L) >= ``threshold``. Links join nodes to components by label
+propagation. A bucket whose nodes are one component is done. The nodes of all
+other buckets then take their rarest k-mers as keys, as many as a pair at
+``threshold`` must share one of (a prefix filter, exact whatever the order of
+k-mers; sizes and the keys' places bound what a pair can share), and the pairs that
+meet there are aligned unless one component holds both by then. So no pair of a
+bucket is lost, and texts that only have a passage in common are never aligned
+with each other. Each text meets growing shares of the others, as early links spare
+later pairs.
 
 Defined results: a null text is a class of its own; equal texts, empty ones
-too, share a class; a text without words is linked to equal texts only; repeated
-ids act as one row each with equal classes; an empty table gives an empty result.
+too, share a class; a text without words is linked to equal texts only; rows that
+share an id are judged by their own texts; a class's id is its least id (null if it
+has none); an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import functools
-import itertools
 from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
 
 WORDS = 5
-#: Turns in which a bucket has one leader.
-SINGLE = 2
-#: Texts of a bucket that all others meet in the turn after those, doubled each turn up to MOST_LEADERS;
-#: buckets of more texts than LEADERS go on by their texts' rarest k-mers.
-LEADERS, MOST_LEADERS = 32, 256
-#: Texts, picked by a hash of the id, whose repeated k-mers set the order of k-mers; any order gives the same pairs.
+#: Texts, picked by their digest, whose repeated k-mers set the order of k-mers; any order gives the same pairs.
 ORDER_TEXTS, ORDER_KMERS = 4096, 200_000
-#: Pairs of failed and linked texts that are compared at once; beyond that in rounds of growing shares of the linked texts.
-ROUND_PAIRS = 200_000
+#: Texts that meet in the prefix filter at once; if there are more, each text meets growing shares of the others.
+ROUND_TEXTS = 1000
 SHARES = (1 / 64, 1 / 8, 1.0)
-#: Most ids whose set is broadcast; a larger set is joined by a shuffle.
-BROADCAST_IDS = 1_000_000
-#: Bytes of text that one step of sketching holds as arrays.
+#: Most rows of nodes or keys that are broadcast; a larger table is joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
+#: Partners that one copy of a leader's text serves.
+SERVED = 256
+#: Bytes of text that one step of sketching or aligning holds as arrays.
 SKETCH_BYTES = 2 << 20
-MEMO = 200_000
+MEMO = 100_000
 LAST = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -145,22 +142,26 @@ def order_sketches(keys: np.ndarray, offsets: np.ndarray, sketches: int, length:
     return out
 
 
+def digest(text) -> Column:
+    """128 bits that equal texts share; null for null."""
+    return F.unhex(F.md5(F.col(text).cast("binary")))
+
+
 def sketch(documents: DataFrame, sketches: int, length: int) -> DataFrame:
-    """(id, copy, n, sketches): a digest that equal texts share, the number of k-mers, and sketches (empty if no word)."""
+    """(id, node, n, sketches): the text's digest, the number of k-mers, and sketches (empty if no word)."""
+    kind = documents.schema["id"].dataType.simpleString()
 
     def sketched(batches):
         hasher = worker_hasher()
         for batch in common.text_slices(batches, limit=SKETCH_BYTES):
-            texts = common.column(batch, "text")
-            words, ends = hasher.flat(pc.fill_null(texts, ""))
+            words, ends = hasher.flat(pc.fill_null(common.column(batch, "text"), ""))
             keys, offsets = kmers(words, ends)
             rows = order_sketches(keys, offsets, sketches, length).view(np.int64)
             n = np.diff(offsets)
-            copies = [None if t is None else xxhash.xxh3_128_digest(t.encode()) for t in texts.to_pylist()]
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum((n > 0) * sketches)]).astype(np.int32)), pa.array(rows[n > 0].ravel()))
-            yield pa.RecordBatch.from_arrays([common.column(batch, "id"), pa.array(copies, pa.binary()), pa.array(n), lists], ["id", "copy", "n", "sketches"])
+            yield pa.RecordBatch.from_arrays([common.column(batch, "id"), common.column(batch, "node"), pa.array(n), lists], ["id", "node", "n", "sketches"])
 
-    return documents.mapInArrow(sketched, f"id {documents.schema['id'].dataType.simpleString()}, copy binary, n long, sketches array<long>")
+    return documents.select("id", digest("text").alias("node"), "text").mapInArrow(sketched, f"id {kind}, node binary, n long, sketches array<long>")
 
 
 def least_matches(n1: int, n2: int, threshold: float) -> int:
@@ -200,56 +201,36 @@ def matches(left: np.ndarray, right: np.ndarray, floor: float) -> int:
     return matched if matched >= needed else -1
 
 
-def verify(pairs: DataFrame, texts: DataFrame, threshold: float, floor: float) -> DataFrame:
-    """(id, leader, n, linked, gap) of pairs: gap is the distance, null below ``floor``; each row holds both texts only while it is compared."""
+def verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """(node, leader) of the pairs that are linked; a leader's text is sent once for SERVED partners."""
 
     def compared(batches):
         hasher = worker_hasher()
-        for batch in itertools.chain.from_iterable(common.text_slices([b], "text", 2 << 20) for b in batches):
-            sides = []
-            for name in ("text", "leader_text"):
-                coded = common.column(batch, name).dictionary_encode()
-                words, ends = hasher.flat(coded.dictionary)
-                keys, offsets = kmers(words, ends)
-                sides.append((keys, offsets, coded.indices.to_numpy(zero_copy_only=False)))
-            (k1, o1, c1), (k2, o2, c2) = sides
-            found = [matches(k1[o1[a] : o1[a + 1]], k2[o2[b] : o2[b + 1]], floor) for a, b in zip(c1, c2, strict=True)]
-            n1, n2 = np.diff(o1)[c1].tolist(), np.diff(o2)[c2].tolist()
-            linked = [m >= 0 and m >= least_matches(a, b, threshold) for m, a, b in zip(found, n1, n2, strict=True)]
-            gap = [1 - m / (a + b - m) if m >= 0 else None for m, a, b in zip(found, n1, n2, strict=True)]
-            yield pa.RecordBatch.from_arrays([common.column(batch, "id"), common.column(batch, "leader"), pa.array(n1, pa.int64()), pa.array(linked, pa.bool_()), pa.array(gap, pa.float64())], ["id", "leader", "n", "linked", "gap"])
-
-    kind = pairs.schema["id"].dataType.simpleString()
-    first = pairs.join(texts, "id")
-    both = first.join(texts.select(F.col("id").alias("leader"), F.col("text").alias("leader_text")), "leader")
-    return both.select("id", "leader", "text", "leader_text").mapInArrow(compared, f"id {kind}, leader {kind}, n long, linked boolean, gap double")
-
-
-def member_links(checked: DataFrame, links: DataFrame, texts: DataFrame, threshold: float, floor: float) -> DataFrame:
-    """Links between texts that failed against a leader and those that it linked, added to ``links``."""
-    members, others = checked.where("linked"), checked.where("not linked")
-    sizes = members.groupBy("leader").agg(F.count(F.lit(1)).alias("m")).join(others.groupBy("leader").agg(F.count(F.lit(1)).alias("o")), "leader")
-    total = sizes.agg(F.sum(F.col("m") * F.col("o"))).first()[0]
-    if not total:
-        return links
-    part = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1 << 20)) / (1 << 20)
-    done = 0.0
-    for share in SHARES if total > ROUND_PAIRS else SHARES[-1:]:
-        labels = components(links)  # a text in its leader's class has no more to find there
-        own = labels.select("id", F.col("label").alias("own"))
-        open_others = others.join(own, "id", "left").join(labels.select(F.col("id").alias("leader"), "label"), "leader").where("own is null or own <> label")
-        right = open_others.select("leader", F.col("id").alias("other"), F.col("n").alias("other_n"), F.col("gap").alias("other_gap"))
-        pairs = members.where((part >= done) & (part < share)).join(right, "leader").where("id <> other").where(F.col("other_gap") <= F.col("gap") + (1 - threshold + 1e-9))
-        pairs = pairs.where(F.least("n", "other_n") >= F.lit(threshold - 1e-9) * F.greatest("n", "other_n"))
-        pairs = pairs.select(F.greatest("id", "other").alias("id"), F.least("id", "other").alias("leader")).distinct()
-        links = links.union(common.cut(verify(pairs, texts, threshold, threshold).where("linked").select("id", "leader")))
-        done = share
-    return links
+        current, head = None, None
+        for batch in common.text_slices(batches, limit=SKETCH_BYTES):
+            keys, offsets = kmers(*hasher.flat(common.column(batch, "text")))
+            nodes, leaders = [], []
+            for i, (node, leader) in enumerate(zip(common.column(batch, "node").to_pylist(), common.column(batch, "leader").to_pylist(), strict=True)):
+                own = keys[offsets[i] : offsets[i + 1]]
+                if node is None:
+                    current, head = leader, own.copy()
+                elif leader != current:
+                    raise ValueError("a leader's text is missing")
+                elif matches(head, own, threshold) >= least_matches(len(head), len(own), threshold):
+                    nodes.append(node)
+                    leaders.append(leader)
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(leaders, pa.binary())], ["node", "leader"])
+
+    groups = pairs.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / SERVED).alias("salts"))
+    salted = pairs.join(groups, "leader").select("node", "leader", F.pmod(F.xxhash64("node"), "salts").alias("salt"))
+    heads = salted.select("leader", "salt").distinct().join(texts.withColumnRenamed("node", "leader"), "leader")
+    rows = salted.join(texts, "node").select("leader", "salt", "node", "text").union(heads.select("leader", "salt", F.lit(None).cast("binary"), "text"))
+    dealt = rows.repartition("leader", "salt").sortWithinPartitions("leader", "salt", "node")  # a leader's own row has a null node and comes first
+    return dealt.mapInArrow(compared, "node binary, leader binary")
 
 
 def prefix_keys(texts: DataFrame, threshold: float) -> DataFrame:
-    """(id, n, key): keys of each text's rarest k-mers; texts linked at ``threshold`` share one at least."""
-    kind = texts.schema["id"].dataType.simpleString()
+    """(node, n, key, place): keys of each text's rarest k-mers; texts linked at ``threshold`` share one at least."""
 
     def labelled(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         keys, offsets = kmers(*worker_hasher().flat(text))
@@ -260,7 +241,7 @@ def prefix_keys(texts: DataFrame, threshold: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(labelled(common.column(batch, "text"))[0].view(np.int64))], ["key"])
 
     share = ORDER_TEXTS / max(texts.count(), 1)
-    sample = texts.where(F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1 << 20)) < int(share * (1 << 20)))
+    sample = texts.where(F.pmod(F.xxhash64("node", F.lit(11)), F.lit(1 << 20)) < int(share * (1 << 20)))
     counted = sample.mapInArrow(all_keys, "key long").groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").orderBy(F.desc("c"), "key").limit(ORDER_KMERS).toArrow()
     known = counted["key"].to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(known)
@@ -277,80 +258,139 @@ def prefix_keys(texts: DataFrame, threshold: float) -> DataFrame:
                 times = np.where(known[at] == keys, often[at], 0)
             rank = np.lexsort((keys, times, owner))
             length = sizes - np.ceil(threshold * sizes - 1e-9).astype(np.int64) + 1
-            taken = rank[(np.arange(len(keys)) - offsets[:-1][owner]) < length[owner]]
-            ids = common.column(batch, "id").take(pa.array(owner[taken]))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(sizes[owner[taken]]), pa.array(keys[taken].view(np.int64))], ["id", "n", "key"])
+            place = np.arange(len(keys)) - offsets[:-1][owner]
+            first = place < length[owner]
+            taken = rank[first]
+            nodes = common.column(batch, "node").take(pa.array(owner[taken]))
+            yield pa.RecordBatch.from_arrays([nodes, pa.array(sizes[owner[taken]]), pa.array(keys[taken].view(np.int64)), pa.array(place[first])], ["node", "n", "key", "place"])
+
+    return texts.mapInArrow(prefixes, "node binary, n long, key long, place long")
+
+
+def least_shared(n1: str, n2: str, threshold: float) -> Column:
+    """What a linked pair of such sizes has in common at least."""
+    return F.lit(threshold / (1 + threshold)) * (F.col(n1) + F.col(n2)) - F.lit(1e-6)
+
+
+def prefix_pairs(keys: DataFrame, labels: DataFrame, threshold: float, low: float, high: float) -> DataFrame:
+    """(node, leader) of different components that share a key; rows of a key's most frequent component only meet those of others.
 
-    return texts.mapInArrow(prefixes, f"id {kind}, n long, key long")
+    One side is the share from ``low`` to ``high`` of all nodes, by a hash.
+    """
+    rows = labelled(keys, labels)
+    counted = rows.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"))
+    main = counted.groupBy("key").agg(F.max(F.struct("c", "label")).alias("m"), F.count(F.lit(1)).alias("labels")).where("labels > 1").select("key", F.col("m.label").alias("main"))
+    rows = rows.join(main, "key")
+    minor = rows.where("label <> main").select("key", *[F.col(c).alias(f"{c}1") for c in ("node", "n", "place", "label")])
+    part = F.pmod(F.xxhash64("node", F.lit(7)), F.lit(1 << 20)) / (1 << 20)
+    met = rows.where((part >= low) & (part < high)).join(minor, "key").where("label <> label1")
+    met = met.where(F.least(F.col("n") - F.col("place"), F.col("n1") - F.col("place1")) >= least_shared("n", "n1", threshold)).where(F.least("n", "n1") >= least_shared("n", "n1", threshold))
+    # the text outside the main component leads, as it has many partners
+    swap = (F.col("label") != F.col("main")) & (F.col("node") > F.col("node1"))
+    return met.select(F.when(swap, F.col("node1")).otherwise(F.col("node")).alias("node"), F.when(swap, F.col("node")).otherwise(F.col("node1")).alias("leader")).distinct()
 
 
-def several_texts(live: DataFrame, least: int = 2) -> DataFrame:
-    """Keys of ``least`` texts or more."""
-    return live.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= least).select("key")
+def labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows (node, ...) with the label of the node's component, which is the node itself where it has no link."""
+    return rows.join(bounded(labels), "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
-def components(links: DataFrame) -> DataFrame:
-    """(id, label): least id of each connected component of links (id, leader)."""
-    edges = common.cut(links.select("id", F.col("leader").alias("other")).union(links.select("leader", "id")).distinct())
-    labels = common.cut(edges.groupBy("id").agg(F.min("other").alias("label")).select("id", F.least("id", "label").alias("label")))
+def bounded(rows: DataFrame) -> DataFrame:
+    """A written table with a broadcast hint if it is small."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
+def components(links: DataFrame, scratch: common.Scratch) -> DataFrame:
+    """(node, label): least node of each connected component of links (node, leader)."""
+    edges = scratch.table(links.select("node", F.col("leader").alias("other")).union(links.select("leader", "node")).distinct())
+    labels = scratch.table(edges.groupBy("node").agg(F.min("other").alias("label")).select("node", F.least("node", "label").alias("label")))
     while True:
-        near = edges.join(labels.select(F.col("id").alias("other"), "label"), "other").groupBy("id").agg(F.min("label").alias("near"))
-        stepped = labels.join(near, "id").select("id", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        jump = labels.select(F.col("id").alias("label"), F.col("label").alias("further"))
-        moved = common.cut(stepped.join(jump, "label", "left").select("id", "old", F.least("label", F.coalesce("further", "label")).alias("label")))
-        labels = moved.select("id", "label")
+        near = edges.join(labels.select(F.col("node").alias("other"), "label"), "other").groupBy("node").agg(F.min("label").alias("near"))
+        stepped = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
+        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
+        moved = scratch.table(stepped.join(jump, "label", "left").select("node", "old", F.least("label", F.coalesce("further", "label")).alias("label")))
+        scratch.drop(labels)
+        labels = moved.select("node", "label")
         if moved.where("label < old").isEmpty():
-            return labels
+            scratch.drop(edges)
+            return moved.select("node", "label")
+        labels = moved.drop("old")
+
+
+def linked_nodes(rows: DataFrame, sketched: DataFrame, threshold: float, scratch: common.Scratch) -> DataFrame:
+    """(node, label) of the nodes that have a link."""
+    nodes = sketched.where("n > 0").groupBy("node").agg(F.max("n").alias("n"), F.first("sketches").alias("sketches"))
+    # a bucket row is a node, a size and a key, which depends on its sketch's number
+    buckets = nodes.select("node", "n", F.explode("sketches").alias("key"))
+    several = scratch.table(buckets.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"))
+    live = scratch.table(buckets.join(bounded(several), "key"))
+    met = live.groupBy("node").agg(F.max("n").alias("n"), F.sum("size").alias("meets"))
+    met = scratch.table(met)
+    texts = rows.select(digest("text").alias("node"), "text").join(bounded(met).select("node"), "node", "left_semi")
+    texts = scratch.table(texts.groupBy("node").agg(F.first("text").alias("text")))
+    ranked = live.join(bounded(met).drop("n"), "node")
+    leaders = ranked.groupBy("key").agg(F.max(F.struct("meets", "node", "n")).alias("l")).select("key", F.col("l.node").alias("leader"), F.col("l.n").alias("n1"))
+    first = live.join(leaders, "key").where("node <> leader").where(F.least("n", "n1") >= least_shared("n", "n1", threshold))
+    first = scratch.table(first.select("node", "leader").distinct())
+    links = scratch.table(verify(first, texts, threshold))
+    labels = components(links, scratch)
+
+    marked = labelled(live, labels)
+    open_keys = marked.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most").select("key")
+    crowd = scratch.table(live.join(open_keys, "key", "left_semi").select("node").distinct())
+    if crowd.isEmpty():
+        return labels
+    keys = prefix_keys(scratch.table(texts.join(bounded(crowd), "node", "left_semi")), threshold)
+    keys = scratch.table(keys)
+    known = first.select("node", "leader").union(first.select("leader", "node"))
+    done = 0.0
+    for share in SHARES if crowd.count() > ROUND_TEXTS else SHARES[-1:]:  # a pair of one component by then has no more to find
+        turn = prefix_pairs(keys, labels, threshold, done, share).join(known, ["node", "leader"], "left_anti")
+        links = scratch.table(links.union(verify(scratch.table(turn), texts, threshold)))
+        labels = components(links, scratch)
+        done = share
+    return labels
+
+
+def judged(documents: DataFrame, threshold: float, sketches: int, length: int, id_column: str, scratch: common.Scratch) -> DataFrame:
+    """(id, node, class_id, chosen) of every row; chosen marks rows of the text that stands for the class."""
+    rows = common.plain_names(documents, id_column, "text").toDF("id", "text")
+    sketched = scratch.table(sketch(rows, sketches, length), keep=True)
+    labels = linked_nodes(rows, sketched, threshold, scratch)
+    copies = sketched.where("node is not null").groupBy("node").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("c"))
+    grouped = copies.join(labels, "node", "left").where("c > 1 or label is not null").withColumn("label", F.coalesce("label", "node"))
+    best = grouped.groupBy("label").agg(F.min("first").alias("class_id"), F.min(F.when(F.col("first").isNotNull(), F.struct("first", "node"))).alias("best"))
+    classed = scratch.table(grouped.join(best, "label").select("node", "class_id", F.coalesce(F.col("best.node") == F.col("node"), F.lit(False)).alias("stands")), keep=True)
+    scratch.close()
+    joined = sketched.select("id", "node").join(bounded(classed), "node", "left")
+    alone = F.col("stands").isNull()
+    return joined.select("id", "node", F.when(alone, F.col("id")).otherwise(F.col("class_id")).alias("class_id"), (alone | (F.col("stands") & F.col("id").eqNullSafe(F.col("class_id")))).alias("chosen"))
 
 
 def classes(documents: DataFrame, threshold: float = 0.8, sketches: int = 20, length: int = 3, id_column: str = "doc_id") -> DataFrame:
     """(id, class_id): class_id is the least id of the row's near-duplicate class."""
-    rows = common.plain_names(documents, id_column, "text").toDF("id", "text")
-    sketched = common.cut(sketch(rows, sketches, length))
-    copies = sketched.where("copy is not null").groupBy("copy").agg(F.min("id").alias("first"))
-    several = sketched.where("n > 0").join(copies.select(F.col("first").alias("id")), "id", "left_semi").dropDuplicates(["id"])
-    # a bucket row is an id, a size and a key, which depends on its sketch's number
-    buckets = several.select("id", "n", F.explode("sketches").alias("key"))
-    live = common.cut(buckets.join(several_texts(buckets), "key", "left_semi"))
-    needed = common.cut(live.select("id").distinct())
-    if needed.count() <= BROADCAST_IDS:  # then texts that no pair needs are not shuffled
-        needed = F.broadcast(needed)
-    texts = common.cut(rows.join(needed, "id", "left_semi").dropDuplicates(["id"]))
-    floor = max(0.0, 2 * threshold - 1)  # a text less similar to a leader can't be linked to what that leader links
-    kept = None
-    turn = 0
-    while True:
-        turn += 1
-        # a bucket has one leader at first, then up to LEADERS and more: the least id of each salt
-        salts = 1 if turn <= SINGLE else min(LEADERS << (turn - SINGLE - 1), MOST_LEADERS)
-        salt = F.pmod(F.xxhash64("id"), F.lit(salts))
-        leaders = live.groupBy("key", salt.alias("salt")).agg(F.min(F.struct("id", "n")).alias("l")).select("key", F.col("l.id").alias("leader"), F.col("l.n").alias("leader_n"))
-        leading = leaders.select("key", F.col("leader").alias("id"), F.lit(True).alias("leads"))
-        met = live.join(leading, ["key", "id"], "left").join(leaders, "key")
-        # two leaders meet once; an alignment can't reach the threshold where the lengths differ too much
-        met = met.where("if(leads is null, id <> leader, id > leader)").where(F.least("n", "leader_n") >= F.lit(floor - 1e-9) * F.greatest("n", "leader_n"))
-        checked = common.cut(verify(met.select("id", "leader").distinct(), texts, threshold, floor).where("gap is not null"))
-        found = checked.where("linked").select("id", "leader")
-        kept = checked if kept is None else kept.union(checked)
-        settled = met.join(found, ["id", "leader"], "left_semi").select("key", "id").union(leading.drop("leads")).distinct()
-        failed = live.join(settled, ["key", "id"], "left_anti")
-        live = common.cut(failed.select("id", "n", "key").join(several_texts(failed), "key", "left_semi"))
-        if turn == SINGLE:
-            hot = common.cut(several_texts(live, LEADERS + 1))
-            crowded = common.cut(texts.join(live.join(hot, "key", "left_semi").select("id").distinct(), "id", "left_semi"))
-            if not crowded.isEmpty():
-                rare = prefix_keys(crowded, threshold)
-                rare = rare.join(several_texts(rare), "key", "left_semi")
-                live = common.cut(live.join(hot, "key", "left_anti").select("id", "n", "key").union(rare.select("id", "n", "key")))
-        if live.isEmpty():
-            break
-    labels = components(member_links(kept, kept.where("linked").select("id", "leader"), texts, threshold, floor))
-    joined = sketched.select("id", "copy").join(copies, "copy", "left")
-    joined = joined.select("id", F.coalesce("first", "id").alias("first")).join(labels.select(F.col("id").alias("first"), "label"), "first", "left")
-    return joined.select(F.col("id").alias(id_column), F.coalesce("label", "first").alias("class_id"))
+    with common.Scratch(documents.sparkSession) as scratch:
+        found = judged(documents, threshold, sketches, length, id_column, scratch)
+    return found.select(F.col("id").alias(id_column), "class_id")
 
 
 def keep_one(documents: DataFrame, threshold: float = 0.8, id_column: str = "doc_id") -> DataFrame:
-    """Rows of the least id of each class; of rows that share that id all stay."""
-    kept = classes(documents, threshold, id_column=id_column).where(F.col(id_column) == F.col("class_id")).select(id_column).distinct()
-    return documents.join(kept, id_column, "left_semi")
+    """One row of each class: that of its least id (of rows that repeat id and text, one)."""
+    with common.Scratch(documents.sparkSession) as scratch:
+        found = judged(documents, threshold, 20, 3, id_column, scratch)
+        name = F.col(f"`{id_column}`")
+        gone = scratch.table(found.where("not chosen").select("id", "node").distinct(), keep=True)
+        twice = scratch.table(found.where("chosen and node is not null").groupBy("id", "node").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("id", "node"), keep=True)
+
+    def same(rows: DataFrame) -> Column:
+        return name.eqNullSafe(rows["id"]) & digest("text").eqNullSafe(rows["node"])
+
+    dropped = bounded(gone)
+    kept = documents.join(dropped, same(dropped), "left_anti")
+    if twice.isEmpty():
+        return kept
+    repeated = bounded(twice)
+    others = [F.col(f"`{c}`") for c in documents.columns if c not in (id_column, "text")]
+    one = kept.join(repeated, same(repeated), "left_semi").groupBy(name, "text").agg(F.min(F.struct(F.lit(0), *others)).alias("__least"))
+    one = one.select(*[F.col(f"`{c}`") if c in (id_column, "text") else F.col("__least")[c].alias(c) for c in documents.columns])
+    return kept.join(repeated, same(repeated), "left_anti").union(one)
