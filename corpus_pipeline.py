@@ -3,15 +3,16 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as
 Parquet and read again as the next one's docs:
 
-1. quality classifier: documents scored under 0.3 go;
+1. quality classifier: documents scored under 0.3 go (no label votes on its own document);
 2. quality rules: documents that the base rules or the divergence reject go;
-3. near-duplicates: the least id of each class stays;
+3. near-duplicates: one row of the least id of each class stays;
 4. mixing: a document comes as often as its rate says (see ``soft_mixing.take``);
 5. byte-level BPE: ids of every document, with digests of ids and decoded text.
 
 Labels of documents that are gone no longer train anything. Null texts score the
-base rate and fail the base rules, so they leave at the second stage; an empty
-table passes through all stages.
+base rate and fail the base rules, so they leave at the second stage; rows are
+judged by their own texts, also where ids are null or repeated; an empty table
+passes through all stages.
 """
 
 from __future__ import annotations
@@ -26,16 +27,12 @@ from glyphgrid.llm import common, divergence_rules, neighbour_quality, order_min
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a score of at least 0.3."""
     voters = neighbour_quality.fit(docs, common.read(spark, sf_dir, "labels"))
-    good = neighbour_quality.score(docs, voters, 0.3).where("predicted = 1").select("doc_id")
-    return docs.join(good, "doc_id", "left_semi")
+    return neighbour_quality.keep(docs, voters, 0.3)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that base rules and divergence keep."""
-    # judged once and cut: a filter pushed into the rules' expressions would evaluate them many times over
-    judged = common.cut(divergence_rules.judge(docs).select("doc_id", "kept"))
-    kept = judged.where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi")
+    return divergence_rules.keep(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -139,3 +139,13 @@ def judge(documents: DataFrame, fitted: list[dict] | None = None, limit: float =
     rows = rows.withColumn("divergence", least)
     kept = ~F.col("base_failed") & (F.col("divergence").isNull() | (F.col("divergence") <= limit))
     return rows.select(F.col("id").alias(id_column), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "divergence", kept.alias("kept"))
+
+
+def keep(documents: DataFrame, limit: float = 0.27, min_words: int = 50) -> DataFrame:
+    """Rows that the rules keep, all columns as they were, in one narrow pass after the references."""
+    names = [F.col(f"`{c}`") for c in documents.columns]
+    rows = documents.select(F.struct(*names).alias("__row"), "text")
+    judged = judge(rows, references(documents), limit, min_words, id_column="__row")
+    # the place keeps the filter from being pushed into the rules' expressions, which would evaluate them many times over
+    placed = judged.select("__row", "kept", F.monotonically_increasing_id().alias("__place")).where("kept and __place >= 0")
+    return placed.select(*[F.col("__row")[c].alias(c) for c in documents.columns])

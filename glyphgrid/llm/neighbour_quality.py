@@ -115,8 +115,11 @@ def worker_features() -> Features:
 class Voters:
     """Labelled latent-semantic vectors and the projection of others to their space."""
 
-    def __init__(self, counts: np.ndarray, labels: np.ndarray, rank: int, neighbours: int, power: float):
+    def __init__(self, counts: np.ndarray, labels: np.ndarray, rank: int, neighbours: int, power: float, ids: list | None = None):
         self.neighbours, self.power = neighbours, power
+        self.places: dict = {}
+        for i, key in enumerate(ids or ()):
+            self.places.setdefault(key, []).append(i)
         self.base = float(labels.mean())
         self.labels = labels.astype(np.float32)
         n = len(counts)
@@ -135,12 +138,15 @@ class Voters:
         norms = np.linalg.norm(rows, axis=1, keepdims=True)
         return rows / np.where(norms > 0, norms, 1)
 
-    def scores(self, counts: np.ndarray) -> np.ndarray:
+    def scores(self, counts: np.ndarray, ids: list | None = None) -> np.ndarray:
+        """Scores of feature rows; rows whose ids are given get no vote of their own labels."""
         out = np.empty(len(counts))
         k = min(self.neighbours, len(self.labels))
         for low in range(0, len(counts), 512):
             rows = self._unit(self._unit(counts[low : low + 512] * self.idf) @ self.directions)
             cosines = rows @ self.vectors.T
+            for i, key in enumerate(ids[low : low + 512] if ids else ()):
+                cosines[i, self.places.get(key, ())] = -1
             near = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
             weight = np.maximum(np.take_along_axis(cosines, near, axis=1), 0).astype(np.float64) ** self.power
             total = weight.sum(axis=1)
@@ -175,7 +181,7 @@ def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = 6000, rank:
     counts = np.zeros((len(seen), BUCKETS), dtype=np.float32)
     for i, r in enumerate(seen):
         counts[i, r.buckets] = r.counts
-    return documents.sparkSession.sparkContext.broadcast(Voters(counts, np.array([float(r.label) for r in seen]), rank, neighbours, power))
+    return documents.sparkSession.sparkContext.broadcast(Voters(counts, np.array([float(r.label) for r in seen]), rank, neighbours, power, [r.id for r in seen]))
 
 
 def score(documents: DataFrame, voters, threshold: float = 0.3, id_column: str = "doc_id") -> DataFrame:
@@ -192,3 +198,17 @@ def score(documents: DataFrame, voters, threshold: float = 0.3, id_column: str =
 
     kind = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(scored, f"id {kind}, score double, predicted int").withColumnRenamed("id", id_column)
+
+
+def keep(documents: DataFrame, voters, threshold: float = 0.3, id_column: str = "doc_id") -> DataFrame:
+    """Rows with a score of at least ``threshold``, all columns as they were; a labelled row has no vote on itself."""
+    if voters is None:
+        return documents.where(F.lit(0.5 >= threshold))
+
+    def kept(batches):
+        maker = worker_features()
+        for batch in common.text_slices(batches, limit=2 << 20):
+            counts = maker.rows(pc.fill_null(common.column(batch, "text"), ""))
+            yield batch.filter(pa.array(voters.value.scores(counts, common.column(batch, id_column).to_pylist()) >= threshold))
+
+    return documents.mapInArrow(kept, documents.schema)
