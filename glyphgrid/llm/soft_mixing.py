@@ -188,4 +188,6 @@ def take(documents: DataFrame, mixture: Mixture, id_column: str = "doc_id") -> D
     draw = F.pmod(F.xxhash64(F.col(f"`{id_column}`"), F.col("text"), F.lit("take")), F.lit(SAMPLE_RANGE)) / SAMPLE_RANGE
     copies = F.floor(rates("__p", mixture.history, mixture.pull, mixture.step)[0] + draw).cast("int")
     names = [F.col(f"`{c}`") for c in documents.columns]
-    return rated.select(*names, copies.alias("__copies")).where("__copies > 0").select(*names, F.explode(F.array_repeat(F.lit(0), F.col("__copies")))).select(*names)
+    # the place keeps the filter from being pushed into the posteriors' expressions, which would evaluate them many times over
+    counted = rated.select(*names, copies.alias("__copies"), F.monotonically_increasing_id().alias("__place")).where("__copies > 0 and __place >= 0")
+    return counted.select(*names, F.explode(F.array_repeat(F.lit(0), F.col("__copies")))).select(*names)
