@@ -16,7 +16,7 @@ STOP_WORDS = [
 CAPTION_OPENERS = [r"Figure\s+", r"Fig\.\s+", r"Exhibit\s+", r"Chart\s+", r"Diagram\s+"]
 #: Phrases that mark a reference to a figure, not its caption.
 REFERENCE_PHRASES = ["as shown in", "see figure", "in figure", "refer to", "according to", "as illustrated in", "as depicted in"]
-#: Only digits, signs, separators and units.
+#: Only digits, signs, separators and units.
 NUMERIC = r"^[0-9\-/.,\s%$]+$"
 NUMERIC_MONEY = r"^[0-9\-/.,\s%$€£¥]+$"
 _NUMBER = r"(\d+(?:\.\d+)?)"
@@ -100,15 +100,25 @@ def diagram_subtype(text: Column) -> Column:
     return out
 
 
+#: The shape of an acronym, and what names of two kinds are called besides.
+ACRONYM = r"^[A-Za-z][A-Za-z0-9\-]{1,15}s?\z"
+BILL_ALIASES = ["treasury bill", "treasury bills", "treasury-bill", "treasury-bills", "t bill", "t bills"]
+BILL_ACRONYMS = ["t-bill", "t-bills"]
+LIBOR_ALIASES = ["london interbank offer rate", "london interbank offered rate"]
+
+
 def concept_parts(name: Column) -> dict[str, Column]:
-    """Main name, acronyms and aliases of a concept name with parentheses."""
-    inside = F.filter(F.transform(F.regexp_extract_all(name, F.lit(r"\(([^)]+)\)"), 1), lambda x: F.trim(x)), lambda x: x != "")
-    main = F.trim(F.regexp_replace(F.regexp_replace(name, r"\([^)]*\)", " "), r"\s+", " "))
-    shaped = lambda x: x.rlike(r"^[A-Za-z][A-Za-z0-9\-]{1,15}s?\z")
-    names = F.concat(inside, F.array(main))
-    acronyms = F.filter(names, shaped)
-    singular = F.transform(F.filter(acronyms, lambda x: x.endswith("s")), lambda x: F.regexp_replace(x, r"s\z", ""))
-    low = F.lower(name)
-    special = F.when(low.rlike(r"t-bill|treasury bill"), F.array(*map(F.lit, ["treasury bill", "treasury bills", "treasury-bill", "treasury-bills", "t bill", "t bills"]))).when(low.contains("libor"), F.array(F.lit("libor"))).otherwise(F.array().cast("array<string>"))
-    variants = F.flatten(F.transform(names, lambda x: F.array(x, F.replace(x, F.lit("-"), F.lit(" ")))))
-    return {"main": main, "acronyms": F.array_sort(F.array_distinct(F.transform(F.concat(acronyms, singular), lambda x: F.lower(x)))), "aliases": F.array_sort(F.array_distinct(F.concat(variants, special)))}
+    """Main name, acronyms and aliases of a concept name with parentheses, the latter two sorted."""
+    text = F.trim(name)
+    inside = F.filter(F.transform(F.regexp_extract_all(text, F.lit(r"\(([^)]+)\)"), 1), lambda x: F.trim(x)), lambda x: x != "")
+    main = F.trim(F.regexp_replace(text, r"\s*\([^)]*\)\s*", " "))
+    names = F.concat(inside, F.filter(F.array(main), lambda x: x != ""))
+    aliases = F.concat(names, F.flatten(F.transform(names, lambda x: F.array(F.replace(x, F.lit("-"), F.lit(" ")), F.regexp_replace(x, r"\s+", " ")))))
+    low = F.lower(F.array_join(F.concat(F.array(main), aliases), " "))
+
+    def added(holds: str, values: list[str]) -> Column:
+        return F.when(F.contains(low, F.lit(holds)), F.array(*map(F.lit, values))).otherwise(F.array().cast("array<string>"))
+
+    acronyms = F.concat(F.filter(names, lambda x: x.rlike(ACRONYM)), added("t-bill", BILL_ACRONYMS), added("libor", ["libor"]))
+    aliases = F.concat(aliases, added("t-bill", BILL_ALIASES), added("libor", LIBOR_ALIASES))
+    return {"main": main, "acronyms": F.array_sort(F.array_distinct(F.transform(acronyms, normalized))), "aliases": F.array_sort(F.array_distinct(aliases))}

@@ -12,6 +12,8 @@ from itertools import chain, groupby
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from glyphgrid.operators.layout import PAGE
+
 
 def by_page(rows: DataFrame, order: list[str], fold: Callable[[list], list], schema: str) -> DataFrame:
     """Rows of each page through ``fold``, in the given order."""
@@ -20,7 +22,7 @@ def by_page(rows: DataFrame, order: list[str], fold: Callable[[list], list], sch
     def run(batches):
         stream = chain.from_iterable(b.itertuples(index=False, name="Row") for b in batches)
         out: list = []
-        for _, page in groupby(stream, key=lambda r: r.page_no):
+        for _, page in groupby(stream, key=lambda r: (r.doc_id, r.page_no)):
             out += fold(list(page))
             if len(out) >= 10_000:
                 yield pd.DataFrame(out)
@@ -28,7 +30,7 @@ def by_page(rows: DataFrame, order: list[str], fold: Callable[[list], list], sch
         if out:
             yield pd.DataFrame(out)
 
-    dealt = rows.select(*names).repartition("page_no").sortWithinPartitions("page_no", *order)
+    dealt = rows.select(*names).repartition(*PAGE).sortWithinPartitions(*PAGE, *order)
     return dealt.mapInPandas(_named(run, schema), schema)
 
 
@@ -51,7 +53,7 @@ def _overlap(a, b) -> float:
 
 
 def conflict_fold(candidates: DataFrame) -> DataFrame:
-    """Segments that stay when candidates (page_no, pass_no, idx, box, weight) come one after another.
+    """Segments that stay when candidates (page, pass_no, idx, box, weight) come one after another.
 
     A candidate meets the first segment kept so far that it overlaps by more than
     0.4: the greater weight stays in that place, an equal one is replaced.
@@ -68,12 +70,12 @@ def conflict_fold(candidates: DataFrame) -> DataFrame:
                 kept[at] = row
         return kept
 
-    names = ["page_no", "pass_no", "idx", "x0", "y0", "x1", "y1", "weight"]
-    return by_page(candidates.select(*names), ["pass_no", "idx"], fold, "page_no long, pass_no int, idx int, x0 double, y0 double, x1 double, y1 double, weight double")
+    names = [*PAGE, "pass_no", "idx", "x0", "y0", "x1", "y1", "weight"]
+    return by_page(candidates.select(*names), ["pass_no", "idx"], fold, "doc_id long, page_no long, pass_no int, idx int, x0 double, y0 double, x1 double, y1 double, weight double")
 
 
 def drawing_clusters(drawings: DataFrame, reach: float = 100.0, least: int = 3) -> DataFrame:
-    """Seeded groups of drawings (page_no, draw_no, box): members lie within ``reach`` of the seed; small groups go."""
+    """Seeded groups of drawings (page, draw_no, box): members lie within ``reach`` of the seed; small groups go."""
 
     def gap(a, b) -> float:
         dx, dy = max(0.0, b[0] - a[2], a[0] - b[2]), max(0.0, b[1] - a[3], a[1] - b[3])
@@ -87,14 +89,14 @@ def drawing_clusters(drawings: DataFrame, reach: float = 100.0, least: int = 3)
             members = {r.draw_no for r in near}
             free = [r for r in free if r.draw_no not in members]
             if len(near) >= least:
-                found.append((seed.page_no, seed.draw_no, len(near), min(r.x0 for r in near), min(r.y0 for r in near), max(r.x1 for r in near), max(r.y1 for r in near)))
+                found.append((seed.doc_id, seed.page_no, seed.draw_no, len(near), min(r.x0 for r in near), min(r.y0 for r in near), max(r.x1 for r in near), max(r.y1 for r in near)))
         return found
 
-    rows = drawings.select("page_no", "draw_no", "x0", "y0", "x1", "y1")
-    return by_page(rows, ["draw_no"], cluster, "page_no long, seed_no int, n int, x0 double, y0 double, x1 double, y1 double")
+    rows = drawings.select(*PAGE, "draw_no", "x0", "y0", "x1", "y1")
+    return by_page(rows, ["draw_no"], cluster, "doc_id long, page_no long, seed_no int, n int, x0 double, y0 double, x1 double, y1 double")
 
 
 def drawing_regions(clusters: DataFrame, page_area: float, pad: float = 10.0) -> DataFrame:
     """Padded bounds of clusters that are neither tiny nor nearly the page."""
     size = f"(x1 - x0 + {2 * pad}) * (y1 - y0 + {2 * pad})"
-    return clusters.where(f"{size} > 5000 and {size} < {0.8 * page_area}").selectExpr("page_no", "seed_no", f"x0 - {pad} as x0", f"y0 - {pad} as y0", f"x1 + {pad} as x1", f"y1 + {pad} as y1")
+    return clusters.where(f"{size} > 5000 and {size} < {0.8 * page_area}").selectExpr(*PAGE, "seed_no", f"x0 - {pad} as x0", f"y0 - {pad} as y0", f"x1 + {pad} as x1", f"y1 + {pad} as y1")

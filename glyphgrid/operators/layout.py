@@ -1,8 +1,8 @@
 """Page-layout operators: captions, neighbourhoods, boundaries of figures, image validation.
 
-Inputs are flat tables keyed by page_no (with a document id in front where there
-is one): a page's rows meet in range joins on the page, so tables dealt by page
-need one exchange in all.
+Inputs are flat tables keyed by ``PAGE``, a document id and a page number, as page
+numbers repeat from document to document: a page's rows meet in range joins on
+its key, so tables dealt by page need one exchange in all.
 """
 
 from __future__ import annotations
@@ -14,16 +14,17 @@ from glyphgrid.functions import geometry as G
 from glyphgrid.functions import text as T
 
 BOX = ("x0", "y0", "x1", "y1")
+PAGE = ["doc_id", "page_no"]
 
 
-def prefixed(df: DataFrame, prefix: str, keep: tuple[str, ...] = ("page_no",)) -> DataFrame:
+def prefixed(df: DataFrame, prefix: str, keep: tuple[str, ...] = tuple(PAGE)) -> DataFrame:
     return df.select(*[F.col(c) if c in keep else F.col(c).alias(prefix + c) for c in df.columns])
 
 
 def text_blocks(spans: DataFrame) -> DataFrame:
-    """Spans (page_no, block_no, line_no, span_no, text) joined in reading order, a space after each."""
+    """Spans (page, block_no, line_no, span_no, text) joined in reading order, a space after each."""
     ordered = F.array_sort(F.collect_list(F.struct("line_no", "span_no", "text")))
-    return spans.groupBy("page_no", "block_no").agg(F.trim(F.array_join(F.transform(ordered, lambda s: s["text"]), " ")).alias("text"))
+    return spans.groupBy(*PAGE, "block_no").agg(F.trim(F.array_join(F.transform(ordered, lambda s: s["text"]), " ")).alias("text"))
 
 
 def caption_blocks(blocks: DataFrame) -> DataFrame:
@@ -38,9 +39,9 @@ def reference_keys(number: Column) -> Column:
 
 def near_text(regions: DataFrame, blocks: DataFrame, near: Column) -> DataFrame:
     """(region_id, text): texts of a page's blocks that satisfy ``near``, in reading order."""
-    pairs = regions.join(prefixed(blocks, "b_"), "page_no").where(near)
+    pairs = regions.join(prefixed(blocks, "b_"), PAGE).where(near)
     ordered = F.array_sort(F.collect_list(F.struct("b_block_no", "b_text")))
-    return pairs.groupBy("page_no", "region_id").agg(F.array_join(F.transform(ordered, lambda s: s["b_text"]), " ").alias("text"))
+    return pairs.groupBy(*PAGE, "region_id").agg(F.array_join(F.transform(ordered, lambda s: s["b_text"]), " ").alias("text"))
 
 
 def detect_caption(regions: DataFrame, blocks: DataFrame) -> DataFrame:
@@ -48,82 +49,82 @@ def detect_caption(regions: DataFrame, blocks: DataFrame) -> DataFrame:
     near = (F.abs(F.col("b_y0") - F.col("y1")) < 50) | (F.abs(F.col("y0") - F.col("b_y1")) < 50)
     found = near_text(regions, blocks, near)
     number = T.caption_number(F.col("text"))
-    return found.select("page_no", "region_id", number.alias("figure_number"), F.when(number.isNotNull(), F.trim(T.caption_body(F.col("text")))).otherwise(F.substring("text", 1, 200)).alias("caption"))
+    return found.select(*PAGE, "region_id", number.alias("figure_number"), F.when(number.isNotNull(), F.trim(T.caption_body(F.col("text")))).otherwise(F.substring("text", 1, 200)).alias("caption"))
 
 
 def caption_below(regions: DataFrame, blocks: DataFrame) -> DataFrame:
     """First block within 60 below a region that overlaps it in x and holds a caption pattern."""
     gap = F.col("b_y0") - F.col("y1")
     across = F.least("x1", "b_x1") - F.greatest("x0", "b_x0")
-    pairs = regions.join(prefixed(blocks, "b_"), "page_no").where((gap >= 0) & (gap <= 60) & (across > 0) & T.caption_number(F.col("b_text")).isNotNull())
-    return pairs.groupBy("page_no", "region_id").agg(F.min_by("b_text", "b_block_no").alias("caption"))
+    pairs = regions.join(prefixed(blocks, "b_"), PAGE).where((gap >= 0) & (gap <= 60) & (across > 0) & T.caption_number(F.col("b_text")).isNotNull())
+    return pairs.groupBy(*PAGE, "region_id").agg(F.min_by("b_text", "b_block_no").alias("caption"))
 
 
 def expand_to_caption(regions: DataFrame, captions: DataFrame, blocks: DataFrame) -> DataFrame:
     """Regions grown to the first block that holds the caption's first 30 characters; the top stays."""
-    wanted = regions.join(captions, ["page_no", "region_id"])
-    pairs = wanted.join(prefixed(blocks, "b_"), "page_no").where(F.contains("b_text", F.substring("caption", 1, 30)))
-    first = pairs.groupBy("page_no", "region_id").agg(F.min_by(F.struct("b_x0", "b_x1", "b_y1"), "b_block_no").alias("b"))
-    rows = regions.join(first, ["page_no", "region_id"], "left")
-    return rows.select("page_no", "region_id", F.least("x0", "b.b_x0").alias("x0"), "y0", F.greatest("x1", "b.b_x1").alias("x1"), F.greatest("y1", "b.b_y1").alias("y1"))
+    wanted = regions.join(captions, [*PAGE, "region_id"])
+    pairs = wanted.join(prefixed(blocks, "b_"), PAGE).where(F.contains("b_text", F.substring("caption", 1, 30)))
+    first = pairs.groupBy(*PAGE, "region_id").agg(F.min_by(F.struct("b_x0", "b_x1", "b_y1"), "b_block_no").alias("b"))
+    rows = regions.join(first, [*PAGE, "region_id"], "left")
+    return rows.select(*PAGE, "region_id", F.least("x0", "b.b_x0").alias("x0"), "y0", F.greatest("x1", "b.b_x1").alias("x1"), F.greatest("y1", "b.b_y1").alias("y1"))
 
 
 def heading_path(regions: DataFrame, blocks: DataFrame) -> DataFrame:
     """Last three large-type blocks above a region, in reading order."""
-    pairs = regions.join(prefixed(blocks, "b_"), "page_no").where((F.col("b_y1") < F.col("y0")) & (F.col("b_font_size") > 12) & (F.length(F.trim("b_text")) > 3))
+    pairs = regions.join(prefixed(blocks, "b_"), PAGE).where((F.col("b_y1") < F.col("y0")) & (F.col("b_font_size") > 12) & (F.length(F.trim("b_text")) > 3))
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("b_block_no", F.trim("b_text").alias("t")))), lambda s: s["t"])
-    found = pairs.groupBy("page_no", "region_id").agg(ordered.alias("all"))
-    return found.select("page_no", "region_id", F.array_join(F.slice("all", F.greatest(F.size("all") - 2, F.lit(1)), 3), " > ").alias("heading_path"))
+    found = pairs.groupBy(*PAGE, "region_id").agg(ordered.alias("all"))
+    return found.select(*PAGE, "region_id", F.array_join(F.slice("all", F.greatest(F.size("all") - 2, F.lit(1)), 3), " > ").alias("heading_path"))
 
 
 def nearby_text(regions: DataFrame, blocks: DataFrame) -> DataFrame:
     near = F.least(F.abs(F.col("b_y0") - F.col("y1")), F.abs(F.col("y0") - F.col("b_y1"))) < 100
-    return near_text(regions, blocks, near).select("page_no", "region_id", F.substring("text", 1, 500).alias("nearby_text"))
+    return near_text(regions, blocks, near).select(*PAGE, "region_id", F.substring("text", 1, 500).alias("nearby_text"))
 
 
 def overlap_pairs(left: DataFrame, right: DataFrame, least: float = 0.0) -> DataFrame:
-    """Overlapping pairs of two tables (page_no, id, box) with their ratio, and whether they conflict (over 0.4)."""
-    pairs = prefixed(left, "a_").join(prefixed(right, "b_"), "page_no")
+    """Overlapping pairs of two tables (page, id, box) with their ratio, and whether they conflict (over 0.4)."""
+    pairs = prefixed(left, "a_").join(prefixed(right, "b_"), PAGE)
     ratio = G.overlap_ratio("a_", "b_")
-    return pairs.withColumn("ratio", ratio).where(F.col("ratio") > least).select("page_no", "a_id", "b_id", "ratio", (F.col("ratio") > 0.4).alias("conflict"))
+    return pairs.withColumn("ratio", ratio).where(F.col("ratio") > least).select(*PAGE, "a_id", "b_id", "ratio", (F.col("ratio") > 0.4).alias("conflict"))
 
 
 def windowed(captions: DataFrame, items: DataFrame, prefix: str) -> DataFrame:
     """Captions (region_id, c_ box) joined to a page's items whose top lies up to 500 above the caption."""
     start = F.greatest(F.lit(0.0), F.col("c_y0") - 500)
-    return captions.join(prefixed(items, prefix), "page_no").where((F.col(f"{prefix}y0") >= start) & (F.col(f"{prefix}y0") < F.col("c_y0")))
+    return captions.join(prefixed(items, prefix), PAGE).where((F.col(f"{prefix}y0") >= start) & (F.col(f"{prefix}y0") < F.col("c_y0")))
 
 
 def window_bounds(captions: DataFrame, items: DataFrame, name: str) -> DataFrame:
     rows = windowed(captions, items, "i_")
-    return rows.groupBy("page_no", "region_id").agg(F.min("i_x0").alias(f"{name}_x0"), F.min("i_y0").alias(f"{name}_y0"), F.max("i_x1").alias(f"{name}_x1"), F.max("i_y1").alias(f"{name}_y1"))
+    return rows.groupBy(*PAGE, "region_id").agg(F.min("i_x0").alias(f"{name}_x0"), F.min("i_y0").alias(f"{name}_y0"), F.max("i_x1").alias(f"{name}_x1"), F.max("i_y1").alias(f"{name}_y1"))
 
 
 def whitespace_boundary(captions: DataFrame, blocks: DataFrame) -> DataFrame:
     """(region_id, ws_y): 5 below the block before the largest gap over 30 in the window; the first of equal gaps."""
     rows = windowed(captions, blocks, "b_")
-    order = Window.partitionBy("page_no", "region_id").orderBy("b_y1", "b_block_no")
-    gaps = rows.select("page_no", "region_id", "b_y1", F.row_number().over(order).alias("place"), (F.lead("b_y0").over(order) - F.col("b_y1")).alias("gap"))
-    best = gaps.where("gap > 20").groupBy("page_no", "region_id").agg(F.max_by(F.struct("gap", "b_y1"), F.struct(F.col("gap"), -F.col("place"))).alias("best"))
-    return best.where("best.gap > 30 and best.b_y1 <> 0").select("page_no", "region_id", (F.col("best.b_y1") + 5).alias("ws_y"))
+    order = Window.partitionBy(*PAGE, "region_id").orderBy("b_y1", "b_block_no")
+    gaps = rows.select(*PAGE, "region_id", "b_y1", F.row_number().over(order).alias("place"), (F.lead("b_y0").over(order) - F.col("b_y1")).alias("gap"))
+    best = gaps.where("gap > 20").groupBy(*PAGE, "region_id").agg(F.max_by(F.struct("gap", "b_y1"), F.struct(F.col("gap"), -F.col("place"))).alias("best"))
+    return best.where("best.gap > 30 and best.b_y1 <> 0").select(*PAGE, "region_id", (F.col("best.b_y1") + 5).alias("ws_y"))
 
 
 def text_boundary(captions: DataFrame, blocks: DataFrame) -> DataFrame:
     """(region_id, tx_y, tx_x0, tx_x1): 20 below the lowest body paragraph; x range of the other blocks."""
     rows = windowed(captions, blocks, "b_")
     body = (F.col("b_x1") - F.col("b_x0") > F.col("b_page_width") * 0.65) & (F.length("b_text") > 120) & (F.col("b_y1") - F.col("b_y0") > 35) & (F.col("b_x0") < F.col("b_page_width") * 0.15)
-    found = rows.groupBy("page_no", "region_id").agg(F.max(F.when(body, F.col("b_y1"))).alias("bottom"), F.min(F.when(~body, F.col("b_x0"))).alias("tx_x0"), F.max(F.when(~body, F.col("b_x1"))).alias("tx_x1"))
-    return found.where("bottom is not null").select("page_no", "region_id", (F.col("bottom") + 20).alias("tx_y"), "tx_x0", "tx_x1")
+    found = rows.groupBy(*PAGE, "region_id").agg(F.max(F.when(body, F.col("b_y1"))).alias("bottom"), F.min(F.when(~body, F.col("b_x0"))).alias("tx_x0"), F.max(F.when(~body, F.col("b_x1"))).alias("tx_x1"))
+    return found.where("bottom is not null").select(*PAGE, "region_id", (F.col("bottom") + 20).alias("tx_y"), "tx_x0", "tx_x1")
 
 
 def captions_of(blocks: DataFrame) -> DataFrame:
-    """Caption blocks as regions' anchors: (page_no, region_id, c_ box, page_width)."""
-    return caption_blocks(blocks).select("page_no", F.col("block_no").alias("region_id"), *[F.col(c).alias(f"c_{c}") for c in BOX], F.col("page_width").alias("c_page_width"))
+    """Caption blocks as regions' anchors: (page, region_id, c_ box, page_width)."""
+    return caption_blocks(blocks).select(*PAGE, F.col("block_no").alias("region_id"), *[F.col(c).alias(f"c_{c}") for c in BOX], F.col("page_width").alias("c_page_width"))
 
 
 def combine_boundaries(captions: DataFrame, blocks: DataFrame, drawings: DataFrame, images: DataFrame) -> DataFrame:
     """A figure's box by the first signal that gives one large enough: drawings, images, white space, text, a default."""
-    key = ["page_no", "region_id"]
+    key = [*PAGE, "region_id"]
     rows = captions
     for part in (window_bounds(captions, drawings, "dr"), window_bounds(captions, images, "im"), whitespace_boundary(captions, blocks), text_boundary(captions, blocks)):
         rows = rows.join(part, key, "left")
@@ -151,14 +152,14 @@ def combine_boundaries(captions: DataFrame, blocks: DataFrame, drawings: DataFra
 
 def extend_to_caption(found: DataFrame) -> DataFrame:
     """Combined boxes extended over their captions."""
-    return found.select("page_no", "region_id", F.least("box.x0", "c_x0").alias("x0"), F.col("box.y0").alias("y0"), F.greatest("box.x1", "c_x1").alias("x1"), (F.col("c_y1") + 5).alias("y1"), F.col("box.signal").alias("signal"))
+    return found.select(*PAGE, "region_id", F.least("box.x0", "c_x0").alias("x0"), F.col("box.y0").alias("y0"), F.greatest("box.x1", "c_x1").alias("x1"), (F.col("c_y1") + 5).alias("y1"), F.col("box.signal").alias("signal"))
 
 
 def validate_images(images: DataFrame, blocks: DataFrame, page_height: float = 1260.0) -> DataFrame:
-    """Scores of embedded images (page_no, img_no, box, px_w, px_h, grey_var); over 1 counts as 1, there is no floor."""
+    """Scores of embedded images (page, img_no, box, px_w, px_h, grey_var); over 1 counts as 1, there is no floor."""
     regions = images.withColumnRenamed("img_no", "region_id")
     near = caption_below(regions, blocks)
-    rows = regions.join(near, ["page_no", "region_id"], "left")
+    rows = regions.join(near, [*PAGE, "region_id"], "left")
     size, aspect, place = G.area(), (F.col("x1") - F.col("x0")) / (F.col("y1") - F.col("y0")), F.col("y0") / page_height
     score = (
         F.when(size > 10000, 0.3).otherwise(0.1)
@@ -170,18 +171,18 @@ def validate_images(images: DataFrame, blocks: DataFrame, page_height: float = 1
     )
     rejected = (size < 3000) | (F.col("px_w") < 50) | (F.col("px_h") < 50)
     value = F.when(rejected, 0.0).otherwise(F.least(F.lit(1.0), F.round(score, 6)))
-    return rows.select("page_no", F.col("region_id").alias("img_no"), value.alias("score"), (value >= 0.5).alias("kept"), "caption", *BOX, "grey_var")
+    return rows.select(*PAGE, F.col("region_id").alias("img_no"), value.alias("score"), (value >= 0.5).alias("kept"), "caption", *BOX, "grey_var")
 
 
 def conflict_scores(regions: DataFrame, images: DataFrame, drawings: DataFrame) -> DataFrame:
     """Scores of caption regions against embedded images that conflict with them, and the winner (ties: the image)."""
-    a = regions.select("page_no", F.col("region_id").alias("id"), *BOX)
-    b = images.select("page_no", F.col("img_no").alias("id"), *BOX)
+    a = regions.select(*PAGE, F.col("region_id").alias("id"), *BOX)
+    b = images.select(*PAGE, F.col("img_no").alias("id"), *BOX)
     pairs = overlap_pairs(a, b, 0.4)
-    inside = prefixed(a, "a_").join(prefixed(drawings, "d_"), "page_no").where("d_x0 >= a_x0 and d_x0 <= a_x1 and d_y0 >= a_y0 and d_y0 <= a_y1")
-    counts = inside.groupBy("page_no", "a_id").agg(F.count(F.lit(1)).alias("n_drawings"))
-    rows = pairs.join(prefixed(a, "a_"), ["page_no", "a_id"]).join(images.select("page_no", F.col("img_no").alias("b_id"), *[F.col(c).alias(f"b_{c}") for c in BOX], "score", "grey_var"), ["page_no", "b_id"]).join(counts, ["page_no", "a_id"], "left")
+    inside = prefixed(a, "a_").join(prefixed(drawings, "d_"), PAGE).where("d_x0 >= a_x0 and d_x0 <= a_x1 and d_y0 >= a_y0 and d_y0 <= a_y1")
+    counts = inside.groupBy(*PAGE, "a_id").agg(F.count(F.lit(1)).alias("n_drawings"))
+    rows = pairs.join(prefixed(a, "a_"), [*PAGE, "a_id"]).join(images.select(*PAGE, F.col("img_no").alias("b_id"), *[F.col(c).alias(f"b_{c}") for c in BOX], "score", "grey_var"), [*PAGE, "b_id"]).join(counts, [*PAGE, "a_id"], "left")
     first, second = G.area("a_"), G.area("b_")
     mine = F.lit(3) + F.when(first > 1.2 * second, 2).otherwise(0) + F.when(F.coalesce("n_drawings", F.lit(0)) > 10, 2).otherwise(0)
     other = F.when((first <= 1.2 * second) & (second > 1.2 * first), 1).otherwise(0) + F.when(F.col("grey_var") > 1000, 2).otherwise(0) + F.when(F.col("score") > 0.7, 1).otherwise(0)
-    return rows.select("page_no", "a_id", "b_id", mine.alias("caption_score"), other.alias("embedded_score"), F.when(mine > other, "keep_caption").otherwise("keep_embedded").alias("decision"))
+    return rows.select(*PAGE, "a_id", "b_id", mine.alias("caption_score"), other.alias("embedded_score"), F.when(mine > other, "keep_caption").otherwise("keep_embedded").alias("decision"))

@@ -2,28 +2,47 @@
 
 Every score but the legacy profile's comes from equi-joins on terms: a pair without
 a shared term can't pass the threshold (exact, fuzzy and context give 45 of 100 at
-most), so no segment meets a concept that it shares no term with.
+most), so no segment meets a concept that it shares no term with. The taxonomy's
+side of a join is broadcast while it has ``BROADCAST_ROWS`` rows at most, so frequent
+terms are not dealt to one task; beyond that the join is a shuffle that AQE splits.
 """
 
 from __future__ import annotations
 
+import ahocorasick
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from glyphgrid.functions import text as T
+from glyphgrid.operators import similarity
 
-#: Weights of a segment's channels, and of the five signals in percent.
+#: Weights of a segment's channels, and of the five signals in percent, in order of precedence.
 CHANNELS = {"caption": 1.0, "summary": 0.9, "ocr": 0.7, "nearby": 0.5}
 SIGNALS = {"exact": 30.0, "cosine": 30.0, "overlap": 25.0, "fuzzy": 10.0, "context": 5.0}
+BROADCAST_ROWS = 1_000_000
 
 
-def concepts(taxonomy: DataFrame, hyphen_parts: bool = True) -> DataFrame:
-    """One row a concept: id, normalised name, primary and normalised terms; null or empty names are left out."""
+def small(side: DataFrame) -> DataFrame:
+    """A side of a join with a broadcast hint where its rows are few."""
+    return F.broadcast(side) if side.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else side
+
+
+def concepts(taxonomy: DataFrame, parsed: bool = True) -> DataFrame:
+    """One row a concept: id, name, main part, acronyms, aliases, terms and phrases; null or empty names are left out.
+
+    Without ``parsed`` (the legacy profile) names are taken whole and hyphens don't split terms.
+    """
     named = taxonomy.where("concept is not null and concept <> ''")
-    primary = T.terms(F.col("concept"), hyphen_parts)
-    tags = T.terms(F.col("tags"), hyphen_parts)
-    rows = named.select("idx", "level", "concept", T.concept_id(F.col("concept"), F.col("idx")).alias("concept_id"), F.lower("concept").alias("name"), primary.alias("primary"), tags.alias("context"))
-    return rows.withColumn("normalized", F.array_union("primary", "context"))
+    name = F.col("concept")
+    none = F.array().cast("array<string>")
+    parts = T.concept_parts(name) if parsed else {"main": name, "acronyms": none, "aliases": none}
+    rows = named.select("idx", "level", "concept", T.concept_id(name, F.col("idx")).alias("concept_id"), F.lower("concept").alias("name"), T.terms(F.col("tags"), parsed).alias("context"), *[v.alias(k) for k, v in parts.items()])
+    rows = rows.withColumn("primary", T.terms(F.col("main"), parsed))
+    others = F.array_union("acronyms", F.flatten(F.transform("aliases", lambda a: T.terms(a, parsed))))
+    phrases = F.transform(F.concat(F.array("concept", "main"), "aliases", "acronyms"), T.normalized)
+    rows = rows.withColumn("normalized", F.array_union(F.array_union("primary", others), "context"))
+    return rows.withColumn("phrases", F.array_sort(F.array_distinct(F.filter(phrases, lambda p: p != ""))))
 
 
 def concept_terms(index: DataFrame) -> DataFrame:
@@ -45,14 +64,16 @@ def term_idf(index: DataFrame) -> DataFrame:
     return document_frequency(concept_terms(index)).join(F.broadcast(total)).select("term", "df", idf(F.col("df"), F.col("n")).alias("idf"))
 
 
-def segment_terms(segments: DataFrame, channels: tuple[str, ...] = ("caption", "summary", "ocr"), hyphen_parts: bool = True) -> DataFrame:
-    """(segment_id, term, weight): weights of the channels that hold a term; ``nearby`` is filled after linking."""
+def segment_terms(segments: DataFrame, channels: tuple[str, ...] = tuple(CHANNELS), hyphen_parts: bool = True) -> DataFrame:
+    """(segment_id, term, weight): weights of the channels that hold a term."""
 
     def weighted(channel: str) -> Column:
         return F.transform(T.terms(F.col(channel), hyphen_parts), lambda t: F.struct(t.alias("term"), F.lit(CHANNELS[channel]).alias("weight")))
 
     found = F.flatten(F.array(*map(weighted, channels)))
-    return segments.select("segment_id", F.explode(found).alias("t")).groupBy("segment_id", F.col("t.term").alias("term")).agg(F.sum("t.weight").alias("weight"))
+    # dealt by segment alone, which serves the sums, the windows and the pairs of a segment alike
+    terms = segments.select("segment_id", F.explode(found).alias("t")).repartition("segment_id")
+    return terms.groupBy("segment_id", F.col("t.term").alias("term")).agg(F.sum("t.weight").alias("weight"))
 
 
 def search_vectors(segments: DataFrame, index: DataFrame, **options) -> DataFrame:
@@ -61,38 +82,41 @@ def search_vectors(segments: DataFrame, index: DataFrame, **options) -> DataFram
     terms = segment_terms(segments, **options)
     share = F.col("weight") / F.sum("weight").over(Window.partitionBy("segment_id"))
     known = document_frequency(concept_terms(index))
-    return terms.withColumn("share", share).join(known, "term", "left").join(F.broadcast(total)).select("segment_id", "term", (F.col("share") * idf(F.col("df"), F.col("n"))).alias("value"))
+    return terms.withColumn("share", share).join(small(known), "term", "left").join(F.broadcast(total)).select("segment_id", "term", (F.col("share") * idf(F.col("df"), F.col("n"))).alias("value"))
 
 
 def concept_vectors(index: DataFrame) -> DataFrame:
     """(idx, term, value): 2 for primary and 1 for context terms, as shares, times idf."""
     weight = F.when(F.col("is_primary"), 2.0).otherwise(0.0) + F.when(F.col("is_context"), 1.0).otherwise(0.0)
-    terms = concept_terms(index).withColumn("weight", weight)
+    terms = concept_terms(index).withColumn("weight", weight).where("weight > 0")
     share = F.col("weight") / F.sum("weight").over(Window.partitionBy("idx"))
     return terms.withColumn("share", share).join(term_idf(index), "term").select("idx", "term", (F.col("share") * F.col("idf")).alias("value"))
 
 
-def cosine(segments: DataFrame, index: DataFrame, **options) -> DataFrame:
-    """(segment_id, idx, cosine) of pairs with a shared term."""
-    left, right = search_vectors(segments, index, **options), concept_vectors(index)
-    left = left.withColumn("norm", F.sqrt(F.sum(F.col("value") * F.col("value")).over(Window.partitionBy("segment_id"))))
-    right = right.withColumn("norm", F.sqrt(F.sum(F.col("value") * F.col("value")).over(Window.partitionBy("idx"))))
-    pairs = left.alias("s").join(right.alias("c"), "term")
-    dot = pairs.groupBy("segment_id", "idx").agg(F.sum(F.col("s.value") * F.col("c.value")).alias("dot"), F.first("s.norm").alias("ns"), F.first("c.norm").alias("nc"))
-    return dot.select("segment_id", "idx", F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("dot") / (F.col("ns") * F.col("nc")))).alias("cosine"))
-
+def term_signals(segments: DataFrame, index: DataFrame, **options) -> DataFrame:
+    """(segment_id, idx, cosine, overlap) of pairs with a shared term, from one join on terms.
 
-def overlap(segments: DataFrame, index: DataFrame, **options) -> DataFrame:
-    """(segment_id, idx, overlap): idf of primary hits, and half that of others, against all primary terms."""
-    terms = concept_terms(index).join(term_idf(index), "term")
-    terms = terms.withColumn("all", F.sum(F.when(F.col("is_primary"), F.col("idf")).otherwise(0.0)).over(Window.partitionBy("idx")))
-    hits = segment_terms(segments, **options).join(terms, "term")
+    Cosine: of the two vectors, 0 to 1. Overlap: idf of primary hits, and half that
+    of others, against all primary terms.
+    """
+    left = search_vectors(segments, index, **options)
+    left = left.withColumn("norm", F.sqrt(F.sum(F.col("value") * F.col("value")).over(Window.partitionBy("segment_id"))))
+    vectors = concept_vectors(index).withColumnRenamed("value", "c_value")
+    by_concept = Window.partitionBy("idx")
+    right = concept_terms(index).join(term_idf(index), "term").join(vectors, ["idx", "term"], "left").na.fill(0.0, ["c_value"])
+    right = right.withColumn("c_norm", F.sqrt(F.sum(F.col("c_value") * F.col("c_value")).over(by_concept))).withColumn("all", F.sum(F.when(F.col("is_primary"), F.col("idf")).otherwise(0.0)).over(by_concept))
+    right = right.select("term", "idx", "is_primary", "idf", "c_value", "c_norm", "all")
+    pairs = left.join(small(right), "term").groupBy("segment_id", "idx")
     got = F.sum(F.when(F.col("is_primary"), F.col("idf")).otherwise(0.5 * F.col("idf")))
-    return hits.groupBy("segment_id", "idx").agg(got.alias("got"), F.first("all").alias("all")).select("segment_id", "idx", F.when(F.col("all") > 0, F.least(F.lit(1.0), F.col("got") / F.col("all"))).otherwise(0.0).alias("overlap"))
+    sums = pairs.agg(F.sum(F.col("value") * F.col("c_value")).alias("dot"), F.max("norm").alias("ns"), F.max("c_norm").alias("nc"), got.alias("got"), F.max("all").alias("all"))
+    cosine = F.when(F.col("ns") * F.col("nc") > 0, F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("dot") / (F.col("ns") * F.col("nc"))))).otherwise(0.0)
+    overlap = F.when(F.col("all") > 0, F.least(F.lit(1.0), F.col("got") / F.col("all"))).otherwise(0.0)
+    return sums.select("segment_id", "idx", cosine.alias("cosine"), overlap.alias("overlap"))
 
 
-def search_text(channels: tuple[str, ...] = ("caption", "summary", "ocr")) -> Column:
-    return F.lower(F.concat_ws(" ", *[F.nullif(F.col(c), F.lit("")) for c in channels]))
+def search_text(channels: tuple[str, ...] = tuple(CHANNELS)) -> Column:
+    """The channels' texts that aren't empty, joined."""
+    return F.concat_ws(" ", *[F.nullif(F.col(c), F.lit("")) for c in channels])
 
 
 def whole_phrase(haystack: Column, needle: Column) -> Column:
@@ -108,6 +132,11 @@ def exact_score(text: Column, name: Column) -> Column:
     return F.when(found, F.when(shaped, 1.0).otherwise(0.7)).otherwise(0.0)
 
 
+def best_phrase(text: Column, phrases: Column) -> Column:
+    """Best exact score of a concept's phrases in a normalised text."""
+    return F.coalesce(F.array_max(F.transform(phrases, lambda p: exact_score(text, p))), F.lit(0.0))
+
+
 def context_score(name: Column, caption: Column, summary: Column, nearby: Column | None = None) -> Column:
     total = F.when(F.contains(F.lower(caption), name), 0.5).otherwise(0.0) + F.when(F.contains(F.lower(summary), name), 0.3).otherwise(0.0)
     if nearby is not None:
@@ -123,47 +152,91 @@ def generic_terms(index: DataFrame) -> DataFrame:
     return per.where("primary > 0").join(F.broadcast(total)).select("term", "df", "in_multi", ((F.col("in_multi") >= 1) & (F.col("df") >= 2) | (F.col("df") >= 3) & (F.col("df") / F.col("n") >= 0.08)).alias("generic"))
 
 
-def scores(segments: DataFrame, index: DataFrame, fuzzy: DataFrame | None = None, gate: bool = True) -> DataFrame:
-    """(segment_id, idx, signals, score) of all pairs with a shared term."""
-    pairs = cosine(segments, index).join(overlap(segments, index), ["segment_id", "idx"])
-    texts = segments.select("segment_id", search_text().alias("text"), "caption", "summary")
-    rows = pairs.join(texts, "segment_id").join(index.select("idx", "level", "concept", "concept_id", "name", "primary"), "idx")
-    rows = rows.withColumn("exact", exact_score(F.col("text"), F.col("name"))).withColumn("context_score", context_score(F.col("name"), F.col("caption"), F.col("summary")))
-    if fuzzy is None:
-        rows = rows.withColumn("fuzzy", F.lit(0.0))
+def gated(only: Column, caption: Column, text: Column, phrases: Column) -> Column:
+    """Whether a generic single-term concept is shut out: unless it opens a short caption, or another name of it is in the text."""
+    title = T.normalized(F.coalesce(caption, F.lit("")))
+    after = F.substr(title, F.length(only) + 1, F.lit(1))
+    opens = (title != "") & (F.length(title) <= 80) & F.startswith(title, only) & ~after.rlike(r"^[\p{L}\p{N}_]")
+    named = F.exists(phrases, lambda p: (p != only) & F.contains(text, F.regexp_extract(p, "^[^-]*", 0)) & whole_phrase(text, p))
+    return ~opens & ~named
+
+
+def scores(segments: DataFrame, index: DataFrame, fuzzy: bool = True, gate: bool = True, least: float | None = None) -> DataFrame:
+    """(segment_id, idx, signals, score) of all pairs with a shared term; with ``least``, of those that can pass it."""
+    pairs = term_signals(segments, index)
+    if least is not None:  # texts are fetched for pairs only that the other signals could lift over the threshold
+        pairs = pairs.where(30 * F.col("cosine") + 25 * F.col("overlap") + 45 > 100 * least - 1e-3)
+    kept = ["idx", "level", "concept", "concept_id", "name", "primary", "phrases"]
+    texts = segments.select("segment_id", T.normalized(search_text()).alias("text"), "caption", "summary", "nearby")
+    rows = pairs.join(small(index.select(*kept)), "idx").join(texts, "segment_id")
+    rows = rows.withColumn("exact", best_phrase(F.col("text"), F.col("phrases"))).withColumn("context", context_score(F.col("name"), F.col("caption"), F.col("summary"), F.col("nearby")))
+    generic = generic_terms(index)
+    if fuzzy:
+        near = similarity.fuzzy_scores(similarity.tokens(segments, T.normalized(search_text())), index, generic)
+        rows = rows.join(near, ["segment_id", "idx"], "left").withColumn("fuzzy", F.coalesce("fuzzy", F.lit(0.0)))
     else:
-        rows = rows.join(fuzzy, ["segment_id", "idx"], "left").withColumn("fuzzy", F.coalesce("fuzzy", F.lit(0.0)))
-    score = sum((F.lit(w) * F.col(c) for c, w in (("exact", 30.0), ("cosine", 30.0), ("overlap", 25.0), ("fuzzy", 10.0), ("context_score", 5.0))), F.lit(0.0)) / 100
-    rows = rows.withColumn("score", F.least(F.lit(1.0), score))
+        rows = rows.withColumn("fuzzy", F.lit(0.0))
+    rows = rows.withColumn("score", F.least(F.lit(1.0), weighed()))
     if gate:
-        single = rows.withColumn("only", F.when(F.size("primary") == 1, F.col("primary")[0]))
-        known = generic_terms(index).where("generic").select(F.col("term").alias("only"), F.lit(True).alias("generic"))
-        opens = (F.length("caption") <= 80) & F.startswith(F.lower(F.trim("caption")), F.col("name"))
-        rows = single.join(known, "only", "left").withColumn("score", F.when(F.coalesce("generic", F.lit(False)) & ~F.coalesce(opens, F.lit(False)), 0.0).otherwise(F.col("score")))
+        known = generic.where("generic").select(F.col("term").alias("only"), F.lit(True).alias("generic"))
+        rows = rows.withColumn("only", F.when(F.size("primary") == 1, F.col("primary")[0])).join(small(known), "only", "left")
+        shut = F.col("generic").isNotNull() & gated(F.col("only"), F.col("caption"), F.col("text"), F.col("phrases"))
+        rows = rows.withColumn("score", F.when(shut, 0.0).otherwise(F.col("score")))
     return rows
 
 
+def weighed() -> Column:
+    return sum((F.lit(w) * F.col(c) for c, w in SIGNALS.items()), F.lit(0.0)) / 100
+
+
 def ranked_links(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Links above the threshold, one for each name (lowest level, then best), ranked by score."""
     over = scored.where(F.round("score", 6) > threshold)
     best = Window.partitionBy("segment_id", "concept").orderBy(F.col("level").asc_nulls_last(), F.desc("score"), "idx")
     kept = over.withColumn("place", F.row_number().over(best)).where("place = 1")
     order = Window.partitionBy("segment_id").orderBy(F.desc(F.round("score", 6)), "idx")
-    signals = {n: F.col(c) * w for n, c, w in (("exact", "exact", 30.0), ("cosine", "cosine", 30.0), ("overlap", "overlap", 25.0), ("fuzzy", "fuzzy", 10.0), ("context", "context_score", 5.0))}
+    signals = {n: F.col(n) * w for n, w in SIGNALS.items()}
     top = F.round(F.greatest(*signals.values()), 6)
     method = F.coalesce(*[F.when(F.round(v, 6) == top, n) for n, v in signals.items()])
     return kept.select("segment_id", "idx", "concept_id", "concept", "level", "score", method.alias("match_method"), F.row_number().over(order).alias("rank"))
 
 
-def legacy_scores(segments: DataFrame, index: DataFrame) -> DataFrame:
-    """Scores of the earlier profile: plain substrings, no gate; every pair counts, so the taxonomy side is taken whole.
+def names_in(texts: DataFrame, names: DataFrame) -> DataFrame:
+    """(segment_id, idx) of names (idx, name) that occur anywhere in a text (segment_id, text).
 
-    The taxonomy is broadcast only below Spark's own size limit; beyond it Spark plans the product by blocks.
+    One pass of an automaton over all names, while they are ``BROADCAST_ROWS`` at most; beyond that a join on substrings.
     """
-    texts = segments.select("segment_id", search_text().alias("text"), "caption", "summary")
-    named = texts.join(index.select("idx", "concept", "level", "concept_id", "name"), F.contains("text", F.col("name")))
-    exact = named.select("segment_id", "idx", F.lit(1.0).alias("exact"))
-    signals = cosine(segments, index, hyphen_parts=False).join(overlap(segments, index, hyphen_parts=False), ["segment_id", "idx"], "full").join(exact, ["segment_id", "idx"], "full").na.fill(0.0, ["cosine", "overlap", "exact"])
-    rows = signals.join(texts, "segment_id").join(index.select("idx", "concept", "level", "concept_id", "name"), "idx")
-    rows = rows.withColumn("context_score", context_score(F.col("name"), F.col("caption"), F.col("summary"))).withColumn("fuzzy", F.lit(0.0))
-    return rows.withColumn("score", F.least(F.lit(1.0), (30 * F.col("exact") + 30 * F.col("cosine") + 25 * F.col("overlap") + 5 * F.col("context_score")) / 100))
+    held = names.where("name <> ''")
+    if held.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
+        return texts.join(held, F.contains("text", F.col("name"))).select("segment_id", "idx")
+    kinds = {"segment_id": texts.schema["segment_id"].dataType.simpleString(), "idx": names.schema["idx"].dataType.simpleString()}
+    listed = texts.sparkSession.sparkContext.broadcast([(r.idx, r.name) for r in held.select("idx", "name").collect()])
+
+    def found(batches):
+        automaton = ahocorasick.Automaton()
+        by_name: dict[str, list] = {}
+        for idx, name in listed.value:
+            by_name.setdefault(name, []).append(idx)
+        for name, ids in by_name.items():
+            automaton.add_word(name, ids)
+        if by_name:
+            automaton.make_automaton()
+        for batch in batches:
+            hits = [(s, i) for s, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if t and by_name for i in {i for _, ids in automaton.iter(t) for i in ids}]
+            columns = list(zip(*hits, strict=True)) if hits else [(), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], batch.schema.types[0]), pa.array(columns[1], types[kinds["idx"]])], ["segment_id", "idx"])
+
+    types = {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string()}
+    return texts.select("segment_id", "text").mapInArrow(found, f"segment_id {kinds['segment_id']}, idx {kinds['idx']}")
+
+
+def legacy_scores(segments: DataFrame, index: DataFrame, least: float = 0.3) -> DataFrame:
+    """Pairs of the earlier profile over ``least``: plain substrings, n-gram similarity, no gate."""
+    texts = segments.select("segment_id", F.lower(search_text()).alias("text"), "caption", "summary", "nearby")
+    exact = names_in(texts, index).withColumn("exact", F.lit(1.0))
+    signals = term_signals(segments, index, hyphen_parts=False).join(exact, ["segment_id", "idx"], "full").na.fill(0.0, ["cosine", "overlap", "exact"])
+    # similarity (10) and context (5) alone can't pass, so a pair has a term or its name in the text
+    signals = signals.where(30 * F.col("exact") + 30 * F.col("cosine") + 25 * F.col("overlap") + 15 > 100 * least - 1e-3)
+    rows = signals.join(small(index.select("idx", "concept", "level", "concept_id", "name")), "idx").join(texts, "segment_id")
+    rows = rows.withColumn("context", context_score(F.col("name"), F.col("caption"), F.col("summary"), F.col("nearby"))).withColumn("fuzzy", similarity.phrase_ratio("text", "name"))
+    return rows.withColumn("score", F.least(F.lit(1.0), weighed())).where(F.round("score", 6) > least)

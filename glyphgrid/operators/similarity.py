@@ -2,44 +2,85 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from difflib import SequenceMatcher
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from glyphgrid.functions import text as T
 
-LEAST = 0.88
+LEAST, LEAST_PHRASE = 0.88, 0.8
+#: Fixed value: a token of the fuzzy signal.
+TOKEN = "[a-z0-9]+(?:-[a-z0-9]+)?"
 
 
 @F.pandas_udf(DoubleType())
 def block_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     """Twice the matched characters over both lengths; the order of the arguments counts."""
-    return pd.Series([SequenceMatcher(None, a, b).ratio() for a, b in zip(left, right, strict=True)])
+    return pd.Series([SequenceMatcher(None, a, b).ratio() for a, b in zip(left, right, strict=True)], dtype="float64")
+
+
+@F.pandas_udf(DoubleType())
+def phrase_ratio(text: pd.Series, name: pd.Series) -> pd.Series:
+    """Best ratio of a name and the text's runs of as many words, 0 below LEAST_PHRASE."""
+
+    def best(words: list[str], phrase: str) -> float:
+        n, size, found = len(phrase.split()), len(phrase), 0.0
+        letters = Counter(phrase).items()
+        for run in dict.fromkeys(" ".join(words[i : i + n]) for i in range(len(words) - n + 1)):
+            if run == phrase:
+                return 1.0
+            least = max(found, LEAST_PHRASE) * (size + len(run)) / 2 - 1e-9
+            # the letters in common bound the matched characters
+            if min(size, len(run)) >= least and sum(min(c, run.count(x)) for x, c in letters) >= least:
+                found = max(found, SequenceMatcher(None, phrase, run).ratio())
+        return found if found >= LEAST_PHRASE else 0.0
+
+    return pd.Series([best(t.lower().split(), n.lower().strip()) for t, n in zip(text.fillna(""), name, strict=True)], dtype="float64")
 
 
 def similar_terms(left: DataFrame, right: DataFrame, least: float = LEAST) -> DataFrame:
     """(a, b, ratio) of distinct terms a and tokens b with ratio >= ``least``.
 
-    A ratio of r needs lengths within r / (2 - r) of each other, and two strings of
-    ratio 0.88 share one of the halves of the shorter unless each half has an edit;
-    so pairs join by length, and a bound on shared letters runs before the function.
+    A ratio of r needs lengths within r / (2 - r) of each other, and leaves at most
+    (1 - r) of both lengths unmatched, so the letters of a that b lacks are no more;
+    pairs join by length, and both bounds run before the function.
     """
     bound = least / (2 - least)
-    a = left.select("a").distinct().withColumn("la", F.length("a")).withColumn("n", F.explode(F.sequence(F.ceil(F.col("la") * bound).cast("int"), F.floor(F.col("la") / bound).cast("int"))))
+    low, high = F.ceil(F.col("la") * bound - 1e-9), F.floor(F.col("la") / bound + 1e-9)
+    a = left.select("a").where("a <> ''").distinct().withColumn("la", F.length("a")).withColumn("n", F.explode(F.sequence(low.cast("int"), high.cast("int"))))
     b = right.select("b").distinct().withColumn("n", F.length("b"))
     letters = lambda c: F.array_distinct(F.split(c, ""))
-    pairs = a.join(b, "n").where(F.size(F.array_intersect(letters(F.col("a")), letters(F.col("b")))) >= F.size(letters(F.col("a"))) - F.ceil((1 - least) * (F.col("la") + F.col("n"))))
-    return pairs.select("a", "b", block_ratio("a", "b").alias("ratio")).where(F.col("ratio") >= least)
+    lacking = F.size(F.array_except(letters(F.col("a")), letters(F.col("b"))))
+    pairs = a.join(b, "n").where(lacking <= F.lit(1 - least) * (F.col("la") + F.col("n")) + F.lit(1e-9)).select("a", "b")
+    same = pairs.where("a = b").select("a", "b", F.lit(1.0).alias("ratio"))
+    return same.union(pairs.where("a <> b").select("a", "b", block_ratio("a", "b").alias("ratio")).where(F.col("ratio") >= least - 1e-12))
+
 
+def tokens(segments: DataFrame, text: Column) -> DataFrame:
+    """(segment_id, w): distinct tokens of a normalised text."""
+    return segments.select("segment_id", F.explode(F.array_distinct(F.regexp_extract_all(text, F.lit(f"({TOKEN})"), 1))).alias("w"))
 
-def fuzzy_scores(segments: DataFrame, index: DataFrame, text_terms: DataFrame) -> DataFrame:
-    """(segment_id, idx, fuzzy): 0.9 if two primary terms of several are met by similar tokens, 0.82 for a single one."""
-    primary = index.select("idx", F.size("primary").alias("size"), F.explode("primary").alias("term"))
-    pairs = similar_terms(primary.select(F.regexp_replace("term", "-", "").alias("a")), text_terms.select(F.regexp_replace("term", "-", "").alias("b")))
-    hits = text_terms.select("segment_id", F.regexp_replace("term", "-", "").alias("b")).join(pairs, "b").join(primary.withColumn("a", F.regexp_replace("term", "-", "")), "a")
-    met = hits.groupBy("segment_id", "idx", "size").agg(F.count_distinct("term").alias("met"))
-    return met.select("segment_id", "idx", F.when((F.col("size") >= 2) & (F.col("met") >= 2), 0.9).when((F.col("size") == 1) & (F.col("met") == 1), 0.82).otherwise(0.0).alias("fuzzy")).where("fuzzy >= 0.8")
 
+def fuzzy_scores(found: DataFrame, index: DataFrame, generic: DataFrame) -> DataFrame:
+    """(segment_id, idx, fuzzy) of pairs over 0.8, from ``found`` (segment_id, w).
 
+    An acronym's best similar token gives its ratio, two primary terms of several
+    that are met by similar tokens 0.9, a single one 0.82; a single generic term none.
+    """
+    bare = lambda c: F.replace(F.col(c), F.lit("-"), F.lit(""))
+    vocabulary = found.select("w").distinct()
+    primary = index.select("idx", F.size("primary").alias("size"), F.explode("primary").alias("term")).withColumn("a", F.replace(T.normalized(F.col("term")), F.lit("-"), F.lit("")))
+    near = similar_terms(primary.select("a"), vocabulary.select(bare("w").alias("b"))).select("a", "b")
+    met = found.select("segment_id", bare("w").alias("b")).join(near, "b").select("segment_id", "a").distinct().join(primary, "a")
+    hits = met.groupBy("segment_id", "idx").agg(F.max("size").alias("size"), F.count_distinct("term").alias("met"))
+    terms = hits.select("segment_id", "idx", F.when((F.col("size") >= 2) & (F.col("met") >= 2), 0.9).when((F.col("size") == 1) & (F.col("met") == 1), 0.82).alias("fuzzy")).where("fuzzy is not null")
+    acronyms = index.select("idx", F.explode("acronyms").alias("a"))
+    close = similar_terms(acronyms, vocabulary.select(F.col("w").alias("b")))
+    short = found.withColumnRenamed("w", "b").join(close, "b").join(acronyms, "a").groupBy("segment_id", "idx").agg(F.max("ratio").alias("fuzzy"))
+    best = terms.union(short).groupBy("segment_id", "idx").agg(F.max("fuzzy").alias("fuzzy"))
+    barred = index.where(F.size("primary") == 1).select("idx", F.col("primary")[0].alias("term")).join(generic.where("generic").select("term"), "term").select("idx")
+    return best.join(barred, "idx", "left_anti").select("segment_id", "idx", "fuzzy")

@@ -29,8 +29,8 @@ def six(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: F.round(n, 6) for n in names})
 
 
-def index_of(spark: SparkSession, sf_dir: str, hyphen_parts: bool = True) -> DataFrame:
-    return linking.concepts(X.taxonomy(spark, sf_dir).unionByName(X.gate_taxonomy(spark, sf_dir)), hyphen_parts)
+def index_of(spark: SparkSession, sf_dir: str, parsed: bool = True) -> DataFrame:
+    return linking.concepts(X.taxonomy(spark, sf_dir).unionByName(X.gate_taxonomy(spark, sf_dir)), parsed)
 
 
 _STOP = "[" + ", ".join(f"'{w}'" for w in T.STOP_WORDS) + "]"
@@ -43,35 +43,85 @@ def sql_terms(column: str, hyphen_parts: bool = True) -> str:
     return f"list_distinct(list_filter({words}, lambda x: length(x) >= 3 and not list_contains({_STOP}, x)))"
 
 
-def sql_link(hyphen_parts: bool = True) -> str:
-    """CTEs up to all signals of pairs with a shared term."""
-    return f"""{X.ctes("fx_segments", "fx_taxonomy")},
-idx0 as (select idx, level, concept, lower(concept) as name, {sql_terms("concept", hyphen_parts)} as prim, {sql_terms("tags", hyphen_parts)} as ctx from fx_taxonomy where concept <> ''),
-ct as (select idx, term, list_contains(prim, term) as p, list_contains(ctx, term) as c from (select idx, prim, ctx, unnest(list_distinct(list_concat(prim, ctx))) as term from idx0)),
+def sql_norm(column: str) -> str:
+    return rf"regexp_replace(trim(regexp_replace(lower({column}), '[–—]', '-', 'g')), '\s+', ' ', 'g')"
+
+
+def sql_list(values: list[str]) -> str:
+    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
+
+
+#: Longest block of two strings, the first in each where several are as long: [length, -place, -place].
+_BLOCK = """list_max(flatten(list_transform(range(1, length(sa) + 1), lambda i: list_transform(list_filter(range(1, length(sa) - i + 2), lambda k: contains(sb, substring(sa, i, k))), lambda k: [k, -i, -instr(sb, substring(sa, i, k))])))) as blk"""
+
+
+def sql_similar(least: float) -> str:
+    """CTE ``sims`` (a, b, ratio): ratios by matching blocks of the pairs in ``cand`` that lengths and letters let through."""
+    times = "length({0}) - length(replace({0}, x, ''))".format
+    return f"""close as (select a, b from cand where a <> '' and length(b) >= length(a) * {least / (2 - least)} - 1e-9 and length(b) <= length(a) / {least / (2 - least)} + 1e-9
+ and 2 * list_sum(list_transform(list_distinct(string_split(a, '')), lambda x: least({times("a")}, {times("b")}))) >= {least} * (length(a) + length(b)) - 1e-9),
+mb as (select a, b, a as sa, b as sb from close where a <> b union all
+ select a, b, case side when 0 then substring(sa, 1, -blk[2] - 1) else substring(sa, blk[1] - blk[2]) end, case side when 0 then substring(sb, 1, -blk[3] - 1) else substring(sb, blk[1] - blk[3]) end
+ from (select *, {_BLOCK} from mb where sa <> '' and sb <> '') cross join (values (0), (1)) as s(side) where blk is not null),
+sims as (select a, b, 2.0 * sum(coalesce(blk[1], 0)) / (length(a) + length(b)) as ratio from (select *, {_BLOCK} from mb) group by a, b having 2.0 * sum(coalesce(blk[1], 0)) / (length(a) + length(b)) >= {least} - 1e-12 union all select a, b, 1.0 from close where a = b)"""
+
+
+PARTS = rf"""p0 as (select *, list_filter(list_transform(regexp_extract_all(trim(concept), '\(([^)]+)\)', 1), lambda x: trim(x)), lambda x: x <> '') as inside, trim(regexp_replace(trim(concept), '\s*\([^)]*\)\s*', ' ', 'g')) as main from fx_taxonomy where concept <> ''),
+p1 as (select *, inside || list_filter([main], lambda x: x <> '') as names from p0),
+p2 as (select *, names || list_transform(names, lambda x: replace(x, '-', ' ')) || list_transform(names, lambda x: regexp_replace(x, '\s+', ' ', 'g')) as al from p1),
+p3 as (select *, lower(main || ' ' || array_to_string(al, ' ')) as low from p2),
+parts as (select *, list_sort(list_distinct(list_transform(list_filter(names, lambda x: regexp_matches(x, '^[A-Za-z][A-Za-z0-9\-]{{1,15}}s?$')) || case when contains(low, 't-bill') then {sql_list(T.BILL_ACRONYMS)} else [] end || case when contains(low, 'libor') then ['libor'] else [] end, lambda x: {sql_norm("x")}))) as acronyms,
+ list_sort(list_distinct(al || case when contains(low, 't-bill') then {sql_list(T.BILL_ALIASES)} else [] end || case when contains(low, 'libor') then {sql_list(T.LIBOR_ALIASES)} else [] end)) as aliases from p3)"""
+_WORD = r"[^\p{L}\p{N}_]"
+_HELD = rf"contains(text, regexp_extract(p, '^[^-]*', 0)) and regexp_matches(text, '(^|{_WORD})' || regexp_replace(regexp_replace(p, '([\\.\[\]{{}}()*+?^$|])', '\\\1', 'g'), '-', '[-\\s]', 'g') || '($|{_WORD})')"
+
+
+def sql_link(parsed: bool = True) -> str:
+    """CTEs up to the term signals of pairs with a shared term; the index of whole names if not ``parsed``."""
+    if parsed:
+        index = f"""{PARTS},
+idx1 as (select *, {sql_terms("main")} as prim, {sql_terms("tags")} as ctx, acronyms || flatten(list_transform(aliases, lambda y: {sql_terms("y")})) as others from parts),
+idx0 as (select idx, level, concept, lower(concept) as name, acronyms, prim, ctx, list_distinct(prim || others || ctx) as norms, list_distinct(list_filter(list_transform([concept, main] || aliases || acronyms, lambda x: {sql_norm("x")}), lambda x: x <> '')) as phrases from idx1)"""
+        text = sql_norm("concat_ws(' ', nullif(caption, ''), nullif(summary, ''), nullif(ocr, ''), nullif(nearby, ''))")
+    else:
+        index = f"""idx1 as (select idx, level, concept, lower(concept) as name, {sql_terms("concept", False)} as prim, {sql_terms("tags", False)} as ctx from fx_taxonomy where concept <> ''), idx0 as (select *, list_distinct(prim || ctx) as norms from idx1)"""
+        text = "lower(concat_ws(' ', nullif(caption, ''), nullif(summary, ''), nullif(ocr, ''), nullif(nearby, '')))"
+    channels = " union all ".join(f"select segment_id, unnest({sql_terms(c, parsed)}) as term, {w}::double as w from fx_segments" for c, w in linking.CHANNELS.items())
+    return f"""{X.ctes("fx_segments", "fx_taxonomy").replace("with ", "with recursive ", 1)},
+{index},
+ct as (select idx, term, list_contains(prim, term) as p, list_contains(ctx, term) as c, len(prim) as size from (select idx, prim, ctx, unnest(norms) as term from idx0)),
 n as (select count(*) as n from idx0),
 df as (select term, count(*) as df from ct group by term),
 idf as (select term, df, ln((n + 1) / (df + 1)) + 1 as idf from df, n),
-st as (select segment_id, term, sum(w) as weight from (select segment_id, unnest({sql_terms("caption", hyphen_parts)}) as term, 1.0::double as w from fx_segments
- union all select segment_id, unnest({sql_terms("summary", hyphen_parts)}), 0.9::double from fx_segments union all select segment_id, unnest({sql_terms("ocr", hyphen_parts)}), 0.7::double from fx_segments) group by all),
+st as (select segment_id, term, sum(w) as weight from ({channels}) group by all),
 sv as (select segment_id, term, weight / sum(weight) over (partition by segment_id) * (ln((n + 1) / (coalesce(df, 1) + 1)) + 1) as value from st left join df using (term), n),
-cv as (select idx, term, w / sum(w) over (partition by idx) * idf as value from (select idx, term, (case when p then 2.0 else 0.0 end + case when c then 1.0 else 0.0 end)::double as w from ct) join idf using (term)),
+cv as (select idx, term, w / sum(w) over (partition by idx) * idf as value from (select idx, term, (case when p then 2.0 else 0.0 end + case when c then 1.0 else 0.0 end)::double as w from ct where p or c) join idf using (term)),
 sn as (select *, sqrt(sum(value * value) over (partition by segment_id)) as norm from sv),
 cn as (select *, sqrt(sum(value * value) over (partition by idx)) as norm from cv),
 cosine as (select segment_id, idx, least(1.0, greatest(0.0, sum(sn.value * cn.value) / (any_value(sn.norm) * any_value(cn.norm)))) as cosine from sn join cn using (term) group by all),
 pt as (select ct.*, idf, sum(case when p then idf else 0 end) over (partition by idx) as alls from ct join idf using (term)),
 overlap as (select segment_id, idx, case when any_value(alls) > 0 then least(1.0, sum(case when p then idf else 0.5 * idf end) / any_value(alls)) else 0.0 end as overlap from st join pt using (term) group by all),
-txt as (select segment_id, caption, summary, lower(concat_ws(' ', nullif(caption, ''), nullif(summary, ''), nullif(ocr, ''))) as text from fx_segments),
-gen as (select term from (select term, count(*) as df, count(*) filter (where p and len(prim) >= 2) as multi, count(*) filter (where p) as prims from ct join (select idx, prim from idx0) using (idx) group by term), n where prims > 0 and ((multi >= 1 and df >= 2) or (df >= 3 and df / n >= 0.08))),
-sig as (select segment_id, idx, level, concept, name, prim, caption, cosine, overlap,
- case when regexp_matches(text, '(^|[^\\p{{L}}\\p{{N}}_])' || name || '($|[^\\p{{L}}\\p{{N}}_])') then case when contains(name, ' ') or regexp_matches(name, '^[a-z]{{2,10}}(-[a-z]{{1,10}})?s?$') then 1.0 else 0.7 end else 0.0 end as exact,
- case when contains(lower(caption), name) then 0.5 else 0 end + case when contains(lower(summary), name) then 0.3 else 0 end as context
- from cosine join overlap using (segment_id, idx) join txt using (segment_id) join idx0 using (idx)),
-scored as (select *, case when len(prim) = 1 and prim[1] in (select term from gen) and not (length(caption) <= 80 and starts_with(lower(trim(caption)), name)) then 0.0
- else least(1.0, (30 * exact + 30 * cosine + 25 * overlap + 5 * context) / 100) end as score from sig)
-""".replace("\\\\p", "\\p")  # noqa: E501
+pairs as (select segment_id, idx, coalesce(cosine, 0.0) as cosine, overlap from overlap left join cosine using (segment_id, idx)),
+gen as (select term, df, in_multi, (in_multi >= 1 and df >= 2) or (df >= 3 and df / n >= 0.08) as generic from (select term, count(*) as df, count(*) filter (where p and size >= 2) as in_multi, count(*) filter (where p) as prims from ct group by term), n where prims > 0),
+txt as (select segment_id, coalesce(caption, '') as caption, coalesce(summary, '') as summary, coalesce(nearby, '') as nearby, {text} as text from fx_segments)"""  # noqa: E501
 
 
+_CONTEXT = "case when contains(lower(caption), name) then 0.5 else 0 end + case when contains(lower(summary), name) then 0.3 else 0 end + case when contains(lower(nearby), name) then 0.2 else 0 end"
 LINK = sql_link()
+EXACT = rf"""{LINK},
+sig as (select segment_id, idx, level, concept, name, prim, phrases, caption, text, cosine, overlap, {_CONTEXT} as context,
+ coalesce(list_max(list_transform(phrases, lambda p: case when {_HELD} then case when contains(p, ' ') or regexp_matches(p, '^[a-z]{{2,10}}(-[a-z]{{1,10}})?s?$') then 1.0 else 0.7 end else 0.0 end)), 0.0) as exact
+ from pairs join txt using (segment_id) join idx0 using (idx))"""
+FUZZY = rf"""{EXACT},
+tok as (select segment_id, unnest(list_distinct(regexp_extract_all(text, '[a-z0-9]+(?:-[a-z0-9]+)?'))) as w from txt), voc as (select distinct w, replace(w, '-', '') as bare from tok),
+prims as (select idx, size, term, replace(term, '-', '') as a from ct where p), acs as (select idx, unnest(acronyms) as a from idx0),
+cand as (select distinct a, b from (select a, bare as b from (select distinct a from prims) join (select distinct bare from voc) on length(bare) between length(a) * 0.78 and length(a) * 1.28 union all select a, w from (select distinct a from acs) join voc on length(w) between length(a) * 0.78 and length(a) * 1.28)),
+{sql_similar(0.88)},
+met as (select segment_id, idx, any_value(size) as size, count(distinct term) as met from (select distinct segment_id, a from tok join sims on replace(w, '-', '') = b) join prims using (a) group by all having true),
+fz as (select segment_id, idx, max(f) as fuzzy from (select segment_id, idx, case when size >= 2 and met >= 2 then 0.9 when size = 1 and met = 1 then 0.82 end::double as f from met union all select segment_id, idx, ratio from tok join sims on w = b join acs using (a))
+ where f is not null and idx not in (select idx from idx0 where len(prim) = 1 and prim[1] in (select term from gen where generic)) group by all),
+scored as (select sig.*, coalesce(fuzzy, 0.0) as fuzzy, case when len(prim) = 1 and prim[1] in (select term from gen where generic) and not (length({sql_norm("caption")}) <= 80 and starts_with({sql_norm("caption")}, prim[1]) and not regexp_matches(substring({sql_norm("caption")}, length(prim[1]) + 1, 1), '^[\p{{L}}\p{{N}}_]'))
+ and len(list_filter(phrases, lambda p: p <> prim[1] and {_HELD})) = 0 then 0.0 else least(1.0, (30 * exact + 30 * cosine + 25 * overlap + 10 * coalesce(fuzzy, 0.0) + 5 * context) / 100) end as score from sig left join fz using (segment_id, idx))"""
 BLOCKS = X.ctes("fx_blocks")
 LAYOUT = X.ctes("fx_blocks", "fx_drawings", "fx_images")
 OCR = X.ctes("fx_ocr")
@@ -86,27 +136,27 @@ def sql_number(column: str) -> str:
 
 _CAPS = rf""", caps as (select *, {sql_number("text")} as figure_number from fx_blocks where coalesce({", ".join(f"case when regexp_matches(text, '(?i){o}{_NUM}') then length(regexp_extract(text, '(?is)^(.*?){o}{_NUM}', 1)) end" for o in _OPEN)}) < 20
  and not regexp_matches(lower(text), '\b(as shown in|see figure|in figure|refer to|according to|as illustrated in|as depicted in)\b') and length(text) < 400),
-anchor as (select page_no, block_no as region_id, x0 as c_x0, y0 as c_y0, x1 as c_x1, y1 as c_y1, page_width as pw, greatest(0.0, y0 - 500) as start from caps)"""
+anchor as (select doc_id, page_no, block_no as region_id, x0 as c_x0, y0 as c_y0, x1 as c_x1, y1 as c_y1, page_width as pw, greatest(0.0, y0 - 500) as start from caps)"""
 _BOUNDS = f"""{LAYOUT}{_CAPS},
-dr as (select a.page_no, region_id, min(x0) as dx0, min(y0) as dy0, max(x1) as dx1, max(y1) as dy1 from anchor a join fx_drawings d on a.page_no = d.page_no and y0 >= start and y0 < c_y0 group by all),
-im as (select a.page_no, region_id, min(x0) as ix0, min(y0) as iy0, max(x1) as ix1, max(y1) as iy1 from anchor a join fx_images d on a.page_no = d.page_no and y0 >= start and y0 < c_y0 group by all),
-wb as (select a.page_no, region_id, block_no, x0, x1, y0, y1, text, page_width from anchor a join fx_blocks b on a.page_no = b.page_no and y0 >= start and y0 < c_y0),
-gaps as (select page_no, region_id, y1, row_number() over w as place, lead(y0) over w - y1 as gap from wb window w as (partition by page_no, region_id order by y1, block_no)),
-ws as (select page_no, region_id, y1 + 5 as ws_y from (select *, row_number() over (partition by page_no, region_id order by gap desc, place) as r from gaps where gap > 20) where r = 1 and gap > 30 and y1 <> 0),
-tx as (select page_no, region_id, max(y1) filter (where body) + 20 as tx_y, min(x0) filter (where not body) as tx_x0, max(x1) filter (where not body) as tx_x1
+dr as (select a.doc_id, a.page_no, region_id, min(x0) as dx0, min(y0) as dy0, max(x1) as dx1, max(y1) as dy1 from anchor a join fx_drawings d on a.doc_id = d.doc_id and a.page_no = d.page_no and y0 >= start and y0 < c_y0 group by all),
+im as (select a.doc_id, a.page_no, region_id, min(x0) as ix0, min(y0) as iy0, max(x1) as ix1, max(y1) as iy1 from anchor a join fx_images d on a.doc_id = d.doc_id and a.page_no = d.page_no and y0 >= start and y0 < c_y0 group by all),
+wb as (select a.doc_id, a.page_no, region_id, block_no, x0, x1, y0, y1, text, page_width from anchor a join fx_blocks b on a.doc_id = b.doc_id and a.page_no = b.page_no and y0 >= start and y0 < c_y0),
+gaps as (select doc_id, page_no, region_id, y1, row_number() over w as place, lead(y0) over w - y1 as gap from wb window w as (partition by doc_id, page_no, region_id order by y1, block_no)),
+ws as (select doc_id, page_no, region_id, y1 + 5 as ws_y from (select *, row_number() over (partition by doc_id, page_no, region_id order by gap desc, place) as r from gaps where gap > 20) where r = 1 and gap > 30 and y1 <> 0),
+tx as (select doc_id, page_no, region_id, max(y1) filter (where body) + 20 as tx_y, min(x0) filter (where not body) as tx_x0, max(x1) filter (where not body) as tx_x1
  from (select *, (x1 - x0 > page_width * 0.65 and length(text) > 120 and y1 - y0 > 35 and x0 < page_width * 0.15) as body from wb) group by all having max(y1) filter (where body) is not null)"""
 # regions of the neighbourhood operators: embedded images
-_REGION = f"{LAYOUT}, region as (select page_no, img_no as region_id, x0, y0, x1, y1 from fx_images)"
+_REGION = f"{LAYOUT}, region as (select doc_id, page_no, img_no as region_id, x0, y0, x1, y1 from fx_images)"
 
 
 def regions(spark, d) -> DataFrame:
-    return X.images(spark, d).select("page_no", F.col("img_no").alias("region_id"), *layout.BOX)
+    return X.images(spark, d).select("doc_id", "page_no", F.col("img_no").alias("region_id"), *layout.BOX)
 
 
 # ---- linking ----
-@query(f"{X.ctes('fx_segments')} select segment_id, unnest({sql_terms('caption')}) as term from fx_segments")
+@query(f"select doc_id as segment_id, unnest({sql_terms('text')}) as term from documents")
 def extract_terms(spark, d):
-    return X.segments(spark, d).select("segment_id", F.explode(T.terms(F.col("caption"))).alias("term"))
+    return X.table(spark, d, "documents").select(F.col("doc_id").alias("segment_id"), F.explode(T.terms(F.col("text"))).alias("term"))
 
 
 @query(f"{LINK} select term, df from df")
@@ -124,13 +174,22 @@ def concept_ids(spark, d):
     return index_of(spark, d).select("idx", "concept_id")
 
 
-@query()
+@query(f"{X.ctes('fx_taxonomy')}, {PARTS} select idx, main, array_to_string(acronyms, '|') as acronyms, array_to_string(aliases, '|') as aliases from parts")
 def concept_parse(spark, d):
-    named = X.taxonomy(spark, d).select("idx", F.concat("concept", F.lit(" ("), F.split_part("concept", F.lit(" "), F.lit(1)), F.lit("-X)")).alias("concept"))
-    return named.select("idx", *[v.alias(k) for k, v in T.concept_parts(F.col("concept")).items()])
+    return index_of(spark, d).select("idx", "main", *[F.array_join(c, "|").alias(c) for c in ("acronyms", "aliases")])
+
 
+@query(f"{LINK} select idx, array_to_string(list_sort(norms), '|') as terms, array_to_string(list_sort(phrases), '|') as phrases from idx0")
+def concept_index(spark, d):
+    return index_of(spark, d).select("idx", F.array_join(F.array_sort("normalized"), "|").alias("terms"), F.array_join("phrases", "|").alias("phrases"))
 
-@query(f"{LINK} select term, count(*) as df, count(*) filter (where p and len(prim) >= 2) as in_multi, (count(*) filter (where p and len(prim) >= 2) >= 1 and count(*) >= 2) or (count(*) >= 3 and count(*) / any_value(n) >= 0.08) as generic from ct join (select idx, prim from idx0) using (idx), n group by term having count(*) filter (where p) > 0")
+
+@query(f"select doc_id, {sql_norm('text')} as text from documents")
+def normalized_text(spark, d):
+    return X.table(spark, d, "documents").select("doc_id", T.normalized(F.col("text")).alias("text"))
+
+
+@query(f"{LINK} select term, df, in_multi, generic from gen")
 def generic_terms(spark, d):
     return linking.generic_terms(index_of(spark, d))
 
@@ -145,82 +204,106 @@ def concept_tfidf(spark, d):
     return six(linking.concept_vectors(index_of(spark, d)), "value")
 
 
-@query(f"{LINK} select segment_id, idx, round(cosine, 6) as cosine from cosine")
+def pair_signals(spark, d) -> DataFrame:
+    return linking.term_signals(X.segments(spark, d), index_of(spark, d))
+
+
+def scored(spark, d, **options) -> DataFrame:
+    return linking.scores(X.segments(spark, d), index_of(spark, d), **options)
+
+
+@query(f"{LINK} select segment_id, idx, round(cosine, 6) as cosine from pairs where round(cosine, 6) > 0")
 def link_cosine(spark, d):
-    return six(linking.cosine(X.segments(spark, d), index_of(spark, d)), "cosine")
+    return six(pair_signals(spark, d).select("segment_id", "idx", "cosine"), "cosine").where("cosine > 0")
 
 
-@query(f"{LINK} select segment_id, idx, round(overlap, 6) as overlap from overlap")
+@query(f"{LINK} select segment_id, idx, round(overlap, 6) as overlap from pairs")
 def link_overlap(spark, d):
-    return six(linking.overlap(X.segments(spark, d), index_of(spark, d)), "overlap")
+    return six(pair_signals(spark, d).select("segment_id", "idx", "overlap"), "overlap")
 
 
-@query(f"{LINK} select segment_id, idx, exact::double as exact from sig where exact > 0")
+@query(f"{EXACT} select segment_id, idx, exact::double as exact from sig where exact > 0")
 def link_exact(spark, d):
-    return linking.scores(X.segments(spark, d), index_of(spark, d)).where("exact > 0").select("segment_id", "idx", "exact")
+    return scored(spark, d, fuzzy=False, gate=False).where("exact > 0").select("segment_id", "idx", "exact")
 
 
-@query(f"{LINK} select segment_id, idx, round(context, 6)::double as context from sig where context > 0")
+@query(f"{EXACT} select segment_id, idx, round(context, 6)::double as context from sig where context > 0")
 def link_context(spark, d):
-    return linking.scores(X.segments(spark, d), index_of(spark, d)).where("context_score > 0").select("segment_id", "idx", F.round("context_score", 6).alias("context"))
+    return six(scored(spark, d, fuzzy=False, gate=False).where("context > 0").select("segment_id", "idx", "context"), "context")
+
 
+@query(f"{FUZZY} select segment_id, idx, round(fuzzy, 6) as fuzzy from fz")
+def link_fuzzy(spark, d):
+    segments, index = X.segments(spark, d), index_of(spark, d)
+    found = similarity.tokens(segments, T.normalized(linking.search_text()))
+    return six(similarity.fuzzy_scores(found, index, linking.generic_terms(index)), "fuzzy")
 
-@query(f"{LINK} select segment_id, idx, round(score, 6)::double as score from scored")
+
+@query(f"{FUZZY} select a, b, round(ratio, 6) as ratio from sims")
+def string_similarity(spark, d):
+    segments, index = X.segments(spark, d), index_of(spark, d)
+    words = similarity.tokens(segments, T.normalized(linking.search_text())).select("w").distinct()
+    bare = lambda c: F.replace(F.col(c), F.lit("-"), F.lit(""))
+    terms = index.select(F.explode("primary").alias("t")).select(bare("t").alias("a"))
+    near = similarity.similar_terms(terms, words.select(bare("w").alias("b")))
+    return six(near.union(similarity.similar_terms(index.select(F.explode("acronyms").alias("a")), words.select(F.col("w").alias("b")))).distinct(), "ratio")
+
+
+@query(f"{FUZZY} select segment_id, idx, round(score, 6)::double as score from scored")
 def link_score(spark, d):
-    return six(linking.scores(X.segments(spark, d), index_of(spark, d)).select("segment_id", "idx", "score"), "score")
+    return six(scored(spark, d).select("segment_id", "idx", "score"), "score")
 
 
-@query(f"""{LINK}, kept as (select * from (select *, row_number() over (partition by segment_id, concept order by level, score desc, idx) as place from scored where round(score, 6) > 0.5) where place = 1)
-select segment_id, idx, concept, level, round(score, 6)::double as score, row_number() over (partition by segment_id order by round(score, 6) desc, idx) as rank from kept""")
+@query(f"""{FUZZY}, kept as (select * from (select *, row_number() over (partition by segment_id, concept order by level, score desc, idx) as place from scored where round(score, 6) > 0.5) where place = 1),
+best as (select *, greatest(30 * exact, 30 * cosine, 25 * overlap, 10 * fuzzy, 5 * context) as top from kept)
+select segment_id, idx, concept, level, round(score, 6)::double as score, case round(top, 6) when round(30 * exact, 6) then 'exact' when round(30 * cosine, 6) then 'cosine' when round(25 * overlap, 6) then 'overlap' when round(10 * fuzzy, 6) then 'fuzzy' else 'context' end as match_method, row_number() over (partition by segment_id order by round(score, 6) desc, idx) as rank from best""")
 def link_ranked_dedup(spark, d):
-    return six(linking.ranked_links(linking.scores(X.segments(spark, d), index_of(spark, d))).select("segment_id", "idx", "concept", "level", "score", "rank"), "score")
+    return six(linking.ranked_links(scored(spark, d, least=0.5)).select("segment_id", "idx", "concept", "level", "score", "match_method", "rank"), "score")
 
 
 @query(f"""{sql_link(False)}, hit as (select segment_id, idx, 1.0 as exact from txt join idx0 on contains(text, name)),
-alls as (select segment_id, idx, coalesce(exact, 0) as exact, coalesce(cosine, 0) as cosine, coalesce(overlap, 0) as overlap from cosine full join overlap using (segment_id, idx) full join hit using (segment_id, idx)),
-leg as (select segment_id, idx, least(1.0, (30 * a.exact + 30 * a.cosine + 25 * a.overlap + 5 * (case when contains(lower(caption), name) then 0.5 else 0 end + case when contains(lower(summary), name) then 0.3 else 0 end)) / 100) as score from alls a join txt using (segment_id) join idx0 using (idx))
+alls as (select segment_id, idx, coalesce(exact, 0) as exact, coalesce(cosine, 0) as cosine, coalesce(overlap, 0) as overlap from pairs full join hit using (segment_id, idx)),
+able as (select * from alls join txt using (segment_id) join idx0 using (idx) where 30 * exact + 30 * cosine + 25 * overlap + 15 > 30 - 1e-3),
+grams as (select segment_id, idx, name as a, unnest(list_distinct(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' ')))) as b from (select *, regexp_extract_all(text, '\\S+') as ws, len(regexp_extract_all(name, '\\S+')) as k from able)),
+cand as (select distinct a, b from grams),
+{sql_similar(0.8)},
+best as (select segment_id, idx, max(ratio) as fuzzy from grams join sims using (a, b) group by all),
+leg as (select segment_id, idx, least(1.0, (30 * exact + 30 * cosine + 25 * overlap + 10 * coalesce(fuzzy, 0) + 5 * ({_CONTEXT})) / 100) as score from able left join best using (segment_id, idx))
 select segment_id, idx, round(score, 6)::double as score from leg where round(score, 6) > 0.3""")
 def link_legacy(spark, d):
-    scored = linking.legacy_scores(X.segments(spark, d), index_of(spark, d, False))
-    return six(scored.where(F.round("score", 6) > 0.3).select("segment_id", "idx", "score"), "score")
-
-
-@query()
-def link_fuzzy(spark, d):
-    segments, index = X.segments(spark, d), index_of(spark, d)
-    return similarity.fuzzy_scores(segments, index, linking.segment_terms(segments).select("segment_id", "term"))
+    return six(linking.legacy_scores(X.segments(spark, d), index_of(spark, d, False)).select("segment_id", "idx", "score"), "score")
 
 
 # ---- layout ----
-@query(f"{BLOCKS} select page_no, block_no, text from fx_blocks")
+@query(f"{BLOCKS} select doc_id, page_no, block_no, text from fx_blocks")
 def text_blocks(spark, d):
-    spans = X.blocks(spark, d).select("page_no", "block_no", F.posexplode(F.split("text", " ")).alias("span_no", "text")).withColumn("line_no", F.expr("cast(span_no / 5 as int)"))
+    spans = X.blocks(spark, d).select("doc_id", "page_no", "block_no", F.posexplode(F.split("text", " ")).alias("span_no", "text")).withColumn("line_no", F.expr("cast(span_no / 5 as int)"))
     return layout.text_blocks(spans)
 
 
-@query(f"{BLOCKS}{_CAPS} select page_no, block_no, figure_number, text from caps")
+@query(f"{BLOCKS}{_CAPS} select doc_id, page_no, block_no, figure_number, text from caps")
 def caption_blocks(spark, d):
-    return layout.caption_blocks(X.blocks(spark, d)).select("page_no", "block_no", "figure_number", "text")
+    return layout.caption_blocks(X.blocks(spark, d)).select("doc_id", "page_no", "block_no", "figure_number", "text")
 
 
-@query(f"""{_REGION}, near as (select page_no, region_id, string_agg(b.text, ' ' order by block_no) as text from region r join fx_blocks b using (page_no) where abs(b.y0 - r.y1) < 50 or abs(r.y0 - b.y1) < 50 group by all)
-select page_no, region_id, {sql_number("text")} as figure_number from near""")
+@query(f"""{_REGION}, near as (select doc_id, page_no, region_id, string_agg(b.text, ' ' order by block_no) as text from region r join fx_blocks b using (doc_id, page_no) where abs(b.y0 - r.y1) < 50 or abs(r.y0 - b.y1) < 50 group by all)
+select doc_id, page_no, region_id, {sql_number("text")} as figure_number from near""")
 def detect_caption(spark, d):
-    return layout.detect_caption(regions(spark, d), X.blocks(spark, d)).select("page_no", "region_id", "figure_number")
+    return layout.detect_caption(regions(spark, d), X.blocks(spark, d)).select("doc_id", "page_no", "region_id", "figure_number")
 
 
-@query(f"""{_REGION} select page_no, region_id, arg_min(b.text, block_no) as caption from region r join fx_blocks b using (page_no) where b.y0 - r.y1 between 0 and 60 and least(r.x1, b.x1) - greatest(r.x0, b.x0) > 0 and {sql_number("b.text")} is not null group by all""")
+@query(f"""{_REGION} select doc_id, page_no, region_id, arg_min(b.text, block_no) as caption from region r join fx_blocks b using (doc_id, page_no) where b.y0 - r.y1 between 0 and 60 and least(r.x1, b.x1) - greatest(r.x0, b.x0) > 0 and {sql_number("b.text")} is not null group by all""")
 def caption_near(spark, d):
     return layout.caption_below(regions(spark, d), X.blocks(spark, d))
 
 
-@query(f"""{_REGION}, h as (select page_no, region_id, list(trim(b.text) order by block_no) as l from region r join fx_blocks b using (page_no) where b.y1 < r.y0 and font_size > 12 and length(trim(b.text)) > 3 group by all)
-select page_no, region_id, array_to_string(l[greatest(len(l) - 2, 1):], ' > ') as heading_path from h""")
+@query(f"""{_REGION}, h as (select doc_id, page_no, region_id, list(trim(b.text) order by block_no) as l from region r join fx_blocks b using (doc_id, page_no) where b.y1 < r.y0 and font_size > 12 and length(trim(b.text)) > 3 group by all)
+select doc_id, page_no, region_id, array_to_string(l[greatest(len(l) - 2, 1):], ' > ') as heading_path from h""")
 def heading_path(spark, d):
     return layout.heading_path(regions(spark, d), X.blocks(spark, d))
 
 
-@query(f"""{_REGION} select page_no, region_id, substring(string_agg(b.text, ' ' order by block_no), 1, 500) as nearby_text from region r join fx_blocks b using (page_no) where least(abs(b.y0 - r.y1), abs(r.y0 - b.y1)) < 100 group by all""")
+@query(f"""{_REGION} select doc_id, page_no, region_id, substring(string_agg(b.text, ' ' order by block_no), 1, 500) as nearby_text from region r join fx_blocks b using (doc_id, page_no) where least(abs(b.y0 - r.y1), abs(r.y0 - b.y1)) < 100 group by all""")
 def nearby_text(spark, d):
     return layout.nearby_text(regions(spark, d), X.blocks(spark, d))
 
@@ -228,37 +311,37 @@ def nearby_text(spark, d):
 _RATIO = "case when least((a.x1-a.x0)*(a.y1-a.y0), (b.x1-b.x0)*(b.y1-b.y0)) > 0 then greatest(0.0, least(a.x1,b.x1)-greatest(a.x0,b.x0)) * greatest(0.0, least(a.y1,b.y1)-greatest(a.y0,b.y0)) / least((a.x1-a.x0)*(a.y1-a.y0), (b.x1-b.x0)*(b.y1-b.y0)) else 0.0 end"
 
 
-@query(f"{LAYOUT}, p as (select a.page_no, a.draw_no as a_id, b.img_no as b_id, {_RATIO} as ratio from fx_drawings a join fx_images b using (page_no)) select page_no, a_id, b_id, round(ratio, 6) as ratio, ratio > 0.4 as conflict from p where ratio > 0")
+@query(f"{LAYOUT}, p as (select a.doc_id, a.page_no, a.draw_no as a_id, b.img_no as b_id, {_RATIO} as ratio from fx_drawings a join fx_images b using (doc_id, page_no)) select doc_id, page_no, a_id, b_id, round(ratio, 6) as ratio, ratio > 0.4 as conflict from p where ratio > 0")
 def overlap_pairs(spark, d):
     a = X.drawings(spark, d).withColumnRenamed("draw_no", "id")
-    b = X.images(spark, d).select("page_no", F.col("img_no").alias("id"), *layout.BOX)
+    b = X.images(spark, d).select("doc_id", "page_no", F.col("img_no").alias("id"), *layout.BOX)
     return six(layout.overlap_pairs(a, b), "ratio")
 
 
-@query(f"{_BOUNDS} select page_no, region_id, dx0 as dr_x0, dy0 as dr_y0, dx1 as dr_x1, dy1 as dr_y1 from dr")
+@query(f"{_BOUNDS} select doc_id, page_no, region_id, dx0 as dr_x0, dy0 as dr_y0, dx1 as dr_x1, dy1 as dr_y1 from dr")
 def drawing_bounds(spark, d):
     return layout.window_bounds(layout.captions_of(X.blocks(spark, d)), X.drawings(spark, d), "dr")
 
 
-@query(f"{_BOUNDS} select page_no, region_id, ws_y from ws")
+@query(f"{_BOUNDS} select doc_id, page_no, region_id, ws_y from ws")
 def whitespace_boundary(spark, d):
     b = X.blocks(spark, d)
     return layout.whitespace_boundary(layout.captions_of(b), b)
 
 
-@query(f"{_BOUNDS} select page_no, region_id, tx_y, tx_x0, tx_x1 from tx")
+@query(f"{_BOUNDS} select doc_id, page_no, region_id, tx_y, tx_x0, tx_x1 from tx")
 def text_boundary(spark, d):
     b = X.blocks(spark, d)
     return layout.text_boundary(layout.captions_of(b), b)
 
 
-@query(f"""{_BOUNDS}, j as (select * from anchor left join dr using (page_no, region_id) left join im using (page_no, region_id) left join ws using (page_no, region_id) left join tx using (page_no, region_id)),
+@query(f"""{_BOUNDS}, j as (select * from anchor left join dr using (doc_id, page_no, region_id) left join im using (doc_id, page_no, region_id) left join ws using (doc_id, page_no, region_id) left join tx using (doc_id, page_no, region_id)),
 k as (select *, greatest(0.0, dx0-10) as ax0, greatest(start, greatest(dy0, coalesce(ws_y, dy0))-10) as ay0, least(pw, dx1+10) as ax1, least(c_y0-5, dy1+10) as ay1,
  greatest(0.0, ix0-5) as bx0, greatest(start, greatest(iy0, coalesce(ws_y, iy0))-5) as by0, least(pw, ix1+5) as bx1, least(c_y0-5, iy1+5) as by1,
  greatest(0.0, c_x0-30) as l, least(pw, c_x1+30) as r, greatest(0.0, c_x0-20) as fx0, least(pw, c_x1+20) as fx1, greatest(start, c_y0-250) as fy0, c_y0-10 as e from j),
 s as (select *, case when dy0 is not null and ax1-ax0>50 and ay1-ay0>50 then 'drawing' when iy0 is not null and bx1-bx0>50 and by1-by0>50 then 'image' when ws_y is not null and r-l>80 and e-ws_y>60 then 'whitespace'
  when tx_y is not null and coalesce(tx_x1, r)-coalesce(tx_x0, l)>80 and e-tx_y>60 then 'text' when fx1-fx0>100 and e-fy0>80 and e-fy0<500 then 'fallback' end as signal from k)
-select page_no, region_id, signal, least(c_x0, case signal when 'drawing' then ax0 when 'image' then bx0 when 'whitespace' then l when 'text' then coalesce(tx_x0, l) else fx0 end) as x0,
+select doc_id, page_no, region_id, signal, least(c_x0, case signal when 'drawing' then ax0 when 'image' then bx0 when 'whitespace' then l when 'text' then coalesce(tx_x0, l) else fx0 end) as x0,
  case signal when 'drawing' then ay0 when 'image' then by0 when 'whitespace' then ws_y when 'text' then tx_y else fy0 end as y0,
  greatest(c_x1, case signal when 'drawing' then ax1 when 'image' then bx1 when 'whitespace' then r when 'text' then coalesce(tx_x1, r) else fx1 end) as x1, c_y1 + 5 as y1 from s where signal is not null""")
 def combined_region(spark, d):
@@ -266,31 +349,31 @@ def combined_region(spark, d):
     return layout.extend_to_caption(layout.combine_boundaries(layout.captions_of(b), b, X.drawings(spark, d), X.images(spark, d)))
 
 
-_VALID = f"""{_REGION}, cap as (select page_no, region_id, arg_min(b.text, block_no) as caption from region r join fx_blocks b using (page_no) where b.y0 - r.y1 between 0 and 60 and least(r.x1, b.x1) - greatest(r.x0, b.x0) > 0 and {sql_number("b.text")} is not null group by all),
+_VALID = f"""{_REGION}, cap as (select doc_id, page_no, region_id, arg_min(b.text, block_no) as caption from region r join fx_blocks b using (doc_id, page_no) where b.y0 - r.y1 between 0 and 60 and least(r.x1, b.x1) - greatest(r.x0, b.x0) > 0 and {sql_number("b.text")} is not null group by all),
 v as (select i.*, case when (x1-x0)*(y1-y0) < 3000 or px_w < 50 or px_h < 50 then 0.0 else least(1.0, round(case when (x1-x0)*(y1-y0) > 10000 then 0.3 else 0.1 end + case when px_w > 200 and px_h > 200 then 0.2 else 0 end + case when (x1-x0)/(y1-y0) > 0.2 and (x1-x0)/(y1-y0) < 5 then 0.2 else -0.1 end
- + case when y0/1260 < 0.1 or y0/1260 > 0.9 then -0.2 else 0.1 end + case when caption is not null then 0.4 else 0 end + case when grey_var < 10 then -0.3 when grey_var > 100 then 0.2 else 0 end, 6)) end::double as score from fx_images i left join cap on i.page_no = cap.page_no and i.img_no = cap.region_id)"""
+ + case when y0/1260 < 0.1 or y0/1260 > 0.9 then -0.2 else 0.1 end + case when caption is not null then 0.4 else 0 end + case when grey_var < 10 then -0.3 when grey_var > 100 then 0.2 else 0 end, 6)) end::double as score from fx_images i left join cap on i.doc_id = cap.doc_id and i.page_no = cap.page_no and i.img_no = cap.region_id)"""
 
 
-@query(f"{_VALID} select page_no, img_no, score, score >= 0.5 as kept from v")
+@query(f"{_VALID} select doc_id, page_no, img_no, score, score >= 0.5 as kept from v")
 def embedded_validation(spark, d):
-    return layout.validate_images(X.images(spark, d), X.blocks(spark, d)).select("page_no", "img_no", "score", "kept")
+    return layout.validate_images(X.images(spark, d), X.blocks(spark, d)).select("doc_id", "page_no", "img_no", "score", "kept")
 
 
-@query(f"""{_VALID}, reg as (select page_no, draw_no, x0, y0, x1 + 60 as x1, y1 + 60 as y1 from fx_drawings),
-p as (select a.page_no, a.draw_no as a_id, b.img_no as b_id, {_RATIO} as ratio, (a.x1-a.x0)*(a.y1-a.y0) as s1, (b.x1-b.x0)*(b.y1-b.y0) as s2, b.score, b.grey_var from reg a join v b using (page_no)),
-c as (select a.page_no, a.draw_no as a_id, count(*) as n from reg a join fx_drawings d on a.page_no = d.page_no and d.x0 between a.x0 and a.x1 and d.y0 between a.y0 and a.y1 group by all),
-s as (select page_no, a_id, b_id, 3 + case when s1 > 1.2 * s2 then 2 else 0 end + case when coalesce(n, 0) > 10 then 2 else 0 end as caption_score, case when s1 <= 1.2 * s2 and s2 > 1.2 * s1 then 1 else 0 end + case when grey_var > 1000 then 2 else 0 end + case when score > 0.7 then 1 else 0 end as embedded_score from p left join c using (page_no, a_id) where ratio > 0.4)
+@query(f"""{_VALID}, reg as (select doc_id, page_no, draw_no, x0, y0, x1 + 60 as x1, y1 + 60 as y1 from fx_drawings),
+p as (select a.doc_id, a.page_no, a.draw_no as a_id, b.img_no as b_id, {_RATIO} as ratio, (a.x1-a.x0)*(a.y1-a.y0) as s1, (b.x1-b.x0)*(b.y1-b.y0) as s2, b.score, b.grey_var from reg a join v b using (doc_id, page_no)),
+c as (select a.doc_id, a.page_no, a.draw_no as a_id, count(*) as n from reg a join fx_drawings d on a.doc_id = d.doc_id and a.page_no = d.page_no and d.x0 between a.x0 and a.x1 and d.y0 between a.y0 and a.y1 group by all),
+s as (select doc_id, page_no, a_id, b_id, 3 + case when s1 > 1.2 * s2 then 2 else 0 end + case when coalesce(n, 0) > 10 then 2 else 0 end as caption_score, case when s1 <= 1.2 * s2 and s2 > 1.2 * s1 then 1 else 0 end + case when grey_var > 1000 then 2 else 0 end + case when score > 0.7 then 1 else 0 end as embedded_score from p left join c using (doc_id, page_no, a_id) where ratio > 0.4)
 select *, case when caption_score > embedded_score then 'keep_caption' else 'keep_embedded' end as decision from s""")
 def conflict_scores(spark, d):
-    area = X.drawings(spark, d).select("page_no", F.col("draw_no").alias("region_id"), "x0", "y0", (F.col("x1") + 60).alias("x1"), (F.col("y1") + 60).alias("y1"))
+    area = X.drawings(spark, d).select("doc_id", "page_no", F.col("draw_no").alias("region_id"), "x0", "y0", (F.col("x1") + 60).alias("x1"), (F.col("y1") + 60).alias("y1"))
     images = layout.validate_images(X.images(spark, d), X.blocks(spark, d))
     return layout.conflict_scores(area, images, X.drawings(spark, d))
 
 
 @query()
 def conflict_fold(spark, d):
-    first = X.drawings(spark, d).select("page_no", F.lit(1).alias("pass_no"), F.col("draw_no").alias("idx"), *layout.BOX, F.lit(3.0).alias("weight"))
-    second = X.images(spark, d).select("page_no", F.lit(2).alias("pass_no"), F.col("img_no").alias("idx"), *layout.BOX, (F.col("grey_var") / 300).alias("weight"))
+    first = X.drawings(spark, d).select("doc_id", "page_no", F.lit(1).alias("pass_no"), F.col("draw_no").alias("idx"), *layout.BOX, F.lit(3.0).alias("weight"))
+    second = X.images(spark, d).select("doc_id", "page_no", F.lit(2).alias("pass_no"), F.col("img_no").alias("idx"), *layout.BOX, (F.col("grey_var") / 300).alias("weight"))
     return folds.conflict_fold(first.unionByName(second))
 
 
@@ -450,16 +533,16 @@ def event_windows(spark, d):
     return windowed_counts(X.table(spark, d, "events")).select(F.col("window.start").alias("hour"), "event_type", "n", F.round("total", 4).alias("total"))
 
 
-@query(f"{LAYOUT} select page_no, img_no, (x1 - x0) * (y1 - y0) as area from fx_images")
+@query(f"{LAYOUT} select doc_id, page_no, img_no, (x1 - x0) * (y1 - y0) as area from fx_images")
 def box_area(spark, d):
-    return X.images(spark, d).select("page_no", "img_no", G.area().alias("area"))
+    return X.images(spark, d).select("doc_id", "page_no", "img_no", G.area().alias("area"))
 
 
-@query(f"""{LAYOUT} select a.page_no, a.draw_no as a_no, b.draw_no as b_no, round(sqrt(power(greatest(0.0, b.x0 - a.x1, a.x0 - b.x1), 2) + power(greatest(0.0, b.y0 - a.y1, a.y0 - b.y1), 2)), 6) as distance from fx_drawings a join fx_drawings b on a.page_no = b.page_no and a.draw_no < b.draw_no""")
+@query(f"""{LAYOUT} select a.doc_id, a.page_no, a.draw_no as a_no, b.draw_no as b_no, round(sqrt(power(greatest(0.0, b.x0 - a.x1, a.x0 - b.x1), 2) + power(greatest(0.0, b.y0 - a.y1, a.y0 - b.y1), 2)), 6) as distance from fx_drawings a join fx_drawings b on a.doc_id = b.doc_id and a.page_no = b.page_no and a.draw_no < b.draw_no""")
 def drawing_distance(spark, d):
     rows = X.drawings(spark, d)
-    pairs = layout.prefixed(rows, "a_").join(layout.prefixed(rows, "b_"), "page_no").where("a_draw_no < b_draw_no")
-    return pairs.select("page_no", F.col("a_draw_no").alias("a_no"), F.col("b_draw_no").alias("b_no"), F.round(G.gap_distance("a_", "b_"), 6).alias("distance"))
+    pairs = layout.prefixed(rows, "a_").join(layout.prefixed(rows, "b_"), layout.PAGE).where("a_draw_no < b_draw_no")
+    return pairs.select("doc_id", "page_no", F.col("a_draw_no").alias("a_no"), F.col("b_draw_no").alias("b_no"), F.round(G.gap_distance("a_", "b_"), 6).alias("distance"))
 
 
 @query()

@@ -13,7 +13,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate")
     ints = {"pk": "l_partkey", "sk": "l_suppkey", "q": "l_quantity", "ln": "l_linenumber"}
-    return table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("page_no"), F.row_number().over(order).alias("block_no"), *[F.col(c).cast("int").alias(n) for n, c in ints.items()])
+    return table(spark, sf_dir, "lineitem").select(F.expr("l_orderkey div 8").alias("doc_id"), F.expr("l_orderkey % 8").alias("page_no"), F.col("l_orderkey").alias("okey"), F.row_number().over(order).alias("block_no"), *[F.col(c).cast("int").alias(n) for n, c in ints.items()])
 
 
 def _double(sql: str, name: str):
@@ -26,7 +26,7 @@ def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
         when pk % 7 = 2 then concat('Exhibit ', cast(ln as string), ' - price of part ', cast(pk as string))
         when q % 3 = 0 then trim(repeat('body text about the spread ', 8)) else concat('label ', cast(pk as string)) end""").alias("text")
     return _numbered(spark, sf_dir).select(
-        "page_no", "block_no", _double("9 + ln", "font_size"), _double("40 + (pk % 5) * 10", "x0"), _double("30 + 90 * (block_no - 1) + sk % 50", "y0"),
+        "doc_id", "page_no", "block_no", _double("9 + ln", "font_size"), _double("40 + (pk % 5) * 10", "x0"), _double("30 + 90 * (block_no - 1) + sk % 50", "y0"),
         _double("40 + (pk % 5) * 10 + case when q % 3 = 0 then 450 else 120 + (pk % 20) * 10 end", "x1"),
         _double("30 + 90 * (block_no - 1) + sk % 50 + 12 + (q % 7) * 8", "y1"), F.lit(612.0).alias("page_width"), F.lit(1260.0).alias("page_height"), text,
     )
@@ -34,14 +34,14 @@ def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def drawings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _numbered(spark, sf_dir).where("sk % 3 = 0").select(
-        "page_no", F.col("block_no").alias("draw_no"), _double("60 + (pk % 30) * 5", "x0"), _double("30 + 90 * (block_no - 1) - 20 + q % 20", "y0"),
+        "doc_id", "page_no", F.col("block_no").alias("draw_no"), _double("60 + (pk % 30) * 5", "x0"), _double("30 + 90 * (block_no - 1) - 20 + q % 20", "y0"),
         _double("60 + (pk % 30) * 5 + 20 + q", "x1"), _double("30 + 90 * (block_no - 1) + q % 20 + pk % 40", "y1"),
     )
 
 
 def images(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _numbered(spark, sf_dir).where("pk % 5 = 0").select(
-        "page_no", F.col("block_no").alias("img_no"), _double("50 + pk % 100", "x0"), _double("30 + 90 * (block_no - 1) - 10", "y0"),
+        "doc_id", "page_no", F.col("block_no").alias("img_no"), _double("50 + pk % 100", "x0"), _double("30 + 90 * (block_no - 1) - 10", "y0"),
         _double("50 + pk % 100 + 40 + q * 6", "x1"), _double("30 + 90 * (block_no - 1) + 30 + q * 2", "y1"),
         F.expr("40 + q * 8").alias("px_w"), F.expr("40 + sk * 5").alias("px_h"), _double("pk % 1200", "grey_var"),
     )
@@ -51,20 +51,24 @@ def ocr_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.expr("""case when pk % 6 = 0 then concat('$', cast(q as string), '.5M') when pk % 6 = 1 then concat(cast(sk as string), '%') when pk % 6 = 2 then 'Year'
         when pk % 6 = 3 then 'Price (USD)' when pk % 6 = 4 then concat('Series ', cast(ln as string)) else 'decision node' end""").alias("text")
     return _numbered(spark, sf_dir).select(
-        F.col("page_no").alias("segment_id"), F.col("block_no").alias("idx"), text, _double("pk % 500", "x0"), _double("(sk * 7) % 380", "y0"),
+        F.col("okey").alias("segment_id"), F.col("block_no").alias("idx"), text, _double("pk % 500", "x0"), _double("(sk * 7) % 380", "y0"),
         _double("pk % 500 + 40", "x1"), _double("(sk * 7) % 380 + 12", "y1"), _double("80 + q % 20", "confidence"),
     )
 
 
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cuts = {"caption": (1, 80), "summary": (81, 400), "ocr": (481, 300), "nearby": (781, 500)}
+    cuts = {"caption": (1, 80), "summary": (81, 400), "nearby": (481, 500), "ocr": (981, 1 << 30)}  # the whole text is in a channel
     return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("segment_id"), *[F.substring("text", a, n).alias(name) for name, (a, n) in cuts.items()])
 
 
 def taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    named = table(spark, sf_dir, "benchmark").select(F.col("item_id").cast("int").alias("item_id"), "text", F.regexp_extract("text", r"^([\p{L}]+ [\p{L}]+)", 1).alias("concept")).where("concept <> ''")
+    third = F.regexp_extract("text", r"^[\p{L}]+ [\p{L}]+ ([\p{L}]+)", 1).alias("w3")
+    named = table(spark, sf_dir, "benchmark").select(F.col("item_id").cast("int").alias("item_id"), "text", F.regexp_extract("text", r"^([\p{L}]+ [\p{L}]+)", 1).alias("base"), third).where("base <> ''")
     rows = named.withColumn("dup", F.explode(F.array(F.lit(0), F.lit(1))))
-    return rows.select(F.expr("item_id * 2 + dup").alias("idx"), F.expr("(item_id + dup * 2) % 6 + 1").alias("level"), "concept", F.expr("substring(text, length(concept) + 2, 40)").alias("tags"), F.col("item_id").cast("string").alias("pages"))
+    # plain names, and names with parentheses, acronyms and hyphens
+    shaped = F.expr("""case when item_id % 14 = 6 then concat(base, ' (T-bills)') when item_id % 10 = 4 then concat('LIBOR (', base, ')') when item_id % 5 = 1 then concat(base, ' (', upper(w3), ')')
+        when item_id % 5 = 2 then replace(base, ' ', '-') when item_id % 5 = 3 then concat(split_part(base, ' ', 1), ' (', split_part(base, ' ', 2), ')') else base end""").alias("concept")
+    return rows.select(F.expr("item_id * 2 + dup").alias("idx"), F.expr("(item_id + dup * 2) % 6 + 1").alias("level"), shaped, F.expr("substring(text, length(base) + 2, 40)").alias("tags"), F.col("item_id").cast("string").alias("pages"))
 
 
 def gate_taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,30 +77,31 @@ def gate_taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.where("length(concept) >= 3").select(F.expr("1000 + item_id").alias("idx"), F.lit(1).alias("level"), "concept", F.lit("").alias("tags"), F.col("item_id").cast("string").alias("pages"))
 
 
-_O = """o as (select l_orderkey as page_no, cast(row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate) as int) as block_no,
+_O = """o as (select l_orderkey // 8 as doc_id, l_orderkey % 8 as page_no, l_orderkey as okey, cast(row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate) as int) as block_no,
  cast(l_partkey as int) as pk, cast(l_suppkey as int) as sk, cast(l_quantity as int) as q, cast(l_linenumber as int) as ln from lineitem)"""
 
 #: CTEs of the views in DuckDB's SQL; {o} stands for the numbered line items.
 VIEWS = {
     "o": _O,
-    "fx_blocks": """fx_blocks as (select page_no, block_no, cast(9 + ln as double) as font_size, cast(40 + (pk % 5) * 10 as double) as x0,
+    "fx_blocks": """fx_blocks as (select doc_id, page_no, block_no, cast(9 + ln as double) as font_size, cast(40 + (pk % 5) * 10 as double) as x0,
  cast(30 + 90 * (block_no - 1) + sk % 50 as double) as y0, cast(40 + (pk % 5) * 10 + case when q % 3 = 0 then 450 else 120 + (pk % 20) * 10 end as double) as x1,
  cast(30 + 90 * (block_no - 1) + sk % 50 + 12 + (q % 7) * 8 as double) as y1, cast(612 as double) as page_width, cast(1260 as double) as page_height,
  case when pk % 7 = 0 then concat('Figure ', cast(ln as string), '.', cast(sk as string), ': widget ', cast(pk as string), ' trend')
  when pk % 7 = 1 then concat('Results improve, as shown in Figure ', cast(ln as string), ' below')
  when pk % 7 = 2 then concat('Exhibit ', cast(ln as string), ' - price of part ', cast(pk as string))
  when q % 3 = 0 then trim(repeat('body text about the spread ', 8)) else concat('label ', cast(pk as string)) end as text from o)""",
-    "fx_drawings": """fx_drawings as (select page_no, block_no as draw_no, cast(60 + (pk % 30) * 5 as double) as x0, cast(30 + 90 * (block_no - 1) - 20 + q % 20 as double) as y0,
+    "fx_drawings": """fx_drawings as (select doc_id, page_no, block_no as draw_no, cast(60 + (pk % 30) * 5 as double) as x0, cast(30 + 90 * (block_no - 1) - 20 + q % 20 as double) as y0,
  cast(60 + (pk % 30) * 5 + 20 + q as double) as x1, cast(30 + 90 * (block_no - 1) + q % 20 + pk % 40 as double) as y1 from o where sk % 3 = 0)""",
-    "fx_images": """fx_images as (select page_no, block_no as img_no, cast(50 + pk % 100 as double) as x0, cast(30 + 90 * (block_no - 1) - 10 as double) as y0,
+    "fx_images": """fx_images as (select doc_id, page_no, block_no as img_no, cast(50 + pk % 100 as double) as x0, cast(30 + 90 * (block_no - 1) - 10 as double) as y0,
  cast(50 + pk % 100 + 40 + q * 6 as double) as x1, cast(30 + 90 * (block_no - 1) + 30 + q * 2 as double) as y1, 40 + q * 8 as px_w, 40 + sk * 5 as px_h, cast(pk % 1200 as double) as grey_var from o where pk % 5 = 0)""",
-    "fx_ocr": """fx_ocr as (select page_no as segment_id, block_no as idx, case when pk % 6 = 0 then concat('$', cast(q as string), '.5M') when pk % 6 = 1 then concat(cast(sk as string), '%') when pk % 6 = 2 then 'Year'
+    "fx_ocr": """fx_ocr as (select okey as segment_id, block_no as idx, case when pk % 6 = 0 then concat('$', cast(q as string), '.5M') when pk % 6 = 1 then concat(cast(sk as string), '%') when pk % 6 = 2 then 'Year'
  when pk % 6 = 3 then 'Price (USD)' when pk % 6 = 4 then concat('Series ', cast(ln as string)) else 'decision node' end as text, cast(pk % 500 as double) as x0, cast((sk * 7) % 380 as double) as y0,
  cast(pk % 500 + 40 as double) as x1, cast((sk * 7) % 380 + 12 as double) as y1, cast(80 + q % 20 as double) as confidence from o)""",
-    "fx_segments": "fx_segments as (select doc_id as segment_id, substring(text, 1, 80) as caption, substring(text, 81, 400) as summary, substring(text, 481, 300) as ocr, substring(text, 781, 500) as nearby from documents)",
-    "fx_taxonomy": r"""fx_taxonomy as (with b as (select cast(item_id as int) as item_id, text, regexp_extract(text, '^([\p{L}]+ [\p{L}]+)', 1) as concept from benchmark), d as (select 0 as dup union all select 1)
- select item_id * 2 + dup as idx, (item_id + dup * 2) % 6 + 1 as level, concept, substring(text, length(concept) + 2, 40) as tags, cast(item_id as string) as pages from b cross join d where concept <> ''
- union all by name select 1000 + item_id as idx, 1 as level, split_part(concept, ' ', 1) as concept, '' as tags, cast(item_id as string) as pages from b where length(split_part(concept, ' ', 1)) >= 3)""",
+    "fx_segments": "fx_segments as (select doc_id as segment_id, substring(text, 1, 80) as caption, substring(text, 81, 400) as summary, substring(text, 481, 500) as nearby, substring(text, 981) as ocr from documents)",
+    "fx_taxonomy": r"""fx_taxonomy as (with b as (select cast(item_id as int) as item_id, text, regexp_extract(text, '^([\p{L}]+ [\p{L}]+)', 1) as base, regexp_extract(text, '^[\p{L}]+ [\p{L}]+ ([\p{L}]+)', 1) as w3 from benchmark), d as (select 0 as dup union all select 1)
+ select item_id * 2 + dup as idx, (item_id + dup * 2) % 6 + 1 as level, case when item_id % 14 = 6 then concat(base, ' (T-bills)') when item_id % 10 = 4 then concat('LIBOR (', base, ')') when item_id % 5 = 1 then concat(base, ' (', upper(w3), ')')
+ when item_id % 5 = 2 then replace(base, ' ', '-') when item_id % 5 = 3 then concat(split_part(base, ' ', 1), ' (', split_part(base, ' ', 2), ')') else base end as concept, substring(text, length(base) + 2, 40) as tags, cast(item_id as string) as pages from b cross join d where base <> ''
+ union all by name select 1000 + item_id as idx, 1 as level, split_part(base, ' ', 1) as concept, '' as tags, cast(item_id as string) as pages from b where length(split_part(base, ' ', 1)) >= 3)""",
 }
 
 

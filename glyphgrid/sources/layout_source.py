@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 SCHEMAS = {
-    "spans": "page_no long, block_no int, line_no int, span_no int, text string, size double, x0 double, y0 double, x1 double, y1 double",
-    "drawings": "page_no long, draw_no int, x0 double, y0 double, x1 double, y1 double",
-    "images": "page_no long, img_no int, x0 double, y0 double, x1 double, y1 double, px_w int, px_h int, grey_var double",
+    "spans": "doc_id long, page_no long, block_no int, line_no int, span_no int, text string, size double, x0 double, y0 double, x1 double, y1 double",
+    "drawings": "doc_id long, page_no long, draw_no int, x0 double, y0 double, x1 double, y1 double",
+    "images": "doc_id long, page_no long, img_no int, x0 double, y0 double, x1 double, y1 double, px_w int, px_h int, grey_var double",
     "taxonomy": "idx int, level int, concept string, tags string, pages string",
 }
 

@@ -22,6 +22,9 @@ def test_concept_names(spark):
     parts = T.concept_parts(F.col("n"))
     assert one(spark, parts["main"], n="Treasury Bills (T-bills)") == "Treasury Bills"
     assert one(spark, parts["acronyms"], n="Treasury Bills (T-bills)") == ["t-bill", "t-bills"]
+    assert one(spark, parts["aliases"], n="Treasury Bill") == ["Treasury Bill"]
+    assert one(spark, parts["acronyms"], n="Funds (ETFs)") == ["etfs", "funds"]
+    assert one(spark, parts["aliases"], n="LIBOR") == ["LIBOR", "london interbank offer rate", "london interbank offered rate"]
 
 
 def test_captions(spark):
@@ -46,10 +49,37 @@ def test_exact_phrases(spark):
 
 
 def test_whitespace_boundary(spark):
-    blocks = spark.createDataFrame([(1, i, "x", a, b) for i, (a, b) in enumerate([(0.0, 20.0), (60.0, 80.0), (90.0, 100.0)])], "page_no long, block_no int, text string, y0 double, y1 double")
+    blocks = spark.createDataFrame([(1, 1, i, "x", a, b) for i, (a, b) in enumerate([(0.0, 20.0), (60.0, 80.0), (90.0, 100.0)])], "doc_id long, page_no long, block_no int, text string, y0 double, y1 double")
     blocks = blocks.withColumn("x0", F.lit(0.0)).withColumn("x1", F.lit(9.0))
-    anchor = spark.createDataFrame([(1, 9, 200.0)], "page_no long, region_id int, c_y0 double")
-    assert layout.whitespace_boundary(anchor, blocks).first().ws_y == 25.0
+    anchor = spark.createDataFrame([(1, 1, 9, 200.0), (2, 1, 9, 200.0)], "doc_id long, page_no long, region_id int, c_y0 double")
+    assert [(r.doc_id, r.ws_y) for r in layout.whitespace_boundary(anchor, blocks).collect()] == [(1, 25.0)]
+
+
+def test_pages_of_two_documents(spark):
+    blocks = spark.createDataFrame([(d, 1, 0, f"text of {d}", 0.0, 0.0, 10.0, 10.0) for d in (1, 2)], "doc_id long, page_no long, block_no int, text string, x0 double, y0 double, x1 double, y1 double")
+    regions = blocks.select("doc_id", "page_no", F.lit(5).alias("region_id"), "x0", "y0", "x1", "y1")
+    assert {r.doc_id: r.nearby_text for r in layout.nearby_text(regions, blocks).collect()} == {1: "text of 1", 2: "text of 2"}
+
+
+def test_gate(spark):
+    def shut(caption, text, phrases=("spread", "ted")):
+        row = spark.createDataFrame([("spread", caption, text, list(phrases))], "o string, c string, t string, p array<string>")
+        return row.select(linking.gated(F.col("o"), F.col("c"), F.col("t"), F.col("p")).alias("v")).first().v
+
+    assert not shut("Spread: a definition", "") and not shut("Spread", "")
+    assert shut("Spreadsheet view", "spreadsheet view") and shut("", "the spread of rates") and shut("Spread " + "x" * 90, "")
+    assert not shut("", "ted spread")
+
+
+def test_links_with_near_misses(spark):
+    taxonomy = spark.createDataFrame([(0, 1, "Dividend Yield", "income", ""), (1, 1, "LIBOR (London Interbank Offer Rate)", "", "")], "idx int, level int, concept string, tags string, pages string")
+    segments = spark.createDataFrame([(1, "Dividends and yields", "", "", ""), (2, "the libor fixing", "libor", "", "libor")], "segment_id long, caption string, summary string, ocr string, nearby string")
+    index = linking.concepts(taxonomy)
+    found = similarity.tokens(segments, T.normalized(linking.search_text()))
+    got = {(r.segment_id, r.idx): r.fuzzy for r in similarity.fuzzy_scores(found, index, linking.generic_terms(index)).collect()}
+    assert got == {(1, 0): 0.9, (2, 1): 1.0}
+    assert {(r.segment_id, r.idx) for r in linking.ranked_links(linking.scores(segments, index, least=0.5)).collect()} == {(2, 1)}
+    assert [(r.segment_id, r.idx) for r in linking.names_in(segments.select("segment_id", F.lower("caption").alias("text")), index.select("idx", F.lit("yields").alias("name")).where("idx = 0")).collect()] == [(1, 0)]
 
 
 def test_value_ranges_and_layout(spark):
@@ -69,10 +99,10 @@ def test_responses(spark):
 
 
 def test_folds(spark):
-    rows = [(1, 1, 1, 0.0, 0.0, 10.0, 10.0, 3.0), (1, 2, 1, 0.0, 0.0, 10.0, 10.0, 3.0), (1, 2, 2, 50.0, 50.0, 60.0, 60.0, 1.0)]
-    frame = spark.createDataFrame(rows, "page_no long, pass_no int, idx int, x0 double, y0 double, x1 double, y1 double, weight double")
+    rows = [(1, 1, 1, 1, 0.0, 0.0, 10.0, 10.0, 3.0), (1, 1, 2, 1, 0.0, 0.0, 10.0, 10.0, 3.0), (1, 1, 2, 2, 50.0, 50.0, 60.0, 60.0, 1.0)]
+    frame = spark.createDataFrame(rows, "doc_id long, page_no long, pass_no int, idx int, x0 double, y0 double, x1 double, y1 double, weight double")
     assert sorted((r.pass_no, r.idx) for r in folds.conflict_fold(frame).collect()) == [(2, 1), (2, 2)]
-    drawings = spark.createDataFrame([(1, i, float(80 * i), 0.0, 80.0 * i + 5, 5.0) for i in range(5)], "page_no long, draw_no int, x0 double, y0 double, x1 double, y1 double")
+    drawings = spark.createDataFrame([(1, 1, i, float(80 * i), 0.0, 80.0 * i + 5, 5.0) for i in range(5)], "doc_id long, page_no long, draw_no int, x0 double, y0 double, x1 double, y1 double")
     assert [(r.seed_no, r.n) for r in folds.drawing_clusters(drawings, 160.0, 3).collect()] == [(0, 3)]
 
 
