@@ -1,6 +1,6 @@
 """Token ids in compressed blocks: adaptive context mixing drives a range coder.
 
-A block codes up to ``BLOCK`` unsigned 32-bit ids and starts from a fresh model.
+A block codes up to ``BLOCK`` ids below 2 ** 28 and starts from a fresh model.
 For each id the order-2 and order-1 contexts (hashes of the ids before) predict the
 id that came after them last, each with a confidence; order 0 predicts a
 distribution by adaptive counts of ``BUCKETS`` ranges of ids, small ids alone and
@@ -26,7 +26,7 @@ part's ids before the chunk.
 Defined results: null is an empty text (the end id alone); a null doc_id comes
 first; rows of one doc_id follow each other in the order of a hash of their texts,
 and may be dealt to several parts; an empty table writes no rows; a block whose
-magic, count or crc32 is wrong, or an id beyond 32 bits, raises ValueError.
+magic, count or crc32 is wrong, or an id of 2 ** 28 or more, raises ValueError.
 """
 
 from __future__ import annotations
@@ -49,38 +49,37 @@ from .rank_bpe import vocabulary_path
 
 BLOCK = 1024
 #: Ids after which a chunk ends with the document, and blocks that are coded side by side at most.
-CHUNK_IDS, LANES = 3 << 20, 4096
-SLOTS = 1024
+CHUNK_IDS, LANES = 3 << 20, 2048
+#: A lane's state is kept small (6 KB), so that the lanes of a chunk stay in a core's cache.
+SLOT_BITS = 9
 #: Confidences of an offer, and rows of the weight tables: by order 2, by order 1, by both and their agreement.
-TRUST = 8
+TRUST = 4
 ROWS = TRUST + TRUST + TRUST * TRUST * 2
-MAGIC = b"CMX2"
+ID_BITS = 28
+MAGIC = b"CMX3"
 HEAD = struct.Struct("<4sII")
 PART_BYTES = 10 << 20
-MEMO = 150_000
+#: Distinct pieces whose ids a worker holds before it starts anew.
+MEMO = 500_000
 BUCKETS = 256
-#: What an order-0 count grows by; counts of a block of BLOCK ids stay below 2 ** 16.
-GROWTH = 16
-#: Steps of the coder have totals up to 2 ** 12 (orders), 2 ** 16 (buckets) and 2 ** 30 (places); a range has 2 ** 32 at least.
+#: What an order-0 count grows by; the counts of a block's BLOCK ids and BUCKETS stay below 2 ** 16 in all.
+GROWTH = np.uint16(16)
+#: Steps of the coder have totals up to 2 ** 12 (orders), 2 ** 16 (buckets) and 2 ** 27 (places); a range has 2 ** 32 at least.
 CLASS_BITS = 12
 U32 = np.uint64(32)
 LEAST = np.uint64(1 << 32)
 
 
-def buckets_of(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket of each id, and its place there: ids below 64 alone, 16 buckets an octave below 2 ** 16, 2 an octave above."""
-    octave = np.frexp(np.maximum(ids, 1).astype(np.float64))[1] - 1
-    bits = np.where(octave < 6, 0, np.where(octave < 16, octave - 4, octave - 1))
-    first = np.where(octave < 6, 0, np.where(octave < 16, 64 + (octave - 6) * 16 - 16, 224 + (octave - 16) * 2 - 2))
-    return first + (ids >> bits), ids & ((1 << bits) - 1)
-
-
 @functools.lru_cache(maxsize=1)
-def bucket_tables() -> tuple[np.ndarray, np.ndarray]:
-    """First id of each bucket and the bits of a place in it."""
+def bucket_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First id of each bucket, the bits of a place in it, and the bucket of each id below 2 ** 16.
+
+    Ids below 64 are alone; there are 16 buckets an octave below 2 ** 16, and 2 an octave above.
+    """
     bits = np.array([0] * 64 + [k - 4 for k in range(6, 16) for _ in range(16)] + [k - 1 for k in range(16, 32) for _ in range(2)])
     sizes = np.int64(1) << bits
-    return np.cumsum(sizes) - sizes, bits
+    firsts = np.cumsum(sizes) - sizes
+    return firsts, bits, np.searchsorted(firsts, np.arange(1 << 16), side="right") - 1
 
 
 class Writer:
@@ -150,126 +149,147 @@ class Model:
     """Adaptive state of ``lanes`` blocks."""
 
     def __init__(self, lanes: int):
-        self.offers = [np.zeros(lanes * SLOTS, dtype=np.int64) for _ in range(2)]  # id << 3 | confidence
-        first = np.empty((lanes, ROWS, 4), dtype=np.float32)
-        first[:] = (0.3, 0.3, 0.4, 1.0)  # counts of the orders 2, 1 and 0, and their sum
-        self.counts = first.reshape(-1)
+        self.lane = np.arange(lanes)
+        self.offers = [np.zeros(lanes << SLOT_BITS, dtype=np.uint32) for _ in range(2)]  # id << 2 | confidence
+        # rows of four float32, moved as one item each: counts of the orders 2, 1 and 0, and their sum
+        self.counts = np.tile(np.array([0.3, 0.3, 0.4, 1.0], dtype=np.float32), (lanes * ROWS, 1)).view(np.complex128).ravel()
+        self.seen = np.array([[1, 0, 0, 1], [0, 1, 0, 1], [0, 0, 1, 1]], dtype=np.float32).view(np.complex128).ravel()
         self.weights = [np.full(lanes, 1 / 3, dtype=np.float32) for _ in range(3)]
-        self.coarse = np.full((lanes, 16), 16, dtype=np.int64)
-        self.fine = np.ones((lanes * 16, 16), dtype=np.int64)
+        self.coarse = np.full((16, lanes), 16, dtype=np.uint16)
+        self.fine = np.ones((lanes * 16, 16), dtype=np.uint16)
+        self.sums = np.zeros((17, lanes), dtype=np.uint16)
+
+    def offered(self, m: int, before: np.ndarray, earlier: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Slots of the order-2 and order-1 contexts, and what they hold."""
+        mixed = before * np.uint32(0x9E3779B1)
+        hashes = ((mixed ^ earlier * np.uint32(0x85EBCA6B)) * np.uint32(0xC2B2AE35), mixed)
+        base = self.lane[:m] << SLOT_BITS
+        slots = [(h >> np.uint32(32 - SLOT_BITS)).astype(np.int64) + base for h in hashes]
+        return slots, [table.take(at) for table, at in zip(self.offers, slots, strict=True)]
+
+    def settle(self, slots: list[np.ndarray], packed: list[np.ndarray], offers: list[np.ndarray], found: np.ndarray) -> None:
+        """Offers that were right gain confidence, others lose half of it or make room."""
+        fresh = found << np.uint32(2)
+        for table, at, old, offer in zip(self.offers, slots, packed, offers, strict=True):
+            sure = old & np.uint32(3)
+            wrong = np.where(sure > 0, old - (sure + np.uint32(1) >> np.uint32(1)), fresh)
+            table[at] = np.where(offer == found, old + (sure < 3), wrong)
+
+    def chances(self, m: int, c2: np.ndarray, c1: np.ndarray, agree: np.ndarray) -> tuple[list, list, list]:
+        """Rows of the three tables, their contents, and the chances of the orders 2 and 1 by each."""
+        base = self.lane[:m] * ROWS
+        state = (c2 * TRUST + c1) * 2 + agree
+        rows = [base + c2, base + (TRUST + c1), base + (2 * TRUST + state)]
+        held = [self.counts.take(r) for r in rows]
+        quads = [h.view(np.float32).reshape(-1, 4) for h in held]
+        return rows, quads, [(q[:, 0] / q[:, 3], q[:, 1] / q[:, 3]) for q in quads]
+
+    def learn(self, m: int, rows: list, quads: list, chances: list, order: np.ndarray) -> None:
+        """The tables that gave the order that held a larger chance gain weight, and all count it."""
+        first, second = order == 0, order == 1
+        gained = [x[:m] * np.where(first, p2, np.where(second, p1, 1 - p2 - p1)) for x, (p2, p1) in zip(self.weights, chances, strict=True)]
+        scale = np.float32(0.97) / (gained[0] + gained[1] + gained[2])
+        for x, g in zip(self.weights, gained, strict=True):
+            np.add(g * scale, np.float32(0.01), out=x[:m])
+        seen = self.seen.take(order).view(np.float32).reshape(-1, 4)
+        for r, q in zip(rows, quads, strict=True):
+            self.counts[r] = (q + seen).view(np.complex128).ravel()
 
 
 def code_lanes(coder: Writer | Reader, sizes: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
     """Code or decode lanes of ``sizes`` ids (longest lane first) step by step; returns ids (steps x lanes)."""
     n, steps = len(sizes), int(sizes[0]) if len(sizes) else 0
     model = Model(n)
-    firsts, bits_of = bucket_tables()
-    out = np.zeros((steps, n), dtype=np.int64) if ids is None else ids
-    bucket_of, place_of = buckets_of(ids) if ids is not None else (None, None)
-    before, earlier = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
-    lanes = np.arange(n)
+    writes = ids is not None
+    firsts, bits_of, small = bucket_tables()
+    out = ids if writes else np.zeros((steps, n), dtype=np.uint32)
+    all_small = writes and (not ids.size or ids.max() < len(small))
+    before, earlier = np.zeros(n, dtype=np.uint32), np.zeros(n, dtype=np.uint32)
     live_counts = np.searchsorted(-sizes, -np.arange(steps), side="left")
     share = np.float32((1 << CLASS_BITS) - 6)
+    step = coder.put if writes else coder.take
     for t in range(steps):
         m = int(live_counts[t])
-        live = slice(0, m)
-        lane = lanes[:m]
-        a, b = before[:m], earlier[:m]
-        mixed = a * 0x9E3779B1
-        slots = lane * SLOTS + ((mixed ^ b * 0x85EBCA6B) >> 11 & SLOTS - 1), lane * SLOTS + (mixed >> 9 & SLOTS - 1)
-        packed = [table.take(s) for table, s in zip(model.offers, slots, strict=True)]
-        (two, one), (c2, c1) = [p >> 3 for p in packed], [p & 7 for p in packed]
-        state = (c2 << 3 | c1) << 1 | (two == one)
-        rows = [(lane * ROWS + r) << 2 for r in (c2, TRUST + c1, 2 * TRUST + state)]
-        counts = model.counts
-        chances = []
-        for row in rows:
-            total = counts.take(row + 3)
-            chances.append([counts.take(row) / total, counts.take(row + 1) / total])
+        slots, packed = model.offered(m, before[:m], earlier[:m])
+        two, one = offers = [p >> np.uint32(2) for p in packed]
+        c2, c1 = [(p & np.uint32(3)).astype(np.int64) for p in packed]
+        rows, quads, chances = model.chances(m, c2, c1, two == one)
         w = [x[:m] for x in model.weights]
-        size2 = ((w[0] * chances[0][0] + w[1] * chances[1][0] + w[2] * chances[2][0]) * share).astype(np.int64) + 1
-        size1 = ((w[0] * chances[0][1] + w[1] * chances[1][1] + w[2] * chances[2][1]) * share).astype(np.int64) + 1
+        size2 = ((w[0] * chances[0][0] + w[1] * chances[1][0] + w[2] * chances[2][0]) * share).astype(np.int32) + 1
+        size1 = ((w[0] * chances[0][1] + w[1] * chances[1][1] + w[2] * chances[2][1]) * share).astype(np.int32) + 1
         below0 = size2 + size1
         unit = coder.range[:m] >> np.uint64(CLASS_BITS)
-        if ids is not None:
-            wanted = out[t, :m]
-            order = np.where(wanted == two, 0, np.where(wanted == one, 1, 2))
+        found = out[t, :m]
+        if writes:
+            order = np.where(found == two, 0, 2 - (found == one))
         else:
-            value = (coder.ahead[:m] // unit).astype(np.int64)
+            value = (coder.ahead[:m] // unit).astype(np.int32)
             order = (value >= size2).astype(np.int64) + (value >= below0)
-        start = np.where(order == 0, 0, np.where(order == 1, size2, below0))
-        size = np.where(order == 0, size2, np.where(order == 1, size1, (1 << CLASS_BITS) - below0))
-        step = coder.put if ids is not None else coder.take
-        step(live, unit, start.astype(np.uint64), size.astype(np.uint64))
-        if ids is None:
-            wanted = out[t, :m]
-            np.copyto(wanted, np.where(order == 0, two, one))
+            np.copyto(found, np.where(order == 0, two, one))
+        held = order == 0
+        start = np.where(held, 0, np.where(order == 1, size2, below0))
+        size = np.where(held, size2, np.where(order == 1, size1, (1 << CLASS_BITS) - below0))
+        step(slice(0, m), unit, start.astype(np.uint64), size.astype(np.uint64))
         rest = np.flatnonzero(order == 2)
         if len(rest):
-            whole = model.coarse[rest].cumsum(axis=1)
-            unit = coder.range[rest] // whole[:, 15].astype(np.uint64)
-            at = np.arange(len(rest))
-            if ids is not None:
-                bucket = bucket_of[t, rest]
+            sums = model.sums
+            for k in range(16):
+                np.add(sums[k, :m], model.coarse[k, :m], out=sums[k + 1, :m])
+            unit = coder.range[rest] // sums[16, rest].astype(np.uint64)
+            if writes:
+                wanted = found[rest]
+                bucket = small.take(wanted) if all_small else np.searchsorted(firsts, wanted, side="right") - 1
                 major, minor = bucket >> 4, bucket & 15
             else:
-                value = np.minimum((coder.ahead[rest] // unit).astype(np.int64), whole[:, 15] - 1)
-                major = (whole <= value[:, None]).sum(axis=1)
-            floor = whole[at, major] - model.coarse[rest, major]
+                value = np.minimum(coder.ahead[rest] // unit, sums[16, rest] - np.uint16(1)).astype(np.uint16)
+                major = (sums[1:16, rest] <= value).sum(axis=0)
+            floor = sums[major, rest]
             cells = rest * 16 + major
-            part = model.fine[cells].cumsum(axis=1)
-            if ids is None:
-                minor = (part <= (value - floor)[:, None]).sum(axis=1)
+            part = model.fine.take(cells, axis=0)
+            own = np.arange(0, len(rest) * 16, 16)
+            ends = part.copy()
+            for k in range(1, 16):
+                np.add(ends[:, k], ends[:, k - 1], out=ends[:, k])
+            if not writes:
+                minor = (ends > (value - floor)[:, None]).argmax(axis=1)
                 bucket = major << 4 | minor
-            size = model.fine[cells, minor]
-            step(rest, unit, (floor + part[at, minor] - size).astype(np.uint64), size.astype(np.uint64))
-            model.fine[cells, minor] = size + GROWTH
-            model.coarse[rest, major] += GROWTH
+            own += minor
+            size = part.ravel().take(own)
+            step(rest, unit, (floor + ends.ravel().take(own) - size).astype(np.uint64), size.astype(np.uint64))
+            model.fine.ravel()[cells * 16 + minor] = size + GROWTH
+            model.coarse[major, rest] += GROWTH
             bits = bits_of[bucket]
             wide = np.flatnonzero(bits)
             there = rest[wide]
-            shift = bits[wide].astype(np.uint64)
-            unit = coder.range[there] >> shift
-            if ids is not None:
-                place = place_of[t, there]
+            unit = coder.range[there] >> bits[wide].astype(np.uint64)
+            if writes:
+                place = wanted[wide] - firsts[bucket[wide]]
             else:
                 place = np.minimum((coder.ahead[there] // unit).astype(np.int64), (1 << bits[wide]) - 1)
-                wanted[rest] = firsts[bucket]
-                wanted[there] += place
+                whole = firsts[bucket]
+                whole[wide] += place
+                found[rest] = whole
             step(there, unit, place.astype(np.uint64), np.ones(len(there), dtype=np.uint64))
-        # the tables that gave the order that held a larger chance gain weight
-        total = np.zeros(m, dtype=np.float32)
-        gained = []
-        for x, (p2, p1) in zip(w, chances, strict=True):
-            gained.append(x * np.where(order == 0, p2, np.where(order == 1, p1, 1 - p2 - p1)))
-            total = total + gained[-1]
-        scale = np.float32(0.97) / total
-        for x, g in zip(w, gained, strict=True):
-            np.copyto(x, g * scale + np.float32(0.01))
-        for row in rows:
-            counts[row + order] += 1
-            counts[row + 3] += 1
-        for table, s, offered, sure in zip(model.offers, slots, (two, one), (c2, c1), strict=True):
-            right = offered == wanted
-            table[s] = np.where(right, offered << 3 | np.minimum(sure + 1, 7), np.where(sure > 0, offered << 3 | sure >> 1, wanted << 3))
-        np.copyto(b, a)
-        np.copyto(a, wanted)
+        model.learn(m, rows, quads, chances, order)
+        model.settle(slots, packed, offers, found)
+        earlier[:m] = before[:m]
+        before[:m] = found
     return out
 
 
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
-    """Payloads of blocks of unsigned 32-bit ids."""
+    """Payloads of blocks of ids, up to BLOCK each."""
     if not blocks:
         return []
     sizes = np.array([len(b) for b in blocks])
     order = np.argsort(-sizes, kind="stable")
-    ids = np.zeros((int(sizes.max()), len(blocks)), dtype=np.int64)
+    if sizes.max() > BLOCK or any(len(b) and (b.min() < 0 or int(b.max()) >> ID_BITS) for b in blocks):
+        raise ValueError("a block is too long, or an id out of range")
+    ids = np.zeros((len(blocks), int(sizes.max())), dtype=np.uint32)
     for lane, i in enumerate(order):
-        ids[: sizes[i], lane] = blocks[i]
-    if ids.size and (ids.min() < 0 or ids.max() >> 32):
-        raise ValueError("a token id is beyond 32 bits")
-    writer = Writer(len(blocks), 2 * ids.shape[0] + 4)
-    code_lanes(writer, sizes[order], ids)
+        ids[lane, : sizes[i]] = blocks[i]
+    writer = Writer(len(blocks), 2 * ids.shape[1] + 4)
+    code_lanes(writer, sizes[order], np.ascontiguousarray(ids.T))
     out: list[bytes] = [b""] * len(blocks)
     for i, body in zip(order, writer.finish(), strict=True):
         out[i] = HEAD.pack(MAGIC, sizes[i], zlib.crc32(blocks[i].astype("<u4").tobytes())) + body
@@ -281,7 +301,7 @@ def decode_blocks(payloads: list[bytes]) -> list[np.ndarray]:
     if not payloads:
         return []
     heads = [HEAD.unpack(p[: HEAD.size]) if len(p) >= HEAD.size else (b"", 0, 0) for p in payloads]
-    if any(magic != MAGIC or n > 1 << 24 for magic, n, _ in heads):
+    if any(magic != MAGIC or n > BLOCK for magic, n, _ in heads):
         raise ValueError("not a block of token ids")
     sizes = np.array([n for _, n, _ in heads])
     order = np.argsort(-sizes, kind="stable")
@@ -316,29 +336,43 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(vocabulary_path(name))
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.memo: dict[str, list[int]] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.starts, self.sizes = np.zeros(MEMO, dtype=np.int64), np.zeros(MEMO, dtype=np.int64)
+        self.pool, self.used = np.zeros(1 << 20, dtype=np.uint32), 0
+
+    def _learn(self, words: list[str]) -> None:
+        for low in range(0, len(words), 4096):
+            part = words[low : low + 4096]
+            runs = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            sizes = np.fromiter(map(len, runs), dtype=np.int64, count=len(runs))
+            total, n = int(sizes.sum()), len(self.place)
+            while self.used + total > len(self.pool):
+                self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+            self.pool[self.used : self.used + total] = np.fromiter(itertools.chain.from_iterable(runs), dtype=np.uint32, count=total)
+            if n + len(runs) > len(self.starts):
+                self.starts, self.sizes = (np.concatenate([x, np.zeros(max(len(x), len(runs)), dtype=np.int64)]) for x in (self.starts, self.sizes))
+            self.starts[n : n + len(runs)] = self.used + np.cumsum(sizes) - sizes
+            self.sizes[n : n + len(runs)] = sizes
+            self.place.update(zip(part, range(n, n + len(runs)), strict=True))
+            self.used += total
 
     def slice_ids(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by ``end``, and the number of each."""
-        values, offsets = common.list_parts(pc.split_pattern_regex(texts, "[ \n]+"))
+        values, offsets = common.list_parts(pc.ascii_split_whitespace(texts))
         coded = values.dictionary_encode()
         words = coded.dictionary.to_pylist()
-        if len(self.memo) > MEMO:
-            self.memo.clear()
-        missing = [w for w in words if w not in self.memo]
-        for low in range(0, len(missing), 4096):
-            part = missing[low : low + 4096]
-            self.memo.update(zip(part, (e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)), strict=True))
-        runs = [self.memo[w] for w in words]
-        sizes = np.fromiter(map(len, runs), dtype=np.int64, count=len(runs))
-        flat = np.fromiter(itertools.chain.from_iterable(runs), dtype=np.uint32, count=int(sizes.sum()))
-        codes = coded.indices.to_numpy(zero_copy_only=False)
-        ends = np.cumsum(sizes[codes])
-        starts = (np.cumsum(sizes) - sizes)[codes]
-        ids = flat[np.repeat(starts - (ends - sizes[codes]), sizes[codes]) + np.arange(ends[-1] if len(ends) else 0)]
+        if len(self.place) > MEMO:
+            self._forget()
+        self._learn([w for w in words if w not in self.place])
+        at = np.fromiter(map(self.place.__getitem__, words), dtype=np.int64, count=len(words))[coded.indices.to_numpy(zero_copy_only=False)]
+        sizes = self.sizes[at]
+        ends = np.cumsum(sizes)
+        ids = self.pool[np.repeat(self.starts[at] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
         bounds = np.concatenate([[0], ends])[offsets]
-        counts = np.diff(bounds) + 1
-        return np.insert(ids, bounds[1:], end), counts
+        return np.insert(ids, bounds[1:], end), np.diff(bounds) + 1
 
 
 @functools.lru_cache(maxsize=1)
