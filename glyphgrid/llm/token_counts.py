@@ -1,10 +1,11 @@
 """Token counts: batch encoding inside Arrow functions, returning lengths only.
 
-Each Arrow slice is balanced by bytes, and texts are split at safe boundaries
-(see ``pieces``). The distinct pre-tokens of a slice go to the library's model,
-unless a worker's bounded memo has their lengths. A text for which the boundary
-rule could fail, or that holds a special token's string, goes to the library
-whole, in calls balanced by bytes.
+Texts go to the library in batches balanced by bytes. A text of more than ``LONG``
+characters is split first, before single spaces that stand between two ASCII
+letters or digits: such a space starts a new pre-token under every pre-tokenizer
+that ``splits_at_spaces`` accepts, read from the tokenizer's own file, so the parts'
+lengths add up to the whole text's. Other files, and long texts without such a
+space, are encoded whole. Ids never leave the library.
 
 Defined results: null counts as empty text (0 bytes, 0 tokens); repeated rows
 each get their own row; an empty table gives an empty result; columns other
@@ -14,77 +15,95 @@ than the two used are ignored.
 from __future__ import annotations
 
 import functools
-import itertools
+import json
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from . import common, pieces
-from .rank_bpe import printable_bytes, vocabulary_path
-
-#: Distinct words held by one worker before the memo is emptied.
-MEMO = 400_000
-
-
-class PieceCounter:
-    """Counts tokens of texts with a ``tokenizers`` file."""
-
-    def __init__(self, name: str, memo: int = MEMO):
-        from tokenizers import Tokenizer
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer = Tokenizer.from_file(vocabulary_path(name))
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.memo: dict[str, int] = {}
-        self.shown = {b: c for c, b in printable_bytes().items()}
-        self.limit = memo
-
-    def lengths(self, texts: list[str]) -> list[int]:
-        """Lengths by the library, in calls balanced by bytes."""
-        out: list[int] = []
-        start = size = 0
-        for i, t in enumerate(texts):
-            size += len(t)
-            if size > 1 << 20 or i == len(texts) - 1:
-                out += map(len, self.tokenizer.encode_batch_fast(texts[start : i + 1], add_special_tokens=False))
-                start, size = i + 1, 0
-        return out
-
-    def word_lengths(self, words: list[str]) -> np.ndarray:
-        """Tokens of each pre-token by the library's model, each distinct one asked once."""
-        get = self.memo.get
-        found = np.fromiter(map(get, words, itertools.repeat(-1)), dtype=np.int64, count=len(words))
-        missing = np.flatnonzero(found < 0)
-        if len(missing):
-            new = list(dict.fromkeys(words[i] for i in missing))
-            shown = [w.encode().decode("latin-1").translate(self.shown) for w in new]
-            tokenize = self.tokenizer.model.tokenize
-            sizes = {w: len(tokenize(s)) for w, s in zip(new, shown, strict=True)}
-            found[missing] = [sizes[words[i]] for i in missing]
-            if len(self.memo) + len(new) > self.limit:
-                self.memo.clear()
-            self.memo.update((w, n) for w, n in sizes.items() if len(w) < 100)
-        return found
+from . import common
+from .rank_bpe import vocabulary_path
+
+#: Characters of a part, and bytes of a batch.
+LONG, BATCH_BYTES = 1 << 16, 1 << 20
+BOUNDARY = re.compile("(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")
+
+
+def splits_at_spaces(spec: dict) -> bool:
+    """Whether a ``tokenizers`` file never joins a token over a space between letters, by its first pre-tokenizer."""
+    first = spec.get("pre_tokenizer") or {}
+    while first.get("type") == "Sequence":
+        first = first["pretokenizers"][0]
+    by_pattern = first.get("type") == "ByteLevel" and first.get("use_regex", True) and not first.get("add_prefix_space", True)
+    words_only = first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert") and " " not in (first.get("pattern") or {}).get("Regex", " ")
+    plain = all(" " not in t["content"] for t in spec.get("added_tokens", []))
+    return plain and bool(by_pattern or words_only or first.get("type") in ("Whitespace", "WhitespaceSplit", "BertPreTokenizer"))
+
+
+def parts_of(text: str) -> list[str]:
+    """Parts of about LONG characters, cut at safe boundaries."""
+    out, start = [], 0
+    while len(text) - start > LONG:
+        found = BOUNDARY.search(text, start + LONG)
+        if found is None:
+            break
+        out.append(text[start : found.start()])
+        start = found.start()
+    return [*out, text[start:]]
+
+
+class BatchCounter:
+    """Lengths of texts by a ``tokenizers`` .json or a ``sentencepiece`` .model file."""
+
+    def __init__(self, name: str):
+        path = vocabulary_path(name)
+        if path.endswith(".model"):
+            import sentencepiece
+
+            model = sentencepiece.SentencePieceProcessor(model_file=path)
+            self.splits = False
+            self.lengths = lambda texts: [len(ids) for ids in model.encode(texts, add_bos=False, add_eos=False, num_threads=1)]
+        else:
+            from tokenizers import Tokenizer
+
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            tokenizer = Tokenizer.from_file(path)
+            tokenizer.no_truncation()
+            tokenizer.no_padding()
+            with open(path, encoding="utf-8") as file:
+                self.splits = splits_at_spaces(json.load(file))
+            self.lengths = lambda texts: list(map(len, tokenizer.encode_batch_fast(texts, add_special_tokens=False)))
 
     def count(self, texts: pa.Array) -> np.ndarray:
-        parts = pieces.Slice(texts, self.specials)
-        ends = np.concatenate([[0], np.cumsum(parts.sizes)])
-        sizes = common.segment_sums(self.word_lengths(parts.words), ends)
-        out = common.segment_sums(sizes[parts.codes], parts.offsets)
-        if len(parts.whole):
-            out[parts.whole] = self.lengths(texts.take(pa.array(parts.whole)).to_pylist())
+        """Tokens of each text."""
+        out = np.zeros(len(texts), dtype=np.int64)
+        owners: list[int] = []
+        batch: list[str] = []
+        size = 0
+
+        def flush() -> None:
+            np.add.at(out, owners, self.lengths(batch))
+
+        for i, text in enumerate(texts.to_pylist()):
+            for part in parts_of(text) if self.splits and len(text) > LONG else [text]:
+                owners.append(i)
+                batch.append(part)
+                size += len(part)
+                if size >= BATCH_BYTES:
+                    flush()
+                    owners, batch, size = [], [], 0
+        if batch:
+            flush()
         return out
 
 
 @functools.lru_cache(maxsize=2)
-def worker_counter(name: str) -> PieceCounter:
-    """One counter a worker, so that its memo outlives a task."""
-    return PieceCounter(name)
+def worker_counter(name: str) -> BatchCounter:
+    """One counter a worker: files are read once."""
+    return BatchCounter(name)
 
 
 def token_counts(documents: DataFrame, tokenizer: str = "byte_bpe_50k.json", limit: int = 1024, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
