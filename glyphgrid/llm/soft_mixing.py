@@ -20,9 +20,9 @@ words other than bare punctuation.
 Defined results: null and empty texts have no tokens, prior posteriors and a rate
 that moves no total; a target domain without labelled rows can't be reached and
 its residual stays; without labelled rows all rates are 1; words are counted once
-a document; ids repeated in the labels count once for each distinct domain; rows
-that share an id keep a row each, with posteriors of their own text; equal
-chi-squares go by the word.
+a document; ids repeated in the labels count once for each distinct domain, and all
+rows of a labelled id count; rows that share an id keep a row each, with posteriors
+of their own text; equal chi-squares go by the word.
 """
 
 from __future__ import annotations
@@ -77,10 +77,12 @@ def fit(documents: DataFrame, labels: DataFrame, domains: list[str], sample_rows
         return None
     draw = F.pmod(F.xxhash64(F.col("id"), F.lit("mixing")), F.lit(SAMPLE_RANGE))
     chosen = marked.where(draw < int(min(1.0, sample_rows / total) * SAMPLE_RANGE))
-    counted = {r.domain: r["count"] for r in chosen.groupBy("domain").count().collect()}
-    sizes = [counted.get(d, 0) for d in domains]
     # the sample is bounded by sample_rows, whatever the tables hold
     texts = common.plain_names(documents, id_column, "text").toDF("id", "text").join(F.broadcast(chosen), "id")
+    counted = {r.domain: r["count"] for r in texts.groupBy("domain").count().collect()}  # rows: an id may have several texts, or none
+    sizes = [counted.get(d, 0) for d in domains]
+    if not sum(sizes):
+        return None
     seen = with_words(texts, "domain").select("domain", F.explode(F.array_distinct("__words")).alias("word"))
     counts = seen.groupBy("word").agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("domain") == d).alias(f"n{i}") for i, d in enumerate(domains)])
     shares = [s / max(sum(sizes), 1) for s in sizes]
@@ -184,10 +186,12 @@ TARGETS = {"clean": 0.93, "low": 0.05, "toxic": 0.02}
 
 def take(documents: DataFrame, mixture: Mixture, id_column: str = "doc_id") -> DataFrame:
     """Rows as often as their rates say: the whole part, and one more with the rest's probability by a hash of id and text."""
-    rated = posteriors(documents, mixture.classifier, *documents.columns)
-    draw = F.pmod(F.xxhash64(F.col(f"`{id_column}`"), F.col("text"), F.lit("take")), F.lit(SAMPLE_RANGE)) / SAMPLE_RANGE
-    copies = F.floor(rates("__p", mixture.history, mixture.pull, mixture.step)[0] + draw).cast("int")
     names = [F.col(f"`{c}`") for c in documents.columns]
+    rows = documents.select(F.struct(*names).alias("__row"), F.col(f"`{id_column}`").alias("__id"), "text")  # a struct can't clash with columns of our own
+    rated = posteriors(rows, mixture.classifier, "__row", "__id", "text")
+    draw = F.pmod(F.xxhash64("__id", "text", F.lit("take")), F.lit(SAMPLE_RANGE)) / SAMPLE_RANGE
+    copies = F.floor(rates("__p", mixture.history, mixture.pull, mixture.step)[0] + draw).cast("int")
     # the place keeps the filter from being pushed into the posteriors' expressions, which would evaluate them many times over
-    counted = rated.select(*names, copies.alias("__copies"), F.monotonically_increasing_id().alias("__place")).where("__copies > 0 and __place >= 0")
-    return counted.select(*names, F.explode(F.array_repeat(F.lit(0), F.col("__copies")))).select(*names)
+    counted = rated.select("__row", copies.alias("__copies"), F.monotonically_increasing_id().alias("__place")).where("__copies > 0 and __place >= 0")
+    repeated = counted.select("__row", F.explode(F.array_repeat(F.lit(0), F.col("__copies"))))
+    return repeated.select(*[F.col("__row")[c].alias(c) for c in documents.columns])
