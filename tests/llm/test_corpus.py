@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -42,6 +43,17 @@ def test_token_counts(documents):
         assert (r.n_bytes, r.n_tokens) == (len(text.encode()), len(tokenizer.encode(text, add_special_tokens=False).ids))
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_long_texts_are_split_safely(name):
+    tokenizer = library(name)
+    letters = np.random.default_rng(5)
+    words = [*WORDS["aa"], *WORDS["zz"], "it's", "  ", "\n", "naïve", "12", "x.", "<|endoftext|>", "中文", "\t "]
+    texts = [" ".join(letters.choice(words, size=30_000)), "ab" * 80_000, "中文" * 40_000, "", "a b"]
+    counter = token_counts.BatchCounter(name)
+    assert counter.splits and len(token_counts.parts_of(texts[0])) > 1 and "".join(token_counts.parts_of(texts[0])) == texts[0]
+    assert counter.count(pa.array(texts)).tolist() == [len(tokenizer.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
 def test_rank_bpe(documents):
     tokenizer = library("byte_bpe_50k.json")
     for r in rank_bpe.round_trip_digests(documents, keep_ids=True).collect():
@@ -128,13 +140,64 @@ def test_mixing(spark):
     assert abs(sum(r.rate * r.tokens * r.p[0] for r in got) / total - 0.8) < 0.01 and min(r.rate for r in got) >= 0
 
 
-def test_range_coder(documents):
-    blocks = [rng.zipf(1.4, size=n).clip(0, 49407) for n in (0, 1, 300, 299)]
+def test_mixing_keeps_rows_and_fits(spark):
+    texts = [(i % 50, prose("aa" if i % 3 else "zz", 40 + i, i)) for i in range(150)] + [(None, None), (None, ""), (7, None)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string").withColumn("__p", F.lit(1)).withColumn("rate", F.lit("x"))
+    labels = spark.createDataFrame([(i, "aa" if i % 2 else "zz") for i in range(40)] + [(None, "aa")], "doc_id long, domain string")
+    targets = {"aa": 0.7, "zz": 0.3}
+    mixture, table = soft_mixing.fit_mixture(frame, labels, targets, turns=200)
+    got = soft_mixing.mix(frame, labels, targets, turns=200).collect()
+    assert len(got) == len(texts) and {r.tokens for r in got if r.doc_id is None} == {0}
+    # the same least squares by plain projected gradients over documents
+    p = np.array([r.p for r in got])
+    tokens = np.array([r.tokens for r in got], dtype=float)
+    total, wanted = tokens.sum(), np.array([0.7, 0.3])
+    scale = np.maximum((tokens[:, None] * p).sum(axis=0) / total, 1e-6)
+    rates = np.ones(len(got))
+    for _ in range(4000):
+        residual = ((rates * tokens) @ p / total - wanted) / scale
+        rates = np.maximum(0, rates - (p @ residual + 1e-3 * (rates - 1)))
+    mine = np.array([r.rate for r in got])
+    loss = lambda r: ((((r * tokens) @ p / total - wanted) ** 2) / scale).sum() + 1e-3 * (tokens * (r - 1) ** 2).sum() / total
+    assert loss(mine) <= loss(rates) + 1e-4 and mine.min() >= 0
+    taken = soft_mixing.take(frame, mixture)
+    assert taken.columns == frame.columns and abs(taken.count() - mine.sum()) < 3 * len(got) ** 0.5
+    none = soft_mixing.mix(frame, labels.where("false"), targets).collect()
+    assert len(none) == len(texts) and {r.rate for r in none} == {1.0}
+    assert soft_mixing.mix(frame.where("false"), labels, targets).count() == 0
+
+
+def test_range_coder():
+    draws = np.random.default_rng(9)
+    blocks = [draws.zipf(1.4, size=n).clip(0, 49407) for n in (0, 1, 300, 299, 1024)]
+    blocks += [draws.integers(0, 1 << 28, 200), np.full(500, 7), np.tile([5, 70_000, 3], 100), np.arange(1000)]
     payloads = context_coder.encode_blocks(blocks)
     assert all((a == b).all() for a, b in zip(blocks, context_coder.decode_blocks(payloads), strict=True))
+    assert len(payloads[6]) < 100 and all((context_coder.decode_blocks([p])[0] == b).all() for p, b in zip(payloads, blocks, strict=True))
     broken = payloads[2][:40] + bytes([payloads[2][40] ^ 1]) + payloads[2][41:]
-    with pytest.raises(ValueError):
-        context_coder.decode_blocks([broken])
+    for bad in (broken, payloads[2][:5], b"CMX0" + payloads[2][4:]):
+        with pytest.raises(ValueError):
+            context_coder.decode_blocks([bad])
+    for wrong in (np.array([1 << 28]), np.array([-1]), np.zeros(1025, dtype=np.int64)):
+        with pytest.raises(ValueError):
+            context_coder.encode_blocks([wrong])
+
+
+def test_written_ids(spark):
+    tokenizer = library("word_bpe_49k.json")
+    rows = [(i * 7 % 48, t) for i, t in enumerate(TEXTS)] + [(None, "no id"), (None, None), (3, "again"), (3, "again"), (900, prose("aa", 6000, 1))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("part", F.lit("x")).repartition(5)
+    got = context_coder.written_digests(frame).orderBy("start").collect()
+    assert len(got) == len(rows) and [r.doc_id for r in got[:2]] == [None, None]
+    ids = [r.doc_id for r in got[2:]]
+    assert ids == sorted(ids)
+    known = Counter()
+    for doc, text in rows:
+        run = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
+        known[doc, len(run), zlib.crc32(np.array(run, dtype="<u4").tobytes())] += 1
+    assert Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in got) == known
+    assert [r.start for r in got] == np.cumsum([0, *[r.n_tokens for r in got]])[:-1].tolist()
+    assert context_coder.written_digests(frame.where("false")).count() == 0
 
 
 def test_word_ids():
@@ -196,3 +259,67 @@ def test_near_duplicates_in_a_template(spark):
     assert planted_classes({i: texts[i] for i in range(4)}) == {0: 0, 1: 0, 2: 2, 3: 2}
     frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     assert {r.doc_id: r.class_id for r in order_minhash.classes(frame).collect()} == {i: i // 2 * 2 for i in texts}
+
+
+def alignment_classes(rows: list[tuple], threshold: float = 0.8) -> dict:
+    """Class of each (id, text) by all pairs of distinct texts."""
+    texts = sorted({t for _, t in rows if t is not None})
+    keys, offsets = order_minhash.kmers(*order_minhash.WordHasher().flat(pa.array(texts)))
+    own = [keys[a:b] for a, b in zip(offsets, offsets[1:], strict=False)]
+    label = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if label[i] != label[j] and len(own[i]) and len(own[j]) and order_minhash.matches(own[i], own[j], threshold) >= order_minhash.least_matches(len(own[i]), len(own[j]), threshold):
+                label = [label[i] if x == label[j] else x for x in label]
+    at = {t: label[i] for i, t in enumerate(texts)}
+    least: dict = {}
+    for i, t in rows:
+        if t is not None and i is not None:
+            least[at[t]] = min(i, least.get(at[t], i))
+    return {(i, t): least.get(at[t]) if t is not None else i for i, t in rows}
+
+
+def test_crowded_family_and_chains(spark):
+    draw = np.random.default_rng(21)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    base = list(draw.choice(vocabulary, size=150))
+    rows = []
+    for i in range(120):  # copies with one to twenty words changed: links, chains and near misses of one template
+        words = list(base)
+        for at in draw.choice(150, size=int(draw.integers(0, 8)), replace=False):
+            words[at] = f"x{draw.integers(10**9)}"
+        rows.append((i, " ".join(words)))
+    chain = list(draw.choice(vocabulary, size=100))
+    for i in range(12):  # each is like the one before, and less and less like the first
+        chain[8 * i] = f"y{i}"
+        rows.append((200 + i, " ".join(chain)))
+    passage = " ".join(draw.choice(vocabulary, size=60))
+    rows += [(300 + i, passage + " " + " ".join(draw.choice(vocabulary, size=40))) for i in range(60)]
+    rows += [(5, "an id again"), (5, "an id again"), (400, rows[0][1]), (None, "of no id"), (401, None), (402, ""), (403, ""), (404, "?!")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("node", F.lit(1)).withColumn("class_id", F.lit("z"))
+    want = alignment_classes(rows)
+    got = order_minhash.classes(frame).collect()
+    assert Counter((r.doc_id, r.class_id) for r in got) == Counter((i, want[i, t]) for i, t in rows)
+    kept = order_minhash.keep_one(frame)
+    assert kept.columns == frame.columns
+    assert Counter(r.doc_id for r in kept.collect()) == Counter(i for i, t in dict.fromkeys(rows) if i == want[i, t] and (t is None or t != rows[0][1] or i != 400))
+    assert order_minhash.classes(frame.where("false")).count() == 0
+
+
+def test_filters_of_the_pipeline(spark, tmp_path):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    rows = [(i, prose("aa" if i % 2 else "zz", 80 + i, i), "aa" if i % 2 else "zz", "s", 0) for i in range(60)] + [(None, None, None, None, None), (3, "", "aa", "s", 0), (70, "# " * 300, "aa", "s", 0)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(i, int(i % 10 != 0), 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    voters = neighbour_quality.fit(docs, labels)
+    plain = {r.doc_id: r.score for r in neighbour_quality.score(docs.where("doc_id >= 60"), voters).collect()}
+    kept = neighbour_quality.keep(docs, voters, 0.3)
+    assert kept.schema == docs.schema and {r.doc_id for r in kept.where("doc_id >= 60").collect()} == {i for i, s in plain.items() if s >= 0.3}
+    judged = {(r.doc_id, r.n_words) for r in divergence_rules.judge(docs).where("kept").collect()}
+    ruled = divergence_rules.keep(docs)
+    assert ruled.columns == docs.columns and {(r.doc_id, len(r.text.split())) for r in ruled.collect()} == judged
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert {"doc_id", "n_tokens", "ids"} <= set(out.columns) and out.where("doc_id is null or doc_id = 70").count() == 0 and out.count() > 20
