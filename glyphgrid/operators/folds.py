@@ -52,30 +52,66 @@ def _overlap(a, b) -> float:
     return max(0.0, min(a[2], b[2]) - max(a[0], b[0])) * max(0.0, min(a[3], b[3]) - max(a[1], b[1])) / small
 
 
+def area(box) -> float:
+    return max(0.0, box.x1 - box.x0) * max(0.0, box.y1 - box.y0)
+
+
+def keeps_first(first, second) -> bool:
+    """Whether a segment wins over an embedded image that overlaps it: by caption, size, variance, drawings and score."""
+    own = 3 * bool(first.captioned) + 2 * ((first.n_drawings or 0) > 10)
+    other = 2 * ((second.grey_var or 0) > 1000) + (second.score > 0.7)
+    if area(first) > 1.2 * area(second):
+        own += 2
+    elif area(second) > 1.2 * area(first):
+        other += 1
+    return own > other
+
+
 def conflict_fold(candidates: DataFrame) -> DataFrame:
-    """Segments that stay when candidates (page, pass_no, idx, box, weight) come one after another.
+    """Segments that stay when embedded images (pass 2) come one after another upon caption regions (pass 1).
+
+    An image meets the first segment kept so far that it overlaps by more than 0.4;
+    if the image wins, that segment goes and the image comes last. ``place`` counts from 1.
+    """
+
+    def fold(page: list) -> list:
+        kept: list = []
+        for row in page:
+            at = next((i for i, k in enumerate(kept) if _overlap((k.x0, k.y0, k.x1, k.y1), (row.x0, row.y0, row.x1, row.y1)) > 0.4), None) if row.pass_no > 1 else None
+            if at is not None and keeps_first(kept[at], row):
+                continue
+            if at is not None:
+                kept.pop(at)
+            kept.append(row)
+        return [(r.doc_id, r.page_no, r.pass_no, r.idx, i + 1, r.x0, r.y0, r.x1, r.y1) for i, r in enumerate(kept)]
+
+    names = [*PAGE, "pass_no", "idx", "x0", "y0", "x1", "y1", "captioned", "grey_var", "score", "n_drawings"]
+    return by_page(candidates.select(*names), ["pass_no", "idx"], fold, "doc_id long, page_no long, pass_no int, idx int, place int, x0 double, y0 double, x1 double, y1 double")
+
+
+def new_regions(candidates: DataFrame) -> DataFrame:
+    """Drawing regions (pass 2) that no earlier region covers by over half and that hold no caption; all caption regions (pass 1).
 
-    A candidate meets the first segment kept so far that it overlaps by more than
-    0.4: the greater weight stays in that place, an equal one is replaced.
+    A caption (``c_x0``, ``c_y0``) is held if it starts within the region's width and within 50 of its lower edge.
     """
 
     def fold(page: list) -> list:
         kept: list = []
+        captions = [r for r in page if r.pass_no == 1]
         for row in page:
-            box = (row.x0, row.y0, row.x1, row.y1)
-            at = next((i for i, k in enumerate(kept) if _overlap((k.x0, k.y0, k.x1, k.y1), box) > 0.4), None) if row.pass_no > 1 else None
-            if at is None:
-                kept.append(row)
-            elif row.weight >= kept[at].weight:
-                kept[at] = row
-        return kept
+            if row.pass_no > 1:
+                shared = (max(0.0, min(row.x1, k.x1) - max(row.x0, k.x0)) * max(0.0, min(row.y1, k.y1) - max(row.y0, k.y0)) for k in kept)
+                if any(x > area(row) * 0.5 for x in shared) or any(row.x0 <= c.c_x0 <= row.x1 and row.y1 - 50 <= c.c_y0 <= row.y1 + 50 for c in captions):
+                    continue
+            kept.append(row)
+        return [(r.doc_id, r.page_no, r.pass_no, r.idx, i + 1, r.x0, r.y0, r.x1, r.y1) for i, r in enumerate(kept)]
 
-    names = [*PAGE, "pass_no", "idx", "x0", "y0", "x1", "y1", "weight"]
-    return by_page(candidates.select(*names), ["pass_no", "idx"], fold, "doc_id long, page_no long, pass_no int, idx int, x0 double, y0 double, x1 double, y1 double, weight double")
+    names = [*PAGE, "pass_no", "idx", "x0", "y0", "x1", "y1", "c_x0", "c_y0"]
+    return by_page(candidates.select(*names), ["pass_no", "idx"], fold, "doc_id long, page_no long, pass_no int, idx int, place int, x0 double, y0 double, x1 double, y1 double")
 
 
 def drawing_clusters(drawings: DataFrame, reach: float = 100.0, least: int = 3) -> DataFrame:
-    """Seeded groups of drawings (page, draw_no, box): members lie within ``reach`` of the seed; small groups go."""
+    """Seeded groups of drawings (page, draw_no, box): members lie closer than ``reach`` to the seed; small groups go."""
 
     def gap(a, b) -> float:
         dx, dy = max(0.0, b[0] - a[2], a[0] - b[2]), max(0.0, b[1] - a[3], a[1] - b[3])
@@ -85,7 +121,7 @@ def drawing_clusters(drawings: DataFrame, reach: float = 100.0, least: int = 3)
         free, found = page, []
         while free:
             seed = free[0]
-            near = [r for r in free if gap((seed.x0, seed.y0, seed.x1, seed.y1), (r.x0, r.y0, r.x1, r.y1)) <= reach]
+            near = [r for r in free if gap((seed.x0, seed.y0, seed.x1, seed.y1), (r.x0, r.y0, r.x1, r.y1)) < reach]
             members = {r.draw_no for r in near}
             free = [r for r in free if r.draw_no not in members]
             if len(near) >= least:
@@ -96,7 +132,7 @@ def drawing_clusters(drawings: DataFrame, reach: float = 100.0, least: int = 3)
     return by_page(rows, ["draw_no"], cluster, "doc_id long, page_no long, seed_no int, n int, x0 double, y0 double, x1 double, y1 double")
 
 
-def drawing_regions(clusters: DataFrame, page_area: float, pad: float = 10.0) -> DataFrame:
-    """Padded bounds of clusters that are neither tiny nor nearly the page."""
-    size = f"(x1 - x0 + {2 * pad}) * (y1 - y0 + {2 * pad})"
-    return clusters.where(f"{size} > 5000 and {size} < {0.8 * page_area}").selectExpr(*PAGE, "seed_no", f"x0 - {pad} as x0", f"y0 - {pad} as y0", f"x1 + {pad} as x1", f"y1 + {pad} as y1")
+def drawing_regions(clusters: DataFrame, page_width: float, page_height: float, pad: float = 10.0) -> DataFrame:
+    """Padded bounds of clusters, cut to the page, that are neither tiny nor nearly the page."""
+    boxes = clusters.selectExpr(*PAGE, "seed_no", f"greatest(0D, x0 - {pad}) as x0", f"greatest(0D, y0 - {pad}) as y0", f"least({page_width}D, x1 + {pad}) as x1", f"least({page_height}D, y1 + {pad}) as y1")
+    return boxes.where(f"(x1 - x0) * (y1 - y0) > 5000 and (x1 - x0) * (y1 - y0) < {0.8 * page_width * page_height}")

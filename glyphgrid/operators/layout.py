@@ -156,11 +156,15 @@ def extend_to_caption(found: DataFrame) -> DataFrame:
 
 
 def validate_images(images: DataFrame, blocks: DataFrame, page_height: float = 1260.0) -> DataFrame:
-    """Scores of embedded images (page, img_no, box, px_w, px_h, grey_var); over 1 counts as 1, there is no floor."""
+    """Scores of embedded images (page, img_no, box, px_w, px_h, grey_var) with notes; over 1 counts as 1, there is no floor.
+
+    A page's height is its ``page_height`` column where images have one.
+    """
     regions = images.withColumnRenamed("img_no", "region_id")
     near = caption_below(regions, blocks)
     rows = regions.join(near, [*PAGE, "region_id"], "left")
-    size, aspect, place = G.area(), (F.col("x1") - F.col("x0")) / (F.col("y1") - F.col("y0")), F.col("y0") / page_height
+    height = F.col("page_height") if "page_height" in images.columns else F.lit(page_height)
+    size, aspect, place = G.area(), F.when(F.col("px_h") > 0, F.col("px_w") / F.col("px_h")).otherwise(1.0), F.col("y0") / height
     score = (
         F.when(size > 10000, 0.3).otherwise(0.1)
         + F.when((F.col("px_w") > 200) & (F.col("px_h") > 200), 0.2).otherwise(0.0)
@@ -171,7 +175,19 @@ def validate_images(images: DataFrame, blocks: DataFrame, page_height: float = 1
     )
     rejected = (size < 3000) | (F.col("px_w") < 50) | (F.col("px_h") < 50)
     value = F.when(rejected, 0.0).otherwise(F.least(F.lit(1.0), F.round(score, 6)))
-    return rows.select(*PAGE, F.col("region_id").alias("img_no"), value.alias("score"), (value >= 0.5).alias("kept"), "caption", *BOX, "grey_var")
+    found = [
+        F.when(size > 10000, "good_size").otherwise("moderate_size"), F.when((F.col("px_w") > 200) & (F.col("px_h") > 200), "substantial_dimensions"),
+        F.when((aspect > 0.2) & (aspect < 5), "good_aspect_ratio").otherwise("unusual_aspect_ratio"), F.when((place < 0.1) | (place > 0.9), "likely_header_footer").otherwise("good_position"),
+        F.when(F.col("caption").isNotNull(), "has_caption"), F.when(F.col("grey_var") < 10, "low_variance").when(F.col("grey_var") > 100, "good_content_variance"),
+    ]
+    notes = F.when(size < 3000, "too_small").when(rejected, "tiny_dimensions").otherwise(F.concat_ws(", ", *found))
+    return rows.select(*PAGE, F.col("region_id").alias("img_no"), value.alias("score"), (value >= 0.5).alias("kept"), notes.alias("notes"), "caption", *BOX, "grey_var")
+
+
+def drawings_inside(regions: DataFrame, drawings: DataFrame, key: str) -> DataFrame:
+    """(page, key, n_drawings): drawings whose corner lies in a region."""
+    inside = regions.select(*PAGE, key, *BOX).join(prefixed(drawings, "d_"), PAGE).where("d_x0 between x0 and x1 and d_y0 between y0 and y1")
+    return inside.groupBy(*PAGE, key).agg(F.count(F.lit(1)).alias("n_drawings"))
 
 
 def conflict_scores(regions: DataFrame, images: DataFrame, drawings: DataFrame) -> DataFrame:

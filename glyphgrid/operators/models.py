@@ -20,21 +20,23 @@ class Analyzer(Protocol):
 
 
 def analyze(segments: DataFrame, make: Callable[[], Analyzer]) -> DataFrame:
-    """(segment_id, response_json); one analyzer a worker call, errors give a null response."""
+    """(segment_id, response_json, error); one analyzer a worker call; a failed call is a row with its error and no response."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         analyzer = make()
 
         def one(image, text):
             try:
-                return analyzer(image, (text or "")[:500])
-            except Exception:  # a failed call is a row without a response
-                return None
+                return analyzer(image, (text or "")[:500]), None
+            except Exception as error:
+                return None, f"{type(error).__name__}: {error}"
 
         for b in batches:
-            yield pd.DataFrame({"segment_id": b.segment_id, "response_json": [one(i, t) for i, t in zip(b.image, b.ocr, strict=True)]})
+            answers = [one(i, t) for i, t in zip(b.image, b.ocr, strict=True)]
+            yield pd.DataFrame({"segment_id": b.segment_id, "response_json": [a for a, _ in answers], "error": [e for _, e in answers]})
 
-    return segments.select("segment_id", "image", "ocr").mapInPandas(run, "segment_id long, response_json string")
+    kind = segments.schema["segment_id"].dataType.simpleString()
+    return segments.select("segment_id", "image", "ocr").mapInPandas(run, f"segment_id {kind}, response_json string, error string")
 
 
 def json_body(response: Column) -> Column:
@@ -43,13 +45,14 @@ def json_body(response: Column) -> Column:
     return F.when(fenced != "", fenced).otherwise(F.trim(F.regexp_replace(response, "```(?:json)?", "")))
 
 
-def parse_responses(responses: DataFrame) -> DataFrame:
-    """Type, confidence and summary of responses; unreadable ones get the fallback."""
+def parse_responses(responses: DataFrame, *kept: str) -> DataFrame:
+    """Type, confidence and summary of responses, with columns ``kept``; unreadable ones get the fallback."""
     rows = responses.withColumn("r", F.from_json(json_body(F.col("response_json")), RESPONSE, {"mode": "PERMISSIVE"}))
     category = F.lower("r.classification.category")
     known = F.col("r.classification").isNotNull()
     return rows.select(
         "segment_id",
+        *kept,
         F.when(known & category.isin(TYPES), category).otherwise("figure").alias("segment_type"),
         F.when(known, F.least(F.lit(0.95), F.coalesce("r.classification.confidence", F.lit(0.7)))).otherwise(0.3).alias("confidence"),
         F.when(known, "comprehensive").otherwise("fallback_heuristic").alias("method"),
@@ -58,13 +61,52 @@ def parse_responses(responses: DataFrame) -> DataFrame:
     )
 
 
-def mermaid(response: Column) -> Column:
-    return F.nullif(F.regexp_extract(response, r"(?s)```mermaid\s*(.*?)```", 1), F.lit(""))
-
-
-def mermaid_type(code: Column) -> Column:
-    head = F.lower(F.substring(code, 1, 50))
-    return F.when(head.contains("sequence"), "sequence").when(head.contains("class"), "class").when(head.contains("state"), "state").otherwise("flowchart")
+METADATA = """chart_subtype string, x_axis_label string, y_axis_label string, legend_items array<string>, data_series_count int, has_grid boolean, value_range struct<min:double,max:double>,
+ diagram_subtype string, node_count int, decision_points int, has_hierarchy boolean, layout_type string,
+ image_subtype string, contains_text boolean, text_density string, is_embedded_table boolean, is_composite boolean, sub_figure_count int, contains_chart boolean, contains_diagram boolean, contains_image boolean"""
+LISTS = ["definitions", "formulas", "variables", "tables", "input_variables", "output_values"]
+
+
+def listed(body: Column, name: str) -> Column:
+    """A list of a JSON object, each item as JSON text; anything else gives an empty list."""
+    return F.coalesce(F.from_json(F.get_json_object(body, f"$.{name}"), "array<string>"), F.array().cast("array<string>"))
+
+
+def typed_metadata(rows: DataFrame) -> DataFrame:
+    """Rows (segment_id, segment_type, metadata) with chart, diagram, image and figure structs, null but for the type's own."""
+    m = rows.withColumn("m", F.coalesce(F.from_json("metadata", METADATA), F.from_json(F.lit("{}"), METADATA)))
+    kind = F.col("segment_type")
+    ranged = F.col("m.value_range").isNotNull()
+    chart = F.struct(
+        F.col("m.chart_subtype").alias("subtype"), F.col("m.x_axis_label").alias("x_label"), F.col("m.y_axis_label").alias("y_label"), F.coalesce("m.legend_items", F.array().cast("array<string>")).alias("legend"),
+        F.coalesce("m.data_series_count", F.lit(0)).alias("series_count"), F.coalesce("m.has_grid", F.lit(False)).alias("grid"), F.when(ranged, F.col("m.value_range.min")).alias("lo"), F.when(ranged, F.col("m.value_range.max")).alias("hi"),
+    )
+    diagram = F.struct(
+        F.when(kind == "flowchart", "flowchart").otherwise(F.col("m.diagram_subtype")).alias("subtype"), F.coalesce("m.node_count", F.lit(0)).alias("node_count"),
+        (F.coalesce("m.decision_points", F.lit(0)) > 0).alias("decision_points"), F.coalesce("m.has_hierarchy", F.lit(False)).alias("hierarchy"), F.col("m.layout_type").alias("layout"),
+    )
+    image = F.struct(
+        F.col("m.image_subtype").alias("subtype"), F.coalesce("m.contains_text", F.lit(False)).alias("contains_text"), F.coalesce("m.text_density", F.lit("none")).alias("density"), F.coalesce("m.is_embedded_table", F.lit(False)).alias("has_table"),
+        *[listed(F.col("metadata"), name).alias(name) for name in LISTS], F.get_json_object("metadata", "$.calculation_verification").alias("verification"),
+    )
+    figure = F.struct(*[F.coalesce(f"m.{c}", F.lit(False)).alias(c) for c in ("is_composite", "contains_chart", "contains_diagram", "contains_image")], F.coalesce("m.sub_figure_count", F.lit(0)).alias("sub_figures"))
+    parts = {"chart": (["chart"], chart), "diagram": (["flowchart", "diagram"], diagram), "image": (["image"], image), "figure": (["figure"], figure)}
+    return m.select("segment_id", "segment_type", *[F.when(kind.isin(types), value).alias(name) for name, (types, value) in parts.items()])
+
+
+def mermaid(response: Column, segment_type: Column) -> Column:
+    """Struct (code, type, confidence) of a fenced diagram, for diagrams and flowcharts only."""
+    code = F.trim(F.regexp_extract(response, r"(?s)```mermaid\s*(.*?)\s*```", 1))
+    head = F.substring(code, 1, 50)
+    kind = F.when(head.contains("flowchart"), "flowchart").when(head.contains("sequenceDiagram"), "sequence").otherwise("graph")
+    found = segment_type.isin("diagram", "flowchart") & F.regexp_like(response, F.lit(r"(?s)```mermaid\s*(.*?)\s*```"))
+    return F.when(found, F.struct(code.alias("code"), kind.alias("type"), F.lit(0.75).alias("confidence")))
+
+
+def calculations(response: Column) -> dict[str, Column]:
+    """Inputs, outputs and verification of the widest braces in a response."""
+    body = F.regexp_extract(response, r"(?s)\{.*\}", 0)
+    return {"inputs": listed(body, "input_variables"), "outputs": listed(body, "output_values"), "verification": F.get_json_object(body, "$.verification")}
 
 
 def merge_calculations(base: Column, extra: Column) -> Column:

@@ -87,7 +87,7 @@ def has_table(text: Column) -> Column:
 
 
 def image_subtype(text: Column, grey_variance: Column) -> Column:
-    n = F.length(F.trim(text))
+    n = F.length(text)
     return F.when(n > 500, "scanned_page").when(n > 100, "screenshot").when(grey_variance > 1500, "photo").otherwise("illustration")
 
 
@@ -96,7 +96,7 @@ def content_type(text: Column) -> Column:
 
 
 def text_density(text: Column) -> Column:
-    n = F.length(F.trim(text))
+    n = F.length(text)
     return F.when(n > 500, "dense").when(n > 100, "moderate").when(n > 0, "sparse").otherwise("none")
 
 
@@ -111,7 +111,47 @@ def decision_points(text: Column) -> Column:
 
 
 def chart_subtype(text: Column) -> Column:
-    """The text part of chart typing: each family's words score 3; the first of equals from 2 up."""
-    low = F.lower(text)
-    families = [("pie", r"pie|%.*share|distribution"), ("scatter", "scatter|correlation"), ("candlestick", "candlestick|ohlc"), ("bar", "bar|histogram"), ("line", "line|trend")]
-    return F.coalesce(*[F.when(low.rlike(p), name) for name, p in families], F.lit("unknown"))
+    """The text part of chart typing: the first family whose words are there (each would score 3, over the limit of 2)."""
+    low = F.lower(F.coalesce(text, F.lit("")))
+    families = [
+        ("pie", low.rlike(r"\bpie\b") & low.contains("chart")),
+        ("scatter", low.contains("scatter") | low.contains("correlation")),
+        ("candlestick", low.contains("candlestick") | (low.contains("open") & low.contains("close"))),
+        ("bar", low.rlike(r"\bbar\b.*\b(chart|graph)\b")),
+        ("line", low.rlike(r"\bline\b.*\b(chart|graph)\b")),
+    ]
+    return F.coalesce(*[F.when(found, name) for name, found in families], F.lit("unknown"))
+
+
+def node_texts(blocks: DataFrame) -> DataFrame:
+    """(segment_id, idx, text): texts of 4 to 49 characters, which could be nodes."""
+    return blocks.select("segment_id", "idx", F.trim("text").alias("text")).where("length(text) between 4 and 49")
+
+
+def chart_features(blocks: DataFrame) -> DataFrame:
+    """One row a segment: subtype, labels, range, legend, series and ticks of a chart."""
+    text = raw_text(blocks).select("segment_id", chart_subtype(F.col("text")).alias("subtype"))
+    ticks = tick_labels(blocks).groupBy("segment_id").agg(*[F.max(F.when(F.col("axis") == a, F.col("ticks"))).alias(f"{a}_ticks") for a in "xy"])
+    rows = text
+    for part in (axes_zones(blocks), value_ranges(blocks), legend_clusters(blocks), ticks):
+        rows = rows.join(part, "segment_id", "left")
+    return rows.withColumn("series_count", F.coalesce(F.size(F.split("legend", r"\|")), F.lit(1)))
+
+
+def diagram_features(blocks: DataFrame) -> DataFrame:
+    """One row a segment: subtype, nodes, hierarchy, layout and decision points of a diagram."""
+    text = raw_text(blocks).select("segment_id", T.diagram_subtype(F.col("text")).alias("subtype"), decision_points(F.col("text")).alias("decision_points"))
+    rows = text.join(layout(nodes(blocks)), "segment_id", "left")
+    return rows.select("segment_id", "subtype", F.coalesce("n", F.lit(0)).alias("node_count"), F.coalesce("hierarchy", F.lit(False)).alias("hierarchy"), "layout", "decision_points")
+
+
+def image_features(rows: DataFrame) -> DataFrame:
+    """Features of images (segment_id, text, grey_var)."""
+    text = F.coalesce("text", F.lit(""))
+    return rows.select("segment_id", image_subtype(text, F.col("grey_var")).alias("subtype"), (F.length(F.trim(text)) > 10).alias("contains_text"), text_density(text).alias("density"), has_table(text).alias("has_table"), content_type(text).alias("content"))
+
+
+def figure_features(rows: DataFrame) -> DataFrame:
+    """Composite structure of figures (segment_id, text, grey_var, arrows)."""
+    marks = subfigures(F.coalesce("text", F.lit("")))
+    return rows.select("segment_id", (marks >= 2).alias("is_composite"), marks.alias("sub_figures"), (F.coalesce("arrows", F.lit(0)) > 3).alias("contains_diagram"), F.coalesce(F.col("grey_var") > 1000, F.lit(False)).alias("contains_image"))

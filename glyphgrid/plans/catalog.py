@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from glyphgrid.functions import geometry as G
 from glyphgrid.functions import text as T
-from glyphgrid.operators import folds, layout, linking, models, ocr, pixels, similarity
+from glyphgrid.operators import extraction, folds, layout, linking, models, ocr, pixels, similarity
 from glyphgrid.plans import fixtures as X
 from glyphgrid.sources import sinks
 
@@ -137,6 +137,7 @@ def sql_number(column: str) -> str:
 _CAPS = rf""", caps as (select *, {sql_number("text")} as figure_number from fx_blocks where coalesce({", ".join(f"case when regexp_matches(text, '(?i){o}{_NUM}') then length(regexp_extract(text, '(?is)^(.*?){o}{_NUM}', 1)) end" for o in _OPEN)}) < 20
  and not regexp_matches(lower(text), '\b(as shown in|see figure|in figure|refer to|according to|as illustrated in|as depicted in)\b') and length(text) < 400),
 anchor as (select doc_id, page_no, block_no as region_id, x0 as c_x0, y0 as c_y0, x1 as c_x1, y1 as c_y1, page_width as pw, greatest(0.0, y0 - 500) as start from caps)"""
+_CAPS_KEYS = f"{BLOCKS}{_CAPS} select doc_id, page_no, block_no, 'Figure ' || figure_number || '|Fig. ' || figure_number || '|Fig ' || figure_number as keys from caps"
 _BOUNDS = f"""{LAYOUT}{_CAPS},
 dr as (select a.doc_id, a.page_no, region_id, min(x0) as dx0, min(y0) as dy0, max(x1) as dx1, max(y1) as dy1 from anchor a join fx_drawings d on a.doc_id = d.doc_id and a.page_no = d.page_no and y0 >= start and y0 < c_y0 group by all),
 im as (select a.doc_id, a.page_no, region_id, min(x0) as ix0, min(y0) as iy0, max(x1) as ix1, max(y1) as iy1 from anchor a join fx_images d on a.doc_id = d.doc_id and a.page_no = d.page_no and y0 >= start and y0 < c_y0 group by all),
@@ -335,28 +336,68 @@ def text_boundary(spark, d):
     return layout.text_boundary(layout.captions_of(b), b)
 
 
-@query(f"""{_BOUNDS}, j as (select * from anchor left join dr using (doc_id, page_no, region_id) left join im using (doc_id, page_no, region_id) left join ws using (doc_id, page_no, region_id) left join tx using (doc_id, page_no, region_id)),
+_COMBINED = f"""{_BOUNDS}, j as (select * from anchor left join dr using (doc_id, page_no, region_id) left join im using (doc_id, page_no, region_id) left join ws using (doc_id, page_no, region_id) left join tx using (doc_id, page_no, region_id)),
 k as (select *, greatest(0.0, dx0-10) as ax0, greatest(start, greatest(dy0, coalesce(ws_y, dy0))-10) as ay0, least(pw, dx1+10) as ax1, least(c_y0-5, dy1+10) as ay1,
  greatest(0.0, ix0-5) as bx0, greatest(start, greatest(iy0, coalesce(ws_y, iy0))-5) as by0, least(pw, ix1+5) as bx1, least(c_y0-5, iy1+5) as by1,
  greatest(0.0, c_x0-30) as l, least(pw, c_x1+30) as r, greatest(0.0, c_x0-20) as fx0, least(pw, c_x1+20) as fx1, greatest(start, c_y0-250) as fy0, c_y0-10 as e from j),
 s as (select *, case when dy0 is not null and ax1-ax0>50 and ay1-ay0>50 then 'drawing' when iy0 is not null and bx1-bx0>50 and by1-by0>50 then 'image' when ws_y is not null and r-l>80 and e-ws_y>60 then 'whitespace'
- when tx_y is not null and coalesce(tx_x1, r)-coalesce(tx_x0, l)>80 and e-tx_y>60 then 'text' when fx1-fx0>100 and e-fy0>80 and e-fy0<500 then 'fallback' end as signal from k)
-select doc_id, page_no, region_id, signal, least(c_x0, case signal when 'drawing' then ax0 when 'image' then bx0 when 'whitespace' then l when 'text' then coalesce(tx_x0, l) else fx0 end) as x0,
+ when tx_y is not null and coalesce(tx_x1, r)-coalesce(tx_x0, l)>80 and e-tx_y>60 then 'text' when fx1-fx0>100 and e-fy0>80 and e-fy0<500 then 'fallback' end as signal from k),
+comb as (select doc_id, page_no, region_id, signal, least(c_x0, case signal when 'drawing' then ax0 when 'image' then bx0 when 'whitespace' then l when 'text' then coalesce(tx_x0, l) else fx0 end) as x0,
  case signal when 'drawing' then ay0 when 'image' then by0 when 'whitespace' then ws_y when 'text' then tx_y else fy0 end as y0,
- greatest(c_x1, case signal when 'drawing' then ax1 when 'image' then bx1 when 'whitespace' then r when 'text' then coalesce(tx_x1, r) else fx1 end) as x1, c_y1 + 5 as y1 from s where signal is not null""")
+ greatest(c_x1, case signal when 'drawing' then ax1 when 'image' then bx1 when 'whitespace' then r when 'text' then coalesce(tx_x1, r) else fx1 end) as x1, c_y1 + 5 as y1 from s where signal is not null)"""
+
+
+@query(f"{_COMBINED} select * from comb")
 def combined_region(spark, d):
     b = X.blocks(spark, d)
     return layout.extend_to_caption(layout.combine_boundaries(layout.captions_of(b), b, X.drawings(spark, d), X.images(spark, d)))
 
 
 _VALID = f"""{_REGION}, cap as (select doc_id, page_no, region_id, arg_min(b.text, block_no) as caption from region r join fx_blocks b using (doc_id, page_no) where b.y0 - r.y1 between 0 and 60 and least(r.x1, b.x1) - greatest(r.x0, b.x0) > 0 and {sql_number("b.text")} is not null group by all),
-v as (select i.*, case when (x1-x0)*(y1-y0) < 3000 or px_w < 50 or px_h < 50 then 0.0 else least(1.0, round(case when (x1-x0)*(y1-y0) > 10000 then 0.3 else 0.1 end + case when px_w > 200 and px_h > 200 then 0.2 else 0 end + case when (x1-x0)/(y1-y0) > 0.2 and (x1-x0)/(y1-y0) < 5 then 0.2 else -0.1 end
+v as (select i.*, cap.caption, case when (x1-x0)*(y1-y0) < 3000 or px_w < 50 or px_h < 50 then 0.0 else least(1.0, round(case when (x1-x0)*(y1-y0) > 10000 then 0.3 else 0.1 end + case when px_w > 200 and px_h > 200 then 0.2 else 0 end + case when px_w / px_h > 0.2 and px_w / px_h < 5 then 0.2 else -0.1 end
  + case when y0/1260 < 0.1 or y0/1260 > 0.9 then -0.2 else 0.1 end + case when caption is not null then 0.4 else 0 end + case when grey_var < 10 then -0.3 when grey_var > 100 then 0.2 else 0 end, 6)) end::double as score from fx_images i left join cap on i.doc_id = cap.doc_id and i.page_no = cap.page_no and i.img_no = cap.region_id)"""
 
 
-@query(f"{_VALID} select doc_id, page_no, img_no, score, score >= 0.5 as kept from v")
+_NOTES = """case when (x1-x0)*(y1-y0) < 3000 then 'too_small' when px_w < 50 or px_h < 50 then 'tiny_dimensions' else concat_ws(', ', case when (x1-x0)*(y1-y0) > 10000 then 'good_size' else 'moderate_size' end, case when px_w > 200 and px_h > 200 then 'substantial_dimensions' end,
+ case when px_w / px_h > 0.2 and px_w / px_h < 5 then 'good_aspect_ratio' else 'unusual_aspect_ratio' end, case when y0/1260 < 0.1 or y0/1260 > 0.9 then 'likely_header_footer' else 'good_position' end, case when caption is not null then 'has_caption' end, case when grey_var < 10 then 'low_variance' when grey_var > 100 then 'good_content_variance' end) end"""
+
+
+@query(f"{_VALID} select doc_id, page_no, img_no, score, score >= 0.5 as kept, {_NOTES} as notes from v")
 def embedded_validation(spark, d):
-    return layout.validate_images(X.images(spark, d), X.blocks(spark, d)).select("doc_id", "page_no", "img_no", "score", "kept")
+    return layout.validate_images(X.images(spark, d), X.blocks(spark, d)).select("doc_id", "page_no", "img_no", "score", "kept", "notes")
+
+
+_EMBEDDED = """, grown as (select v.doc_id, v.page_no, img_no, arg_min({'x0': b.x0, 'x1': b.x1, 'y1': b.y1}, block_no) as b from v join fx_blocks b on v.doc_id = b.doc_id and v.page_no = b.page_no and contains(b.text, substring(v.caption, 1, 30)) where v.caption is not null group by all),
+emb as (select doc_id, page_no, img_no, least(x0, coalesce(b.x0, x0)) as x0, y0, greatest(x1, coalesce(b.x1, x1)) as x1, greatest(y1, coalesce(b.y1, y1)) as y1, caption, score, grey_var from v left join grown using (doc_id, page_no, img_no) where score >= 0.5)"""
+
+
+@query(_VALID + _EMBEDDED + " select doc_id, page_no, img_no as idx, x0, y0, x1, y1, caption, score from emb")
+def embedded_candidates(spark, d):
+    return extraction.embedded_candidates(X.images(spark, d), X.blocks(spark, d)).select("doc_id", "page_no", "idx", *layout.BOX, "caption", "score")
+
+
+_AREA = "(greatest(0.0, {0}.x1 - {0}.x0) * greatest(0.0, {0}.y1 - {0}.y0))".format
+_FOLD = f""", both_ as (select doc_id, page_no, 1 as pass_no, region_id as idx, x0, y0, x1, y1, true as captioned, null::double as grey_var, 0.9 as score from comb
+ union all select doc_id, page_no, 2, img_no, x0, y0, x1, y1, coalesce(caption <> '', false), grey_var, score from emb),
+inside as (select a.doc_id, a.page_no, a.pass_no, a.idx, count(*) as n from both_ a join fx_drawings d on a.doc_id = d.doc_id and a.page_no = d.page_no and d.x0 between a.x0 and a.x1 and d.y0 between a.y0 and a.y1 group by all),
+item as (select doc_id, page_no, pass_no, {{'pass_no': pass_no, 'idx': idx, 'x0': x0, 'y0': y0, 'x1': x1, 'y1': y1, 'captioned': captioned, 'grey_var': coalesce(grey_var, 0.0), 'score': score, 'n': coalesce(n, 0)}} as c from both_ left join inside using (doc_id, page_no, pass_no, idx)),
+page as (select doc_id, page_no, coalesce(list(c order by c.idx) filter (where pass_no = 1), []) as segs, coalesce(list(c order by c.idx) filter (where pass_no = 2), []) as rest from item group by all),
+fold as (select doc_id, page_no, 1 as step, segs, rest from page union all
+ select doc_id, page_no, step + 1, case when hit is null then segs || [c] when 3 * (segs[hit].captioned)::int + 2 * (segs[hit].n > 10)::int + 2 * ({_AREA("segs[hit]")} > 1.2 * {_AREA("c")})::int
+  > 2 * (c.grey_var > 1000)::int + (c.score > 0.7)::int + ({_AREA("segs[hit]")} <= 1.2 * {_AREA("c")} and {_AREA("c")} > 1.2 * {_AREA("segs[hit]")})::int then segs else list_filter(segs, lambda s, i: i <> hit) || [c] end, rest
+ from (select *, rest[step] as c, nullif(list_position(list_transform(segs, lambda s: case when least({_AREA("s")}, {_AREA("rest[step]")}) > 0 then greatest(0.0, least(s.x1, rest[step].x1) - greatest(s.x0, rest[step].x0)) * greatest(0.0, least(s.y1, rest[step].y1) - greatest(s.y0, rest[step].y0)) / least({_AREA("s")}, {_AREA("rest[step]")}) > 0.4 else false end), true), 0) as hit from fold where step <= len(rest)))"""
+_TWO_PASS = _COMBINED.replace("with ", "with recursive ", 1) + _VALID[len(LAYOUT) :] + _EMBEDDED + _FOLD
+
+
+@query(f"{_TWO_PASS} select doc_id, page_no, place, s.idx as idx, s.x0 as x0, s.y0 as y0, s.x1 as x1, s.y1 as y1, case s.pass_no when 1 then 'caption_based' else 'embedded_image' end as method from (select doc_id, page_no, unnest(segs) as s, generate_subscripts(segs, 1) as place from fold where step = len(rest) + 1)")
+def two_pass_segments(spark, d):
+    found = extraction.two_pass(X.blocks(spark, d), X.drawings(spark, d), X.images(spark, d))
+    return found.select("doc_id", "page_no", "place", "idx", *layout.BOX, "method")
+
+
+@query(f"{_CAPS_KEYS}")
+def reference_keys(spark, d):
+    return layout.caption_blocks(X.blocks(spark, d)).select("doc_id", "page_no", "block_no", F.array_join(layout.reference_keys(F.col("figure_number")), "|").alias("keys"))
 
 
 @query(f"""{_VALID}, reg as (select doc_id, page_no, draw_no, x0, y0, x1 + 60 as x1, y1 + 60 as y1 from fx_drawings),
@@ -370,13 +411,6 @@ def conflict_scores(spark, d):
     return layout.conflict_scores(area, images, X.drawings(spark, d))
 
 
-@query()
-def conflict_fold(spark, d):
-    first = X.drawings(spark, d).select("doc_id", "page_no", F.lit(1).alias("pass_no"), F.col("draw_no").alias("idx"), *layout.BOX, F.lit(3.0).alias("weight"))
-    second = X.images(spark, d).select("doc_id", "page_no", F.lit(2).alias("pass_no"), F.col("img_no").alias("idx"), *layout.BOX, (F.col("grey_var") / 300).alias("weight"))
-    return folds.conflict_fold(first.unionByName(second))
-
-
 @query()
 def drawing_clusters(spark, d):
     return folds.drawing_clusters(X.drawings(spark, d), reach=200.0)
@@ -384,7 +418,12 @@ def drawing_clusters(spark, d):
 
 @query()
 def drawing_regions(spark, d):
-    return folds.drawing_regions(folds.drawing_clusters(X.drawings(spark, d), reach=200.0), 612.0 * 1260.0)
+    return folds.drawing_regions(folds.drawing_clusters(X.drawings(spark, d), reach=200.0), 612.0, 1260.0)
+
+
+@query()
+def visual_regions(spark, d):
+    return extraction.visual_regions(X.blocks(spark, d), X.drawings(spark, d), X.images(spark, d), 612.0, 1260.0, reach=200.0)
 
 
 # ---- OCR features ----
@@ -438,7 +477,10 @@ def tick_labels(spark, d):
     return ocr.tick_labels(X.ocr_blocks(spark, d))
 
 
-@query(f"""{RAW} select segment_id, case when regexp_matches(lower(text), 'process|flow') then 'process_flow' when contains(lower(text), 'decision') then 'decision_tree' when regexp_matches(lower(text), 'hierarchy|organization') then 'hierarchy' when regexp_matches(lower(text), 'cycle|circular') then 'cycle' when regexp_matches(lower(text), 'cause|effect') then 'causal' when contains(lower(text), 'system') then 'system' else 'unknown' end as subtype, regexp_matches(lower(text), 'if|yes|no|decision|choose|select') as decision_points from raw""")
+_DIAGRAM = "case when regexp_matches(lower(text), 'process|flow') then 'process_flow' when contains(lower(text), 'decision') then 'decision_tree' when regexp_matches(lower(text), 'hierarchy|organization') then 'hierarchy' when regexp_matches(lower(text), 'cycle|circular') then 'cycle' when regexp_matches(lower(text), 'cause|effect') then 'causal' when contains(lower(text), 'system') then 'system' else 'unknown' end"
+
+
+@query(f"""{RAW} select segment_id, {_DIAGRAM} as subtype, regexp_matches(lower(text), 'if|yes|no|decision|choose|select') as decision_points from raw""")
 def diagram_subtype(spark, d):
     return raw(spark, d).select("segment_id", T.diagram_subtype(F.col("text")).alias("subtype"), ocr.decision_points(F.col("text")).alias("decision_points"))
 
@@ -469,7 +511,7 @@ def embedded_table(spark, d):
     return raw(spark, d).select("segment_id", ocr.has_table(F.col("text")).alias("has_table"))
 
 
-@query("select doc_id as segment_id, case when length(trim(text)) > 500 then 'scanned_page' when length(trim(text)) > 100 then 'screenshot' when doc_id % 3000 > 1500 then 'photo' else 'illustration' end as subtype, case when regexp_matches(lower(text), 'window|button|menu') then 'interface' when length(text) > 300 then 'document' else 'mixed' end as content, case when length(trim(text)) > 500 then 'dense' when length(trim(text)) > 100 then 'moderate' when length(trim(text)) > 0 then 'sparse' else 'none' end as density from documents")
+@query("select doc_id as segment_id, case when length(text) > 500 then 'scanned_page' when length(text) > 100 then 'screenshot' when doc_id % 3000 > 1500 then 'photo' else 'illustration' end as subtype, case when regexp_matches(lower(text), 'window|button|menu') then 'interface' when length(text) > 300 then 'document' else 'mixed' end as content, case when length(text) > 500 then 'dense' when length(text) > 100 then 'moderate' when length(text) > 0 then 'sparse' else 'none' end as density from documents")
 def image_subtype_text(spark, d):
     t = F.col("text")
     return X.table(spark, d, "documents").select(F.col("doc_id").alias("segment_id"), ocr.image_subtype(t, F.col("doc_id") % 3000).alias("subtype"), ocr.content_type(t).alias("content"), ocr.text_density(t).alias("density"))
@@ -481,6 +523,49 @@ def subfigures(spark, d):
     return X.table(spark, d, "part").select("p_partkey", ocr.subfigures(text).cast("long").alias("sub_figures"))
 
 
+_CHART = r"""case when regexp_matches(t, '\bpie\b') and contains(t, 'chart') then 'pie' when contains(t, 'scatter') or contains(t, 'correlation') then 'scatter' when contains(t, 'candlestick') or (contains(t, 'open') and contains(t, 'close')) then 'candlestick'
+ when regexp_matches(t, '\bbar\b.*\b(chart|graph)\b') then 'bar' when regexp_matches(t, '\bline\b.*\b(chart|graph)\b') then 'line' else 'unknown' end"""
+_WORDS = "case p_partkey % 8 when 0 then ' pie chart' when 1 then ' barrel of oil' when 2 then ' open and close' when 3 then ' Bar of the graph' when 4 then ' line on a chart' when 5 then ' scatter' when 6 then ' distribution' else ' piece chart' end"
+
+
+@query(f"select p_partkey, {_CHART} as subtype from (select p_partkey, lower(p_name || {_WORDS}) as t from part)")
+def chart_subtype(spark, d):
+    return X.table(spark, d, "part").select("p_partkey", ocr.chart_subtype(F.concat("p_name", F.expr(_WORDS))).alias("subtype"))
+
+
+@query(f"{OCR} select segment_id, idx, trim(text) as text from fx_ocr where length(trim(text)) between 4 and 49")
+def node_texts(spark, d):
+    return ocr.node_texts(X.ocr_blocks(spark, d))
+
+
+@query(f"{RAW}, nd as (select segment_id, trim(text) as text, row_number() over (partition by segment_id order by idx) as place, idx, y0, x0 from fx_ocr), nodes as (select *, row_number() over (partition by segment_id order by idx) as rank from nd where length(text) between 4 and 99), f as {_SPREAD} select segment_id, {_DIAGRAM} as subtype, coalesce(n, 0) as node_count, coalesce(n >= 3 and h > 100, false) as hierarchy, case when n < 2 then null when vy > 2 * vx then 'hierarchical_vertical' when vx > 2 * vy then 'hierarchical_horizontal' when n is not null then 'free_form' end as layout, regexp_matches(lower(text), 'if|yes|no|decision|choose|select') as decision_points from raw left join f using (segment_id)")
+def diagram_features(spark, d):
+    return ocr.diagram_features(X.ocr_blocks(spark, d))
+
+
+@query()
+def chart_features(spark, d):
+    return ocr.chart_features(X.ocr_blocks(spark, d))
+
+
+_RAWS = "select doc_id as segment_id, text, (doc_id % 3000)::double as grey_var, doc_id % 7 as arrows from documents"
+
+
+def picture_rows(spark, d) -> DataFrame:
+    return X.table(spark, d, "documents").select(F.col("doc_id").alias("segment_id"), "text", (F.col("doc_id") % 3000).cast("double").alias("grey_var"), (F.col("doc_id") % 7).alias("arrows"))
+
+
+@query(rf"""select segment_id, case when length(text) > 500 then 'scanned_page' when length(text) > 100 then 'screenshot' when grey_var > 1500 then 'photo' else 'illustration' end as subtype, length(trim(text)) > 10 as contains_text, case when length(text) > 500 then 'dense' when length(text) > 100 then 'moderate' when length(text) > 0 then 'sparse' else 'none' end as density,
+ text <> '' and len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[0-9]'))) > len(string_split(text, chr(10))) * 0.5 and len(string_split(text, chr(10))) > 3 as has_table, case when regexp_matches(lower(text), 'window|button|menu') then 'interface' when length(text) > 300 then 'document' else 'mixed' end as content from ({_RAWS})""")
+def image_features(spark, d):
+    return ocr.image_features(picture_rows(spark, d))
+
+
+@query(rf"""select segment_id, n >= 2 as is_composite, case when n >= 2 then n else 0 end as sub_figures, arrows > 3 as contains_diagram, grey_var > 1000 as contains_image from (select *, len(regexp_extract_all(lower(text), '\([a-z]\)|\b[a-z]\)')) as n from ({_RAWS}))""")
+def figure_features(spark, d):
+    return ocr.figure_features(picture_rows(spark, d))
+
+
 # ---- output rows, adapters, reports ----
 _TYPE = "case doc_id % 4 when 0 then 'chart' when 1 then 'diagram' when 2 then 'flowchart' else 'image' end"
 
@@ -512,6 +597,49 @@ def response_parse(spark, d):
     return models.parse_responses(X.table(spark, d, "documents").select(F.col("doc_id").alias("segment_id"), response.alias("response_json"))).drop("summary")
 
 
+_META = """concat('{"chart_subtype":"bar","x_axis_label":"Year","data_series_count":', cast(doc_id % 4 as string), ',"has_grid":', case when doc_id % 2 = 0 then 'true' else 'false' end, case when doc_id % 3 = 0 then ',"value_range":{"min":1.5,"max":9}' else '' end,
+ ',"diagram_subtype":"cycle","node_count":', cast(doc_id % 6 as string), ',"decision_points":', cast(doc_id % 2 as string), ',"image_subtype":"photo","formulas":', case when doc_id % 2 = 0 then '["a","b"]' else 'null' end, ',"sub_figure_count":', cast(doc_id % 5 as string), '}')"""
+_KIND = "case doc_id % 5 when 0 then 'chart' when 1 then 'diagram' when 2 then 'flowchart' when 3 then 'image' else 'figure' end"
+
+
+@query(f"""select doc_id as segment_id, case when ty = 'chart' then 'bar' else '' end as chart_subtype, case when ty = 'chart' then doc_id % 4 else -1 end as series_count, case when ty = 'chart' then cast(doc_id % 2 = 0 as int) else -1 end as grid, case when ty = 'chart' and doc_id % 3 = 0 then 9.0 else -1.0 end::double as hi,
+ case ty when 'flowchart' then 'flowchart' when 'diagram' then 'cycle' else '' end as diagram_subtype, case when ty in ('flowchart', 'diagram') then doc_id % 6 else -1 end as node_count, case when ty in ('flowchart', 'diagram') then doc_id % 2 else -1 end as decision_points,
+ case when ty = 'image' then case when doc_id % 2 = 0 then 2 else 0 end else -1 end as n_formulas, case when ty = 'image' then 0 else -1 end as n_tables, case when ty = 'figure' then doc_id % 5 else -1 end as sub_figures from (select doc_id, {_KIND} as ty from documents)""")
+def typed_metadata(spark, d):
+    rows = X.table(spark, d, "documents").select(F.col("doc_id").alias("segment_id"), F.expr(_KIND).alias("segment_type"), F.expr(_META).alias("metadata"))
+    found = models.typed_metadata(rows)
+    numbers = {"series_count": "chart.series_count", "grid": "cast(chart.grid as int)", "hi": "chart.hi", "node_count": "diagram.node_count", "decision_points": "cast(diagram.decision_points as int)", "n_formulas": "size(image.formulas)", "n_tables": "size(image.tables)", "sub_figures": "figure.sub_figures"}
+    texts = {"chart_subtype": "chart.subtype", "diagram_subtype": "diagram.subtype"}
+    return found.select("segment_id", *[F.expr(f"coalesce({v}, -1)").alias(k) for k, v in numbers.items()], *[F.expr(f"coalesce({v}, '')").alias(k) for k, v in texts.items()])
+
+
+_DRAWN = "case doc_id % 4 when 0 then concat('Here: ```mermaid ', chr(10), 'flowchart TD', chr(10), ' A --> B', chr(10), '```') when 1 then concat('```mermaid', chr(10), 'graph LR; A-->B', chr(10), '```') when 2 then concat('```mermaid', chr(10), 'sequenceDiagram', chr(10), 'A->>B: x', chr(10), '```') else 'none' end"
+
+
+@query(f"select doc_id as segment_id, case doc_id % 4 when 0 then concat('flowchart TD', chr(10), ' A --> B') when 1 then 'graph LR; A-->B' when 2 then concat('sequenceDiagram', chr(10), 'A->>B: x') end as code, case doc_id % 4 when 0 then 'flowchart' when 1 then 'graph' when 2 then 'sequence' end as type, 0.75::double as confidence from documents where doc_id % 4 < 3 and {_KIND} in ('diagram', 'flowchart')")
+def mermaid(spark, d):
+    rows = X.table(spark, d, "documents").select(F.col("doc_id").alias("segment_id"), models.mermaid(F.expr(_DRAWN), F.expr(_KIND)).alias("m")).where("m is not null")
+    return rows.select("segment_id", "m.code", "m.type", "m.confidence")
+
+
+_CALC = """concat('text {"input_variables":', case when doc_id % 2 = 0 then '[{"variable":"S","value":"100"}]' else '[]' end, ',"output_values":[{"output_name":"C"},{"output_name":"P"}],"verification":{"verified":', case when doc_id % 3 = 0 then 'true' else 'false' end, '}} end')"""
+
+
+@query("select doc_id as segment_id, case when doc_id % 2 = 0 then 1 else 3 end as n_inputs, 2 as n_outputs, case when doc_id % 3 = 0 then 'true' else 'false' end as verified from documents")
+def calculation_merge(spark, d):
+    found = models.calculations(F.expr(_CALC))
+    rows = X.table(spark, d, "documents").select(F.col("doc_id").alias("segment_id"), *[v.alias(k) for k, v in found.items()])
+    held = F.array(*map(F.lit, ["a", "b", "c"]))
+    return rows.select("segment_id", F.size(models.merge_calculations(held, F.col("inputs"))).alias("n_inputs"), F.size(models.merge_calculations(held, F.col("outputs"))).alias("n_outputs"), F.get_json_object("verification", "$.verified").alias("verified"))
+
+
+@query(f"{X.ctes('fx_segments')} select cast(segment_id % 50 as string) as book_id, count(*) as total_segments, string_agg(cast(segment_id as string), '|' order by segment_id) as ids from fx_segments group by all")
+def book_envelopes(spark, d):
+    rows = X.segments(spark, d).select("segment_id", "caption", (F.col("segment_id") % 50).cast("string").alias("book_id"), F.lit("a.pdf").alias("pdf_path"), F.col("segment_id").alias("place"))
+    read = F.from_json("json", "total_segments long, segments array<struct<segment_id:long>>")
+    return sinks.book_envelopes(rows).select("book_id", read.alias("j")).select("book_id", "j.total_segments", F.array_join("j.segments.segment_id", "|").alias("ids"))
+
+
 @query("select a.vec_id as a, b.vec_id as b, round(list_dot_product(a.embedding::double[], b.embedding::double[]) / (sqrt(list_dot_product(a.embedding::double[], a.embedding::double[])) * sqrt(list_dot_product(b.embedding::double[], b.embedding::double[]))), 6) as cosine from embeddings a join embeddings b on b.vec_id = a.vec_id + 1")
 def dense_cosine(spark, d):
     rows = X.table(spark, d, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("e"))

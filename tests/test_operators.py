@@ -1,10 +1,15 @@
 """Hand-derived cases of the layout, linking and OCR operators."""
 
+import json
+
 from pyspark.sql import functions as F
 
 from glyphgrid.functions import geometry as G
 from glyphgrid.functions import text as T
+from glyphgrid import engine
 from glyphgrid.operators import folds, layout, linking, models, ocr, similarity
+from glyphgrid.sources import sinks
+from glyphgrid.streaming import append
 
 
 def one(spark, expression, **values):
@@ -98,12 +103,64 @@ def test_responses(spark):
     assert (got[2].segment_type, got[2].confidence, got[2].method) == ("figure", 0.3, "fallback_heuristic")
 
 
-def test_folds(spark):
-    rows = [(1, 1, 1, 1, 0.0, 0.0, 10.0, 10.0, 3.0), (1, 1, 2, 1, 0.0, 0.0, 10.0, 10.0, 3.0), (1, 1, 2, 2, 50.0, 50.0, 60.0, 60.0, 1.0)]
-    frame = spark.createDataFrame(rows, "doc_id long, page_no long, pass_no int, idx int, x0 double, y0 double, x1 double, y1 double, weight double")
-    assert sorted((r.pass_no, r.idx) for r in folds.conflict_fold(frame).collect()) == [(2, 1), (2, 2)]
+CANDIDATE = "doc_id long, page_no long, pass_no int, idx int, x0 double, y0 double, x1 double, y1 double, captioned boolean, grey_var double, score double, n_drawings long"
+
+
+def test_conflict_fold(spark):
+    box = (0.0, 0.0, 10.0, 10.0)
+    rows = [
+        (1, 1, 1, 1, *box, True, None, 0.9, 0), (1, 1, 2, 1, *box, False, 5000.0, 0.9, 0), (1, 1, 2, 2, 50.0, 50.0, 60.0, 60.0, False, 1.0, 0.5, 0),
+        (2, 1, 1, 1, *box, False, None, 0.9, 0), (2, 1, 2, 1, *box, False, 1.0, 0.5, 0), (2, 1, 2, 2, *box, False, 5000.0, 0.9, 0),
+        (3, 1, 1, 1, *box, True, None, 0.9, 0), (3, 1, 2, 1, 0.0, 0.0, 40.0, 40.0, False, 5000.0, 0.9, 0),
+    ]
+    kept = {}
+    for r in folds.conflict_fold(spark.createDataFrame(rows, CANDIDATE)).orderBy("doc_id", "place").collect():
+        kept.setdefault(r.doc_id, []).append((r.pass_no, r.idx))
+    # a caption counts as much as variance and score, and ties go to the image, as does a lone region without a caption
+    assert kept == {1: [(2, 1), (2, 2)], 2: [(2, 2)], 3: [(2, 1)]}
+
+
+def test_regions_of_captions_and_drawings(spark):
     drawings = spark.createDataFrame([(1, 1, i, float(80 * i), 0.0, 80.0 * i + 5, 5.0) for i in range(5)], "doc_id long, page_no long, draw_no int, x0 double, y0 double, x1 double, y1 double")
     assert [(r.seed_no, r.n) for r in folds.drawing_clusters(drawings, 160.0, 3).collect()] == [(0, 3)]
+    assert folds.drawing_regions(folds.drawing_clusters(drawings, 160.0), 612.0, 792.0).count() == 0
+    columns = "doc_id long, page_no long, pass_no int, idx int, x0 double, y0 double, x1 double, y1 double, c_x0 double, c_y0 double"
+    rows = [(1, 1, 1, 1, 0.0, 0.0, 100.0, 100.0, 10.0, 95.0), (1, 1, 2, 1, 10.0, 10.0, 50.0, 50.0, None, None), (1, 1, 2, 2, 0.0, 0.0, 300.0, 300.0, None, None), (1, 1, 2, 3, 5.0, 105.0, 90.0, 130.0, None, None)]
+    assert [(r.pass_no, r.idx, r.place) for r in folds.new_regions(spark.createDataFrame(rows, columns)).collect()] == [(1, 1, 1), (2, 2, 2)]
+
+
+def test_append_writes_an_id_once(spark, tmp_path):
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = "segment_id long, v string"
+    for turn, ids in enumerate([(1, 2, 2), (2, 3)]):
+        spark.createDataFrame([(i, f"turn {turn}") for i in ids], schema).write.mode("append").parquet(source)
+        append.stream_segments(spark, source, schema, target, str(tmp_path / f"checkpoint{turn}")).awaitTermination()  # a new checkpoint reads all again
+    assert sorted((r.segment_id, r.v) for r in spark.read.parquet(target).collect()) == [(1, "turn 0"), (2, "turn 0"), (3, "turn 1")]
+
+
+def test_summary_and_envelopes(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 1, "chart", 0.955, None, 'He said "x",\ny', "o" * 150, 2, None, "b", "f.pdf", 2), ("c", 1, "image", 0.5, "3.1", None, "", 0, "s", "b", "f.pdf", 1)], "segment_id string, page int, type string, confidence double, figure_number string, caption string, ocr_text string, linked_concepts int, summary string, book_id string, pdf_path string, place int")
+    sinks.write_summary(rows.drop("book_id", "pdf_path", "place"), str(tmp_path / "csv"))
+    got = {r.segment_id: r for r in sinks.read_summary(spark, str(tmp_path / "csv")).collect()}
+    assert got["a"].caption == 'He said "x",\ny' and len(got["a"].ocr_text) == 100 and got["c"].confidence == "0.50"
+    envelope = json.loads(sinks.book_envelopes(rows).first().json)
+    assert (envelope["book_id"], envelope["total_segments"], [x["segment_id"] for x in envelope["segments"]]) == ("b", 2, ["c", "a"])
+
+
+def test_segments_end_to_end(spark):
+    blocks = spark.createDataFrame([(d, 1, 0, 10.0, 50.0, 300.0, 400.0, 312.0, 612.0, 792.0, "Figure 1.2: the dividend yield over time") for d in (1, 2)], "doc_id long, page_no long, block_no int, font_size double, x0 double, y0 double, x1 double, y1 double, page_width double, page_height double, text string")
+    drawings = spark.createDataFrame([(1, 1, i, 60.0 + 40 * i, 150.0, 90.0 + 40 * i, 280.0) for i in range(3)], "doc_id long, page_no long, draw_no int, x0 double, y0 double, x1 double, y1 double")
+    images = spark.createDataFrame([(2, 1, 0, 60.0, 100.0, 300.0, 290.0, 300, 300, 2000.0)], "doc_id long, page_no long, img_no int, x0 double, y0 double, x1 double, y1 double, px_w int, px_h int, grey_var double")
+    taxonomy = spark.createDataFrame([(0, 1, "Dividend Yield", "", ""), (1, 2, "Spread", "", "")], "idx int, level int, concept string, tags string, pages string")
+
+    class Fails:
+        def __call__(self, image, text):
+            raise RuntimeError("no model")
+
+    rows = {r.doc_id: r for r in engine.segments(blocks, drawings, images, taxonomy, analyzer=Fails).collect()}
+    assert {d: (r.method, r.error) for d, r in rows.items()} == {1: ("caption_based", "RuntimeError: no model"), 2: ("caption_based", "RuntimeError: no model")}
+    assert rows[1].figure_number == "1.2" and [x.concept for x in rows[1].links] == ["Dividend Yield"] and rows[1].segment_type == "figure"
+    assert engine.segments(blocks, drawings, images, taxonomy, profile="legacy").where("size(links) = 1").count() == 2
 
 
 def test_similar_terms(spark):
