@@ -158,7 +158,7 @@ def test_segments_end_to_end(spark):
             raise RuntimeError("no model")
 
     rows = {r.doc_id: r for r in engine.segments(blocks, drawings, images, taxonomy, analyzer=Fails).collect()}
-    assert {d: (r.method, r.error) for d, r in rows.items()} == {1: ("caption_based", "RuntimeError: no model"), 2: ("caption_based", "RuntimeError: no model")}
+    assert {d: (r.method, r.error) for d, r in rows.items()} == {1: ("caption_based", "RuntimeError: no model"), 2: ("embedded_image", "RuntimeError: no model")}
     assert rows[1].figure_number == "1.2" and [x.concept for x in rows[1].links] == ["Dividend Yield"] and rows[1].segment_type == "figure"
     assert engine.segments(blocks, drawings, images, taxonomy, profile="legacy").where("size(links) = 1").count() == 2
 
