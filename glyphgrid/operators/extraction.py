@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from glyphgrid.operators import folds, layout
 from glyphgrid.operators.layout import BOX, PAGE
+from glyphgrid.plans.durable import cut
 
 
 def caption_regions(blocks: DataFrame, drawings: DataFrame, images: DataFrame) -> DataFrame:
@@ -29,7 +30,7 @@ def two_pass(blocks: DataFrame, drawings: DataFrame, images: DataFrame) -> DataF
     """(page, place, idx, box, method, caption, figure_number, confidence, notes): the segments of each page, in order."""
     first = caption_regions(blocks, drawings, images).select(*PAGE, F.lit(1).alias("pass_no"), "idx", *BOX, "caption", F.lit(None).cast("double").alias("grey_var"), F.lit(0.9).alias("score"), F.lit("").alias("notes"))
     second = embedded_candidates(images, blocks).select(*PAGE, F.lit(2).alias("pass_no"), "idx", *BOX, "caption", "grey_var", "score", "notes")
-    both = first.union(second).withColumn("key", F.struct("pass_no", "idx"))
+    both = cut(first.union(second)).withColumn("key", F.struct("pass_no", "idx"))  # found once, then counted, folded and joined
     rows = both.join(layout.drawings_inside(both, drawings, "key"), [*PAGE, "key"], "left").withColumn("captioned", F.coalesce(F.col("caption") != "", F.lit(False)))
     kept = folds.conflict_fold(rows).select(*PAGE, "pass_no", "idx", "place")
     method = F.when(F.col("pass_no") == 1, "caption_based").otherwise("embedded_image")
