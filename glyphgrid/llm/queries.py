@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import additive_ann, common, context_coder, divergence_rules, fill_middle, language_id, neighbour_quality, order_minhash, periodic_runs, rank_bpe, soft_mixing, token_counts, url_trust
+from . import additive_ann, common, context_coder, divergence_rules, fill_middle, language_id, neighbour_quality, order_minhash, periodic_runs, rank_bpe, soft_mixing, suffix_dedup, token_counts, url_trust
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +62,12 @@ def op10_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_bpe.round_trip_digests(common.read(spark, sf_dir, "documents"), "byte_bpe_50k.json")
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = suffix_dedup.remove_repeats(common.read(spark, sf_dir, "documents"), width=400)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["stop"] - s["start"])
+    return cleaned.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def planted_repeats(documents: DataFrame) -> DataFrame:
     """(doc_id, text): in a tenth of the documents, by the contract's draw, the words from some place on repeat a block."""
     draw = F.crc32(F.col("doc_id").cast("string").cast("binary"))
@@ -96,12 +102,28 @@ def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_additive_ann, op3_url_trust, op4_order_minhash, op5_neighbour_quality, op6_token_counts, op7_soft_mixing, op8_divergence_rules, op9_context_coder, op10_rank_bpe, op12_periodic_runs, op13_fill_middle)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_additive_ann, op3_url_trust, op4_order_minhash, op5_neighbour_quality, op6_token_counts, op7_soft_mixing, op8_divergence_rules, op9_context_coder, op10_rank_bpe, op11_suffix_dedup, op12_periodic_runs, op13_fill_middle)}
 #: Sums of the crc32 of a decimal id, bit by bit over its digits, as the database has no function for it.
 _CRC = "(4294967295 - list_reduce(list_prepend(4294967295::hugeint, list_transform(range(0, 8 * length(t)), lambda i: case when i % 8 = 0 then ascii(substring(t, (i // 8 + 1)::int, 1))::hugeint else 0 end)), lambda c, b: case when xor(c::ubigint, b::ubigint) % 2 = 1 then xor((xor(c::ubigint, b::ubigint) // 2)::ubigint, 3988292384::ubigint)::hugeint else (xor(c::ubigint, b::ubigint) // 2)::hugeint end))::bigint"
 _BLANK = r"[\x20\x09-\x0D]"
 _WORD = r"[^\x20\x09-\x0D]+"
 ORACLES: dict[str, str] = {
+    # bytes as pairs of hexadecimal digits
+    "op11_suffix_dedup": """
+with texts as (select row_number() over () as rid, doc_id, lower(hex(encode(coalesce(text, '')))) as x from documents),
+starts as (select rid, x, unnest(range(length(x) // 2 - 399)) as i from texts where length(x) >= 800),
+prints as (select rid, i, md5_number(substring(x, 2 * i + 1, 800)) as h from starts),
+twice as (select h from prints group by h having count(*) > 1),
+found as (select rid, i from prints semi join twice using (h)),
+fresh as (select rid, i, case when i - lag(i) over (partition by rid order by i) <= 400 then 0 else 1 end as fresh from found),
+numbered as (select rid, i, sum(fresh) over (partition by rid order by i) as run from fresh),
+spans as (select rid, run, min(i) as a, max(i) + 400 as b from numbered group by rid, run),
+gaps as (select rid, run, lag(b, 1, 0) over (partition by rid order by a) as a, a as b from spans),
+kept as (select g.rid, string_agg(substring(t.x, 2 * g.a + 1, 2 * (g.b - g.a)), '' order by g.run) as x from gaps g join texts t using (rid) group by g.rid),
+sums as (select rid, sum(b - a) as n_removed, count(*) as n_spans, max(b) as b from spans group by rid)
+select t.doc_id, length(t.x) // 2 as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0) as n_spans,
+ sha256(unhex(coalesce(k.x, '') || substring(t.x, 2 * coalesce(s.b, 0) + 1))) as kept_sha256
+from texts t left join sums s using (rid) left join kept k using (rid)""",
     "op12_periodic_runs": rf"""
 with ids as (select row_number() over () as rid, doc_id, cast(doc_id as varchar) as t, regexp_extract_all(coalesce(text, ''), '{_WORD}') as w from documents),
 drawn as (select rid, doc_id, w, len(w) as n, {_CRC} as h from ids),
