@@ -110,17 +110,21 @@ def decision_points(text: Column) -> Column:
     return F.lower(text).rlike("if|yes|no|decision|choose|select")
 
 
+def chart_words(text: Column) -> dict[str, Column]:
+    """Whether the words of each kind of chart are in a text."""
+    low = F.lower(F.coalesce(text, F.lit("")))
+    return {
+        "pie": low.rlike(r"\bpie\b") & low.contains("chart"),
+        "scatter": low.contains("scatter") | low.contains("correlation"),
+        "candlestick": low.contains("candlestick") | (low.contains("open") & low.contains("close")),
+        "bar": low.rlike(r"\bbar\b.*\b(chart|graph)\b"),
+        "line": low.rlike(r"\bline\b.*\b(chart|graph)\b"),
+    }
+
+
 def chart_subtype(text: Column) -> Column:
     """The text part of chart typing: the first family whose words are there (each would score 3, over the limit of 2)."""
-    low = F.lower(F.coalesce(text, F.lit("")))
-    families = [
-        ("pie", low.rlike(r"\bpie\b") & low.contains("chart")),
-        ("scatter", low.contains("scatter") | low.contains("correlation")),
-        ("candlestick", low.contains("candlestick") | (low.contains("open") & low.contains("close"))),
-        ("bar", low.rlike(r"\bbar\b.*\b(chart|graph)\b")),
-        ("line", low.rlike(r"\bline\b.*\b(chart|graph)\b")),
-    ]
-    return F.coalesce(*[F.when(found, name) for name, found in families], F.lit("unknown"))
+    return F.coalesce(*[F.when(found, name) for name, found in chart_words(text).items()], F.lit("unknown"))
 
 
 def node_texts(blocks: DataFrame) -> DataFrame:

@@ -673,6 +673,73 @@ def drawing_distance(spark, d):
     return pairs.select("doc_id", "page_no", F.col("a_draw_no").alias("a_no"), F.col("b_draw_no").alias("b_no"), F.round(G.gap_distance("a_", "b_"), 6).alias("distance"))
 
 
-@query()
+# ---- rasters ----
+_SIZE = f"{X.RASTER_WIDTH} as width, {X.RASTER_HEIGHT} as height"
+PIXELS = X.ctes("fx_shapes", "fx_pixels")
+EDGES = X.ctes("fx_shapes", "fx_pixels", "fx_edges")
+RUNS = X.ctes("fx_shapes", "fx_pixels", "fx_edges", "fx_runs")
+
+
+def traced(spark, d, *parts: str) -> DataFrame:
+    return pixels.traced(X.rasters(spark, d), *parts)
+
+
+@query(f"{PIXELS} select image_id, {_SIZE}, sha256(unhex(string_agg(printf('%06x', color), '' order by i))) as rgb_sha256 from fx_pixels group by image_id")
+def render_regions(spark, d):
+    return X.rasters(spark, d).select("image_id", "width", "height", F.sha2("rgb", 256).alias("rgb_sha256"))
+
+
+@query(f"{PIXELS} select image_id, round(var_pop(v), 4) as variance from fx_pixels group by image_id")
 def pixel_variance(spark, d):
-    return X.table(spark, d, "documents").select("doc_id", pixels.grey_variance(F.col("text").cast("binary")).alias("variance"))
+    return traced(spark, d, "variance").select("image_id", F.round("variance", 4).alias("variance"))
+
+
+@query(f"{EDGES} select p_partkey as image_id, count(x) as edge_pixels from part left join fx_edges on image_id = p_partkey group by p_partkey")
+def edge_pixels(spark, d):
+    return traced(spark, d, "edge_pixels").select("image_id", F.col("edge_pixels").cast("long").alias("edge_pixels"))
+
+
+@query(f"{RUNS} select image_id, axis, line, start, length from fx_runs where length >= 20")
+def edge_runs(spark, d):
+    return traced(spark, d, "runs").select("image_id", F.explode("runs").alias("r")).select("image_id", "r.*").where("length >= 20")
+
+
+def sql_opened(axis: str, size: int, length: int) -> str:
+    before = 2 * (length // 2)
+    after = 2 * (length - 1) - before
+    low, high = f"case when start = 0 then 0 else start + {before} end", f"case when start + length = {size} then {size - 1} else start + length - 1 - {after} end"
+    return f"coalesce(sum(case when axis = '{axis}' and {low} <= {high} then least({high} + {before}, {size - 1}) - greatest({low} - {after}, 0) + 1 else 0 end), 0)::bigint"
+
+
+@query(f"{RUNS} select *, h_pixels > 300 and v_pixels > 300 as grid from (select p_partkey as image_id, {sql_opened('h', X.RASTER_WIDTH, pixels.GRID)} as h_pixels, {sql_opened('v', X.RASTER_HEIGHT, pixels.GRID)} as v_pixels from part left join fx_runs on image_id = p_partkey group by p_partkey)")
+def grid_flags(spark, d):
+    return pixels.grid(traced(spark, d, "runs"))
+
+
+@query(f"""{EDGES}, hue as (select image_id, color, greatest(color >> 16, (color >> 8) & 255, color & 255) as hi, least(color >> 16, (color >> 8) & 255, color & 255) as lo from fx_pixels),
+strong as (select image_id, color, count(*) as n from hue where round((hi - lo) * 255.0 / greatest(hi, 1)) > 30 and hi > 40 and hi < 240 group by all)
+select image_id, '#' || printf('%06x', color) as colour, n as pixels from (select *, sum(n) over (partition by image_id) as total from strong) where total >= 100""".replace(EDGES, PIXELS))
+def image_palette(spark, d):
+    """The fixture's images have five strong colours at most, which are their own centres."""
+    return traced(spark, d, "colours").select("image_id", F.explode("colours").alias("c")).select("image_id", "c.colour", F.col("c.pixels").cast("long").alias("pixels"))
+
+
+@query()
+def edge_lines(spark, d):
+    return traced(spark, d, "lines").select("image_id", F.posexplode("lines").alias("line_no", "s")).select("image_id", "line_no", "s.*")
+
+
+@query()
+def line_features(spark, d):
+    rows = traced(spark, d, "lines")
+    return rows.select("image_id", F.size("lines").alias("n_lines"), pixels.arrows(F.col("lines")).alias("arrows"), F.size(pixels.connections(F.col("lines"))).alias("connections"))
+
+
+@query()
+def shape_counts(spark, d):
+    return traced(spark, d, "polygons").select("image_id", pixels.shapes(F.col("polygons")).alias("s")).select("image_id", "s.*")
+
+
+@query()
+def data_points(spark, d):
+    return traced(spark, d, "blobs", "edge_pixels").select("image_id", pixels.data_points(F.col("blobs"), F.col("edge_pixels")).alias("data_points"))

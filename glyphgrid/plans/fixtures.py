@@ -77,11 +77,47 @@ def gate_taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.where("length(concept) >= 3").select(F.expr("1000 + item_id").alias("idx"), F.lit(1).alias("level"), "concept", F.lit("").alias("tags"), F.col("item_id").cast("string").alias("pages"))
 
 
+#: Size of the raster fixtures, and their colours: five strong ones, a grey and a near black.
+RASTER_WIDTH, RASTER_HEIGHT = 72, 60
+PAINTS = [0xC83C28, 0x28A03C, 0x2850C8, 0xC8A01E, 0x8C28A0, 0x787878, 0x141414]
+_PAINT = lambda n: "case " + n + " " + " ".join(f"when {i} then {c}" for i, c in enumerate(PAINTS)) + " end"
+#: Shapes of image k (a part, of size s), numbered i: by k % 6 bars, rules or a grid, a diagram, a scatter, a pie, patches.
+_SHAPE = {
+    "form": "case when k % 6 = 4 and i = 0 then 'disc' when k % 6 = 4 or k % 6 = 2 and i > 3 then 'line' else 'rect' end",
+    "x0": "case k % 6 when 0 then 4 + i * 6 when 1 then case when k % 12 = 1 or i < 3 then 4 else 10 + (i - 3) * 24 end when 2 then case i when 0 then 4 when 1 then 6 when 2 then 44 when 3 then 46 when 4 then 26 else 6 end when 3 then 4 + ((k + i * 17) * 7) % 60 when 4 then 36 else (k * (i + 1) * 11) % 50 end",
+    "y0": "case k % 6 when 0 then 56 - (40 + (k * (i + 3) + s * i) % 12) when 1 then case when k % 12 = 1 then 5 + i * 9 when i < 3 then 8 + i * 18 else 3 end when 2 then case i when 0 then 4 when 1 then 6 when 2 then 36 when 3 then 38 when 4 then 20 else 54 end when 3 then 4 + ((k * 3 + i * 29) * 5) % 48 when 4 then 30 else (s * (i + 2) * 7) % 40 end",
+    "x1": "case k % 6 when 0 then 6 + i * 6 when 1 then case when k % 12 = 1 or i < 3 then 66 else 11 + (i - 3) * 24 end when 2 then case i when 0 then 26 when 1 then 24 when 2 then 68 when 3 then 66 when 4 then 44 else 26 + s % 20 end when 3 then 7 + ((k + i * 17) * 7) % 60 when 4 then case i when 0 then 18 + k % 8 else 12 + i * 12 end else (k * (i + 1) * 11) % 50 + 8 + (k + i) % 14 end",
+    "y1": "case k % 6 when 0 then 56 when 1 then case when k % 12 = 1 then 6 + i * 9 when i < 3 then 9 + i * 18 else 56 end when 2 then case i when 0 then 20 when 1 then 18 when 2 then 55 when 3 then 53 when 4 then 36 + k % 3 else 34 - k % 14 end when 3 then 7 + ((k * 3 + i * 29) * 5) % 48 when 4 then 16 + k % 5 else (s * (i + 2) * 7) % 40 + 6 + (s + i) % 14 end",
+    "color": f"case when k % 6 = 2 and i in (1, 3) then 16777215 when k % 6 = 0 or k % 6 = 4 and i = 0 then {_PAINT('(k + i) % 5')} when k % 6 = 5 then {_PAINT('(k * i + s) % 6')} else {PAINTS[6]} end",
+}
+_SHAPES_HELD = "i < case k % 6 when 0 then 11 when 1 then 6 when 2 then 6 when 3 then 12 when 4 then 4 else 7 end"
+
+
+def shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), F.col("p_size").alias("s"), F.explode(F.sequence(F.lit(0), F.lit(11))).alias("i")).where(_SHAPES_HELD)
+    return rows.select(F.col("k").alias("image_id"), F.col("i").alias("z"), *[F.expr(v).alias(n) for n, v in _SHAPE.items()])
+
+
+def rasters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One small image a part, painted from its shapes."""
+    from glyphgrid.operators import pixels
+
+    boxes = table(spark, sf_dir, "part").selectExpr("p_partkey as image_id", "0 as x0", "0 as y0", f"{RASTER_WIDTH} as x1", f"{RASTER_HEIGHT} as y1")
+    return pixels.render(shapes(spark, sf_dir), boxes)
+
+
 _O = """o as (select l_orderkey // 8 as doc_id, l_orderkey % 8 as page_no, l_orderkey as okey, cast(row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate) as int) as block_no,
  cast(l_partkey as int) as pk, cast(l_suppkey as int) as sk, cast(l_quantity as int) as q, cast(l_linenumber as int) as ln from lineitem)"""
 
 #: CTEs of the views in DuckDB's SQL; {o} stands for the numbered line items.
 VIEWS = {
+    "fx_shapes": "fx_shapes as (select k as image_id, i as z, " + ", ".join(f"{v} as {n}" for n, v in _SHAPE.items()) + f" from (select p_partkey as k, p_size as s, cast(unnest(range(12)) as int) as i from part) where {_SHAPES_HELD})",
+    # colours by pixel i (line by line) and grey values
+    "fx_pixels": f"""fx_area as (select *, case form when 'disc' then x0 - x1 else least(x0, x1) end as l, case form when 'disc' then x0 + x1 else greatest(x0, x1) end as r, case form when 'disc' then y0 - x1 else least(y0, y1) end as t, case form when 'disc' then y0 + x1 else greatest(y0, y1) end as b from fx_shapes),
+fx_lines as (select *, unnest(range(greatest(t, 0), least(b, {RASTER_HEIGHT - 1}) + 1)) as y from fx_area), fx_dots as (select *, unnest(range(greatest(l, 0), least(r, {RASTER_WIDTH - 1}) + 1)) as x from fx_lines),
+fx_top as (select image_id, y * {RASTER_WIDTH} + x as i, arg_max(color, z) as color from fx_dots where case form when 'rect' then true when 'disc' then (x - x0) ** 2 + (y - y0) ** 2 <= x1 ** 2 else abs((y - y0) * (x1 - x0) - (x - x0) * (y1 - y0)) <= greatest(abs(x1 - x0), abs(y1 - y0)) end group by all),
+fx_blank as (select p_partkey as image_id, unnest(range({RASTER_WIDTH * RASTER_HEIGHT})) as i from part),
+fx_pixels as (select image_id, i, i % {RASTER_WIDTH} as x, i // {RASTER_WIDTH} as y, coalesce(color, 16777215) as color, ((coalesce(color, 16777215) >> 16) * 19595 + ((coalesce(color, 16777215) >> 8) & 255) * 38470 + (coalesce(color, 16777215) & 255) * 7471 + 32768) >> 16 as v from fx_blank left join fx_top using (image_id, i))""",
     "o": _O,
     "fx_blocks": """fx_blocks as (select doc_id, page_no, block_no, cast(9 + ln as double) as font_size, cast(40 + (pk % 5) * 10 as double) as x0,
  cast(30 + 90 * (block_no - 1) + sk % 50 as double) as y0, cast(40 + (pk % 5) * 10 + case when q % 3 = 0 then 450 else 120 + (pk % 20) * 10 end as double) as x1,
@@ -105,7 +141,35 @@ VIEWS = {
 }
 
 
+def _near(column: str, dy: int, dx: int, clamp: bool) -> str:
+    """A neighbour's value in a list by pixel: the border's repeated, or 0 outside."""
+    h, w = RASTER_HEIGHT, RASTER_WIDTH
+    if clamp:
+        return f"{column}[1 + greatest(0, least({h - 1}, y + {dy})) * {w} + greatest(0, least({w - 1}, x + {dx}))]"
+    return f"case when y + {dy} between 0 and {h - 1} and x + {dx} between 0 and {w - 1} then {column}[1 + (y + {dy}) * {w} + x + {dx}] else 0 end"
+
+
+def _sobel(across: bool) -> str:
+    parts = []
+    for a in (-1, 0, 1):
+        for side in (-1, 1):
+            dy, dx = (a, side) if across else (side, a)
+            parts.append(f"{'+' if side > 0 else '-'} {2 if a == 0 else 1} * {_near('g', dy, dx, True)}")
+    return " ".join(parts)
+
+
+#: Edges (image_id, x, y): gradients, thinning by their direction, and weak edges reached from strong ones.
+VIEWS["fx_edges"] = f"""fx_grey as (select image_id, list(v order by i) as g from fx_pixels group by image_id),
+fx_cells as (select i, i % {RASTER_WIDTH} as x, i // {RASTER_WIDTH} as y from range({RASTER_WIDTH * RASTER_HEIGHT}) as t(i)),
+fx_grad as (select image_id, i, 0 {_sobel(True)} as gx, 0 {_sobel(False)} as gy from fx_grey cross join fx_cells),
+fx_strength as (select image_id, list(abs(gx) + abs(gy) order by i) as m, list(gx order by i) as gxs, list(gy order by i) as gys from fx_grad group by image_id),
+fx_around as (select image_id, x, y, m[1 + i] as m, gxs[1 + i] as gx, gys[1 + i] as gy, {", ".join(f"{_near('m', dy, dx, False)} as {name}" for name, dy, dx in (("w", 0, -1), ("e", 0, 1), ("n", -1, 0), ("s", 1, 0), ("nw", -1, -1), ("ne", -1, 1), ("sw", 1, -1), ("se", 1, 1)))} from fx_strength cross join fx_cells),
+fx_weak as materialized (select image_id, x, y, m from fx_around where m > 50 and case when abs(gy) << 15 < abs(gx) * 13573 then m > w and m >= e when abs(gy) << 15 > abs(gx) * 13573 + (abs(gx) << 16) then m > n and m >= s when xor(gx, gy) < 0 then m > ne and m > sw else m > nw and m > se end),
+fx_edges as (select image_id, x, y from fx_weak where m > 150 union select k.image_id, k.x, k.y from fx_edges d join fx_weak k on k.image_id = d.image_id and k.y between d.y - 1 and d.y + 1 and k.x between d.x - 1 and d.x + 1)"""
+VIEWS["fx_runs"] = """fx_runs as (select image_id, axis, line, min(pos) as start, count(*) as length from (select *, pos - row_number() over (partition by image_id, axis, line order by pos) as island from (select image_id, 'h' as axis, y as line, x as pos from fx_edges union all select image_id, 'v', x, y from fx_edges)) group by image_id, axis, line, island)"""
+
+
 def ctes(*names: str) -> str:
     """``with`` clause of the named views, in order, the numbered line items first."""
     needs = ["o"] if any(n in ("fx_blocks", "fx_drawings", "fx_images", "fx_ocr") for n in names) else []
-    return "with " + ",\n".join(VIEWS[n] for n in [*needs, *names])
+    return ("with recursive " if "fx_edges" in names else "with ") + ",\n".join(VIEWS[n] for n in [*needs, *names])
