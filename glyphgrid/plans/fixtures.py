@@ -78,16 +78,16 @@ def gate_taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Size of the raster fixtures, and their colours: five strong ones, a grey and a near black.
-RASTER_WIDTH, RASTER_HEIGHT = 72, 60
+RASTER_WIDTH, RASTER_HEIGHT = 96, 60
 PAINTS = [0xC83C28, 0x28A03C, 0x2850C8, 0xC8A01E, 0x8C28A0, 0x787878, 0x141414]
 _PAINT = lambda n: "case " + n + " " + " ".join(f"when {i} then {c}" for i, c in enumerate(PAINTS)) + " end"
 #: Shapes of image k (a part, of size s), numbered i: by k % 6 bars, rules or a grid, a diagram, a scatter, a pie, patches.
 _SHAPE = {
     "form": "case when k % 6 = 4 and i = 0 then 'disc' when k % 6 = 4 or k % 6 = 2 and i > 3 then 'line' else 'rect' end",
-    "x0": "case k % 6 when 0 then 4 + i * 6 when 1 then case when k % 12 = 1 or i < 3 then 4 else 10 + (i - 3) * 24 end when 2 then case i when 0 then 4 when 1 then 6 when 2 then 44 when 3 then 46 when 4 then 26 else 6 end when 3 then 4 + ((k + i * 17) * 7) % 60 when 4 then 36 else (k * (i + 1) * 11) % 50 end",
-    "y0": "case k % 6 when 0 then 56 - (40 + (k * (i + 3) + s * i) % 12) when 1 then case when k % 12 = 1 then 5 + i * 9 when i < 3 then 8 + i * 18 else 3 end when 2 then case i when 0 then 4 when 1 then 6 when 2 then 36 when 3 then 38 when 4 then 20 else 54 end when 3 then 4 + ((k * 3 + i * 29) * 5) % 48 when 4 then 30 else (s * (i + 2) * 7) % 40 end",
-    "x1": "case k % 6 when 0 then 6 + i * 6 when 1 then case when k % 12 = 1 or i < 3 then 66 else 11 + (i - 3) * 24 end when 2 then case i when 0 then 26 when 1 then 24 when 2 then 68 when 3 then 66 when 4 then 44 else 26 + s % 20 end when 3 then 7 + ((k + i * 17) * 7) % 60 when 4 then case i when 0 then 18 + k % 8 else 12 + i * 12 end else (k * (i + 1) * 11) % 50 + 8 + (k + i) % 14 end",
-    "y1": "case k % 6 when 0 then 56 when 1 then case when k % 12 = 1 then 6 + i * 9 when i < 3 then 9 + i * 18 else 56 end when 2 then case i when 0 then 20 when 1 then 18 when 2 then 55 when 3 then 53 when 4 then 36 + k % 3 else 34 - k % 14 end when 3 then 7 + ((k * 3 + i * 29) * 5) % 48 when 4 then 16 + k % 5 else (s * (i + 2) * 7) % 40 + 6 + (s + i) % 14 end",
+    "x0": "case k % 6 when 0 then 4 + i * 6 when 1 then case when k % 12 = 1 then 4 when i < 3 then 4 + i * 8 else 30 end when 2 then case i when 0 then 4 when 1 then 6 when 2 then 44 when 3 then 46 when 4 then 26 else 6 end when 3 then 4 + ((k + i * 17) * 7) % 60 when 4 then 36 else (k * (i + 1) * 11) % 50 end",
+    "y0": "case k % 6 when 0 then 56 - (40 + (k * (i + 3) + s * i) % 12) when 1 then case when k % 12 = 1 then 5 + i * 9 when i < 3 then 3 else 8 + (i - 3) * 18 end when 2 then case i when 0 then 4 when 1 then 6 when 2 then 36 when 3 then 38 when 4 then 20 else 54 end when 3 then 4 + ((k * 3 + i * 29) * 5) % 48 when 4 then 30 else (s * (i + 2) * 7) % 40 end",
+    "x1": "case k % 6 when 0 then 6 + i * 6 when 1 then case when k % 12 = 1 then 90 when i < 3 then 6 + i * 8 else 93 end when 2 then case i when 0 then 26 when 1 then 24 when 2 then 68 when 3 then 66 when 4 then 44 else 26 + s % 20 end when 3 then 7 + ((k + i * 17) * 7) % 60 when 4 then case i when 0 then 18 + k % 8 else 12 + i * 12 end else (k * (i + 1) * 11) % 50 + 8 + (k + i) % 14 end",
+    "y1": "case k % 6 when 0 then 56 when 1 then case when k % 12 = 1 then 7 + i * 9 when i < 3 then 56 else 10 + (i - 3) * 18 end when 2 then case i when 0 then 20 when 1 then 18 when 2 then 55 when 3 then 53 when 4 then 36 + k % 3 else 34 - k % 14 end when 3 then 7 + ((k * 3 + i * 29) * 5) % 48 when 4 then 16 + k % 5 else (s * (i + 2) * 7) % 40 + 6 + (s + i) % 14 end",
     "color": f"case when k % 6 = 2 and i in (1, 3) then 16777215 when k % 6 = 0 or k % 6 = 4 and i = 0 then {_PAINT('(k + i) % 5')} when k % 6 = 5 then {_PAINT('(k * i + s) % 6')} else {PAINTS[6]} end",
 }
 _SHAPES_HELD = "i < case k % 6 when 0 then 11 when 1 then 6 when 2 then 6 when 3 then 12 when 4 then 4 else 7 end"

@@ -96,11 +96,18 @@ def circles(edges: np.ndarray, gx: np.ndarray, gy: np.ndarray, least: int, most:
             break
         if any((x - a) ** 2 + (y - b) ** 2 < apart * apart for a, b, *_ in found):
             continue
-        away = np.rint(np.hypot(xs - x, ys - y)).astype(np.int64)
-        support = np.bincount(away, minlength=most + 2)[: most + 2]
-        support[:least] = 0
-        near = support + np.roll(support, 1) + np.roll(support, -1)
-        radius = int(near[: most + 1].argmax())
-        if near[radius] >= votes:
-            found.append((x, y, radius, int(near[radius])))
+        # directions are coarse, so the centre is the one nearby with most pixels at one distance
+        best = max((_rim(xs - a, ys - b, least, most) + (a, b) for a in range(x - 4, x + 5) for b in range(y - 4, y + 5)), key=lambda r: r[0])
+        support, radius, x, y = best
+        if support >= votes and not any((x - a) ** 2 + (y - b) ** 2 < apart * apart for a, b, *_ in found):
+            found.append((x, y, radius, support))
     return found
+
+
+def _rim(dx: np.ndarray, dy: np.ndarray, least: int, most: int) -> tuple[int, int]:
+    """Most pixels at one distance (give or take one) of those allowed, and that distance."""
+    counts = np.bincount(np.rint(np.hypot(dx, dy)).astype(np.int64), minlength=most + 2)[: most + 2]
+    counts[: max(least - 1, 0)] = 0
+    near = counts[:-2] + counts[1:-1] + counts[2:]
+    radius = int(near.argmax()) + 1
+    return int(near[radius - 1]), radius
