@@ -42,8 +42,8 @@ from .suffix_array import suffix_array
 SLICE, BATCH = 2 << 20, 2 << 20
 #: Bytes that decide a cut; one place in ``DENSITY`` is one; ``REACH`` bytes without one make every byte a cut.
 TRIGGER, DENSITY, REACH = 8, 24, 128
-#: Bytes after a cut that its hash covers.
-COVER = 32
+#: Bytes after a cut that its hash covers: texts that share less than these meet under no key.
+COVER = 128
 #: Different pieces of a key that go to one task at most.
 CROWD = 4096
 #: Bytes of removed spans (and of their keys) up to which they are broadcast.
@@ -65,14 +65,15 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
 class Bytes:
     """Bytes of several texts in a row, their cuts, and digests of any stretch of eight bytes or more."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, cuts: bool = True):
         self.data, self.offsets = data, offsets
         padded = np.concatenate([data, np.zeros(16, dtype=np.uint8)])
         #: the eight bytes from each place on
         self.eight = np.ndarray((len(data) + 8,), dtype="<u8", buffer=padded, strides=(1,))
         self.mixed = common.mix64(self.eight[: len(data)].astype(np.uint64))
         self._sums: np.ndarray | None = None
-        self._find_cuts()
+        if cuts:
+            self._find_cuts()
 
     def _find_cuts(self) -> None:
         ends = np.flatnonzero((self.mixed >> np.uint64(40)) < np.uint64((1 << 24) // DENSITY)) + TRIGGER
@@ -139,16 +140,16 @@ class Bytes:
 
     def _least(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The first cut of the least hash among cuts a to b, by a table of doubling spans."""
-        cuts = np.minimum(self.cuts, max(len(self.data) - 1, 0))
-        hashes = np.zeros(len(cuts), dtype=np.uint64)
-        for k in range(0, COVER, 8):
-            hashes = common.mix64(hashes * _ODD + self.eight[np.minimum(cuts + k, len(self.eight) - 1)])
+        # cuts too near the end of all texts are in no window's view
+        hashes = np.zeros(len(self.cuts), dtype=np.uint64)
+        seen = np.flatnonzero(self.cuts + COVER <= len(self.data))
+        hashes[seen] = self.digest(self.cuts[seen], self.cuts[seen] + COVER)
         self._hashes = hashes
-        table = [np.arange(len(cuts))]
+        table = [np.arange(len(self.cuts))]
         span = 1
         while 2 * span <= int((b - a).max(initial=1)):
-            left = table[-1][: len(cuts) - 2 * span + 1]
-            right = table[-1][span : len(cuts) - span + 1]
+            left = table[-1][: len(self.cuts) - 2 * span + 1]
+            right = table[-1][span : len(self.cuts) - span + 1]
             table.append(np.where(hashes[right] < hashes[left], right, left))
             span *= 2
         level = np.frexp(np.maximum(b - a, 1).astype(np.float64))[1] - 1
@@ -176,16 +177,39 @@ def common_bytes(eight: np.ndarray, a: np.ndarray, b: np.ndarray, limit: np.ndar
 
 
 def repeated_windows(parts: list[bytes], width: int) -> np.ndarray:
-    """For each window of the parts, flat, whether an equal one starts elsewhere in them: by one suffix array."""
+    """For each window of the parts, flat, whether an equal one starts elsewhere in them.
+
+    A window whose digest is the only one can't repeat: what is left of the parts around the others is compared by one suffix array.
+    """
     offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
-    whole = b"".join(parts)
-    held = Bytes(np.frombuffer(whole, dtype=np.uint8), offsets)
     counts = np.maximum(np.diff(offsets) - width + 1, 0)
     windows = gather(offsets[:-1], counts)
     repeated = np.zeros(len(windows), dtype=bool)
-    cuts, owner = held.cuts, held.cut_text
-    if not len(cuts) or not len(windows):
+    whole = b"".join(parts)
+    digests = Bytes(np.frombuffer(whole, dtype=np.uint8), offsets, cuts=False).digest(windows, windows + width) if len(windows) else np.zeros(0, dtype=np.uint64)
+    order = np.argsort(digests, kind="stable")
+    same = digests[order[1:]] == digests[order[:-1]]
+    likely = np.zeros(len(windows), dtype=bool)
+    likely[order[1:][same]] = likely[order[:-1][same]] = True
+    likely = np.flatnonzero(likely)
+    if not len(likely):
         return repeated
+    part = np.searchsorted(offsets, windows[likely], side="right") - 1
+    fresh = np.flatnonzero(np.diff(part, prepend=-1))
+    first, last = windows[likely[fresh]], windows[likely[np.append(fresh[1:], len(likely)) - 1]]
+    kept = [whole[a : b + width] for a, b in zip(first.tolist(), last.tolist(), strict=True)]
+    starts = np.concatenate([[0], np.cumsum([len(k) for k in kept])]).astype(np.int64)
+    moved = windows[likely] - np.repeat(first - starts[:-1], np.diff(fresh, append=len(likely)))
+    repeated[likely] = _equal_windows(b"".join(kept), starts, moved, width)
+    return repeated
+
+
+def _equal_windows(whole: bytes, offsets: np.ndarray, windows: np.ndarray, width: int) -> np.ndarray:
+    """For each window of the parts from ``offsets`` on, whether an equal one of those starts elsewhere: by one suffix array."""
+    held = Bytes(np.frombuffer(whole, dtype=np.uint8), offsets)
+    repeated = np.zeros(len(windows), dtype=bool)
+    parts = len(offsets) - 1
+    cuts, owner = held.cuts, held.cut_text
     # words: up to the next trigger, REACH bytes or the part's end; the rank of a word's bytes is its symbol
     ends = offsets[owner + 1]
     after = np.searchsorted(held.triggers, cuts, side="right")
@@ -195,7 +219,7 @@ def repeated_windows(parts: list[bytes], width: int) -> np.ndarray:
     rank = {w: k for k, w in enumerate(sorted(set(words)), 2)}
     # the parts' symbols, each part followed by 1, and 0 at the end
     places = np.arange(len(cuts)) + owner
-    text = np.ones(len(cuts) + len(parts) + 1, dtype=np.int64)
+    text = np.ones(len(cuts) + parts + 1, dtype=np.int64)
     text[places] = np.fromiter(map(rank.__getitem__, words), dtype=np.int64, count=len(words))
     text[-1] = 0
     cut_at = np.full(len(text), -1, dtype=np.int64)
@@ -369,8 +393,8 @@ def _side(table: DataFrame, lists: str) -> DataFrame:
 
 def remove_repeats(documents: DataFrame, width: int = 400, crowd: int = CROWD, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, n_bytes, spans of (start, stop) that go, kept bytes) of every row."""
-    if width < 2 * REACH + TRIGGER + COVER:
-        raise ValueError(f"strings have {2 * REACH + TRIGGER + COVER} bytes at least")
+    if width < 2 * REACH + TRIGGER:
+        raise ValueError(f"strings have {2 * REACH + TRIGGER} bytes at least")
     rows = common.plain_names(documents, id_column, text_column).toDF("id", "text")
     rows = rows.select("id", F.coalesce("text", F.lit("")).alias("text")).select("id", "text", *_digests(F.col("text")))
     common.workers_find_package(documents.sparkSession)
