@@ -52,6 +52,18 @@ def _lyndon_groups(order: list[int], place: list[int], group: list[int], size: l
         end = start
         if not pointed:
             continue
+        if len(pointed) == 1:  # the most frequent case: one place goes to its group's end
+            (j,) = pointed
+            pointers[j] = 0
+            g = group[j]
+            rest = size[g] - 1
+            if rest:
+                new, at = g + rest, place[j]
+                other = order[new]
+                order[new], place[j], order[at], place[other] = j, new, other, at
+                group[j] = new
+                size[g], size[new] = rest, 1
+            continue
         by_count: dict[int, dict[int, list[int]]] = {}
         for j in pointed:
             by_count.setdefault(pointers[j], {}).setdefault(group[j], []).append(j)
@@ -64,8 +76,8 @@ def _lyndon_groups(order: list[int], place: list[int], group: list[int], size: l
                 new = rank = g + rest
                 for j in leaving:
                     other, at = order[rank], place[j]
-                    order[rank], place[j] = j, rank
                     order[at], place[other] = other, at
+                    order[rank], place[j] = j, rank
                     group[j] = new
                     rank += 1
                 size[g], size[new] = rest, len(leaving)

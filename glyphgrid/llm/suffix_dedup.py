@@ -46,8 +46,6 @@ TRIGGER, DENSITY, REACH = 8, 24, 128
 COVER = 128
 #: Different pieces of a key that go to one task at most.
 CROWD = 4096
-#: Bytes of removed spans (and of their keys) up to which they are broadcast.
-BROADCAST_BYTES = 32 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -351,12 +349,12 @@ def _resolve(parts: DataFrame, width: int, crowd: int, level: int, scratch: comm
     members = scratch.table(finer.groupBy("key", "piece").agg(F.sum("times").alias("times"), *[F.first(c).alias(c) for c in ("n", "at", "of_key", "of_piece")]))
     marks, keys = _known(members)
     if level == 0:  # single windows under their own digest need no comparison
-        own = members.join(keys, "key").select("key", "piece", "times", "different", "n", "at", "of_key", "of_piece")
+        own = members.join(keys.hint("merge"), "key").select("key", "piece", "times", "different", "n", "at", "of_key", "of_piece")
         source = crowded.select(F.col("key").alias("of_key"), F.col("piece").alias("of_piece"), "bytes")
         cut = F.substr("bytes", F.col("at") + 1, F.col("n") + F.lit(width - 1)).alias("bytes")
-        again = scratch.table(own.join(source, ["of_key", "of_piece"]).select("key", "piece", "times", "different", cut))
+        again = scratch.table(own.join(source.hint("merge"), ["of_key", "of_piece"]).select("key", "piece", "times", "different", cut))
         marks = marks.unionByName(_resolve(again, width, crowd, 1, scratch))
-    back = finer.join(marks, ["key", "piece"]).select(F.col("of_key").alias("key"), F.col("of_piece").alias("piece"), F.transform("marks", lambda m: F.struct((m["at"] + F.col("at")).alias("at"), m["n"].alias("n"))).alias("marks"))
+    back = finer.join(marks.hint("merge"), ["key", "piece"]).select(F.col("of_key").alias("key"), F.col("of_piece").alias("piece"), F.transform("marks", lambda m: F.struct((m["at"] + F.col("at")).alias("at"), m["n"].alias("n"))).alias("marks"))
     return few.unionByName(back.groupBy("key", "piece").agg(F.flatten(F.collect_list("marks")).alias("marks")))
 
 
@@ -372,25 +370,19 @@ def repeated_spans(documents: DataFrame, scratch: common.Scratch, width: int, cr
     flat = texts.select("d1", "d2", "copies", F.explode("pieces").alias("p")).select("d1", "d2", "copies", "p.*")
     members = scratch.table(flat.groupBy("key", "piece").agg(F.count(F.lit(1)).alias("times"), *[F.first(c).alias(c) for c in ("d1", "d2", "at", "n")]))
     marks, keys = _known(members)
-    wanted = members.join(keys, "key").groupBy("d1", "d2").agg(F.collect_list(F.struct("key", "piece", "times", "different", "at", "n")).alias("wanted"))
+    wanted = members.join(keys.hint("merge"), "key").groupBy("d1", "d2").agg(F.collect_list(F.struct("key", "piece", "times", "different", "at", "n")).alias("wanted"))
     # one row of each text, dealt by its digest, meets the pieces wanted from it
     single = long.groupBy("d1", "d2").agg(F.first("text").alias("text"))
-    fetched = single.join(wanted, ["d1", "d2"]).select(F.col("text").cast("binary").alias("text"), F.explode("wanted").alias("w"))
+    fetched = single.join(wanted.hint("merge"), ["d1", "d2"]).select(F.col("text").cast("binary").alias("text"), F.explode("wanted").alias("w"))
     cut = F.substr("text", F.col("w.at") + 1, F.col("w.n") + F.lit(width - 1)).alias("bytes")
     parts = scratch.table(fetched.select("w.key", "w.piece", "w.times", "w.different", cut))
     marks = scratch.table(marks.unionByName(_resolve(parts, width, crowd, 0, scratch)))
     spans = F.transform("marks", lambda m: F.struct((m["at"] + F.col("at")).cast("bigint").alias("start"), (m["at"] + m["n"] + F.col("at") + F.lit(width - 1)).cast("bigint").alias("stop")))
-    partly = flat.where("copies = 1").join(_side(marks, "marks"), ["key", "piece"]).select("d1", "d2", spans.alias("spans")).groupBy("d1", "d2").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    partly = flat.where("copies = 1").join(marks.hint("merge"), ["key", "piece"]).select("d1", "d2", spans.alias("spans")).groupBy("d1", "d2").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     wholly = texts.where("copies > 1").select("d1", "d2", F.array(F.struct(F.lit(0).cast("bigint").alias("start"), F.col("n_bytes").alias("stop"))).alias("spans"))
     return partly.unionByName(wholly)
 
 
-def _side(table: DataFrame, lists: str) -> DataFrame:
-    """A written side of a join, broadcast while its rows and list entries take ``BROADCAST_BYTES`` at most."""
-    rows, entries = table.agg(F.count(F.lit(1)), F.sum(F.size(lists))).first()
-    return F.broadcast(table) if 64 * rows + 16 * (entries or 0) <= BROADCAST_BYTES else table
-
-
 def remove_repeats(documents: DataFrame, width: int = 400, crowd: int = CROWD, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, n_bytes, spans of (start, stop) that go, kept bytes) of every row."""
     if width < 2 * REACH + TRIGGER:
@@ -418,6 +410,6 @@ def remove_repeats(documents: DataFrame, width: int = 400, crowd: int = CROWD, i
             kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
             yield pa.RecordBatch.from_arrays([common.column(batch, "id"), pa.array(map(len, texts), pa.int64()), pa.array(merged, kind), pa.array(kept, pa.binary())], ["id", "n_bytes", "spans", "kept"])
 
-    joined = rows.join(_side(spans, "spans"), ["d1", "d2"], "left").select("id", "text", "spans")
+    joined = rows.join(spans.hint("shuffle_hash"), ["d1", "d2"], "left").select("id", "text", "spans")
     kind = documents.schema[id_column].dataType.simpleString()
     return joined.mapInArrow(cut, f"id {kind}, n_bytes long, spans array<struct<start: bigint, stop: bigint>>, kept binary").withColumnRenamed("id", id_column)

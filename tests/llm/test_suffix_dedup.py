@@ -65,8 +65,7 @@ def test_repeats(spark, crowd):
     assert shown((r.doc_id, r.n_bytes, [tuple(s) for s in r.spans], bytes(r.kept)) for r in got) == shown((i if i % 13 else None, *w) for i, w in enumerate(WANT))
 
 
-def test_shuffled_sides_and_empty_tables(spark, monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "BROADCAST_BYTES", 0)
+def test_plain_and_empty_tables(spark):
     frame = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
     got = {r.doc_id: [tuple(s) for s in r.spans] for r in suffix_dedup.remove_repeats(frame).collect()}
     assert got == {i: w[1] for i, w in enumerate(WANT)}
