@@ -22,13 +22,24 @@ NUMERIC_MONEY = r"^[0-9\-/.,\s%$€£¥]+$"
 _NUMBER = r"(\d+(?:\.\d+)?)"
 
 
+def raw_words(text: Column) -> Column:
+    """Lower-case words of letters, digits, underscores and hyphens, as they stand."""
+    return F.split(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}_\s-]", " "), r"\s+")
+
+
+def is_term(word: Column) -> Column:
+    return (F.length(word) >= 3) & ~word.isin(STOP_WORDS)
+
+
 def terms(text: Column, hyphen_parts: bool = True) -> Column:
     """Distinct lower-case terms of three letters or more that aren't stop words; parts of hyphenated words too."""
-    words = F.split(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}_\s-]", " "), r"\s+")
-    stripped = F.transform(words, lambda w: F.btrim(w, F.lit("-_")))
+    # equal words are trimmed once; parts are made only where there is a hyphen
+    stripped = F.transform(F.array_distinct(F.filter(raw_words(text), lambda w: F.length(w) >= 3)), lambda w: F.btrim(w, F.lit("-_")))
     if hyphen_parts:
-        stripped = F.flatten(F.transform(stripped, lambda w: F.concat(F.array(w), F.transform(F.split(w, "-"), lambda p: F.btrim(p, F.lit("-_"))))))
-    return F.array_distinct(F.filter(stripped, lambda w: (F.length(w) >= 3) & ~w.isin(STOP_WORDS)))
+        joined = F.filter(stripped, lambda w: F.contains(w, F.lit("-")))
+        parts = F.flatten(F.transform(joined, lambda w: F.transform(F.split(w, "-"), lambda p: F.btrim(p, F.lit("-_")))))
+        stripped = F.when(F.size(joined) > 0, F.concat(stripped, parts)).otherwise(stripped)
+    return F.array_distinct(F.filter(stripped, is_term))
 
 
 def normalized(text: Column) -> Column:

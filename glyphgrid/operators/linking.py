@@ -1,31 +1,28 @@
 """Concept linking: a term-indexed taxonomy joined to segments by shared terms.
 
+The taxonomy's index and its terms are written once and read by every part of a plan.
 Every score but the legacy profile's comes from equi-joins on terms: a pair without
 a shared term can't pass the threshold (exact, fuzzy and context give 45 of 100 at
-most), so no segment meets a concept that it shares no term with. The taxonomy's
-side of a join is broadcast while it has ``BROADCAST_ROWS`` rows at most, so frequent
-terms are not dealt to one task; beyond that the join is a shuffle that AQE splits.
+most), so no segment meets a concept that it shares no term with. Segments are dealt
+by their id once, which serves all that is computed of a segment. A stored side is
+broadcast while its files are small (``durable.Stored``), so frequent terms are not
+dealt to one task; beyond that the join is a shuffle that AQE splits. Phrases are
+found by one automaton pass over each text.
 """
 
 from __future__ import annotations
 
-import ahocorasick
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from glyphgrid.functions import text as T
 from glyphgrid.operators import similarity
+from glyphgrid.operators.phrases import phrase_hits
+from glyphgrid.plans.durable import Stored
 
 #: Weights of a segment's channels, and of the five signals in percent, in order of precedence.
 CHANNELS = {"caption": 1.0, "summary": 0.9, "ocr": 0.7, "nearby": 0.5}
 SIGNALS = {"exact": 30.0, "cosine": 30.0, "overlap": 25.0, "fuzzy": 10.0, "context": 5.0}
-BROADCAST_ROWS = 1_000_000
-
-
-def small(side: DataFrame) -> DataFrame:
-    """A side of a join with a broadcast hint where its rows are few."""
-    return F.broadcast(side) if side.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else side
 
 
 def concepts(taxonomy: DataFrame, parsed: bool = True) -> DataFrame:
@@ -65,24 +62,29 @@ def term_idf(index: DataFrame) -> DataFrame:
 
 
 def segment_terms(segments: DataFrame, channels: tuple[str, ...] = tuple(CHANNELS), hyphen_parts: bool = True) -> DataFrame:
-    """(segment_id, term, weight): weights of the channels that hold a term."""
-
-    def weighted(channel: str) -> Column:
-        return F.transform(T.terms(F.col(channel), hyphen_parts), lambda t: F.struct(t.alias("term"), F.lit(CHANNELS[channel]).alias("weight")))
+    """(segment_id, term, weight): weights of the channels that hold a term.
 
-    found = F.flatten(F.array(*map(weighted, channels)))
-    # dealt by segment alone, which serves the sums, the windows and the pairs of a segment alike
-    terms = segments.select("segment_id", F.explode(found).alias("t")).repartition("segment_id")
-    return terms.groupBy("segment_id", F.col("t.term").alias("term")).agg(F.sum("t.weight").alias("weight"))
+    Words become rows before they are trimmed and filtered, and a channel's weight counts once a term; segments
+    are dealt by id first, which serves this grouping and all that follow.
+    """
+    words = [F.struct(F.lit(k).alias("channel"), T.raw_words(F.col(c)).alias("words")) for k, c in enumerate(channels)]
+    rows = segments.select("segment_id", *channels).repartition("segment_id").select("segment_id", F.explode(F.array(*words)).alias("c"))
+    rows = rows.select("segment_id", "c.channel", F.explode("c.words").alias("word"))
+    rows = rows.select("segment_id", "channel", F.btrim("word", F.lit("-_")).alias("term"))
+    if hyphen_parts:
+        parts = F.when(F.contains("term", F.lit("-")), F.concat(F.array("term"), F.split("term", "-"))).otherwise(F.array("term"))
+        rows = rows.select("segment_id", "channel", F.explode(parts).alias("term")).select("segment_id", "channel", F.btrim("term", F.lit("-_")).alias("term"))
+    held = [F.coalesce(F.max(F.when(F.col("channel") == k, F.lit(CHANNELS[c]))), F.lit(0.0)) for k, c in enumerate(channels)]
+    return rows.where(T.is_term(F.col("term"))).groupBy("segment_id", "term").agg(sum(held[1:], held[0]).alias("weight"))
 
 
 def search_vectors(segments: DataFrame, index: DataFrame, **options) -> DataFrame:
     """(segment_id, term, value): channel weights as shares of the segment's total, times idf; unseen terms count as df 1."""
-    total = index.agg(F.count(F.lit(1)).alias("n"))
+    known = Stored(document_frequency(concept_terms(index)))
+    total = F.lit(index.count())
     terms = segment_terms(segments, **options)
     share = F.col("weight") / F.sum("weight").over(Window.partitionBy("segment_id"))
-    known = document_frequency(concept_terms(index))
-    return terms.withColumn("share", share).join(small(known), "term", "left").join(F.broadcast(total)).select("segment_id", "term", (F.col("share") * idf(F.col("df"), F.col("n"))).alias("value"))
+    return terms.withColumn("share", share).join(known.side(), "term", "left").select("segment_id", "term", (F.col("share") * idf(F.col("df"), total)).alias("value"))
 
 
 def concept_vectors(index: DataFrame) -> DataFrame:
@@ -93,22 +95,30 @@ def concept_vectors(index: DataFrame) -> DataFrame:
     return terms.withColumn("share", share).join(term_idf(index), "term").select("idx", "term", (F.col("share") * F.col("idf")).alias("value"))
 
 
+def term_table(index: DataFrame) -> DataFrame:
+    """(term, idx, is_primary, idf, value, norm, all): a concept's terms with what cosine and overlap need of it."""
+    by_concept = Window.partitionBy("idx")
+    rows = concept_terms(index).join(term_idf(index), "term").join(concept_vectors(index), ["idx", "term"], "left").na.fill(0.0, ["value"])
+    rows = rows.withColumn("norm", F.sqrt(F.sum(F.col("value") * F.col("value")).over(by_concept))).withColumn("all", F.sum(F.when(F.col("is_primary"), F.col("idf")).otherwise(0.0)).over(by_concept))
+    return rows.select("term", "idx", "is_primary", "idf", "value", "norm", "all")
+
+
 def term_signals(segments: DataFrame, index: DataFrame, **options) -> DataFrame:
     """(segment_id, idx, cosine, overlap) of pairs with a shared term, from one join on terms.
 
-    Cosine: of the two vectors, 0 to 1. Overlap: idf of primary hits, and half that
-    of others, against all primary terms.
+    Cosine: of the two vectors, 0 to 1. Overlap: idf of primary hits, and half that of others, against all
+    primary terms. Of terms that no concept has only the squares count, so they go before the join.
     """
-    left = search_vectors(segments, index, **options)
-    left = left.withColumn("norm", F.sqrt(F.sum(F.col("value") * F.col("value")).over(Window.partitionBy("segment_id"))))
-    vectors = concept_vectors(index).withColumnRenamed("value", "c_value")
-    by_concept = Window.partitionBy("idx")
-    right = concept_terms(index).join(term_idf(index), "term").join(vectors, ["idx", "term"], "left").na.fill(0.0, ["c_value"])
-    right = right.withColumn("c_norm", F.sqrt(F.sum(F.col("c_value") * F.col("c_value")).over(by_concept))).withColumn("all", F.sum(F.when(F.col("is_primary"), F.col("idf")).otherwise(0.0)).over(by_concept))
-    right = right.select("term", "idx", "is_primary", "idf", "c_value", "c_norm", "all")
-    pairs = left.join(small(right), "term").groupBy("segment_id", "idx")
+    table = Stored(term_table(index))
+    unseen = idf(F.lit(None).cast("bigint"), F.lit(index.count()))
+    seen = Stored(table.table.select("term", "idf").distinct())
+    terms = segment_terms(segments, **options).join(seen.side(), "term", "left")
+    weighed = F.col("weight") * F.coalesce(F.col("idf"), unseen)
+    known = F.collect_list(F.when(F.col("idf").isNotNull(), F.struct("term", "weight")))
+    per = terms.groupBy("segment_id").agg(F.sum("weight").alias("total"), F.sqrt(F.sum(weighed * weighed)).alias("length"), known.alias("known"))
+    left = per.select("segment_id", (F.col("length") / F.col("total")).alias("ns"), "total", F.explode("known").alias("t")).select("segment_id", "ns", "t.term", (F.col("t.weight") / F.col("total")).alias("share"))
     got = F.sum(F.when(F.col("is_primary"), F.col("idf")).otherwise(0.5 * F.col("idf")))
-    sums = pairs.agg(F.sum(F.col("value") * F.col("c_value")).alias("dot"), F.max("norm").alias("ns"), F.max("c_norm").alias("nc"), got.alias("got"), F.max("all").alias("all"))
+    sums = left.join(table.side(), "term").groupBy("segment_id", "idx").agg(F.sum(F.col("share") * F.col("idf") * F.col("value")).alias("dot"), F.max("ns").alias("ns"), F.max("norm").alias("nc"), got.alias("got"), F.max("all").alias("all"))
     cosine = F.when(F.col("ns") * F.col("nc") > 0, F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("dot") / (F.col("ns") * F.col("nc"))))).otherwise(0.0)
     overlap = F.when(F.col("all") > 0, F.least(F.lit(1.0), F.col("got") / F.col("all"))).otherwise(0.0)
     return sums.select("segment_id", "idx", cosine.alias("cosine"), overlap.alias("overlap"))
@@ -119,22 +129,21 @@ def search_text(channels: tuple[str, ...] = tuple(CHANNELS)) -> Column:
     return F.concat_ws(" ", *[F.nullif(F.col(c), F.lit("")) for c in channels])
 
 
-def whole_phrase(haystack: Column, needle: Column) -> Column:
-    """Whether the phrase stands between non-word characters; its hyphens match spaces too."""
-    escaped = F.regexp_replace(F.regexp_replace(needle, r"([\\.\[\]{}()*+?^$|])", r"\\$1"), "-", r"[-\\s]")
-    return F.regexp_like(haystack, F.concat(F.lit(r"(?<![\p{L}\p{N}_])"), escaped, F.lit(r"(?![\p{L}\p{N}_])")))
+def phrase_score(phrase: Column) -> Column:
+    """What a phrase found counts: names of several words and short ones 1, others 0.7."""
+    shaped = phrase.contains(" ") | phrase.rlike(r"^[a-z]{2,10}(-[a-z]{1,10})?s?\z")
+    return F.when(shaped, 1.0).otherwise(0.7)
 
 
-def exact_score(text: Column, name: Column) -> Column:
-    shaped = name.contains(" ") | name.rlike(r"^[a-z]{2,10}(-[a-z]{1,10})?s?\z")
-    # a plain substring test runs before the pattern, which is compiled anew for each name
-    found = F.when(F.contains(text, F.regexp_extract(name, "^[^-]*", 0)), whole_phrase(text, name)).otherwise(False)
-    return F.when(found, F.when(shaped, 1.0).otherwise(0.7)).otherwise(0.0)
+def exact_scores(texts: DataFrame, index: DataFrame) -> DataFrame:
+    """(segment_id, idx, exact, named) of concepts with a phrase in a text (segment_id, text).
 
-
-def best_phrase(text: Column, phrases: Column) -> Column:
-    """Best exact score of a concept's phrases in a normalised text."""
-    return F.coalesce(F.array_max(F.transform(phrases, lambda p: exact_score(text, p))), F.lit(0.0))
+    ``exact`` is the best phrase's score; ``named`` says whether one is there besides the concept's only term.
+    """
+    owners = Stored(index.select("idx", F.when(F.size("primary") == 1, F.col("primary")[0]).alias("only"), F.explode("phrases").alias("phrase")))
+    hits = phrase_hits(texts, owners.table.select("phrase")).join(owners.side(), "phrase")
+    named = F.max(F.col("only").isNotNull() & (F.col("phrase") != F.col("only")))
+    return hits.groupBy("segment_id", "idx").agg(F.max(phrase_score(F.col("phrase"))).alias("exact"), named.alias("named"))
 
 
 def context_score(name: Column, caption: Column, summary: Column, nearby: Column | None = None) -> Column:
@@ -152,35 +161,38 @@ def generic_terms(index: DataFrame) -> DataFrame:
     return per.where("primary > 0").join(F.broadcast(total)).select("term", "df", "in_multi", ((F.col("in_multi") >= 1) & (F.col("df") >= 2) | (F.col("df") >= 3) & (F.col("df") / F.col("n") >= 0.08)).alias("generic"))
 
 
-def gated(only: Column, caption: Column, text: Column, phrases: Column) -> Column:
+def gated(only: Column, caption: Column, named: Column) -> Column:
     """Whether a generic single-term concept is shut out: unless it opens a short caption, or another name of it is in the text."""
     title = T.normalized(F.coalesce(caption, F.lit("")))
     after = F.substr(title, F.length(only) + 1, F.lit(1))
     opens = (title != "") & (F.length(title) <= 80) & F.startswith(title, only) & ~after.rlike(r"^[\p{L}\p{N}_]")
-    named = F.exists(phrases, lambda p: (p != only) & F.contains(text, F.regexp_extract(p, "^[^-]*", 0)) & whole_phrase(text, p))
     return ~opens & ~named
 
 
 def scores(segments: DataFrame, index: DataFrame, fuzzy: bool = True, gate: bool = True, least: float | None = None) -> DataFrame:
     """(segment_id, idx, signals, score) of all pairs with a shared term; with ``least``, of those that can pass it."""
+    held = Stored(index)
+    index = held.table
     pairs = term_signals(segments, index)
     if least is not None:  # texts are fetched for pairs only that the other signals could lift over the threshold
-        pairs = pairs.where(30 * F.col("cosine") + 25 * F.col("overlap") + 45 > 100 * least - 1e-3)
-    kept = ["idx", "level", "concept", "concept_id", "name", "primary", "phrases"]
+        pairs = Stored(pairs.where(30 * F.col("cosine") + 25 * F.col("overlap") + 45 > 100 * least - 1e-3)).table
+        segments = segments.join(pairs.select("segment_id").distinct(), "segment_id", "left_semi")
     texts = segments.select("segment_id", T.normalized(search_text()).alias("text"), "caption", "summary", "nearby")
-    rows = pairs.join(small(index.select(*kept)), "idx").join(texts, "segment_id")
-    rows = rows.withColumn("exact", best_phrase(F.col("text"), F.col("phrases"))).withColumn("context", context_score(F.col("name"), F.col("caption"), F.col("summary"), F.col("nearby")))
-    generic = generic_terms(index)
+    kept = ["idx", "level", "concept", "concept_id", "name", "primary", "phrases"]
+    rows = pairs.join(held.side(*kept), "idx").join(texts.drop("text"), "segment_id").join(exact_scores(texts, index), ["segment_id", "idx"], "left")
+    rows = rows.withColumn("exact", F.coalesce("exact", F.lit(0.0))).withColumn("named", F.coalesce("named", F.lit(False)))
+    rows = rows.withColumn("context", context_score(F.col("name"), F.col("caption"), F.col("summary"), F.col("nearby")))
+    generic = Stored(generic_terms(index))
     if fuzzy:
-        near = similarity.fuzzy_scores(similarity.tokens(segments, T.normalized(search_text())), index, generic)
+        near = similarity.fuzzy_scores(similarity.tokens(texts, F.col("text")), index, generic.table)
         rows = rows.join(near, ["segment_id", "idx"], "left").withColumn("fuzzy", F.coalesce("fuzzy", F.lit(0.0)))
     else:
         rows = rows.withColumn("fuzzy", F.lit(0.0))
     rows = rows.withColumn("score", F.least(F.lit(1.0), weighed()))
     if gate:
-        known = generic.where("generic").select(F.col("term").alias("only"), F.lit(True).alias("generic"))
-        rows = rows.withColumn("only", F.when(F.size("primary") == 1, F.col("primary")[0])).join(small(known), "only", "left")
-        shut = F.col("generic").isNotNull() & gated(F.col("only"), F.col("caption"), F.col("text"), F.col("phrases"))
+        known = generic.side().where("generic").select(F.col("term").alias("only"), F.lit(True).alias("generic"))
+        rows = rows.withColumn("only", F.when(F.size("primary") == 1, F.col("primary")[0])).join(known, "only", "left")
+        shut = F.col("generic").isNotNull() & gated(F.col("only"), F.col("caption"), F.col("named"))
         rows = rows.withColumn("score", F.when(shut, 0.0).otherwise(F.col("score")))
     return rows
 
@@ -201,42 +213,16 @@ def ranked_links(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
     return kept.select("segment_id", "idx", "concept_id", "concept", "level", "score", method.alias("match_method"), F.row_number().over(order).alias("rank"))
 
 
-def names_in(texts: DataFrame, names: DataFrame) -> DataFrame:
-    """(segment_id, idx) of names (idx, name) that occur anywhere in a text (segment_id, text).
-
-    One pass of an automaton over all names, while they are ``BROADCAST_ROWS`` at most; beyond that a join on substrings.
-    """
-    held = names.where("name <> ''")
-    if held.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
-        return texts.join(held, F.contains("text", F.col("name"))).select("segment_id", "idx")
-    kinds = {"segment_id": texts.schema["segment_id"].dataType.simpleString(), "idx": names.schema["idx"].dataType.simpleString()}
-    listed = texts.sparkSession.sparkContext.broadcast([(r.idx, r.name) for r in held.select("idx", "name").collect()])
-
-    def found(batches):
-        automaton = ahocorasick.Automaton()
-        by_name: dict[str, list] = {}
-        for idx, name in listed.value:
-            by_name.setdefault(name, []).append(idx)
-        for name, ids in by_name.items():
-            automaton.add_word(name, ids)
-        if by_name:
-            automaton.make_automaton()
-        for batch in batches:
-            hits = [(s, i) for s, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if t and by_name for i in {i for _, ids in automaton.iter(t) for i in ids}]
-            columns = list(zip(*hits, strict=True)) if hits else [(), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(columns[0], batch.schema.types[0]), pa.array(columns[1], types[kinds["idx"]])], ["segment_id", "idx"])
-
-    types = {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string()}
-    return texts.select("segment_id", "text").mapInArrow(found, f"segment_id {kinds['segment_id']}, idx {kinds['idx']}")
-
-
 def legacy_scores(segments: DataFrame, index: DataFrame, least: float = 0.3) -> DataFrame:
     """Pairs of the earlier profile over ``least``: plain substrings, n-gram similarity, no gate."""
+    held = Stored(index)
+    index = held.table
     texts = segments.select("segment_id", F.lower(search_text()).alias("text"), "caption", "summary", "nearby")
-    exact = names_in(texts, index).withColumn("exact", F.lit(1.0))
+    names = held.side("idx", F.col("name").alias("phrase"))
+    exact = phrase_hits(texts, names, whole=False).join(names, "phrase").select("segment_id", "idx", F.lit(1.0).alias("exact"))
     signals = term_signals(segments, index, hyphen_parts=False).join(exact, ["segment_id", "idx"], "full").na.fill(0.0, ["cosine", "overlap", "exact"])
     # similarity (10) and context (5) alone can't pass, so a pair has a term or its name in the text
     signals = signals.where(30 * F.col("exact") + 30 * F.col("cosine") + 25 * F.col("overlap") + 15 > 100 * least - 1e-3)
-    rows = signals.join(small(index.select("idx", "concept", "level", "concept_id", "name")), "idx").join(texts, "segment_id")
+    rows = signals.join(held.side("idx", "concept", "level", "concept_id", "name"), "idx").join(texts, "segment_id")
     rows = rows.withColumn("context", context_score(F.col("name"), F.col("caption"), F.col("summary"), F.col("nearby"))).withColumn("fuzzy", similarity.phrase_ratio("text", "name"))
     return rows.withColumn("score", F.least(F.lit(1.0), weighed())).where(F.round("score", 6) > least)

@@ -42,20 +42,53 @@ def phrase_ratio(text: pd.Series, name: pd.Series) -> pd.Series:
     return pd.Series([best(t.lower().split(), n.lower().strip()) for t, n in zip(text.fillna(""), name, strict=True)], dtype="float64")
 
 
+def _unmatched(la: Column, lb: Column, least: float) -> Column:
+    """Characters of both strings that a ratio of ``least`` may leave unmatched: as odd or even as both lengths together."""
+    most = F.floor(F.lit(1 - least) * (la + lb) + F.lit(1e-9)).cast("int")
+    return most - (la + lb - most) % 2
+
+
+def _segment(length: Column, parts: Column, number: Column) -> tuple[Column, Column]:
+    """Start (from 0) and size of one of the nearly equal parts of a string; the longer ones come last."""
+    size = F.floor(length / parts).cast("int")
+    late = F.greatest(F.lit(0), number - (parts - length % parts))
+    return number * size + late, size + F.when(number >= parts - length % parts, 1).otherwise(0)
+
+
+def _partners(length: Column, least: float) -> Column:
+    """Lengths of strings that can reach ``least`` with one of a length."""
+    bound = least / (2 - least)
+    return F.sequence(F.ceil(length * bound - 1e-9).cast("int"), F.floor(length / bound + 1e-9).cast("int"))
+
+
+def candidate_pairs(left: DataFrame, right: DataFrame, least: float = LEAST) -> DataFrame:
+    """(a, b) of distinct terms a and tokens b that may have a ratio of ``least``: a superset by shared parts.
+
+    With k characters of both unmatched at most, one of k + 1 parts of a stands unbroken in b, at most k places
+    off; terms give their parts, tokens the pieces at such places, and both meet by an equi-join on lengths, the
+    part's number and its text.
+    """
+    a = left.select("a").where("a <> ''").distinct().withColumn("la", F.length("a")).withColumn("lb", F.explode(_partners(F.col("la"), least)))
+    a = a.withColumn("k", _unmatched(F.col("la"), F.col("lb"), least)).where("k >= 0").select("a", "la", "lb", "k", F.explode(F.sequence(F.lit(0), F.col("k"))).alias("i"))
+    start, size = _segment(F.col("la"), F.col("k") + 1, F.col("i"))
+    a = a.select("a", "la", "lb", "i", F.substr("a", start + 1, size).alias("piece"))
+    b = right.select("b").where("b <> ''").distinct().withColumn("lb", F.length("b")).withColumn("la", F.explode(_partners(F.col("lb"), least)))
+    b = b.withColumn("k", _unmatched(F.col("la"), F.col("lb"), least)).where("k >= 0").select("b", "la", "lb", "k", F.explode(F.sequence(F.lit(0), F.col("k"))).alias("i"))
+    start, size = _segment(F.col("la"), F.col("k") + 1, F.col("i"))
+    first, last = F.greatest(F.lit(0), start - F.col("k")), F.least(F.col("lb") - size, start + F.col("k"))
+    b = b.withColumn("size", size).withColumn("first", first).withColumn("last", last).where("first <= last")
+    b = b.select("b", "la", "lb", "i", F.explode(F.transform(F.sequence("first", "last"), lambda at: F.substr("b", at + 1, F.col("size")))).alias("piece"))
+    return a.join(b, ["la", "lb", "i", "piece"]).select("a", "b").distinct()
+
+
 def similar_terms(left: DataFrame, right: DataFrame, least: float = LEAST) -> DataFrame:
     """(a, b, ratio) of distinct terms a and tokens b with ratio >= ``least``.
 
-    A ratio of r needs lengths within r / (2 - r) of each other, and leaves at most
-    (1 - r) of both lengths unmatched, so the letters of a that b lacks are no more;
-    pairs join by length, and both bounds run before the function.
+    Letters of either that the other lacks stay unmatched, which bounds the ratio of a candidate before the function runs.
     """
-    bound = least / (2 - least)
-    low, high = F.ceil(F.col("la") * bound - 1e-9), F.floor(F.col("la") / bound + 1e-9)
-    a = left.select("a").where("a <> ''").distinct().withColumn("la", F.length("a")).withColumn("n", F.explode(F.sequence(low.cast("int"), high.cast("int"))))
-    b = right.select("b").distinct().withColumn("n", F.length("b"))
     letters = lambda c: F.array_distinct(F.split(c, ""))
-    lacking = F.size(F.array_except(letters(F.col("a")), letters(F.col("b"))))
-    pairs = a.join(b, "n").where(lacking <= F.lit(1 - least) * (F.col("la") + F.col("n")) + F.lit(1e-9)).select("a", "b")
+    lacking = F.size(F.array_except(letters(F.col("a")), letters(F.col("b")))) + F.size(F.array_except(letters(F.col("b")), letters(F.col("a"))))
+    pairs = candidate_pairs(left, right, least).where(lacking <= F.lit(1 - least) * (F.length("a") + F.length("b")) + F.lit(1e-9))
     same = pairs.where("a = b").select("a", "b", F.lit(1.0).alias("ratio"))
     return same.union(pairs.where("a <> b").select("a", "b", block_ratio("a", "b").alias("ratio")).where(F.col("ratio") >= least - 1e-12))
 

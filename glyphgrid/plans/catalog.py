@@ -9,6 +9,7 @@ from glyphgrid.functions import geometry as G
 from glyphgrid.functions import text as T
 from glyphgrid.operators import extraction, folds, layout, linking, models, ocr, pixels, similarity
 from glyphgrid.plans import fixtures as X
+from glyphgrid.plans.durable import Stored
 from glyphgrid.sources import sinks
 
 QUERIES: dict = {}
@@ -30,7 +31,8 @@ def six(df: DataFrame, *names: str) -> DataFrame:
 
 
 def index_of(spark: SparkSession, sf_dir: str, parsed: bool = True) -> DataFrame:
-    return linking.concepts(X.taxonomy(spark, sf_dir).unionByName(X.gate_taxonomy(spark, sf_dir)), parsed)
+    """The fixture's concept index, written once a call."""
+    return Stored(linking.concepts(X.taxonomy(spark, sf_dir).unionByName(X.gate_taxonomy(spark, sf_dir)), parsed)).table
 
 
 _STOP = "[" + ", ".join(f"'{w}'" for w in T.STOP_WORDS) + "]"

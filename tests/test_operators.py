@@ -1,13 +1,17 @@
 """Hand-derived cases of the layout, linking and OCR operators."""
 
 import json
+import random
+import re
+from difflib import SequenceMatcher
 
+import pytest
 from pyspark.sql import functions as F
 
 from glyphgrid.functions import geometry as G
 from glyphgrid.functions import text as T
 from glyphgrid import engine
-from glyphgrid.operators import folds, layout, linking, models, ocr, similarity
+from glyphgrid.operators import folds, layout, linking, models, ocr, phrases, similarity
 from glyphgrid.sources import sinks
 from glyphgrid.streaming import append
 
@@ -47,10 +51,50 @@ def test_overlap_and_distance(spark):
     assert one(spark, G.gap_distance("a", "b"), **row(0, 0, 1, 1, 4, 5, 6, 6)) == 5.0
 
 
-def test_exact_phrases(spark):
-    assert one(spark, linking.exact_score(F.col("t"), F.lit("libor")), t="the libor rate") == 1.0
-    assert one(spark, linking.whole_phrase(F.col("t"), F.lit("t-bill")), t="a t bill")
-    assert not one(spark, linking.whole_phrase(F.col("t"), F.lit("t-bill")), t="a t-bills")
+PHRASES = ["libor", "t-bill", "t bill", "ted spread", "spread", "(t-bills)", "c++", "a.b", "été", "x-y z", "-", "io"]
+TEXTS = ["the libor rate", "a t bill", "a t-bills", "t-bill", "ted  spread", "ted spread, spread", "spreads and (t-bills) here", "c++ or a.b", "axb a.b.", "un été", "étés", "x y z", "x-y-z", "x y-z", "", None, "ratio io_ io", "a - b", "libor" * 3]
+
+
+def held(text: str, phrase: str, whole: bool) -> bool:
+    """By a pattern for each phrase: between non-word characters, hyphens matching white space."""
+    if not whole:
+        return phrase in text
+    return re.search(r"(?<![\w])" + re.escape(phrase).replace(r"\-", r"[-\s]") + r"(?![\w])", text) is not None
+
+
+@pytest.mark.parametrize("budget", [1 << 20, 60])
+@pytest.mark.parametrize("whole", [True, False])
+def test_phrases(spark, monkeypatch, whole, budget):
+    """One automaton, and one for each bucket of phrases where they are over the budget."""
+    monkeypatch.setattr(phrases, "PHRASE_BYTES", budget)
+    monkeypatch.setattr(phrases, "SHARE_BYTES", 100)
+    texts = spark.createDataFrame(list(enumerate(TEXTS)), "segment_id long, text string")
+    names = spark.createDataFrame([(p,) for p in [*PHRASES, "", PHRASES[0]]], "phrase string")
+    got = sorted((r.segment_id, r.phrase) for r in phrases.phrase_hits(texts, names, whole).collect())
+    assert got == sorted((i, p) for i, t in enumerate(TEXTS) if t for p in PHRASES if held(t, p, whole))
+
+
+def test_similar_terms(spark):
+    """All pairs over the ratio, from far fewer candidates than pairs of fitting lengths."""
+    draw = random.Random(5)
+    words = ["".join(draw.choice("abcde") for _ in range(draw.randint(1, 24))) for _ in range(250)]
+    for w in words[:150]:
+        edited = list(w)
+        for _ in range(draw.randint(1, 3)):
+            at = draw.randrange(len(edited) + 1)
+            edited[at : at + draw.randint(0, 1)] = draw.choice(["", "a", "z"])
+        words.append("".join(edited))
+    words = [w for w in dict.fromkeys(words) if w]
+    left, right = words[::2], [*words[1::2], words[0]]
+    want = {(a, b) for a in left for b in right if SequenceMatcher(None, a, b).ratio() >= similarity.LEAST - 1e-12}
+    a, b = spark.createDataFrame([(w,) for w in left], "a string"), spark.createDataFrame([(w,) for w in right], "b string")
+    assert {(r.a, r.b) for r in similarity.similar_terms(a, b).collect()} == want and len(want) > 30
+    candidates = similarity.candidate_pairs(a, b).count()
+    by_length = sum(len(x) * 0.785 <= len(y) <= len(x) / 0.785 for x in left for y in right)
+    assert candidates < by_length / 5
+    real = spark.createDataFrame([("dividend",), ("dividends",), ("yield",), ("portfolio",)], "a string")
+    tokens = spark.createDataFrame([(w,) for w in ("dividend", "dividends", "dividents", "yields", "yeld", "portfolios", "")], "b string")
+    assert {(r.a, r.b) for r in similarity.similar_terms(real, tokens).collect()} == {(x.a, y.b) for x in real.collect() for y in tokens.collect() if SequenceMatcher(None, x.a, y.b).ratio() >= 0.88}
 
 
 def test_whitespace_boundary(spark):
@@ -67,13 +111,20 @@ def test_pages_of_two_documents(spark):
 
 
 def test_gate(spark):
-    def shut(caption, text, phrases=("spread", "ted")):
-        row = spark.createDataFrame([("spread", caption, text, list(phrases))], "o string, c string, t string, p array<string>")
-        return row.select(linking.gated(F.col("o"), F.col("c"), F.col("t"), F.col("p")).alias("v")).first().v
+    def shut(caption, named=False):
+        row = spark.createDataFrame([("spread", caption, named)], "o string, c string, n boolean")
+        return row.select(linking.gated(F.col("o"), F.col("c"), F.col("n")).alias("v")).first().v
+
+    assert not shut("Spread: a definition") and not shut("Spread")
+    assert shut("Spreadsheet view") and shut("") and shut(None) and shut("Spread " + "x" * 90)
+    assert not shut("", named=True)
+
 
-    assert not shut("Spread: a definition", "") and not shut("Spread", "")
-    assert shut("Spreadsheet view", "spreadsheet view") and shut("", "the spread of rates") and shut("Spread " + "x" * 90, "")
-    assert not shut("", "ted spread")
+def test_exact_scores(spark):
+    index = spark.createDataFrame([(0, ["spread"], ["spread", "ted spread"]), (1, ["repo", "rate"], ["reverse-repo!"])], "idx int, primary array<string>, phrases array<string>")
+    texts = spark.createDataFrame([(1, "the spread"), (2, "a ted spread"), (3, "reverse repo! of"), (4, "spreads")], "segment_id long, text string")
+    got = {(r.segment_id, r.idx): (r.exact, r.named) for r in linking.exact_scores(texts, index).collect()}
+    assert got == {(1, 0): (1.0, False), (2, 0): (1.0, True), (3, 1): (0.7, False)}
 
 
 def test_links_with_near_misses(spark):
@@ -84,7 +135,6 @@ def test_links_with_near_misses(spark):
     got = {(r.segment_id, r.idx): r.fuzzy for r in similarity.fuzzy_scores(found, index, linking.generic_terms(index)).collect()}
     assert got == {(1, 0): 0.9, (2, 1): 1.0}
     assert {(r.segment_id, r.idx) for r in linking.ranked_links(linking.scores(segments, index, least=0.5)).collect()} == {(2, 1)}
-    assert [(r.segment_id, r.idx) for r in linking.names_in(segments.select("segment_id", F.lower("caption").alias("text")), index.select("idx", F.lit("yields").alias("name")).where("idx = 0")).collect()] == [(1, 0)]
 
 
 def test_value_ranges_and_layout(spark):
