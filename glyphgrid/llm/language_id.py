@@ -9,13 +9,18 @@ cross-entropy per letter. Its score is a posterior whose temperature is fitted
 on calibration rows; ``accepted`` is false where the cross-entropy lies beyond
 what calibration rows of that language show.
 
-Learning takes at most ``train_rows`` + ``calibration_rows`` whole texts per
-language, picked by a hash of the id: a documented bound on a classifier's
-labelled sample. Every text is scored whole.
+Learning takes about ``train_rows`` + ``calibration_rows`` whole texts per language
+at most, picked by a hash of id and text: a documented bound on a classifier's
+labelled sample. Equal rows are drawn alike, so they count together as their words
+do, but are calibrated on once. A language of ``FEW`` rows or fewer learns from all
+of them, and any language from one at least; where no row is left to calibrate on,
+everything plausible is accepted. Every text is scored whole.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0;
-ties go to the language first in code-point order; without any labelled row all
-texts are ``und``; repeated rows each get their own row.
+ties go to the language first in code-point order; without any labelled row with a
+word all texts are ``und``; repeated rows each get their own row; very long texts
+are scored in slices of their own; an empty table gives no row; only the id, text
+and lang columns are read, so other columns can't clash.
 """
 
 from __future__ import annotations
@@ -36,6 +41,8 @@ from . import common
 ORDER = 4
 MEMO = 300_000
 SAMPLE_RANGE = 1 << 20
+#: Rows up to which a language keeps none back for calibration.
+FEW = 50
 
 
 @functools.lru_cache(maxsize=1)
@@ -208,15 +215,16 @@ def fit(labelled: DataFrame, train_rows: int = 1000, calibration_rows: int = 300
     """(models, temperature, limits) from rows (id, text, lang); null texts and languages are left out."""
     spark = labelled.sparkSession
     rows = common.plain_names(labelled, id_column, "text", "lang").toDF("id", "text", "lang").where("lang is not null and text is not null")
-    totals = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}  # a row for each language
+    draw = F.pmod(F.xxhash64(F.col("id"), F.col("text"), F.lit("language")), F.lit(SAMPLE_RANGE))
+    totals = {r.lang: r for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min(draw).alias("first")).collect()}  # a row for each language
     if not totals:
         return None
-    draw = F.pmod(F.xxhash64(F.col("id"), F.lit("language")), F.lit(SAMPLE_RANGE))
 
     def bound(count: int, part: float) -> Column:
         share: Column = F.lit(0)
         for language, total in totals.items():
-            share = F.when(F.col("lang") == language, F.lit(int(min(part, count / total) * SAMPLE_RANGE))).otherwise(share)
+            upto = SAMPLE_RANGE if total.n <= FEW else max(int(min(part, count / total.n) * SAMPLE_RANGE), total.first + 1)
+            share = F.when(F.col("lang") == language, F.lit(upto)).otherwise(share)
         return share
 
     def words(batches):
@@ -230,11 +238,14 @@ def fit(labelled: DataFrame, train_rows: int = 1000, calibration_rows: int = 300
     train = rows.where(draw < bound(train_rows, 0.8)).select("lang", "text").mapInArrow(words, "lang string, word string, n long")
     counts: dict[str, dict[str, int]] = {}
     for r in train.groupBy("lang", "word").agg(F.sum("n").alias("n")).collect():  # words of the bounded sample
-        counts.setdefault(r.lang, {})[r.word] = r.n
+        if any(map(str.isalpha, r.word)):
+            counts.setdefault(r.lang, {})[r.word] = r.n
+    if not counts:
+        return None
     model = KneserNey(counts)
     model.freeze()
     shared = spark.sparkContext.broadcast(model)
-    check = rows.where((draw >= bound(train_rows, 0.8)) & (draw < bound(train_rows + calibration_rows, 1.0)))
+    check = rows.where((draw >= bound(train_rows, 0.8)) & (draw < bound(train_rows + calibration_rows, 1.0))).dropDuplicates()
     seen = [r for r in _scores(check, shared, ["lang"]).collect() if r.n > 0]  # bounded like the sample
     temperature, limits = _calibrate(model, seen)
     return shared, temperature, limits
