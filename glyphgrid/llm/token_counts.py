@@ -91,7 +91,7 @@ class BatchCounter:
             for part in parts_of(text) if self.splits and len(text) > LONG else [text]:
                 owners.append(i)
                 batch.append(part)
-                size += len(part)
+                size += len(part) if part.isascii() else len(part.encode())
                 if size >= BATCH_BYTES:
                     flush()
                     owners, batch, size = [], [], 0
