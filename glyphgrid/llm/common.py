@@ -98,15 +98,15 @@ def plain_names(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{n}`") for n in names])
 
 
-def text_slices(batches, text_column: str = "text", limit: int = SLICE_BYTES):
-    """Arrow batches cut so that each holds about ``limit`` bytes of text, whole rows only."""
+def text_slices(batches, text_column: str = "text", limit: int = SLICE_BYTES, most: int = 1 << 30):
+    """Arrow batches cut so that each holds about ``limit`` bytes of text and ``most`` rows at most, whole rows only."""
     for batch in batches:
         if not batch.num_rows:
             continue
         column = batch.column(batch.schema.get_field_index(text_column))
         sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
         share = np.cumsum(sizes) // limit
-        starts = np.flatnonzero(np.diff(share, prepend=-1))
+        starts = np.flatnonzero(np.diff(share, prepend=-1) | (np.arange(batch.num_rows) % most == 0))
         for a, b in zip(starts, [*starts[1:], batch.num_rows], strict=True):
             yield batch.slice(a, b - a)
 

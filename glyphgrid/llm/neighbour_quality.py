@@ -15,7 +15,9 @@ that documented bound fixes the broadcast (sample_rows x rank floats).
 Defined results: null and empty texts are the zero vector and get the sample's
 share of label 1, as does any text without a positive cosine; ties in nearness
 go to the sample's order by id; several labels of one id count once each; with
-no labelled row every score is 0.5.
+no labelled row every score is 0.5; repeated rows each get their own row; very long
+texts are slices of their own; an empty table gives no row; only the columns named
+are read, so others can't clash.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ from . import common
 
 BUCKETS = 2048
 SAMPLE_RANGE = 1 << 20
+#: Rows of a slice: each takes a row of BUCKETS counts.
+ROWS = 2000
 MEMO = 300_000
 _RUNS = re.compile(r"(.)\1+")
 
@@ -148,6 +152,11 @@ class Voters:
             for i, key in enumerate(ids[low : low + 512] if ids else ()):
                 cosines[i, self.places.get(key, ())] = -1
             near = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
+            least = np.take_along_axis(cosines, near, axis=1).min(axis=1, keepdims=True)
+            # where more are as near as the last one than there are places, those first in the sample stay
+            for i in np.flatnonzero((cosines >= least).sum(axis=1) > k):
+                over, ties = np.flatnonzero(cosines[i] > least[i]), np.flatnonzero(cosines[i] == least[i])
+                near[i] = np.concatenate([over, ties[: k - len(over)]])
             weight = np.maximum(np.take_along_axis(cosines, near, axis=1), 0).astype(np.float64) ** self.power
             total = weight.sum(axis=1)
             out[low : low + 512] = np.where(total > 0, (weight * self.labels[near]).sum(axis=1) / np.where(total > 0, total, 1), self.base)
@@ -166,7 +175,7 @@ def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = 6000, rank:
 
     def features(batches):
         maker = worker_features()
-        for batch in common.text_slices(batches):
+        for batch in common.text_slices(batches, most=ROWS):
             rows = maker.rows(pc.fill_null(common.column(batch, "text"), ""))
             own, bucket = np.nonzero(rows)
             offsets = pa.array(np.searchsorted(own, np.arange(len(rows) + 1)).astype(np.int32))
@@ -192,7 +201,7 @@ def score(documents: DataFrame, voters, threshold: float = 0.3, id_column: str =
 
     def scored(batches):
         maker = worker_features()
-        for batch in common.text_slices(batches, limit=2 << 20):
+        for batch in common.text_slices(batches, limit=2 << 20, most=ROWS):
             values = voters.value.scores(maker.rows(pc.fill_null(common.column(batch, "text"), "")))
             yield pa.RecordBatch.from_arrays([common.column(batch, "id"), pa.array(values), pa.array((values >= threshold).astype(np.int32))], ["id", "score", "predicted"])
 
@@ -207,7 +216,7 @@ def keep(documents: DataFrame, voters, threshold: float = 0.3, id_column: str =
 
     def kept(batches):
         maker = worker_features()
-        for batch in common.text_slices(batches, limit=2 << 20):
+        for batch in common.text_slices(batches, limit=2 << 20, most=ROWS):
             counts = maker.rows(pc.fill_null(common.column(batch, "text"), ""))
             yield batch.filter(pa.array(voters.value.scores(counts, common.column(batch, id_column).to_pylist()) >= threshold))
 
