@@ -3,9 +3,10 @@
 A vector is approximated by a sum of one codeword from each of several
 full-dimensional codebooks. Codebooks are learned on residuals of a bounded
 sample, then refitted jointly by least squares; beam search encodes every vector,
-and the squared norm of its approximation is computed but not kept. A query scores codes by
-adding entries of its lookup tables (inner products with all codewords), and the
-best of each block are reranked by exact double-precision inner products.
+and what its approximation's norm lacks of its own is stored with the code. A query
+scores codes by adding entries of its lookup tables (inner products with all
+codewords) times that share, as approximations are short, and the best of each block
+are reranked by exact double-precision inner products.
 
 Queries and candidates are dealt into blocks of bounded size, and each pair of a
 query block and a candidate block meets in one task, which keeps the exact best
@@ -15,7 +16,8 @@ codebooks, whose size is fixed by parameters.
 Defined results: vectors that are null, zero, of another size than most of the
 sample, or hold null or non-finite components take no part; a query's own row is
 no candidate; with fewer candidates than ``k`` all are returned; equal scores go
-to the smaller id; repeated ids are rows of their own.
+to the smaller id; repeated ids are rows of their own; an empty table gives no row;
+only the id and vector columns are read, so other columns can't clash.
 """
 
 from __future__ import annotations
@@ -115,13 +117,13 @@ def matrix(column: pa.Array, size: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
 
 
-def block_best(q_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, codes: np.ndarray, books: Codebooks, k: int, rerank: int):
+def block_best(q_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, codes: np.ndarray, norms: np.ndarray, books: Codebooks, k: int, rerank: int):
     """(query, id, score) of the k best candidates of a block for each query, ids ascending in the block."""
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     keep = min(rerank, len(ids))
     for low in range(0, len(q_ids), 256):
         part = queries[low : low + 256]
-        approximate = score_codes(books.tables(part.astype(np.float32)), codes)
+        approximate = score_codes(books.tables(part.astype(np.float32)), codes) * norms
         approximate[q_ids[low : low + 256, None] == ids[None, :]] = -np.inf
         cut = np.partition(approximate, len(ids) - keep, axis=1)[:, len(ids) - keep]
         for row, (q, least) in enumerate(zip(q_ids[low : low + 256], cut, strict=True)):
@@ -157,15 +159,17 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, rerank: int = 300,
     def encoded(batches):
         for batch in batches:
             codes = shared.value.encode(matrix(common.column(batch, "vector"), size))
-            norms = (shared.value.decode(codes) ** 2).sum(axis=1)
+            own = matrix(common.column(batch, "vector"), size).astype(np.float64)
+            short = np.sqrt((shared.value.decode(codes).astype(np.float64) ** 2).sum(axis=1))
+            norms = np.where(short > 0, np.sqrt((own**2).sum(axis=1)) / np.where(short > 0, short, 1), 1.0).astype(np.float32)
             flat = pa.array(codes.ravel().astype(np.int16))
             lists = pa.ListArray.from_arrays(pa.array((np.arange(len(codes) + 1) * codes.shape[1]).astype(np.int32)), flat)
-            yield pa.RecordBatch.from_arrays([common.column(batch, "id"), common.column(batch, "vector"), lists, pa.array(norms.astype(np.float64))], ["id", "vector", "codes", "norm"])
+            yield pa.RecordBatch.from_arrays([common.column(batch, "id"), common.column(batch, "vector"), lists, pa.array(norms)], ["id", "vector", "codes", "norm"])
 
     fields = {f.name: f.dataType.simpleString() for f in rows.schema}
-    index = rows.select("id", "vector").mapInArrow(encoded, f"id {fields['id']}, vector {fields['vector']}, codes array<smallint>, norm double")
+    index = rows.select("id", "vector").mapInArrow(encoded, f"id {fields['id']}, vector {fields['vector']}, codes array<smallint>, norm float")
     left = rows.where("is_query").select("id", "vector", F.pmod(F.hash("id"), F.lit(query_blocks)).alias("qb"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("cb"))
-    right = index.select("id", "vector", "codes", F.pmod(F.hash("id"), F.lit(blocks)).alias("cb"), F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("qb"))
+    right = index.select("id", "vector", "codes", "norm", F.pmod(F.hash("id"), F.lit(blocks)).alias("cb"), F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("qb"))
 
     def matched(asked_rows: pa.Table, candidates: pa.Table) -> pa.Table:
         kind = pa.int64()
@@ -176,7 +180,7 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, rerank: int = 300,
             asked_rows = asked_rows.combine_chunks()
             ids, q_ids = (t["id"].to_numpy().astype(np.int64) for t in (candidates, asked_rows))
             codes = matrix(candidates["codes"].combine_chunks(), len(shared.value.books)).astype(np.int64)
-            columns = block_best(q_ids, matrix(asked_rows["vector"].combine_chunks(), size), ids, matrix(candidates["vector"].combine_chunks(), size), codes, shared.value, k, rerank)
+            columns = block_best(q_ids, matrix(asked_rows["vector"].combine_chunks(), size), ids, matrix(candidates["vector"].combine_chunks(), size), codes, candidates["norm"].to_numpy(), shared.value, k, rerank)
         return pa.table({"query_id": pa.array(columns[0], kind), "id": pa.array(columns[1], kind), "score": pa.array(columns[2], pa.float64())})
 
     near = left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInArrow(matched, "query_id long, id long, score double")
