@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from glyphgrid.functions import geometry as G
 from glyphgrid.functions import text as T
-from glyphgrid.operators import extraction, folds, layout, linking, models, ocr, pixels, similarity
+from glyphgrid.operators import composites, extraction, folds, layout, linking, models, ocr, pixels, similarity
 from glyphgrid.plans import fixtures as X
 from glyphgrid.plans.durable import Stored
 from glyphgrid.sources import sinks
@@ -413,17 +413,36 @@ def conflict_scores(spark, d):
     return layout.conflict_scores(area, images, X.drawings(spark, d))
 
 
-@query()
+_GAP = "sqrt(power(greatest(0.0, r.x0 - s.x1, s.x0 - r.x1), 2) + power(greatest(0.0, r.y0 - s.y1, s.y0 - r.y1), 2))"
+#: Seeds take what is near from the free drawings of their page, one after another.
+_CLUSTERS = f"""{LAYOUT.replace("with ", "with recursive ", 1)}, free as (select doc_id, page_no, list({{'n': draw_no, 'x0': x0, 'y0': y0, 'x1': x1, 'y1': y1}} order by draw_no) as free from fx_drawings group by all),
+turn as (select doc_id, page_no, free, null::int as seed_no, free[:0] as near from free union all
+ select doc_id, page_no, list_filter(free, lambda r: {_GAP.replace("s.", "free[1].")} >= 200), free[1].n, list_filter(free, lambda r: {_GAP.replace("s.", "free[1].")} < 200) from turn where len(free) > 0),
+clusters as (select doc_id, page_no, seed_no, len(near) as n, list_min(list_transform(near, lambda r: r.x0)) as x0, list_min(list_transform(near, lambda r: r.y0)) as y0, list_max(list_transform(near, lambda r: r.x1)) as x1, list_max(list_transform(near, lambda r: r.y1)) as y1 from turn where len(near) >= 3),
+drawn as (select * from (select doc_id, page_no, seed_no, greatest(0.0, x0 - 10) as x0, greatest(0.0, y0 - 10) as y0, least(612.0, x1 + 10) as x1, least(1260.0, y1 + 10) as y1 from clusters) where (x1 - x0) * (y1 - y0) > 5000 and (x1 - x0) * (y1 - y0) < 0.8 * 612 * 1260)"""
+
+
+@query(f"{_CLUSTERS} select * from clusters")
 def drawing_clusters(spark, d):
     return folds.drawing_clusters(X.drawings(spark, d), reach=200.0)
 
 
-@query()
+@query(f"{_CLUSTERS} select * from drawn")
 def drawing_regions(spark, d):
     return folds.drawing_regions(folds.drawing_clusters(X.drawings(spark, d), reach=200.0), 612.0, 1260.0)
 
 
-@query()
+#: Caption regions of a page, then its drawn ones one after another, unless covered by half or holding a caption.
+_VISUAL = f"""{_COMBINED.replace("with ", "with recursive ", 1)}{_CLUSTERS[len(LAYOUT) + len("recursive ") :]},
+capped as (select doc_id, page_no, region_id as idx, c.x0, c.y0, c.x1, c.y1, a.c_x0, a.c_y0 from comb c join anchor a using (doc_id, page_no, region_id)),
+held as (select doc_id, page_no, list({{'pass_no': 1, 'idx': idx, 'x0': x0, 'y0': y0, 'x1': x1, 'y1': y1}} order by idx) as segs, list({{'x': c_x0, 'y': c_y0}}) as caps from capped group by all),
+coming as (select doc_id, page_no, list({{'pass_no': 2, 'idx': seed_no, 'x0': x0, 'y0': y0, 'x1': x1, 'y1': y1}} order by seed_no) as rest from drawn group by all),
+laid as (select doc_id, page_no, 1 as step, coalesce(segs, rest[:0]) as segs, coalesce(caps, [{{'x': -1e9, 'y': -1e9}}]) as caps, coalesce(rest, segs[:0]) as rest from held full join coming using (doc_id, page_no) union all
+ select doc_id, page_no, step + 1, case when len(list_filter(segs, lambda k: greatest(0.0, least(rest[step].x1, k.x1) - greatest(rest[step].x0, k.x0)) * greatest(0.0, least(rest[step].y1, k.y1) - greatest(rest[step].y0, k.y0)) > {_AREA("rest[step]")} * 0.5)) > 0
+  or len(list_filter(caps, lambda c: c.x between rest[step].x0 and rest[step].x1 and c.y between rest[step].y1 - 50 and rest[step].y1 + 50)) > 0 then segs else segs || [rest[step]] end, caps, rest from laid where step <= len(rest))"""
+
+
+@query(f"{_VISUAL} select doc_id, page_no, s.pass_no as pass_no, s.idx as idx, place, s.x0 as x0, s.y0 as y0, s.x1 as x1, s.y1 as y1 from (select doc_id, page_no, unnest(segs) as s, generate_subscripts(segs, 1) as place from laid where step = len(rest) + 1)")
 def visual_regions(spark, d):
     return extraction.visual_regions(X.blocks(spark, d), X.drawings(spark, d), X.images(spark, d), 612.0, 1260.0, reach=200.0)
 
@@ -545,7 +564,15 @@ def diagram_features(spark, d):
     return ocr.diagram_features(X.ocr_blocks(spark, d))
 
 
-@query()
+def sql_charts() -> str:
+    """Every part of the features has its own query; here they are put together."""
+    axes, ranges, legend, ticks = (ORACLES[n] for n in ("axes_zones", "value_ranges", "legend_clusters", "tick_labels"))
+    return f"""select t.segment_id, subtype, x_label, y_label, lo, hi, n, legend, x_ticks, y_ticks, coalesce(len(string_split(legend, '|')), 1) as series_count
+from (select segment_id, {_CHART} as subtype from (select segment_id, lower(text) as t from ({RAW} select * from raw))) t left join ({axes}) using (segment_id) left join ({ranges}) using (segment_id) left join ({legend}) using (segment_id)
+left join (select segment_id, max(ticks) filter (where axis = 'x') as x_ticks, max(ticks) filter (where axis = 'y') as y_ticks from ({ticks}) group by segment_id) using (segment_id)"""
+
+
+@query(sql_charts())
 def chart_features(spark, d):
     return ocr.chart_features(X.ocr_blocks(spark, d))
 
@@ -745,3 +772,38 @@ def shape_counts(spark, d):
 @query()
 def data_points(spark, d):
     return traced(spark, d, "blobs", "edge_pixels").select("image_id", pixels.data_points(F.col("blobs"), F.col("edge_pixels")).alias("data_points"))
+
+
+# ---- composites: text and pixels of the segments that have an image ----
+def drawn_blocks(spark, d) -> DataFrame:
+    return X.ocr_blocks(spark, d).join(X.table(spark, d, "part").select(F.col("p_partkey").alias("segment_id")), "segment_id", "left_semi")
+
+
+@query()
+def chart_composite(spark, d):
+    rows = composites.charts(drawn_blocks(spark, d), X.rasters(spark, d))
+    return rows.withColumn("colours", F.array_join("colours", "|"))
+
+
+@query()
+def diagram_composite(spark, d):
+    return composites.diagrams(drawn_blocks(spark, d), X.rasters(spark, d)).select("*", "shapes.*").drop("shapes")
+
+
+_HUES = """hue as (select image_id, color, greatest(color >> 16, (color >> 8) & 255, color & 255) as hi, least(color >> 16, (color >> 8) & 255, color & 255) as lo from fx_pixels),
+strong as (select image_id, color, count(*) as n from hue where round((hi - lo) * 255.0 / greatest(hi, 1)) > 30 and hi > 40 and hi < 240 group by all),
+named as (select image_id, string_agg('#' || printf('%06x', color), '|' order by n desc, printf('%06x', color)) as colours from strong group by image_id having sum(n) >= 100),
+greys as (select image_id, var_pop(v) as grey_var from fx_pixels group by image_id)"""
+
+
+@query(rf"""{X.ctes("fx_ocr", "fx_shapes", "fx_pixels")}, raw as (select segment_id, string_agg(text, chr(10) order by idx) as text from fx_ocr semi join part on segment_id = p_partkey group by segment_id), {_HUES}
+select segment_id, case when length(text) > 500 then 'scanned_page' when length(text) > 100 then 'screenshot' when grey_var > 1500 then 'photo' else 'illustration' end as subtype, length(trim(text)) > 10 as contains_text, case when length(text) > 500 then 'dense' when length(text) > 100 then 'moderate' when length(text) > 0 then 'sparse' else 'none' end as density,
+ text <> '' and len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[0-9]'))) > len(string_split(text, chr(10))) * 0.5 and len(string_split(text, chr(10))) > 3 as has_table, case when regexp_matches(lower(text), 'window|button|menu') then 'interface' when length(text) > 300 then 'document' else 'mixed' end as content, coalesce(colours, '') as colours
+from raw join greys on segment_id = image_id left join named using (image_id)""")
+def image_composite(spark, d):
+    return composites.pictures(drawn_blocks(spark, d), X.rasters(spark, d)).withColumn("colours", F.array_join("colours", "|"))
+
+
+@query()
+def figure_composite(spark, d):
+    return composites.figures(drawn_blocks(spark, d), X.rasters(spark, d))
