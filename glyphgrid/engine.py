@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from glyphgrid.operators import extraction, layout, linking, models, ocr
+from glyphgrid.operators import calls, extraction, layout, linking, models, ocr
 from glyphgrid.operators.layout import PAGE
 from glyphgrid.plans.durable import cut
 
@@ -39,12 +39,12 @@ def link(segments: DataFrame, taxonomy: DataFrame, profile: str = "current") ->
     return found.select("segment_id", "idx", "concept_id", "concept", "level", "score", F.row_number().over(order).alias("rank"))
 
 
-def segments(blocks: DataFrame, drawings: DataFrame, images: DataFrame, taxonomy: DataFrame | None = None, render: Callable[[DataFrame], DataFrame] | None = None, read: Callable[[DataFrame], DataFrame] | None = None, analyzer: Callable[[], models.Analyzer] | None = None, profile: str = "current") -> DataFrame:
+def segments(blocks: DataFrame, drawings: DataFrame, images: DataFrame, taxonomy: DataFrame | None = None, render: Callable[[DataFrame], DataFrame] | None = None, read: Callable[[DataFrame], DataFrame] | None = None, analyzer: Callable[[], models.Analyzer] | None = None, policy: calls.Policy = calls.Policy(), profile: str = "current") -> DataFrame:
     """One row a visual segment, with what the adapters add, and its links.
 
     ``render`` gives (segment_id, image) of segments, ``read`` gives OCR text (segment_id,
     ocr) of those, ``analyzer`` makes a model; without them types and summaries are the
-    offline fallback's. A failed model call leaves its text in ``error``.
+    offline fallback's. Calls follow ``policy``; a failed one leaves its text in ``error``.
     """
     found = extraction.two_pass(blocks, drawings, images)
     key = F.concat_ws("_", F.col("doc_id"), F.format_string("p%03d", "page_no"), "method", "idx")
@@ -56,10 +56,29 @@ def segments(blocks: DataFrame, drawings: DataFrame, images: DataFrame, taxonomy
     rows = rows.join(render(rows), "segment_id", "left") if render else rows.withColumn("image", F.lit(None).cast("binary"))
     rows = cut(rows.join(read(rows), "segment_id", "left")) if read else rows.withColumn("ocr", F.lit(""))
     none = F.lit(None).cast("string")
-    answers = cut(models.analyze(rows, analyzer)) if analyzer else rows.select("segment_id", none.alias("response_json"), none.alias("error"))
+    answers = cut(models.analyze(rows, analyzer, policy)) if analyzer else rows.select("segment_id", none.alias("response_json"), none.alias("error"))
     told = models.parse_responses(answers, "error").withColumnRenamed("confidence", "classification_confidence").withColumnRenamed("method", "classified_by")
     rows = rows.join(told, "segment_id")
     if taxonomy is None:
         return rows.withColumn("links", F.array().cast("array<string>"))
     linked = link(rows, taxonomy, profile).groupBy("segment_id").agg(F.array_sort(F.collect_list(F.struct("rank", "concept_id", "concept", "score"))).alias("links"))
     return rows.join(linked, "segment_id", "left")
+
+
+def legacy_analysis(rows: DataFrame, make: Callable[[], calls.Model], policy: calls.Policy = calls.Policy()) -> DataFrame:
+    """Segments (segment_id, image, ocr, caption, figure_number, heading_path) by the earlier profile's two calls.
+
+    The first names a type, the second summarises by type, with a Mermaid drawing of diagrams and flowcharts asked for
+    between. A call that fails leaves the fallback's type or summary.
+    """
+    names = ["segment_type", "confidence", "method", "mermaid", "summary", "summary_confidence"]
+    rows = rows.drop(*names)
+    types = cut(calls.classified(calls.called(calls.classification_requests(rows), make, policy)))
+    rows = rows.join(types, "segment_id")
+    drawn = calls.called(calls.mermaid_requests(rows), make, policy).select("segment_id", F.col("response").alias("drawing"))
+    rows = cut(rows.join(drawn, "segment_id").withColumn("mermaid", models.mermaid(F.col("drawing"), F.col("segment_type"))["code"]).drop("drawing"))
+    told = calls.called(calls.summary_requests(rows), make, policy).select("segment_id", "response")
+    none = F.lit(None).cast("string")
+    summary = calls.summarised(F.col("response"), models.fallback_summary(F.col("segment_type"), none, none, F.col("caption")))
+    rows = rows.join(told, "segment_id").withColumn("told", summary)
+    return rows.withColumns({"summary": F.col("told.text"), "summary_confidence": F.col("told.confidence")}).drop("response", "told")

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from typing import Protocol
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from glyphgrid.operators import calls
+
+#: Tokens at most and temperature of the one call that tells all.
+ANALYSE = (1500, 0.2)
 TYPES = ["figure", "chart", "diagram", "flowchart", "image"]
 RESPONSE = "classification struct<category:string,confidence:double>, summary struct<text:string,confidence:double>, metadata string"
 
@@ -19,24 +22,15 @@ class Analyzer(Protocol):
     def __call__(self, image: bytes, ocr_text: str) -> str: ...
 
 
-def analyze(segments: DataFrame, make: Callable[[], Analyzer]) -> DataFrame:
-    """(segment_id, response_json, error); one analyzer a worker call; a failed call is a row with its error and no response."""
+def analyze(segments: DataFrame, make: Callable[[], Analyzer], policy: calls.Policy = calls.Policy()) -> DataFrame:
+    """(segment_id, response_json, error); one analyzer a task, called under a policy; a failed call is a row with its error and no response."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def model() -> calls.Model:
         analyzer = make()
+        return lambda image, prompt, max_tokens, temperature: analyzer(image, prompt)
 
-        def one(image, text):
-            try:
-                return analyzer(image, (text or "")[:500]), None
-            except Exception as error:
-                return None, f"{type(error).__name__}: {error}"
-
-        for b in batches:
-            answers = [one(i, t) for i, t in zip(b.image, b.ocr, strict=True)]
-            yield pd.DataFrame({"segment_id": b.segment_id, "response_json": [a for a, _ in answers], "error": [e for _, e in answers]})
-
-    kind = segments.schema["segment_id"].dataType.simpleString()
-    return segments.select("segment_id", "image", "ocr").mapInPandas(run, f"segment_id {kind}, response_json string, error string")
+    asked = calls.requests(segments, F.substring(F.coalesce("ocr", F.lit("")), 1, 500), *ANALYSE)
+    return calls.called(asked, model, policy).select("segment_id", F.col("response").alias("response_json"), "error")
 
 
 def json_body(response: Column) -> Column:
@@ -114,6 +108,7 @@ def merge_calculations(base: Column, extra: Column) -> Column:
     return F.when(F.size(extra) > 0, extra).otherwise(base)
 
 
+#: The sentences of a summary without a model.
 def fallback_summary(segment_type: Column, x_label: Column, y_label: Column, caption: Column) -> Column:
     start = F.when(segment_type == "chart", "This chart displays").when(segment_type == "diagram", "This diagram illustrates a system or process").when(segment_type == "flowchart", "This flowchart shows a sequential process").otherwise(F.concat(F.lit("This "), segment_type))
     axes = F.when((segment_type == "chart") & x_label.isNotNull() & y_label.isNotNull(), F.concat(y_label, F.lit(" versus "), x_label))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glyphgrid.functions import geometry as G
 from glyphgrid.functions import text as T
-from glyphgrid.operators import composites, extraction, folds, layout, linking, models, ocr, pixels, similarity
+from glyphgrid.operators import calls, composites, extraction, folds, layout, linking, models, ocr, pixels, reading, similarity
 from glyphgrid.plans import fixtures as X
 from glyphgrid.plans.durable import Stored
 from glyphgrid.sources import sinks
@@ -807,3 +809,65 @@ def image_composite(spark, d):
 @query()
 def figure_composite(spark, d):
     return composites.figures(drawn_blocks(spark, d), X.rasters(spark, d))
+
+
+# ---- the legacy profile's model steps: what is asked, and what is made of answers ----
+_LEGACY = "case segment_id % 6 when 0 then 'chart' when 1 then 'diagram' when 2 then 'flowchart' when 3 then 'image' when 4 then 'figure' else 'table' end"
+_KNOWN = f"""{X.ctes('fx_segments')}, seg as (select *, {_LEGACY} as ty, case when segment_id % 3 = 0 then '2.' || segment_id end as num, case when segment_id % 4 = 0 then 'Rates > Yield' end as path, case when segment_id % 6 = 1 then 'graph TD' end as mer from fx_segments)"""
+_COVER = " ".join(f"when '{k}' then '{v}'" for k, v in calls.COVER.items())
+
+
+def legacy_segments(spark, d) -> DataFrame:
+    key = F.col("segment_id")
+    return X.segments(spark, d).withColumns({
+        "segment_type": F.expr(_LEGACY), "figure_number": F.when(key % 3 == 0, F.concat(F.lit("2."), key)), "heading_path": F.when(key % 4 == 0, "Rates > Yield"), "mermaid": F.when(key % 6 == 1, "graph TD"), "image": F.lit(None).cast("binary"),
+    })
+
+
+@query(f"""{_KNOWN}, c as (select *, concat_ws(chr(10), case when caption <> '' then 'Caption: ' || caption end, 'Figure number: ' || num, 'Type: ' || ty, case when ocr <> '' then 'Text in the picture: ' || substring(ocr, 1, 400) end, 'Section: ' || path, 'Mermaid:' || chr(10) || '```mermaid' || chr(10) || mer || chr(10) || '```') as context from seg)
+select segment_id, 'Summarise this ' || case when ty = 'table' then 'visual' else ty end || ' for a student who can''t see it, in three or four factual sentences: ' || case ty {_COVER} else 'what can be seen, what it may stand for, and what a reader could learn' end || '.' || chr(10) || context as prompt from c""")
+def summary_prompts(spark, d):
+    return calls.summary_requests(legacy_segments(spark, d)).select("segment_id", "prompt")
+
+
+_ANSWER = """case segment_id % 7 when 0 then '```json{n}{"category": "Chart", "confidence": 0.99}{n}```' when 1 then '```{n}{"category": "DIAGRAM", "confidence": "0.5"}{n}```' when 2 then '{"category": "photo"}' when 3 then 'not json' when 4 then '{"category": "image", "confidence": "high"}' when 5 then null else 'So: ```json {"category": "flowchart", "confidence": 0.25} ``` done' end"""
+
+
+@query(f"""{X.ctes('fx_segments')} select segment_id, case segment_id % 7 when 0 then 'chart' when 1 then 'diagram' when 6 then 'flowchart' else 'figure' end as segment_type, case segment_id % 7 when 0 then 0.95 when 1 then 0.5 when 2 then 0.7 when 6 then 0.25 else 0.3 end::double as confidence,
+ case when segment_id % 7 in (0, 1, 2, 6) then 'vision_model' else 'fallback_heuristic' end as method from fx_segments""")
+def legacy_classification(spark, d):
+    return calls.classified(X.segments(spark, d).select("segment_id", F.expr(_ANSWER.replace("{n}", "\n")).alias("response")))
+
+
+_FALLBACK = f"case {_LEGACY} when 'chart' then 'This chart displays' when 'diagram' then 'This diagram illustrates a system or process' when 'flowchart' then 'This flowchart shows a sequential process' else 'This ' || {_LEGACY} end"
+
+
+@query(rf"""{X.ctes('fx_segments')}, told as (select segment_id, trim(regexp_replace(case segment_id % 3 when 1 then '**Summary:** ' || trim(substring(summary, 1, 60)) || ' **Note** end' when 2 then trim(substring(summary, 1, 60)) || ' end' else '' end, '\*\*.*?\*\*:?\s*', '', 'g')) as t from fx_segments)
+select segment_id, case when t <> '' then t else {_FALLBACK} end as summary, case when t <> '' then 0.85 else 0.5 end::double as confidence from told""")
+def legacy_summary(spark, d):
+    none = F.lit(None).cast("string")
+    key, answer = F.col("segment_id"), F.concat(F.lit("**Summary:** "), F.trim(F.substring("summary", 1, 60)), F.lit(" **Note** end"))
+    told = calls.summarised(F.when(key % 3 == 1, answer).when(key % 3 == 2, F.concat(F.trim(F.substring("summary", 1, 60)), F.lit(" end"))), models.fallback_summary(F.expr(_LEGACY), none, none, none))
+    return X.segments(spark, d).select("segment_id", told.alias("t")).select("segment_id", F.col("t.text").alias("summary"), "t.confidence")
+
+
+# ---- adapters: reading text in pictures ----
+def picture_reader():
+    """Stands for a model: the fixture's pictures hold what is to be found in them."""
+
+    def read(picture: bytes):
+        return [([tuple(p) for p in points], text, score) for points, text, score in json.loads(picture)]
+
+    return read
+
+
+@query(f"{OCR} select segment_id, (row_number() over (partition by segment_id order by idx) - 1)::int as idx, text, x0, y0, x1, y1, round(confidence, 6) as confidence from fx_ocr where segment_id % 10 <> 3")
+def ocr_read(spark, d):
+    """Every tenth picture is broken and has no text."""
+    corners = F.array(*[F.array(F.col(x), F.col(y)) for x, y in (("x0", "y0"), ("x1", "y0"), ("x1", "y1"), ("x0", "y1"))])
+    # lists of mixed kinds are put together as text
+    item = F.concat(F.lit("["), F.to_json(corners), F.lit(","), F.to_json(F.struct("text")).substr(F.lit(9), F.length(F.to_json(F.struct("text"))) - 9), F.lit(","), (F.col("confidence") / 100).cast("string"), F.lit("]"))
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("idx", item.alias("item")))), lambda s: s["item"])
+    whole = F.concat(F.lit("["), F.array_join(listed, ","), F.lit("]"))
+    pictures = X.ocr_blocks(spark, d).groupBy("segment_id").agg(F.when(F.col("segment_id") % 10 == 3, F.lit("broken")).otherwise(whole).cast("binary").alias("image"))
+    return six(reading.read_text(pictures, picture_reader), "confidence")
