@@ -118,12 +118,32 @@ def drawing_clusters(drawings: DataFrame, reach: float = 100.0, least: int = 3)
         return (dx * dx + dy * dy) ** 0.5
 
     def cluster(page: list) -> list:
-        free, found = page, []
-        while free:
-            seed = free[0]
-            near = [r for r in free if gap((seed.x0, seed.y0, seed.x1, seed.y1), (r.x0, r.y0, r.x1, r.y1)) < reach]
-            members = {r.draw_no for r in near}
-            free = [r for r in free if r.draw_no not in members]
+        # places of drawings by the squares that they cover; the long ones are looked at by every seed
+        squares: dict[tuple[int, int], set[int]] = {}
+        places: list[list[tuple[int, int]]] = []
+        long: list[int] = []
+        for k, r in enumerate(page):
+            own = [(x, y) for x in range(int(r.x0 // reach), int(r.x1 // reach) + 1) for y in range(int(r.y0 // reach), int(r.y1 // reach) + 1)] if (r.x1 - r.x0) * (r.y1 - r.y0) <= 100 * reach * reach and max(r.x1 - r.x0, r.y1 - r.y0) <= 100 * reach else None
+            if own is None:
+                long.append(k)
+            places.append(own or [])
+            for square in places[k]:
+                squares.setdefault(square, set()).add(k)
+        free, found = [True] * len(page), []
+        for k, seed in enumerate(page):
+            if not free[k]:
+                continue
+            box = (seed.x0, seed.y0, seed.x1, seed.y1)
+            if k in long:
+                around = range(len(page))
+            else:
+                around = sorted({*long, *(j for x in range(int(seed.x0 // reach) - 1, int(seed.x1 // reach) + 2) for y in range(int(seed.y0 // reach) - 1, int(seed.y1 // reach) + 2) for j in squares.get((x, y), ()))})
+            taken = [j for j in around if free[j] and gap(box, (page[j].x0, page[j].y0, page[j].x1, page[j].y1)) < reach]
+            near = [page[j] for j in taken]
+            for j in taken:
+                free[j] = False
+                for square in places[j]:  # a drawing taken is met by no later seed
+                    squares[square].remove(j)
             if len(near) >= least:
                 found.append((seed.doc_id, seed.page_no, seed.draw_no, len(near), min(r.x0 for r in near), min(r.y0 for r in near), max(r.x1 for r in near), max(r.y1 for r in near)))
         return found

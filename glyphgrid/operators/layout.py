@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from glyphgrid.functions import geometry as G
 from glyphgrid.functions import text as T
+from glyphgrid.operators import spatial
 
 BOX = ("x0", "y0", "x1", "y1")
 PAGE = ["doc_id", "page_no"]
@@ -84,11 +85,17 @@ def nearby_text(regions: DataFrame, blocks: DataFrame) -> DataFrame:
 
 def overlap_pairs(left: DataFrame, right: DataFrame, least: float = 0.0) -> DataFrame:
     """Overlapping pairs of two tables (page, id, box) with their ratio, and whether they conflict (over 0.4)."""
-    pairs = prefixed(left, "a_").join(prefixed(right, "b_"), PAGE)
+    pairs = spatial.near_pairs(left, right, PAGE)
     ratio = G.overlap_ratio("a_", "b_")
     return pairs.withColumn("ratio", ratio).where(F.col("ratio") > least).select(*PAGE, "a_id", "b_id", "ratio", (F.col("ratio") > 0.4).alias("conflict"))
 
 
+def near_boxes(boxes: DataFrame, reach: float) -> DataFrame:
+    """(page, a_id, b_id, distance) of boxes (page, id, box) closer than ``reach``, each pair once."""
+    pairs = spatial.near_pairs(boxes, boxes, PAGE, reach).where("a_id < b_id").withColumn("distance", G.gap_distance("a_", "b_"))
+    return pairs.where(F.col("distance") < reach).select(*PAGE, "a_id", "b_id", "distance")
+
+
 def windowed(captions: DataFrame, items: DataFrame, prefix: str) -> DataFrame:
     """Captions (region_id, c_ box) joined to a page's items whose top lies up to 500 above the caption."""
     start = F.greatest(F.lit(0.0), F.col("c_y0") - 500)

@@ -704,6 +704,12 @@ def drawing_distance(spark, d):
     return pairs.select("doc_id", "page_no", F.col("a_draw_no").alias("a_no"), F.col("b_draw_no").alias("b_no"), F.round(G.gap_distance("a_", "b_"), 6).alias("distance"))
 
 
+@query(f"""{LAYOUT} select * from (select a.doc_id, a.page_no, a.draw_no as a_id, b.draw_no as b_id, round(sqrt(power(greatest(0.0, b.x0 - a.x1, a.x0 - b.x1), 2) + power(greatest(0.0, b.y0 - a.y1, a.y0 - b.y1), 2)), 6) as distance
+ from fx_drawings a join fx_drawings b on a.doc_id = b.doc_id and a.page_no = b.page_no and a.draw_no < b.draw_no where a.x0 <= a.x1 and a.y0 <= a.y1 and b.x0 <= b.x1 and b.y0 <= b.y1) where distance < 100""")
+def near_drawings(spark, d):
+    return six(layout.near_boxes(X.drawings(spark, d).withColumnRenamed("draw_no", "id"), 100.0), "distance")
+
+
 # ---- rasters ----
 _SIZE = f"{X.RASTER_WIDTH} as width, {X.RASTER_HEIGHT} as height"
 PIXELS = X.ctes("fx_shapes", "fx_pixels")
