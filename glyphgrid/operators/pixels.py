@@ -176,7 +176,9 @@ def render(shapes: DataFrame, regions: DataFrame, dpi: float = 72.0) -> DataFram
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(width, _INT), pa.array(height, _INT), pa.array(rgb, pa.binary())], ["image_id", "width", "height", "rgb"])
 
     kind = regions.schema["image_id"].dataType.simpleString()
-    return boxes.join(listed, "image_id", "left").mapInArrow(run, f"image_id {kind}, width int, height int, rgb binary")
+    # shapes are few bytes but much work: as many tasks as asked for, which no later step joins together
+    tasks = max(int(regions.sparkSession.conf.get("spark.sql.shuffle.partitions")), regions.sparkSession.sparkContext.defaultParallelism)
+    return boxes.join(listed, "image_id", "left").repartition(tasks, "image_id").mapInArrow(run, f"image_id {kind}, width int, height int, rgb binary")
 
 
 def decode(files: DataFrame) -> DataFrame:

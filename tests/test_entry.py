@@ -8,8 +8,7 @@ import __spark_entry__
 from glyphgrid.plans import catalog
 
 SMALL = "/root/testdata/sf0.001"
-#: The two slowest have the same parts as others.
-NAMES = sorted(set(catalog.ORACLES) - {"link_legacy", "link_score"})
+NAMES = sorted(catalog.ORACLES)
 
 
 def test_registry():
