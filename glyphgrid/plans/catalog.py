@@ -292,9 +292,9 @@ def caption_blocks(spark, d):
 
 
 @query(f"""{_REGION}, near as (select doc_id, page_no, region_id, string_agg(b.text, ' ' order by block_no) as text from region r join fx_blocks b using (doc_id, page_no) where abs(b.y0 - r.y1) < 50 or abs(r.y0 - b.y1) < 50 group by all)
-select doc_id, page_no, region_id, {sql_number("text")} as figure_number from near""")
+select doc_id, page_no, region_id, {sql_number("text")} as figure_number, coalesce({", ".join(f"case when regexp_matches(text, '(?i){o}{_NUM}') then trim(regexp_extract(text, '(?is){o}{_NUM}{chr(92)}s*[:{chr(92)}-]?{chr(92)}s*(.*)', 2)) end" for o in _OPEN)}, substring(text, 1, 200)) as caption from near""")
 def detect_caption(spark, d):
-    return layout.detect_caption(regions(spark, d), X.blocks(spark, d)).select("doc_id", "page_no", "region_id", "figure_number")
+    return layout.detect_caption(regions(spark, d), X.blocks(spark, d)).select("doc_id", "page_no", "region_id", "figure_number", "caption")
 
 
 @query(f"""{_REGION} select doc_id, page_no, region_id, arg_min(b.text, block_no) as caption from region r join fx_blocks b using (doc_id, page_no) where b.y0 - r.y1 between 0 and 60 and least(r.x1, b.x1) - greatest(r.x0, b.x0) > 0 and {sql_number("b.text")} is not null group by all""")
@@ -460,9 +460,9 @@ def ocr_confidence(spark, d):
 
 
 @query(rf"""{RAW}, l as (select segment_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)), lambda x: x <> '') as l from raw)
-select segment_id, len(list_filter(l, lambda x: not regexp_matches(x, '[0-9]') and length(x) < 30)) as n_labels, len(list_filter(l, lambda x: regexp_matches(x, '[0-9]'))) as n_values, len(list_filter(l, lambda x: not regexp_matches(x, '[0-9]') and length(x) >= 30)) as n_annotations from l""")
+select segment_id, array_to_string(list_filter(l, lambda x: not regexp_matches(x, '[0-9]') and length(x) < 30), '|') as labels, array_to_string(list_filter(l, lambda x: regexp_matches(x, '[0-9]')), '|') as values, array_to_string(list_filter(l, lambda x: not regexp_matches(x, '[0-9]') and length(x) >= 30), '|') as annotations from l""")
 def structured_text(spark, d):
-    return raw(spark, d).select("segment_id", *[F.size(v).alias(f"n_{k}") for k, v in T.structured_lines(F.col("text")).items()])
+    return raw(spark, d).select("segment_id", *[F.array_join(v, "|").alias(k) for k, v in T.structured_lines(F.col("text")).items()])
 
 
 @query(rf"""{RAW}, l as (select segment_id, string_split(text, chr(10)) as l from raw) select segment_id, list_filter(l, lambda x: regexp_matches(lower(x), 'year|time|date'))[-1] as x, list_filter(l, lambda x: not regexp_matches(lower(x), 'year|time|date') and regexp_matches(lower(x), 'value|price|amount|%'))[-1] as y from l""")
@@ -613,19 +613,19 @@ def segment_ids(spark, d):
     return X.table(spark, d, "documents").select("doc_id", models.segment_id(F.lit("book"), F.col("doc_id"), F.col("text").cast("binary")).alias("segment_id"))
 
 
-@query(f"{X.ctes('fx_segments')} select segment_id, substring(caption, 1, 100) as caption, substring(ocr, 1, 100) as ocr_text, substring(summary, 1, 100) as summary, cast(segment_id % 7 as int) as linked_concepts from fx_segments")
+@query(f"{X.ctes('fx_segments')} select segment_id, 1 as page, {_TYPE.replace('doc_id', 'segment_id')} as type, printf('%.2f', segment_id % 100 / 100) as confidence, case when segment_id % 3 = 0 then '2.' || segment_id else '' end as figure_number, coalesce(substring(caption, 1, 100), '') as caption, coalesce(substring(ocr, 1, 100), '') as ocr_text, coalesce(substring(summary, 1, 100), '') as summary, cast(segment_id % 7 as int) as linked_concepts from fx_segments")
 def summary_csv(spark, d):
-    rows = X.segments(spark, d).withColumns({"page": F.lit(1), "type": F.lit("figure"), "confidence": F.lit(0.95), "figure_number": F.lit(None).cast("string"), "ocr_text": F.col("ocr"), "linked_concepts": (F.col("segment_id") % 7).cast("int")})
-    return sinks.summary_rows(rows).select("segment_id", "caption", "ocr_text", "summary", "linked_concepts")
+    rows = X.segments(spark, d).withColumns({"page": F.lit(1), "type": F.expr(_TYPE.replace("doc_id", "segment_id")), "confidence": F.col("segment_id") % 100 / 100, "figure_number": F.when(F.col("segment_id") % 3 == 0, F.concat(F.lit("2."), "segment_id")), "ocr_text": F.col("ocr"), "linked_concepts": (F.col("segment_id") % 7).cast("int")})
+    return sinks.summary_rows(rows)
 
 
 @query("""select doc_id as segment_id, case when doc_id % 5 = 4 then 'figure' when doc_id % 5 = 3 then 'figure' else case doc_id % 3 when 0 then 'chart' when 1 then 'diagram' else 'image' end end as segment_type,
- case when doc_id % 5 = 4 then 0.3 else least(0.95, (doc_id % 10) / 10) end::double as confidence, case when doc_id % 5 = 4 then 'fallback_heuristic' else 'comprehensive' end as method, case when doc_id % 5 = 4 then 0.3 else 0.8 end::double as summary_confidence from documents""")
+ case when doc_id % 5 = 4 then 0.3 else least(0.95, (doc_id % 10) / 10) end::double as confidence, case when doc_id % 5 = 4 then 'fallback_heuristic' else 'comprehensive' end as method, case when doc_id % 5 = 4 then 0.3 else 0.8 end::double as summary_confidence, case when doc_id % 5 <> 4 then 's' || doc_id end as summary from documents""")
 def response_parse(spark, d):
     kind = F.when(F.col("doc_id") % 5 == 3, "OTHER").otherwise(F.expr("case doc_id % 3 when 0 then 'CHART' when 1 then 'Diagram' else 'image' end"))
-    body = F.to_json(F.struct(F.struct(kind.alias("category"), ((F.col("doc_id") % 10) / 10).alias("confidence")).alias("classification"), F.struct(F.lit("s").alias("text")).alias("summary")))
+    body = F.to_json(F.struct(F.struct(kind.alias("category"), ((F.col("doc_id") % 10) / 10).alias("confidence")).alias("classification"), F.struct(F.concat(F.lit("s"), "doc_id").alias("text")).alias("summary")))
     response = F.when(F.col("doc_id") % 5 == 4, "no json").when(F.col("doc_id") % 2 == 0, F.concat(F.lit("```json\n"), body, F.lit("\n```"))).otherwise(body)
-    return models.parse_responses(X.table(spark, d, "documents").select(F.col("doc_id").alias("segment_id"), response.alias("response_json"))).drop("summary")
+    return models.parse_responses(X.table(spark, d, "documents").select(F.col("doc_id").alias("segment_id"), response.alias("response_json")))
 
 
 _META = """concat('{"chart_subtype":"bar","x_axis_label":"Year","data_series_count":', cast(doc_id % 4 as string), ',"has_grid":', case when doc_id % 2 = 0 then 'true' else 'false' end, case when doc_id % 3 = 0 then ',"value_range":{"min":1.5,"max":9}' else '' end,
@@ -656,12 +656,12 @@ def mermaid(spark, d):
 _CALC = """concat('text {"input_variables":', case when doc_id % 2 = 0 then '[{"variable":"S","value":"100"}]' else '[]' end, ',"output_values":[{"output_name":"C"},{"output_name":"P"}],"verification":{"verified":', case when doc_id % 3 = 0 then 'true' else 'false' end, '}} end')"""
 
 
-@query("select doc_id as segment_id, case when doc_id % 2 = 0 then 1 else 3 end as n_inputs, 2 as n_outputs, case when doc_id % 3 = 0 then 'true' else 'false' end as verified from documents")
+@query("""select doc_id as segment_id, case when doc_id % 2 = 0 then '{"variable":"S","value":"100"}' else 'a|b|c' end as inputs, '{"output_name":"C"}|{"output_name":"P"}' as outputs, case when doc_id % 3 = 0 then 'true' else 'false' end as verified from documents""")
 def calculation_merge(spark, d):
     found = models.calculations(F.expr(_CALC))
     rows = X.table(spark, d, "documents").select(F.col("doc_id").alias("segment_id"), *[v.alias(k) for k, v in found.items()])
     held = F.array(*map(F.lit, ["a", "b", "c"]))
-    return rows.select("segment_id", F.size(models.merge_calculations(held, F.col("inputs"))).alias("n_inputs"), F.size(models.merge_calculations(held, F.col("outputs"))).alias("n_outputs"), F.get_json_object("verification", "$.verified").alias("verified"))
+    return rows.select("segment_id", F.array_join(models.merge_calculations(held, F.col("inputs")), "|").alias("inputs"), F.array_join(models.merge_calculations(held, F.col("outputs")), "|").alias("outputs"), F.get_json_object("verification", "$.verified").alias("verified"))
 
 
 @query(f"{X.ctes('fx_segments')} select cast(segment_id % 50 as string) as book_id, count(*) as total_segments, string_agg(cast(segment_id as string), '|' order by segment_id) as ids from fx_segments group by all")
