@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import functools
 import itertools
+import json
 import os
 import struct
 import uuid
@@ -46,6 +47,7 @@ from pyspark.sql import functions as F
 
 from . import common
 from .rank_bpe import vocabulary_path
+from .token_counts import drops_spaces
 
 BLOCK = 1024
 #: Ids after which a chunk ends with the document, and blocks that are coded side by side at most.
@@ -327,7 +329,7 @@ def ids_of(payloads: list[bytes]) -> np.ndarray:
 
 
 class PieceEncoder:
-    """Ids by the library; white space never joins tokens of this vocabulary, so distinct pieces are encoded once."""
+    """Ids by the library; distinct words are encoded once where the file drops white space, else texts as a whole."""
 
     def __init__(self, name: str):
         from tokenizers import Tokenizer
@@ -336,6 +338,9 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(vocabulary_path(name))
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        with open(vocabulary_path(name), encoding="utf-8") as file:
+            spec = json.load(file)
+        self.by_words = drops_spaces(spec) and not any(any(map(str.isspace, t["content"])) for t in spec.get("added_tokens", []))
         self._forget()
 
     def _forget(self) -> None:
@@ -361,6 +366,10 @@ class PieceEncoder:
 
     def slice_ids(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by ``end``, and the number of each."""
+        if not self.by_words:
+            runs = [[*e.ids, end] for e in self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
+            sizes = np.fromiter(map(len, runs), dtype=np.int64, count=len(runs))
+            return np.fromiter(itertools.chain.from_iterable(runs), dtype=np.uint32, count=int(sizes.sum())), sizes
         values, offsets = common.list_parts(pc.ascii_split_whitespace(texts))
         coded = values.dictionary_encode()
         words = coded.dictionary.to_pylist()

@@ -32,15 +32,25 @@ LONG, BATCH_BYTES = 1 << 16, 1 << 20
 BOUNDARY = re.compile("(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")
 
 
-def splits_at_spaces(spec: dict) -> bool:
-    """Whether a ``tokenizers`` file never joins a token over a space between letters, by its first pre-tokenizer."""
+def _first_step(spec: dict) -> dict:
     first = spec.get("pre_tokenizer") or {}
     while first.get("type") == "Sequence":
         first = first["pretokenizers"][0]
-    by_pattern = first.get("type") == "ByteLevel" and first.get("use_regex", True) and not first.get("add_prefix_space", True)
+    return first
+
+
+def drops_spaces(spec: dict) -> bool:
+    """Whether a ``tokenizers`` file splits at all white space and drops it, so that words can be encoded one by one."""
+    first = _first_step(spec)
     words_only = first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert") and " " not in (first.get("pattern") or {}).get("Regex", " ")
-    plain = all(" " not in t["content"] for t in spec.get("added_tokens", []))
-    return plain and bool(by_pattern or words_only or first.get("type") in ("Whitespace", "WhitespaceSplit", "BertPreTokenizer"))
+    return bool(words_only or first.get("type") in ("Whitespace", "WhitespaceSplit", "BertPreTokenizer"))
+
+
+def splits_at_spaces(spec: dict) -> bool:
+    """Whether a ``tokenizers`` file never joins a token over a space between letters, by its first pre-tokenizer."""
+    first = _first_step(spec)
+    by_pattern = first.get("type") == "ByteLevel" and first.get("use_regex", True) and not first.get("add_prefix_space", True)
+    return all(" " not in t["content"] for t in spec.get("added_tokens", [])) and (bool(by_pattern) or drops_spaces(spec))
 
 
 def parts_of(text: str) -> list[str]:

@@ -100,3 +100,21 @@ def test_recall_and_norms():
 @pytest.mark.parametrize("operator", [lambda f: additive_ann.search(f.select(F.col("doc_id").alias("vec_id"), F.array(F.lit(1.0)).alias("embedding")), F.lit(True)), token_counts.token_counts])
 def test_empty_tables(spark, operator):
     assert operator(spark.createDataFrame([], "doc_id long, text string, n_tokens string")).count() == 0
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_ids_of_both_kinds_of_files(name):
+    """Words are encoded one by one only where the file drops white space."""
+    import pyarrow as pa
+
+    from glyphgrid.llm import context_coder
+
+    public = pytest.importorskip("public_tokenizers")
+    tokenizers = pytest.importorskip("tokenizers")
+    tokenizer = tokenizers.Tokenizer.from_file(public.path(name))
+    texts = ["two  words\n and more words", "", " ", "naïve 中文 <|endoftext|> end", "a b a b"]
+    encoder = context_coder.PieceEncoder(name)
+    assert encoder.by_words == name.startswith("word")
+    ids, counts = encoder.slice_ids(pa.array(texts), 2)
+    want = [[*tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    assert ids.tolist() == [i for w in want for i in w] and counts.tolist() == [len(w) for w in want]
