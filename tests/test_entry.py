@@ -18,7 +18,7 @@ def test_registry():
 @pytest.mark.skipif(not os.path.isdir(SMALL), reason="no test tables")
 @pytest.mark.parametrize("name", NAMES)
 def test_oracle(spark, name):
-    duckdb = pytest.importorskip("duckdb")
+    duckdb, pd = pytest.importorskip("duckdb"), pytest.importorskip("pandas")
     con = duckdb.connect()
     for file in os.listdir(SMALL):
         path = os.path.join(SMALL, file)
@@ -28,7 +28,7 @@ def test_oracle(spark, name):
     assert sorted(got.columns) == sorted(want.columns)
 
     def rows(frame):
-        shown = lambda x: "null" if x is None or x != x else f"{x:.6g}" if isinstance(x, float) else str(x)
+        shown = lambda x: "null" if pd.isna(x) else f"{x:.6g}" if isinstance(x, float) else str(x)
         return sorted(tuple(map(shown, r)) for r in frame[sorted(frame.columns)].astype(object).itertuples(index=False))
 
     assert rows(got) == rows(want)
