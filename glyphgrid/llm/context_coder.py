@@ -25,7 +25,9 @@ part's ids before the chunk.
 
 Defined results: null is an empty text (the end id alone); a null doc_id comes
 first; rows of one doc_id follow each other in the order of a hash of their texts,
-and may be dealt to several parts; an empty table writes no rows; a block whose
+and may be dealt to several parts; an empty table writes no rows; ids of a very long
+text run over several blocks; only the id and text columns are read, so other columns
+can't clash; a block whose
 magic, count or crc32 is wrong, or an id of 2 ** 28 or more, raises ValueError.
 """
 

@@ -11,8 +11,10 @@ Everything but the references' two small aggregations is one narrow projection.
 The references are a few numbers and words for each language.
 
 Defined results: null counts as a text without words (base_failed); without any
-reference only the base rules decide; repeated rows each get their own row;
-an empty table gives an empty result.
+reference only the base rules decide; ties at a limit keep a document; repeated
+rows each get their own row; very long texts are judged whole; an empty table
+gives an empty result; only the id, text and lang columns are read, so other
+columns can't clash.
 """
 
 from __future__ import annotations

@@ -22,7 +22,9 @@ that moves no total; a target domain without labelled rows can't be reached and
 its residual stays; without labelled rows all rates are 1; words are counted once
 a document; ids repeated in the labels count once for each distinct domain, and all
 rows of a labelled id count; rows that share an id keep a row each, with posteriors
-of their own text; equal chi-squares go by the word.
+of their own text; equal chi-squares go by the word; very long texts are counted
+whole; an empty table gives no row; only the id and text columns are read, so other
+columns can't clash.
 """
 
 from __future__ import annotations

@@ -118,3 +118,22 @@ def test_ids_of_both_kinds_of_files(name):
     ids, counts = encoder.slice_ids(pa.array(texts), 2)
     want = [[*tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in texts]
     assert ids.tolist() == [i for w in want for i in w] and counts.tolist() == [len(w) for w in want]
+
+
+def test_tables_without_rows_and_clashing_columns(spark):
+    """Operators 7 to 10 on empty tables, and on rows with columns named like their own."""
+    from glyphgrid.llm import context_coder, divergence_rules, rank_bpe, soft_mixing
+
+    schema = "doc_id long, text string, lang string, n_tokens string, node string, key string, id string, kept string, rate string"
+    rows = [(i, t, lang, "a", "b", "c", "d", "e", "f") for i, (t, lang) in enumerate([("some words here " * 30, "aa"), (None, "aa"), ("", None), ("word " * 40_000, "zz")])]
+    full, empty = spark.createDataFrame(rows, schema), spark.createDataFrame([], schema)
+    labels = spark.createDataFrame([(0, "clean"), (3, "clean")], "doc_id long, domain string")
+    operators = [
+        divergence_rules.judge,
+        lambda f: context_coder.written_digests(f, "word_bpe_49k.json", 2),
+        lambda f: rank_bpe.round_trip_digests(f, "byte_bpe_50k.json"),
+        lambda f: soft_mixing.mix(f, labels, {"clean": 1.0}, budget=1.0),
+    ]
+    for operator in operators:
+        assert operator(empty).count() == 0
+        assert sorted(r.doc_id for r in operator(full).select("doc_id").collect()) == [0, 1, 2, 3]
