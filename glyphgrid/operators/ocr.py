@@ -149,13 +149,13 @@ def diagram_features(blocks: DataFrame) -> DataFrame:
     return rows.select("segment_id", "subtype", F.coalesce("n", F.lit(0)).alias("node_count"), F.coalesce("hierarchy", F.lit(False)).alias("hierarchy"), "layout", "decision_points")
 
 
-def image_features(rows: DataFrame) -> DataFrame:
-    """Features of images (segment_id, text, grey_var)."""
+def image_features(rows: DataFrame, *kept: str) -> DataFrame:
+    """Features of images (segment_id, text, grey_var), and the columns kept."""
     text = F.coalesce("text", F.lit(""))
-    return rows.select("segment_id", image_subtype(text, F.col("grey_var")).alias("subtype"), (F.length(F.trim(text)) > 10).alias("contains_text"), text_density(text).alias("density"), has_table(text).alias("has_table"), content_type(text).alias("content"))
+    return rows.select("segment_id", image_subtype(text, F.col("grey_var")).alias("subtype"), (F.length(F.trim(text)) > 10).alias("contains_text"), text_density(text).alias("density"), has_table(text).alias("has_table"), content_type(text).alias("content"), *kept)
 
 
-def figure_features(rows: DataFrame) -> DataFrame:
-    """Composite structure of figures (segment_id, text, grey_var, arrows)."""
+def figure_features(rows: DataFrame, *kept: str) -> DataFrame:
+    """Composite structure of figures (segment_id, text, grey_var, arrows), and the columns kept."""
     marks = subfigures(F.coalesce("text", F.lit("")))
-    return rows.select("segment_id", (marks >= 2).alias("is_composite"), marks.alias("sub_figures"), (F.coalesce("arrows", F.lit(0)) > 3).alias("contains_diagram"), F.coalesce(F.col("grey_var") > 1000, F.lit(False)).alias("contains_image"))
+    return rows.select("segment_id", (marks >= 2).alias("is_composite"), marks.alias("sub_figures"), (F.coalesce("arrows", F.lit(0)) > 3).alias("contains_diagram"), F.coalesce(F.col("grey_var") > 1000, F.lit(False)).alias("contains_image"), *kept)

@@ -5,6 +5,7 @@ import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -301,3 +302,44 @@ def test_render_and_files(spark):
     rows = {r.image_id: r for r in back.collect()}
     assert all((np.frombuffer(rows[k].rgb, dtype=np.uint8).reshape(got[k].shape) == got[k]).all() for k in got)
     assert rows[9].rgb is None and "PNG" in rows[9].error and rows[8].error
+
+
+def test_drawings_are_traced_as_their_rasters(spark):
+    shapes = spark.createDataFrame([(i, z, form, 3.0 * z + i % 2, 4.0, 30.0 + z, 5.0 * z + 9, c) for i in range(6) for z, form, c in ((0, "rect", 0x141414), (1, "line", 0xC83C28), (2, "disc", 0x2850C8))], "image_id long, z int, form string, x0 double, y0 double, x1 double, y1 double, color int")
+    # places count from a region's corner, a disc's radius doesn't; region 9 has no shapes and 10 no pixels
+    regions = spark.createDataFrame([(i, float(i % 2), 0.0, 60.0 + i % 2, 50.0) for i in range(6)] + [(9, 0.0, 0.0, 20.0, 10.0), (10, 0.0, 0.0, 0.0, 10.0)], "image_id long, x0 double, y0 double, x1 double, y1 double")
+    plain = pixels.render(shapes, regions)
+    assert "Broadcast" not in plain._jdf.queryExecution().executedPlan().toString()  # estimates of shapes are too low
+    drawings = pixels.Drawings(shapes, regions)
+    ours, theirs = (pixels.traced(source, *pixels.PARTS).orderBy("image_id").collect() for source in (drawings, plain))
+    assert ours == theirs and len(ours) == 8
+
+
+def test_batches_are_taken_in_pieces():
+    batch = pa.RecordBatch.from_pydict({"image_id": list(range(1000))})
+    pieces = list(pixels._sliced([batch]))
+    assert max(p.num_rows for p in pieces) <= 256 and [v for p in pieces for v in p.column(0).to_pylist()] == list(range(1000))
+
+
+def test_votes_rims_and_blobs_against_plain_ones(monkeypatch):
+    draw = np.random.default_rng(5)
+    mask = draw.random((40, 50)) < 0.05
+    mask[10, 5:45] = mask[5:38, 20] = True
+    ys, xs = np.nonzero(mask)
+    cos, sin = strokes._angles()
+    count: dict = {}
+    for y, x in zip(ys.tolist(), xs.tolist(), strict=True):
+        for k, away in enumerate(np.rint(x * cos + y * sin).astype(int).tolist()):
+            count[k, away] = count.get((k, away), 0) + 1
+    assert bool(strokes.segments(mask, votes=max(count.values()), least=5)) and not strokes.segments(mask, votes=max(count.values()) + 1, least=5)
+    for centre, (support, radius) in zip([(20, 10), (3, 30)], strokes._rims(xs, ys, [(20, 10), (3, 30)], 4, 12), strict=True):
+        away = np.rint(np.hypot(xs - centre[0], ys - centre[1]))
+        held = {r: int((abs(away - r) <= 1).sum()) for r in range(5, 12)}
+        assert support >= max(held.values()) and 3 <= radius <= 12
+    # two levels between which no pixel lies are looked at once
+    grey = np.full((30, 30), 200, dtype=np.uint8)
+    grey[5:10, 5:10] = grey[20:25, 20:25] = 100
+    calls, plain = [], areas.components
+    monkeypatch.setattr(areas, "components", lambda *a: calls.append(1) or plain(*a))
+    image = pixels.Image(np.repeat(grey[..., None], 3, axis=2))
+    assert image.blobs() == 2 and len(calls) == 3
