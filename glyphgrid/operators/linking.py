@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from glyphgrid.functions import text as T
 from glyphgrid.operators import similarity
 from glyphgrid.operators.phrases import phrase_hits
-from glyphgrid.plans.durable import Stored
+from glyphgrid.plans.durable import BROADCAST_BYTES, Stored
 
 #: Weights of a segment's channels, and of the five signals in percent, in order of precedence.
 CHANNELS = {"caption": 1.0, "summary": 0.9, "ocr": 0.7, "nearby": 0.5}
@@ -161,12 +161,16 @@ def generic_terms(index: DataFrame) -> DataFrame:
     return per.where("primary > 0").join(F.broadcast(total)).select("term", "df", "in_multi", ((F.col("in_multi") >= 1) & (F.col("df") >= 2) | (F.col("df") >= 3) & (F.col("df") / F.col("n") >= 0.08)).alias("generic"))
 
 
-def gated(only: Column, caption: Column, named: Column) -> Column:
-    """Whether a generic single-term concept is shut out: unless it opens a short caption, or another name of it is in the text."""
+def opens(only: Column, caption: Column) -> Column:
+    """Whether a single-term concept opens a short caption."""
     title = T.normalized(F.coalesce(caption, F.lit("")))
     after = F.substr(title, F.length(only) + 1, F.lit(1))
-    opens = (title != "") & (F.length(title) <= 80) & F.startswith(title, only) & ~after.rlike(r"^[\p{L}\p{N}_]")
-    return ~opens & ~named
+    return (title != "") & (F.length(title) <= 80) & F.startswith(title, only) & ~after.rlike(r"^[\p{L}\p{N}_]")
+
+
+def gated(only: Column, caption: Column, named: Column) -> Column:
+    """Whether a generic single-term concept is shut out: unless it opens a short caption, or another name of it is in the text."""
+    return ~opens(only, caption) & ~named
 
 
 def scores(segments: DataFrame, index: DataFrame, fuzzy: bool = True, gate: bool = True, least: float | None = None) -> DataFrame:
@@ -177,11 +181,15 @@ def scores(segments: DataFrame, index: DataFrame, fuzzy: bool = True, gate: bool
     if least is not None:  # texts are fetched for pairs only that the other signals could lift over the threshold
         pairs = Stored(pairs.where(30 * F.col("cosine") + 25 * F.col("overlap") + 45 > 100 * least - 1e-3)).table
         segments = segments.join(pairs.select("segment_id").distinct(), "segment_id", "left_semi")
-    texts = segments.select("segment_id", T.normalized(search_text()).alias("text"), "caption", "summary", "nearby")
-    kept = ["idx", "level", "concept", "concept_id", "name", "primary", "phrases"]
-    rows = pairs.join(held.side(*kept), "idx").join(texts.drop("text"), "segment_id").join(exact_scores(texts, index), ["segment_id", "idx"], "left")
+    texts = segments.select("segment_id", T.normalized(search_text()).alias("text"))
+    only = F.when(F.size("primary") == 1, F.col("primary")[0])
+    # of the texts a pair needs two figures; rows stay small from there on, and names come last
+    near = held.table.select("idx", "name", only.alias("only"))
+    rows = pairs.join(segments.select("segment_id", "caption", "summary", "nearby"), "segment_id").join(F.broadcast(near) if held.bytes <= BROADCAST_BYTES else near, "idx")
+    context = context_score(F.col("name"), F.col("caption"), F.col("summary"), F.col("nearby"))
+    rows = rows.select("segment_id", "idx", "cosine", "overlap", "only", context.alias("context"), opens(F.col("only"), F.col("caption")).alias("opens"))
+    rows = rows.join(exact_scores(texts, index), ["segment_id", "idx"], "left")
     rows = rows.withColumn("exact", F.coalesce("exact", F.lit(0.0))).withColumn("named", F.coalesce("named", F.lit(False)))
-    rows = rows.withColumn("context", context_score(F.col("name"), F.col("caption"), F.col("summary"), F.col("nearby")))
     generic = Stored(generic_terms(index))
     if fuzzy:
         near = similarity.fuzzy_scores(similarity.tokens(texts, F.col("text")), index, generic.table)
@@ -191,10 +199,9 @@ def scores(segments: DataFrame, index: DataFrame, fuzzy: bool = True, gate: bool
     rows = rows.withColumn("score", F.least(F.lit(1.0), weighed()))
     if gate:
         known = generic.side().where("generic").select(F.col("term").alias("only"), F.lit(True).alias("generic"))
-        rows = rows.withColumn("only", F.when(F.size("primary") == 1, F.col("primary")[0])).join(known, "only", "left")
-        shut = F.col("generic").isNotNull() & gated(F.col("only"), F.col("caption"), F.col("named"))
-        rows = rows.withColumn("score", F.when(shut, 0.0).otherwise(F.col("score")))
-    return rows
+        shut = F.col("generic").isNotNull() & ~F.col("opens") & ~F.col("named")
+        rows = rows.join(known, "only", "left").withColumn("score", F.when(shut, 0.0).otherwise(F.col("score")))
+    return rows.join(held.side("idx", "level", "concept", "concept_id"), "idx")
 
 
 def weighed() -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from glyphgrid.functions import text as T
+from glyphgrid.plans.durable import Stored
 
 LEAST, LEAST_PHRASE = 0.88, 0.8
 #: Fixed value: a token of the fuzzy signal.
@@ -105,14 +106,15 @@ def fuzzy_scores(found: DataFrame, index: DataFrame, generic: DataFrame) -> Data
     that are met by similar tokens 0.9, a single one 0.82; a single generic term none.
     """
     bare = lambda c: F.replace(F.col(c), F.lit("-"), F.lit(""))
-    vocabulary = found.select("w").distinct()
+    vocabulary = Stored(found.select("w").distinct()).table
     primary = index.select("idx", F.size("primary").alias("size"), F.explode("primary").alias("term")).withColumn("a", F.replace(T.normalized(F.col("term")), F.lit("-"), F.lit("")))
     near = similar_terms(primary.select("a"), vocabulary.select(bare("w").alias("b"))).select("a", "b")
-    met = found.select("segment_id", bare("w").alias("b")).join(near, "b").select("segment_id", "a").distinct().join(primary, "a")
+    # few tokens are near a term: written, the pairs are mostly broadcast, and the texts' tokens are not shuffled
+    met = found.select("segment_id", bare("w").alias("b")).join(Stored(near).side(), "b").select("segment_id", "a").distinct().join(primary, "a")
     hits = met.groupBy("segment_id", "idx").agg(F.max("size").alias("size"), F.count_distinct("term").alias("met"))
     terms = hits.select("segment_id", "idx", F.when((F.col("size") >= 2) & (F.col("met") >= 2), 0.9).when((F.col("size") == 1) & (F.col("met") == 1), 0.82).alias("fuzzy")).where("fuzzy is not null")
     acronyms = index.select("idx", F.explode("acronyms").alias("a"))
-    close = similar_terms(acronyms, vocabulary.select(F.col("w").alias("b")))
+    close = Stored(similar_terms(acronyms, vocabulary.select(F.col("w").alias("b")))).side()
     short = found.withColumnRenamed("w", "b").join(close, "b").join(acronyms, "a").groupBy("segment_id", "idx").agg(F.max("ratio").alias("fuzzy"))
     best = terms.union(short).groupBy("segment_id", "idx").agg(F.max("fuzzy").alias("fuzzy"))
     barred = index.where(F.size("primary") == 1).select("idx", F.col("primary")[0].alias("term")).join(generic.where("generic").select("term"), "term").select("idx")

@@ -135,6 +135,8 @@ def test_links_with_near_misses(spark):
     got = {(r.segment_id, r.idx): r.fuzzy for r in similarity.fuzzy_scores(found, index, linking.generic_terms(index)).collect()}
     assert got == {(1, 0): 0.9, (2, 1): 1.0}
     assert {(r.segment_id, r.idx) for r in linking.ranked_links(linking.scores(segments, index, least=0.5)).collect()} == {(2, 1)}
+    # pairs carry no texts or phrases on to later joins
+    assert not {"caption", "summary", "nearby", "phrases"} & set(linking.scores(segments, index).columns)
 
 
 def test_value_ranges_and_layout(spark):
