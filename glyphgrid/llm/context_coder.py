@@ -386,9 +386,8 @@ class PieceEncoder:
         return np.insert(ids, bounds[1:], end), np.diff(bounds) + 1
 
 
-@functools.lru_cache(maxsize=1)
 def worker_encoder(name: str) -> PieceEncoder:
-    return PieceEncoder(name)
+    return common.held(PieceEncoder, name)
 
 
 def write_ids(documents: DataFrame, folder: str, tokenizer: str = "word_bpe_49k.json", end_id: int = 2, id_column: str = "doc_id") -> None:

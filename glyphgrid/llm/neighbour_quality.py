@@ -37,8 +37,8 @@ from . import common
 BUCKETS = 2048
 SAMPLE_RANGE = 1 << 20
 #: Rows of a slice: each takes a row of BUCKETS counts.
-ROWS = 2000
-MEMO = 300_000
+ROWS = 500
+MEMO = 100_000
 _RUNS = re.compile(r"(.)\1+")
 
 
@@ -111,9 +111,8 @@ class Features:
         return (sizes - distinct) * 15 // np.maximum(sizes, 1)
 
 
-@functools.lru_cache(maxsize=1)
 def worker_features() -> Features:
-    return Features()
+    return common.held(Features)
 
 
 class Voters:

@@ -29,7 +29,6 @@ has none); an empty table gives an empty result.
 
 from __future__ import annotations
 
-import functools
 from collections import defaultdict
 
 import numpy as np
@@ -80,9 +79,8 @@ class WordHasher:
         return hashes[kept], np.concatenate([[0], np.cumsum(kept)])[offsets]
 
 
-@functools.lru_cache(maxsize=1)
 def worker_hasher() -> WordHasher:
-    return WordHasher()
+    return common.held(WordHasher)
 
 
 def kmers(words: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -14,7 +14,6 @@ their own row; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-import functools
 import heapq
 import itertools
 import json
@@ -214,10 +213,9 @@ class RankArrayBPE:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
-@functools.lru_cache(maxsize=2)
 def worker_coder(name: str) -> RankArrayBPE:
     """One coder a worker, so that its memo outlives a task."""
-    return RankArrayBPE(name)
+    return common.held(RankArrayBPE, name)
 
 
 def id_lists(flat: np.ndarray, offsets: np.ndarray) -> pa.Array:
@@ -257,7 +255,7 @@ def round_trip_digests(documents: DataFrame, tokenizer: str = "byte_bpe_50k.json
 
     def digests(batches):
         coder = worker_coder(tokenizer)
-        for batch in common.text_slices(batches, "text"):
+        for batch in common.text_slices(batches, "text", limit=4 << 20):
             flat, offsets = coder.encode_slice(pc.fill_null(common.column(batch, "text"), ""))
             runs = [flat[a:b] for a, b in zip(offsets, offsets[1:], strict=False)]
             left = [sha256(r.astype("<u4").tobytes()).hexdigest() for r in runs]

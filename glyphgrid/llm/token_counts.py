@@ -14,7 +14,6 @@ than the two used are ignored.
 
 from __future__ import annotations
 
-import functools
 import json
 import os
 import re
@@ -110,10 +109,9 @@ class BatchCounter:
         return out
 
 
-@functools.lru_cache(maxsize=2)
 def worker_counter(name: str) -> BatchCounter:
     """One counter a worker: files are read once."""
-    return BatchCounter(name)
+    return common.held(BatchCounter, name)
 
 
 def token_counts(documents: DataFrame, tokenizer: str = "byte_bpe_50k.json", limit: int = 1024, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

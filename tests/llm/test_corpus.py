@@ -323,3 +323,22 @@ def test_filters_of_the_pipeline(spark, tmp_path):
     assert ruled.columns == docs.columns and {(r.doc_id, len(r.text.split())) for r in ruled.collect()} == judged
     out = corpus_pipeline.run(spark, str(tmp_path))
     assert {"doc_id", "n_tokens", "ids"} <= set(out.columns) and out.where("doc_id is null or doc_id = 70").count() == 0 and out.count() > 20
+
+
+def test_a_worker_holds_one_memo_at_a_time():
+    """Workers that serve several stages don't add up the memos of all of them."""
+    import gc
+    import weakref
+
+    from glyphgrid.llm import neighbour_quality, order_minhash, rank_bpe
+
+    features = weakref.ref(neighbour_quality.worker_features())
+    assert neighbour_quality.worker_features() is features()  # kept from task to task
+    coder = rank_bpe.worker_coder("byte_bpe_50k.json")
+    assert rank_bpe.worker_coder("byte_bpe_50k.json") is coder
+    gc.collect()
+    assert features() is None
+    coder = weakref.ref(coder)
+    order_minhash.worker_hasher()
+    gc.collect()
+    assert coder() is None
