@@ -343,3 +343,17 @@ def test_votes_rims_and_blobs_against_plain_ones(monkeypatch):
     monkeypatch.setattr(areas, "components", lambda *a: calls.append(1) or plain(*a))
     image = pixels.Image(np.repeat(grey[..., None], 3, axis=2))
     assert image.blobs() == 2 and len(calls) == 3
+
+
+def test_features_are_taken_of_distinct_drawings(spark):
+    """Only an image's features meet the images: lists of runs are neither joined nor broadcast."""
+    shapes = spark.createDataFrame([(i, z, "rect", 5.0, 8.0 * z + 3, 90.0, 8.0 * z + 5, 0x141414) for i in range(40) for z in range(1 + i % 2)], "image_id long, z int, form string, x0 double, y0 double, x1 double, y1 double, color int")
+    regions = spark.createDataFrame([(i, 0.0, 0.0, 96.0, 60.0) for i in range(40)], "image_id long, x0 double, y0 double, x1 double, y1 double")
+    drawings = pixels.Drawings(shapes, regions)
+    flags = pixels.traced(drawings, "runs", features=pixels.grid)
+    whole = pixels.traced(drawings, "runs")
+    assert flags.orderBy("image_id").collect() == pixels.grid(whole).orderBy("image_id").collect() and flags.count() == 40
+    assert pixels.traced(pixels.render(shapes, regions), "runs", features=pixels.grid).orderBy("image_id").collect() == flags.orderBy("image_id").collect()
+    plan = flags._jdf.queryExecution().optimizedPlan().toString()
+    assert "runs" not in plan and "rightHint=(strategy=broadcast)" in plan
+    assert "strategy=broadcast" not in whole._jdf.queryExecution().optimizedPlan().toString()
