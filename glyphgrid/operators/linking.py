@@ -221,15 +221,23 @@ def ranked_links(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
 
 
 def legacy_scores(segments: DataFrame, index: DataFrame, least: float = 0.3) -> DataFrame:
-    """Pairs of the earlier profile over ``least``: plain substrings, n-gram similarity, no gate."""
+    """Pairs of the earlier profile over ``least``: plain substrings, n-gram similarity, no gate.
+
+    A segment's concepts meet its text at once, so that a text is dealt and cut into words once, not with each of them.
+    """
     held = Stored(index)
     index = held.table
-    texts = segments.select("segment_id", F.lower(search_text()).alias("text"), "caption", "summary", "nearby")
+    texts = segments.select("segment_id", F.lower(search_text()).alias("text"))
     names = held.side("idx", F.col("name").alias("phrase"))
     exact = phrase_hits(texts, names, whole=False).join(names, "phrase").select("segment_id", "idx", F.lit(1.0).alias("exact"))
     signals = term_signals(segments, index, hyphen_parts=False).join(exact, ["segment_id", "idx"], "full").na.fill(0.0, ["cosine", "overlap", "exact"])
     # similarity (10) and context (5) alone can't pass, so a pair has a term or its name in the text
     signals = signals.where(30 * F.col("exact") + 30 * F.col("cosine") + 25 * F.col("overlap") + 15 > 100 * least - 1e-3)
-    rows = signals.join(held.side("idx", "concept", "level", "concept_id", "name"), "idx").join(texts, "segment_id")
-    rows = rows.withColumn("context", context_score(F.col("name"), F.col("caption"), F.col("summary"), F.col("nearby"))).withColumn("fuzzy", similarity.phrase_ratio("text", "name"))
-    return rows.withColumn("score", F.least(F.lit(1.0), weighed())).where(F.round("score", 6) > least)
+    named = signals.join(held.side("idx", "name"), "idx").groupBy("segment_id").agg(F.collect_list(F.struct("idx", "name", "exact", "cosine", "overlap")).alias("found"))
+    rows = named.join(segments.select("segment_id", *CHANNELS), "segment_id")
+    rows = rows.withColumn("fuzzy", similarity.phrase_ratios(F.lower(search_text()), F.col("found.name")))
+    rows = rows.select("segment_id", "caption", "summary", "nearby", F.explode(F.arrays_zip("found", "fuzzy")).alias("pair"))
+    rows = rows.select("segment_id", "caption", "summary", "nearby", "pair.found.*", "pair.fuzzy")
+    rows = rows.withColumn("context", context_score(F.col("name"), F.col("caption"), F.col("summary"), F.col("nearby")))
+    rows = rows.withColumn("score", F.least(F.lit(1.0), weighed())).where(F.round("score", 6) > least).drop("caption", "summary", "nearby", "name")
+    return rows.join(held.side("idx", "concept", "level", "concept_id", "name"), "idx")

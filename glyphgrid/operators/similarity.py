@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections import Counter
+from collections.abc import Callable
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import ArrayType, DoubleType
 
 from glyphgrid.functions import text as T
 from glyphgrid.plans.durable import Stored
@@ -24,23 +25,82 @@ def block_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series([SequenceMatcher(None, a, b).ratio() for a, b in zip(left, right, strict=True)], dtype="float64")
 
 
-@F.pandas_udf(DoubleType())
-def phrase_ratio(text: pd.Series, name: pd.Series) -> pd.Series:
-    """Best ratio of a name and the text's runs of as many words, 0 below LEAST_PHRASE."""
+def _letters(words: list[str]) -> np.ndarray:
+    """How often each word holds each of 32 classes of characters, by the low bits of their codes."""
+    codes = np.frombuffer(" ".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    owner = np.repeat(np.arange(len(words)), sizes + 1)[:-1]  # a blank goes with the word before it
+    held = np.bincount(owner * 32 + (codes & 31), minlength=32 * len(words)).reshape(-1, 32).astype(np.int32)
+    held[:-1, 0] -= 1
+    return held
+
+
+def _common(phrase: str) -> Callable[[str], int]:
+    """A function that gives the length of the longest common subsequence with ``phrase``, one addition a character."""
+    places: dict[str, int] = {}
+    for k, char in enumerate(phrase):
+        places[char] = places.get(char, 0) | 1 << k
+    full = (1 << len(phrase)) - 1
+
+    def length(run: str) -> int:
+        free = full
+        for char in run:
+            met = free & places.get(char, 0)
+            free = (free + met | free - met) & full
+        return len(phrase) - free.bit_count()
+
+    return length
 
-    def best(words: list[str], phrase: str) -> float:
-        n, size, found = len(phrase.split()), len(phrase), 0.0
-        letters = Counter(phrase).items()
-        for run in dict.fromkeys(" ".join(words[i : i + n]) for i in range(len(words) - n + 1)):
+
+def best_ratios(text: str, phrases: list[str]) -> list[float]:
+    """For each phrase the best ratio with the text's runs of as many words, 0 below LEAST_PHRASE.
+
+    Both are taken in lower case, phrases without white space around. Matched characters are a common subsequence,
+    and of each letter no more than either string has; runs whose bounds can't reach the best so far are left out.
+    """
+    words = text.lower().split()
+    by_word = _letters(words) if words else np.zeros((0, 32), dtype=np.int32)
+    lengths = np.cumsum([0, *map(len, words)])
+    runs: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    known: dict[str, float] = {}
+
+    def best(phrase: str) -> float:
+        n, size = len(phrase.split()), len(phrase)
+        if n > len(words) or not n:
+            return 1.0 if not n and not phrase else 0.0
+        if n not in runs:
+            counts = by_word[: len(words) - n + 1].copy()
+            for k in range(1, n):
+                counts += by_word[k : len(words) - n + 1 + k]
+            counts[:, 0] += n - 1
+            runs[n] = counts, lengths[n:] - lengths[:-n] + n - 1
+        counts, sizes = runs[n]
+        letters = np.bincount(np.frombuffer(phrase.encode("utf-32-le", "surrogatepass"), dtype=np.uint32) & 31, minlength=32).astype(np.int32)
+        bound = 2 * np.minimum(counts, letters).sum(axis=1) / (sizes + size)
+        able = np.flatnonzero(bound >= LEAST_PHRASE - 1e-9)
+        found, common = 0.0, _common(phrase)
+        seen = set()
+        for i in able[np.argsort(-bound[able], kind="stable")].tolist():
+            if bound[i] < found:
+                break
+            run = " ".join(words[i : i + n])
             if run == phrase:
                 return 1.0
-            least = max(found, LEAST_PHRASE) * (size + len(run)) / 2 - 1e-9
-            # the letters in common bound the matched characters
-            if min(size, len(run)) >= least and sum(min(c, run.count(x)) for x, c in letters) >= least:
-                found = max(found, SequenceMatcher(None, phrase, run).ratio())
+            if run not in seen:
+                seen.add(run)
+                if 2 * common(run) / (size + len(run)) >= max(found, LEAST_PHRASE) - 1e-9:
+                    found = max(found, SequenceMatcher(None, phrase, run).ratio())
         return found if found >= LEAST_PHRASE else 0.0
 
-    return pd.Series([best(t.lower().split(), n.lower().strip()) for t, n in zip(text.fillna(""), name, strict=True)], dtype="float64")
+    for phrase in {p.lower().strip() for p in phrases}:
+        known[phrase] = best(phrase)
+    return [known[p.lower().strip()] for p in phrases]
+
+
+@F.pandas_udf(ArrayType(DoubleType()))
+def phrase_ratios(text: pd.Series, names: pd.Series) -> pd.Series:
+    """``best_ratios`` of each text and its names."""
+    return pd.Series([best_ratios(t, list(n)) for t, n in zip(text.fillna(""), names, strict=True)])
 
 
 def _unmatched(la: Column, lb: Column, least: float) -> Column:

@@ -218,3 +218,43 @@ def test_segments_end_to_end(spark):
 def test_similar_terms(spark):
     a, b = spark.createDataFrame([("dividend",)], "a string"), spark.createDataFrame([("dividends",), ("spread",)], "b string")
     assert [r.b for r in similarity.similar_terms(a, b).collect()] == ["dividends"]
+
+
+def test_best_ratios_of_a_text(monkeypatch):
+    """Equal to all runs compared, also for long and odd texts, with few runs compared in full."""
+    rng = random.Random(5)
+    parts = ["mar", "ket", "ris", "k", "ß", "é", "-", "7", "\U0001f600", "bond", "İ"]
+    words = ["".join(rng.choices(parts, k=rng.randint(1, 4))) for _ in range(60)]
+    compared = []
+
+    class Counted(SequenceMatcher):
+        def __init__(self, *args):
+            compared.append(args)
+            super().__init__(*args)
+
+    monkeypatch.setattr(similarity, "SequenceMatcher", Counted)
+    total = 0
+    for size in (0, 1, 2, 40, 3000):
+        text = rng.choice([" ", "\n"]).join(rng.choices(words, k=size)) + " "
+        names = [" ".join(rng.choices(words, k=rng.randint(1, 3))) for _ in range(12)] + ["", " Market  Risk", "a" * 300]
+        own = text.lower().split()
+
+        def plain(name, own=own):
+            name = name.lower().strip()
+            n = len(name.split())
+            best = max((SequenceMatcher(None, name, " ".join(own[i : i + n])).ratio() for i in range(len(own) - n + 1)), default=0.0)
+            return best if best >= 0.8 else 0.0
+
+        assert similarity.best_ratios(text, names) == [plain(n) for n in names]
+        total += size * len(names)
+    assert len(compared) < total / 50
+
+
+def test_a_text_meets_its_legacy_concepts_at_once(spark):
+    """One row a segment goes to Python, however many concepts share a term with it."""
+    taxonomy = spark.createDataFrame([(i, 1, f"bond yield {i}", "", "") for i in range(20)], "idx int, level int, concept string, tags string, pages string")
+    segments = spark.createDataFrame([(1, "bond yield", "bond yields rise", "", ""), (2, None, "", None, "no such")], "segment_id long, caption string, summary string, ocr string, nearby string")
+    found = linking.legacy_scores(segments, linking.concepts(taxonomy, parsed=False))
+    assert found.count() == 20 and found.select("segment_id").distinct().count() == 1
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("ArrowEvalPython") > plan.index("Generate explode(arrays_zip")
