@@ -7,35 +7,34 @@ from pyspark.sql import functions as F
 
 from glyphgrid.operators import folds, layout
 from glyphgrid.operators.layout import BOX, PAGE
-from glyphgrid.plans.durable import cut
 
 
 def caption_regions(blocks: DataFrame, drawings: DataFrame, images: DataFrame) -> DataFrame:
     """(page, idx, box, caption, c_x0, c_y0): regions above caption blocks, extended over them."""
-    captions = layout.captions_of(blocks)
-    found = layout.extend_to_caption(layout.combine_boundaries(captions, blocks, drawings, images))
-    texts = blocks.select(*PAGE, F.col("block_no").alias("region_id"), F.col("text").alias("caption"), F.col("x0").alias("c_x0"), F.col("y0").alias("c_y0"))
-    return found.join(texts, [*PAGE, "region_id"]).withColumnRenamed("region_id", "idx")
+    found = layout.combine_boundaries(layout.captions_of(blocks, "text"), blocks, drawings, images)
+    return layout.extend_to_caption(found, "c_text", "c_x0", "c_y0").withColumnRenamed("c_text", "caption").withColumnRenamed("region_id", "idx")
 
 
 def embedded_candidates(images: DataFrame, blocks: DataFrame) -> DataFrame:
     """(page, idx, box, caption, score, notes, grey_var): images that validation keeps, grown over a caption near them."""
-    kept = layout.validate_images(images, blocks).where("kept").withColumnRenamed("img_no", "region_id")
-    captions = kept.where("caption is not null").select(*PAGE, "region_id", "caption")
-    grown = layout.expand_to_caption(kept.select(*PAGE, "region_id", *BOX), captions, blocks)
-    return grown.join(kept.drop(*BOX), [*PAGE, "region_id"]).withColumnRenamed("region_id", "idx")
+    kept = layout.validate_images(images, blocks).where("kept").withColumnRenamed("img_no", "idx")
+    return layout.grown(kept, blocks)
 
 
 def two_pass(blocks: DataFrame, drawings: DataFrame, images: DataFrame) -> DataFrame:
-    """(page, place, idx, box, method, caption, figure_number, confidence, notes): the segments of each page, in order."""
+    """(page, place, idx, box, method, caption, figure_number, confidence, notes): the segments of each page, in order.
+
+    A page is dealt once: what is found of its regions is grouped in place, and the fold carries it along.
+    """
     first = caption_regions(blocks, drawings, images).select(*PAGE, F.lit(1).alias("pass_no"), "idx", *BOX, "caption", F.lit(None).cast("double").alias("grey_var"), F.lit(0.9).alias("score"), F.lit("").alias("notes"))
     second = embedded_candidates(images, blocks).select(*PAGE, F.lit(2).alias("pass_no"), "idx", *BOX, "caption", "grey_var", "score", "notes")
-    both = cut(first.union(second)).withColumn("key", F.struct("pass_no", "idx"))  # found once, then counted, folded and joined
-    rows = both.join(layout.drawings_inside(both, drawings, "key"), [*PAGE, "key"], "left").withColumn("captioned", F.coalesce(F.col("caption") != "", F.lit(False)))
-    kept = folds.conflict_fold(rows).select(*PAGE, "pass_no", "idx", "place")
+    corners = drawings.select(*PAGE, "x0", "y0")
+    counted = [layout.met(rows, corners, "d_", layout.in_region(), F.count("d_x0").alias("n_drawings")) for rows in (first, second)]
+    rows = counted[0].union(counted[1]).withColumn("captioned", F.coalesce(F.col("caption") != "", F.lit(False)))
+    kept = folds.conflict_fold(rows, "caption", "score", "notes")
     method = F.when(F.col("pass_no") == 1, "caption_based").otherwise("embedded_image")
     number = F.when(F.col("pass_no") == 1, layout.T.caption_number(F.col("caption")))
-    return rows.join(kept, [*PAGE, "pass_no", "idx"]).select(*PAGE, "place", "idx", *BOX, method.alias("method"), "caption", number.alias("figure_number"), F.col("score").alias("confidence"), "notes")
+    return kept.select(*PAGE, "place", "idx", *BOX, method.alias("method"), "caption", number.alias("figure_number"), F.col("score").alias("confidence"), "notes")
 
 
 def visual_regions(blocks: DataFrame, drawings: DataFrame, images: DataFrame, page_width: float, page_height: float, reach: float = 100.0) -> DataFrame:

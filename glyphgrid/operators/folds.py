@@ -1,7 +1,8 @@
 """Order-dependent page folds over Arrow batches.
 
-Rows are dealt and sorted by page, and a worker reads them as a stream: it holds
-one page at a time, and a page costs no call of its own.
+Rows are grouped and sorted by page, which deals them only if they aren't dealt by
+page yet, and a worker reads them as a stream: it holds one page at a time, and a
+page costs no call of its own.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from itertools import chain, groupby
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from glyphgrid.operators.layout import PAGE
 
@@ -30,8 +32,9 @@ def by_page(rows: DataFrame, order: list[str], fold: Callable[[list], list], sch
         if out:
             yield pd.DataFrame(out)
 
-    dealt = rows.select(*names).repartition(*PAGE).sortWithinPartitions(*PAGE, *order)
-    return dealt.mapInPandas(_named(run, schema), schema)
+    held = F.struct(*order, *[c for c in names if c not in (*PAGE, *order)])
+    dealt = rows.groupBy(*PAGE).agg(F.array_sort(F.collect_list(held)).alias("held")).select(*PAGE, F.explode("held").alias("held"))
+    return dealt.select(*PAGE, "held.*").select(*names).mapInPandas(_named(run, schema), schema)
 
 
 def _named(run, schema: str):
@@ -67,12 +70,14 @@ def keeps_first(first, second) -> bool:
     return own > other
 
 
-def conflict_fold(candidates: DataFrame) -> DataFrame:
+def conflict_fold(candidates: DataFrame, *more: str) -> DataFrame:
     """Segments that stay when embedded images (pass 2) come one after another upon caption regions (pass 1).
 
     An image meets the first segment kept so far that it overlaps by more than 0.4;
     if the image wins, that segment goes and the image comes last. ``place`` counts from 1.
+    ``more`` columns of the candidates are carried along.
     """
+    types = candidates.schema
 
     def fold(page: list) -> list:
         kept: list = []
@@ -83,10 +88,11 @@ def conflict_fold(candidates: DataFrame) -> DataFrame:
             if at is not None:
                 kept.pop(at)
             kept.append(row)
-        return [(r.doc_id, r.page_no, r.pass_no, r.idx, i + 1, r.x0, r.y0, r.x1, r.y1) for i, r in enumerate(kept)]
+        return [(r.doc_id, r.page_no, r.pass_no, r.idx, i + 1, r.x0, r.y0, r.x1, r.y1, *[getattr(r, c) for c in more]) for i, r in enumerate(kept)]
 
-    names = [*PAGE, "pass_no", "idx", "x0", "y0", "x1", "y1", "captioned", "grey_var", "score", "n_drawings"]
-    return by_page(candidates.select(*names), ["pass_no", "idx"], fold, "doc_id long, page_no long, pass_no int, idx int, place int, x0 double, y0 double, x1 double, y1 double")
+    names = list(dict.fromkeys([*PAGE, "pass_no", "idx", "x0", "y0", "x1", "y1", "captioned", "grey_var", "score", "n_drawings", *more]))
+    schema = "doc_id long, page_no long, pass_no int, idx int, place int, x0 double, y0 double, x1 double, y1 double"
+    return by_page(candidates.select(*names), ["pass_no", "idx"], fold, ", ".join([schema, *[f"{c} {types[c].dataType.simpleString()}" for c in more]]))
 
 
 def new_regions(candidates: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Hand-derived cases of the layout, linking and OCR operators."""
 
 import json
+import os
 import random
 import re
 from difflib import SequenceMatcher
@@ -258,3 +259,23 @@ def test_a_text_meets_its_legacy_concepts_at_once(spark):
     assert found.count() == 20 and found.select("segment_id").distinct().count() == 1
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("ArrowEvalPython") > plan.index("Generate explode(arrays_zip")
+
+
+def dealt_again(spark, name):
+    """Exchanges of a layout query that deal something else than line items, with joins that broadcast nothing."""
+    from glyphgrid.plans import catalog
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = catalog.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString().split("\n")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    return [below for line, below in zip(plan, plan[1:]) if "Exchange " in line and "Project [(l_orderkey" not in below]
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables")
+def test_two_pass_deals_pages_once(spark):
+    """Line items are dealt by page, and nothing that is found of them again."""
+    assert dealt_again(spark, "two_pass_segments") == []
+    assert dealt_again(spark, "combined_region") == []
+    assert dealt_again(spark, "embedded_candidates") == []
