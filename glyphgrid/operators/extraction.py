@@ -42,5 +42,6 @@ def visual_regions(blocks: DataFrame, drawings: DataFrame, images: DataFrame, pa
     none = F.lit(None).cast("double")
     first = caption_regions(blocks, drawings, images).select(*PAGE, F.lit(1).alias("pass_no"), "idx", *BOX, "c_x0", "c_y0")
     drawn = folds.drawing_regions(folds.drawing_clusters(drawings, reach), page_width, page_height)
+    drawn = drawn.repartition(*PAGE)  # few rows are dealt again, so that those of the captions stay where they are
     second = drawn.select(*PAGE, F.lit(2).alias("pass_no"), F.col("seed_no").alias("idx"), *BOX, none.alias("c_x0"), none.alias("c_y0"))
     return folds.new_regions(first.union(second))

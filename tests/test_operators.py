@@ -279,3 +279,10 @@ def test_two_pass_deals_pages_once(spark):
     assert dealt_again(spark, "two_pass_segments") == []
     assert dealt_again(spark, "combined_region") == []
     assert dealt_again(spark, "embedded_candidates") == []
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables")
+def test_visual_regions_deal_drawn_regions_only(spark):
+    """Besides line items only the regions that clusters give are dealt to their pages."""
+    again = dealt_again(spark, "visual_regions")
+    assert len(again) == 1 and "seed_no" in again[0]
