@@ -1,8 +1,10 @@
 """Removal of repeated strings against a plain count of all windows; suffix arrays against sorting."""
 
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -90,3 +92,21 @@ def test_windows_by_suffix_array():
     counts = Counter(p[i : i + WIDTH] for p in parts for i in range(len(p) - WIDTH + 1))
     want = [counts[p[i : i + WIDTH]] > 1 for p in parts for i in range(len(p) - WIDTH + 1)]
     assert suffix_dedup.repeated_windows(parts, WIDTH).tolist() == want
+
+
+def test_a_worker_holds_little_beside_its_batch():
+    class Rows:
+        mapInArrow = staticmethod(lambda function, schema: function)
+
+    draw = np.random.default_rng(4)
+    texts = ["".join(map(chr, draw.integers(97, 123, 2000))) for _ in range(2000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2000)), pa.array(range(2000)), pa.array(texts)], ["d1", "d2", "text"])
+    find = suffix_dedup.text_pieces(Rows, WIDTH)
+    tracemalloc.start()
+    rows = sum(b.num_rows for b in find([batch]))
+    suffix_dedup.repeated_windows([t.encode() for t in texts[:600]], WIDTH)
+    held, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert rows == 2000
+    assert held < 24 << 20  # tables of powers: up to 128 MB a worker before
+    assert peak < 160 << 20
