@@ -2,33 +2,31 @@
 
 A block codes up to ``BLOCK`` ids below 2 ** 28 and starts from a fresh model.
 For each id the order-2 and order-1 contexts (hashes of the ids before) predict the
-id that came after them last, each with a confidence; order 0 predicts a
-distribution by adaptive counts of ``BUCKETS`` ranges of ids, small ids alone and
-larger ones in ranges of growing size, even within a range. The id's probability
-is the mixture of the three: three adaptive tables (by the order-2 confidence, by
-the order-1 confidence, by both and whether the two agree) give weights of the
-orders, and their sum is weighted in turn by how well each table has foretold the
-ids so far (Bayesian weights with a floor). The range coder takes the order that holds in one step, and
-for order 0 the bucket and the place in it in two more. It has 64-bit low and
-range and gives 32-bit words.
-
-A block is a header (magic, ids, their crc32) and the coder's words, so any block
-is decoded and checked alone. All blocks of a chunk are coded side by side, one a
-lane of the arrays, which is what makes the steps whole-array ones. Model
-arithmetic is elementwise (additions, products, quotients of float32), which
-IEEE 754 fixes, so blocks decode alike on any machine.
+id that came after them last, each with a confidence; order 0 has a distribution by
+``BUCKETS`` ranges of ids, even within a range. The id's probability is the mixture
+of the three; an adaptive table gives the shares of the orders by both confidences
+and whether the two agree. A block's head tells the distribution of order 0: half a
+byte a range, of those ids that the higher orders don't foretell. The range coder
+takes the order that holds and the range in one step, and the place in the range in
+another. It has 64-bit low and range and gives 32-bit words.
+
+A block is a header (magic, ids, their crc32, levels of the ranges) and the coder's
+words, so any block is decoded and checked alone. All blocks of a chunk are coded
+side by side, one a lane of the arrays, which is what makes the steps whole-array
+ones. The model has integers only, so blocks decode alike on any machine. A chunk
+codes its ids as ranks by frequency, so that the ranges follow its distribution.
 
 Files are a Parquet folder of chunks (part, chunk, offset, n_ids, doc_ids, counts,
-blocks): whole documents in order, the ids that each has, and their blocks. Parts
-hold ascending ranges of doc_id and about ``PART_BYTES`` of text; ``offset`` counts a
-part's ids before the chunk.
+by_rank, blocks): whole documents in order, the ids that each has, the id of each
+rank, and the blocks. Parts hold ascending ranges of doc_id and about ``PART_BYTES``
+of text; ``offset`` counts a part's ids before the chunk.
 
 Defined results: null is an empty text (the end id alone); a null doc_id comes
 first; rows of one doc_id follow each other in the order of a hash of their texts,
 and may be dealt to several parts; an empty table writes no rows; ids of a very long
 text run over several blocks; only the id and text columns are read, so other columns
-can't clash; a block whose
-magic, count or crc32 is wrong, or an id of 2 ** 28 or more, raises ValueError.
+can't clash; a block whose magic, count or crc32 is wrong, a rank that no id has, or
+a block's id of 2 ** 28 or more raises ValueError.
 """
 
 from __future__ import annotations
@@ -53,41 +51,51 @@ from .token_counts import drops_spaces
 
 BLOCK = 1024
 #: Ids after which a chunk ends with the document, and blocks that are coded side by side at most.
-CHUNK_IDS, LANES = 3 << 20, 2048
+CHUNK_IDS, LANES = 6 << 20, 2048
 #: A lane's state is kept small (6 KB), so that the lanes of a chunk stay in a core's cache.
 SLOT_BITS = 9
-#: Confidences of an offer, and rows of the weight tables: by order 2, by order 1, by both and their agreement.
-TRUST = 4
-ROWS = TRUST + TRUST + TRUST * TRUST * 2
 ID_BITS = 28
-MAGIC = b"CMX3"
+MAGIC = b"CMX4"
 HEAD = struct.Struct("<4sII")
 PART_BYTES = 10 << 20
 #: Distinct pieces whose ids a worker holds before it starts anew.
 MEMO = 500_000
-BUCKETS = 256
-#: What an order-0 count grows by; the counts of a block's BLOCK ids and BUCKETS stay below 2 ** 16 in all.
-GROWTH = np.uint16(16)
-#: Steps of the coder have totals up to 2 ** 12 (orders), 2 ** 16 (buckets) and 2 ** 27 (places); a range has 2 ** 32 at least.
+#: Ranges of ids that order 0 tells apart, and what their sizes sum up to.
+BUCKETS, ORDER0 = 64, 512
+#: A pre-token pattern whose matches in a plain word (of the characters ! to ~) PLAIN_PARTS counts, and words that one library call joins.
+PARTS, PLAIN_PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+", r"(?i:'s|'t|'re|'ve|'m|'ll|'d)|[A-Za-z]+|[0-9]|[^A-Za-z0-9]+"
+JOINED = 64
+#: Stands between other words that one call joins; words that hold it are encoded alone.
+MARK = "\x01"
+#: A bucket's level tells its ids in the block roughly: the least count of each level from 1 on, and the weight of each from 0 on.
+LEVEL_FLOORS = np.array([1, 2, 3, 5, 7, 10, 14, 20, 28, 40, 57, 80, 113, 160, 226])
+LEVEL_WEIGHTS = np.array([0, 2, 4, 8, 12, 17, 24, 34, 48, 68, 97, 137, 193, 273, 386, 560])
+#: Steps of the coder: 2 ** 12 (orders) times ORDER0 leave 2 ** 11 of a range of 2 ** 32 at least; a place takes 2 ** 27 at most.
 CLASS_BITS = 12
+#: Shares are of 2 ** 16 and move by a part of 2 ** RATE; STEP keeps the two orders' sum below the whole.
+RATE, RATE_MASK, STEP = np.uint32(5), np.uint32(0x07FF07FF), np.uint32(2040)
+ONE, TWO, THREE = np.uint32(1), np.uint32(2), np.uint32(3)
 U32 = np.uint64(32)
 LEAST = np.uint64(1 << 32)
+#: Shares of the orders 2 and 1 that a block begins with, in 1/64, by the confidence of order 2, that of order 1, and whether they offer the same.
+_FIRST = [(1, 2), (2, 1), (1, 15), (28, 1), (1, 35), (46, 1), (1, 51), (56, 1), (14, 2), (29, 1), (9, 13), (43, 1), (14, 33), (54, 1), (4, 46), (58, 1)]
+_FIRST += [(41, 1), (41, 1), (18, 8), (42, 1), (26, 2), (55, 1), (15, 35), (58, 1), (50, 1), (40, 1), (14, 9), (45, 1), (23, 34), (45, 1), (9, 17), (58, 1)]
+PRIORS = np.array([(two << 16 | one) << 10 for two, one in _FIRST], dtype=np.uint32)
 
 
 @functools.lru_cache(maxsize=1)
 def bucket_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First id of each bucket, the bits of a place in it, and the bucket of each id below 2 ** 16.
+    """First id of each bucket (and of what follows them), the bits of a place in it, and the bucket of each id below 2 ** 16.
 
-    Ids below 64 are alone; there are 16 buckets an octave below 2 ** 16, and 2 an octave above.
+    Ids below 16 are alone; there are 4 buckets an octave below 2 ** 12 and one above.
     """
-    bits = np.array([0] * 64 + [k - 4 for k in range(6, 16) for _ in range(16)] + [k - 1 for k in range(16, 32) for _ in range(2)])
-    sizes = np.int64(1) << bits
-    firsts = np.cumsum(sizes) - sizes
+    bits = np.array([0] * 16 + [k - 2 for k in range(4, 12) for _ in range(4)] + list(range(12, 28)))
+    firsts = np.append(0, np.cumsum(np.int64(1) << bits))
     return firsts, bits, np.searchsorted(firsts, np.arange(1 << 16), side="right") - 1
 
 
 class Writer:
-    """Range coder lanes that take symbols as (start, size) of a total."""
+    """Range coder lanes that take parts (start, width) of their ranges."""
 
     def __init__(self, lanes: int, room: int):
         self.low, self.range = np.zeros(lanes, dtype=np.uint64), np.full(lanes, 0xFFFFFFFFFFFFFFFF, dtype=np.uint64)
@@ -100,21 +108,21 @@ class Writer:
             over = self.out[lanes, at] == 0
             lanes, at = lanes[over], at[over] - 1
 
-    def put(self, at, unit: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
-        """Code on lanes ``at`` (indices or a slice); unit is the range of one count."""
-        old = self.low[at]
-        low, width = old + unit * start, unit * size
-        over = low < old
+    def put(self, m: int, start: np.ndarray, width: np.ndarray) -> None:
+        """Narrow the first ``m`` lanes to the ``width`` from ``start`` on."""
+        low = self.low[:m]
+        np.add(low, start, out=low)
+        over = low < start
         if over.any():
-            self._carry((np.arange(len(self.low))[at])[over])
-        short = np.flatnonzero(width < LEAST)
-        if len(short):
-            lanes = short if isinstance(at, slice) else at[short]
-            self.out[lanes, self.size[lanes]] = low[short] >> U32
+            self._carry(np.flatnonzero(over))
+        lanes = np.flatnonzero(width < LEAST)
+        if len(lanes):
+            words = low[lanes]
+            self.out[lanes, self.size[lanes]] = words >> U32
             self.size[lanes] += 1
-            low[short] <<= U32
-            width[short] <<= U32
-        self.low[at], self.range[at] = low, width
+            low[lanes] = words << U32
+            width[lanes] <<= U32
+        self.range[:m] = width
 
     def finish(self) -> list[bytes]:
         last = self.low + np.uint64(0xFFFFFFFF)
@@ -127,7 +135,7 @@ class Writer:
 
 
 class Reader:
-    """Range coder lanes that give symbols; zeros follow a payload's end."""
+    """Range coder lanes that give back what was put; zeros follow a payload's end."""
 
     def __init__(self, payloads: list[bytes]):
         lanes = len(payloads)
@@ -137,147 +145,150 @@ class Reader:
         self.ahead = self.data[:, 0] << U32 | self.data[:, 1]  # the code's distance from low
         self.range, self.next = np.full(lanes, 0xFFFFFFFFFFFFFFFF, dtype=np.uint64), np.full(lanes, 2, dtype=np.int64)
 
-    def take(self, at, unit: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
-        ahead, width = self.ahead[at] - unit * start, unit * size
-        short = np.flatnonzero(width < LEAST)
-        if len(short):
-            lanes = short if isinstance(at, slice) else at[short]
-            fresh = self.data[lanes, np.minimum(self.next[lanes], self.data.shape[1] - 1)]
-            self.next[lanes] += 1
-            ahead[short] = ahead[short] << U32 | fresh
-            width[short] <<= U32
-        self.ahead[at], self.range[at] = ahead, width
+    def take(self, m: int, ahead: np.ndarray, width: np.ndarray) -> None:
+        """Go on from ``ahead`` in a range of ``width``."""
+        lanes = np.flatnonzero(width < LEAST)
+        if len(lanes):
+            at = self.next[lanes]
+            ahead[lanes] = ahead[lanes] << U32 | self.data[lanes, np.minimum(at, self.data.shape[1] - 1)]
+            self.next[lanes] = at + 1
+            width[lanes] <<= U32
+        self.ahead[:m], self.range[:m] = ahead, width
 
 
 class Model:
     """Adaptive state of ``lanes`` blocks."""
 
     def __init__(self, lanes: int):
-        self.lane = np.arange(lanes)
+        lane = np.arange(lanes)
+        self.slot_base, self.state_base = lane << SLOT_BITS, lane * len(PRIORS)
         self.offers = [np.zeros(lanes << SLOT_BITS, dtype=np.uint32) for _ in range(2)]  # id << 2 | confidence
-        # rows of four float32, moved as one item each: counts of the orders 2, 1 and 0, and their sum
-        self.counts = np.tile(np.array([0.3, 0.3, 0.4, 1.0], dtype=np.float32), (lanes * ROWS, 1)).view(np.complex128).ravel()
-        self.seen = np.array([[1, 0, 0, 1], [0, 1, 0, 1], [0, 0, 1, 1]], dtype=np.float32).view(np.complex128).ravel()
-        self.weights = [np.full(lanes, 1 / 3, dtype=np.float32) for _ in range(3)]
-        self.coarse = np.full((16, lanes), 16, dtype=np.uint16)
-        self.fine = np.ones((lanes * 16, 16), dtype=np.uint16)
-        self.sums = np.zeros((17, lanes), dtype=np.uint16)
-
-    def offered(self, m: int, before: np.ndarray, earlier: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Slots of the order-2 and order-1 contexts, and what they hold."""
-        mixed = before * np.uint32(0x9E3779B1)
-        hashes = ((mixed ^ earlier * np.uint32(0x85EBCA6B)) * np.uint32(0xC2B2AE35), mixed)
-        base = self.lane[:m] << SLOT_BITS
-        slots = [(h >> np.uint32(32 - SLOT_BITS)).astype(np.int64) + base for h in hashes]
-        return slots, [table.take(at) for table, at in zip(self.offers, slots, strict=True)]
-
-    def settle(self, slots: list[np.ndarray], packed: list[np.ndarray], offers: list[np.ndarray], found: np.ndarray) -> None:
-        """Offers that were right gain confidence, others lose half of it or make room."""
-        fresh = found << np.uint32(2)
-        for table, at, old, offer in zip(self.offers, slots, packed, offers, strict=True):
-            sure = old & np.uint32(3)
-            wrong = np.where(sure > 0, old - (sure + np.uint32(1) >> np.uint32(1)), fresh)
+        self.shares = np.tile(PRIORS, lanes)  # share of order 2 << 16 | share of order 1, by both confidences and their agreement
+        self.before, self.earlier = np.zeros(lanes, dtype=np.uint32), np.zeros(lanes, dtype=np.uint32)
+
+    def look(self, m: int) -> None:
+        """What the contexts of the next id offer, and the shares of both in CLASS_BITS."""
+        mixed = self.before[:m] * np.uint32(0x9E3779B1)
+        hashes = ((mixed ^ self.earlier[:m] * np.uint32(0x85EBCA6B)) * np.uint32(0xC2B2AE35), mixed)
+        self.slots = [(h >> np.uint32(32 - SLOT_BITS)) + self.slot_base[:m] for h in hashes]
+        self.packed = [table.take(at) for table, at in zip(self.offers, self.slots, strict=True)]
+        self.sure = [p & THREE for p in self.packed]
+        self.two, self.one = (p >> TWO for p in self.packed)
+        state = self.sure[0] << THREE | self.sure[1] << ONE | (self.two == self.one)
+        self.rows = state + self.state_base[:m]
+        self.held = self.shares.take(self.rows)
+        self.size2 = (self.held >> np.uint32(32 - CLASS_BITS)) + ONE
+        self.below0 = self.size2 + ((self.held & np.uint32(0xFFFF)) >> np.uint32(16 - CLASS_BITS)) + ONE
+
+    def learn(self, m: int, found: np.ndarray, by2: np.ndarray, by1: np.ndarray) -> None:
+        """Shares move towards the order that held; offers that were right gain confidence, others lose half of it or make room."""
+        self.shares[self.rows] = self.held - (self.held >> RATE & RATE_MASK) + (by2 * (STEP << np.uint32(16)) + by1 * STEP)
+        fresh = found << TWO
+        for table, at, old, sure, offer in zip(self.offers, self.slots, self.packed, self.sure, (self.two, self.one), strict=True):
+            wrong = np.where(sure > 0, old - (sure + ONE >> ONE), fresh)
             table[at] = np.where(offer == found, old + (sure < 3), wrong)
+        self.earlier[:m] = self.before[:m]
+        self.before[:m] = found
+
+
+def order0_sizes(levels: np.ndarray) -> np.ndarray:
+    """Sizes of the buckets (blocks x BUCKETS) in ORDER0 by their levels; the largest takes what rounding leaves."""
+    weights = LEVEL_WEIGHTS[levels]
+    weights[weights.sum(axis=1) == 0, 0] = 1
+    used = weights > 0
+    sizes = used + weights * (ORDER0 - used.sum(axis=1))[:, None] // weights.sum(axis=1)[:, None]
+    sizes[np.arange(len(sizes)), weights.argmax(axis=1)] += ORDER0 - sizes.sum(axis=1)
+    return sizes
+
+
+def order0_entries(levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start, size, bits and number of each bucket in one item (blocks x BUCKETS), and the sizes."""
+    sizes = order0_sizes(levels)
+    _, bits, _ = bucket_tables()
+    starts = np.cumsum(sizes, axis=1) - sizes
+    return (starts | sizes << 9 | bits[:BUCKETS] << 19 | np.arange(BUCKETS) << 24).astype(np.uint32), sizes
+
 
-    def chances(self, m: int, c2: np.ndarray, c1: np.ndarray, agree: np.ndarray) -> tuple[list, list, list]:
-        """Rows of the three tables, their contents, and the chances of the orders 2 and 1 by each."""
-        base = self.lane[:m] * ROWS
-        state = (c2 * TRUST + c1) * 2 + agree
-        rows = [base + c2, base + (TRUST + c1), base + (2 * TRUST + state)]
-        held = [self.counts.take(r) for r in rows]
-        quads = [h.view(np.float32).reshape(-1, 4) for h in held]
-        return rows, quads, [(q[:, 0] / q[:, 3], q[:, 1] / q[:, 3]) for q in quads]
-
-    def learn(self, m: int, rows: list, quads: list, chances: list, order: np.ndarray) -> None:
-        """The tables that gave the order that held a larger chance gain weight, and all count it."""
-        first, second = order == 0, order == 1
-        gained = [x[:m] * np.where(first, p2, np.where(second, p1, 1 - p2 - p1)) for x, (p2, p1) in zip(self.weights, chances, strict=True)]
-        scale = np.float32(0.97) / (gained[0] + gained[1] + gained[2])
-        for x, g in zip(self.weights, gained, strict=True):
-            np.add(g * scale, np.float32(0.01), out=x[:m])
-        seen = self.seen.take(order).view(np.float32).reshape(-1, 4)
-        for r, q in zip(rows, quads, strict=True):
-            self.counts[r] = (q + seen).view(np.complex128).ravel()
-
-
-def code_lanes(coder: Writer | Reader, sizes: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
-    """Code or decode lanes of ``sizes`` ids (longest lane first) step by step; returns ids (steps x lanes)."""
-    n, steps = len(sizes), int(sizes[0]) if len(sizes) else 0
+def fields(entry: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return entry & np.uint32(511), entry >> np.uint32(9) & np.uint32(1023), entry >> np.uint32(19) & np.uint32(31)
+
+
+#: What an order that isn't 0 does in the steps of order 0: it takes the whole range, and has no place.
+WHOLE = np.uint32(ORDER0 << 9 | BUCKETS << 24)
+
+
+def write_lanes(sizes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """Levels of the buckets and coded words of lanes of ``sizes`` ids (longest lane first; ids: steps x lanes)."""
+    steps, n = ids.shape
+    live = np.searchsorted(-sizes, -np.arange(steps), side="left").tolist()
     model = Model(n)
-    writes = ids is not None
-    firsts, bits_of, small = bucket_tables()
-    out = ids if writes else np.zeros((steps, n), dtype=np.uint32)
-    all_small = writes and (not ids.size or ids.max() < len(small))
-    before, earlier = np.zeros(n, dtype=np.uint32), np.zeros(n, dtype=np.uint32)
-    live_counts = np.searchsorted(-sizes, -np.arange(steps), side="left")
-    share = np.float32((1 << CLASS_BITS) - 6)
-    step = coder.put if writes else coder.take
-    for t in range(steps):
-        m = int(live_counts[t])
-        slots, packed = model.offered(m, before[:m], earlier[:m])
-        two, one = offers = [p >> np.uint32(2) for p in packed]
-        c2, c1 = [(p & np.uint32(3)).astype(np.int64) for p in packed]
-        rows, quads, chances = model.chances(m, c2, c1, two == one)
-        w = [x[:m] for x in model.weights]
-        size2 = ((w[0] * chances[0][0] + w[1] * chances[1][0] + w[2] * chances[2][0]) * share).astype(np.int32) + 1
-        size1 = ((w[0] * chances[0][1] + w[1] * chances[1][1] + w[2] * chances[2][1]) * share).astype(np.int32) + 1
-        below0 = size2 + size1
-        unit = coder.range[:m] >> np.uint64(CLASS_BITS)
-        found = out[t, :m]
-        if writes:
-            order = np.where(found == two, 0, 2 - (found == one))
-        else:
-            value = (coder.ahead[:m] // unit).astype(np.int32)
-            order = (value >= size2).astype(np.int64) + (value >= below0)
-            np.copyto(found, np.where(order == 0, two, one))
-        held = order == 0
-        start = np.where(held, 0, np.where(order == 1, size2, below0))
-        size = np.where(held, size2, np.where(order == 1, size1, (1 << CLASS_BITS) - below0))
-        step(slice(0, m), unit, start.astype(np.uint64), size.astype(np.uint64))
-        rest = np.flatnonzero(order == 2)
-        if len(rest):
-            sums = model.sums
-            for k in range(16):
-                np.add(sums[k, :m], model.coarse[k, :m], out=sums[k + 1, :m])
-            unit = coder.range[rest] // sums[16, rest].astype(np.uint64)
-            if writes:
-                wanted = found[rest]
-                bucket = small.take(wanted) if all_small else np.searchsorted(firsts, wanted, side="right") - 1
-                major, minor = bucket >> 4, bucket & 15
-            else:
-                value = np.minimum(coder.ahead[rest] // unit, sums[16, rest] - np.uint16(1)).astype(np.uint16)
-                major = (sums[1:16, rest] <= value).sum(axis=0)
-            floor = sums[major, rest]
-            cells = rest * 16 + major
-            part = model.fine.take(cells, axis=0)
-            own = np.arange(0, len(rest) * 16, 16)
-            ends = part.copy()
-            for k in range(1, 16):
-                np.add(ends[:, k], ends[:, k - 1], out=ends[:, k])
-            if not writes:
-                minor = (ends > (value - floor)[:, None]).argmax(axis=1)
-                bucket = major << 4 | minor
-            own += minor
-            size = part.ravel().take(own)
-            step(rest, unit, (floor + ends.ravel().take(own) - size).astype(np.uint64), size.astype(np.uint64))
-            model.fine.ravel()[cells * 16 + minor] = size + GROWTH
-            model.coarse[major, rest] += GROWTH
-            bits = bits_of[bucket]
-            wide = np.flatnonzero(bits)
-            there = rest[wide]
-            unit = coder.range[there] >> bits[wide].astype(np.uint64)
-            if writes:
-                place = wanted[wide] - firsts[bucket[wide]]
-            else:
-                place = np.minimum((coder.ahead[there] // unit).astype(np.int64), (1 << bits[wide]) - 1)
-                whole = firsts[bucket]
-                whole[wide] += place
-                found[rest] = whole
-            step(there, unit, place.astype(np.uint64), np.ones(len(there), dtype=np.uint64))
-        model.learn(m, rows, quads, chances, order)
-        model.settle(slots, packed, offers, found)
-        earlier[:m] = before[:m]
-        before[:m] = found
+    size2, below0 = np.zeros((steps, n), dtype=np.uint16), np.zeros((steps, n), dtype=np.uint16)
+    order = np.zeros((steps, n), dtype=np.uint8)
+    for t, m in enumerate(live):
+        model.look(m)
+        found = ids[t, :m]
+        by2 = model.two == found
+        by1 = (model.one == found) & ~by2
+        size2[t, :m], below0[t, :m] = model.size2, model.below0
+        order[t, :m] = 2 - (by2 * np.uint8(2) + by1)
+        model.learn(m, found, by2, by1)
+    firsts, _, small = bucket_tables()
+    bucket = small.take(ids) if not ids.size or ids.max() < len(small) else np.searchsorted(firsts, ids, side="right") - 1
+    by0 = (order == 2) & (np.arange(steps)[:, None] < sizes)
+    at = bucket + np.arange(n) * BUCKETS
+    counts = np.bincount(at[by0], minlength=n * BUCKETS).reshape(n, BUCKETS)
+    levels = np.searchsorted(LEVEL_FLOORS, counts, side="right")
+    entries = np.where(by0, order0_entries(levels)[0].ravel().take(at), WHOLE)
+    places = np.where(by0, ids - firsts[bucket], 0).astype(np.uint64)
+    writer = Writer(n, 2 * steps + 4)
+    zero = np.uint64(0)
+    for t, m in enumerate(live):
+        whole, kind = writer.range[:m], order[t, :m]
+        unit = whole >> np.uint64(CLASS_BITS)
+        first, second = unit * size2[t, :m], unit * below0[t, :m]
+        start = np.where(kind == 0, zero, np.where(kind == 1, first, second))
+        width = np.where(kind == 0, first, np.where(kind == 1, second, whole)) - start
+        low, size, bits = fields(entries[t, :m])
+        unit = width >> np.uint64(9)
+        start += unit * low
+        writer.put(m, start, unit * size)
+        unit = writer.range[:m] >> bits
+        writer.put(m, unit * places[t, :m], unit)
+    return levels, writer.finish()
+
+
+def read_lanes(sizes: np.ndarray, levels: np.ndarray, payloads: list[bytes]) -> np.ndarray:
+    """Ids (steps x lanes) of lanes of ``sizes`` ids, longest lane first."""
+    n, steps = len(sizes), int(sizes[0])
+    live = np.searchsorted(-sizes, -np.arange(steps), side="left").tolist()
+    entries, widths = order0_entries(levels)
+    table = np.append(np.repeat(entries.ravel(), widths.ravel()), WHOLE)
+    base = np.arange(n) * ORDER0
+    firsts = bucket_tables()[0].astype(np.uint32)
+    firsts[BUCKETS] = 0
+    out = np.zeros((steps, n), dtype=np.uint32)
+    model, reader = Model(n), Reader(payloads)
+    zero = np.uint64(0)
+    for t, m in enumerate(live):
+        model.look(m)
+        whole, ahead = reader.range[:m], reader.ahead[:m]
+        unit = whole >> np.uint64(CLASS_BITS)
+        first, second = unit * model.size2, unit * model.below0
+        by2, under = ahead < first, ahead < second
+        start = np.where(by2, zero, np.where(under, first, second))
+        width = np.where(by2, first, np.where(under, second, whole)) - start
+        ahead = ahead - start
+        unit = width >> np.uint64(9)
+        value = np.minimum(ahead // unit, np.uint64(ORDER0 - 1)).astype(np.int64)
+        entry = table.take(np.where(under, len(table) - 1, base[:m] + value))
+        low, size, bits = fields(entry)
+        reader.take(m, ahead - unit * low, unit * size)
+        unit = reader.range[:m] >> bits
+        place = np.minimum(reader.ahead[:m] // unit, (ONE << bits) - ONE)
+        reader.take(m, reader.ahead[:m] - unit * place, unit)
+        found = np.where(by2, model.two, np.where(under, model.one, firsts.take(entry >> np.uint32(24)) + place.astype(np.uint32)))
+        out[t, :m] = found
+        model.learn(m, found, by2, under & ~by2)
     return out
 
 
@@ -292,11 +303,11 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     ids = np.zeros((len(blocks), int(sizes.max())), dtype=np.uint32)
     for lane, i in enumerate(order):
         ids[lane, : sizes[i]] = blocks[i]
-    writer = Writer(len(blocks), 2 * ids.shape[1] + 4)
-    code_lanes(writer, sizes[order], np.ascontiguousarray(ids.T))
+    levels, words = write_lanes(sizes[order], np.ascontiguousarray(ids.T))
+    nibbles = (levels[:, ::2] << 4 | levels[:, 1::2]).astype(np.uint8)
     out: list[bytes] = [b""] * len(blocks)
-    for i, body in zip(order, writer.finish(), strict=True):
-        out[i] = HEAD.pack(MAGIC, sizes[i], zlib.crc32(blocks[i].astype("<u4").tobytes())) + body
+    for i, own, body in zip(order, nibbles, words, strict=True):
+        out[i] = HEAD.pack(MAGIC, sizes[i], zlib.crc32(blocks[i].astype("<u4").tobytes())) + own.tobytes() + body
     return out
 
 
@@ -304,12 +315,15 @@ def decode_blocks(payloads: list[bytes]) -> list[np.ndarray]:
     """Blocks of ids (uint32); a wrong checksum raises ValueError."""
     if not payloads:
         return []
-    heads = [HEAD.unpack(p[: HEAD.size]) if len(p) >= HEAD.size else (b"", 0, 0) for p in payloads]
+    body = HEAD.size + BUCKETS // 2
+    heads = [HEAD.unpack(p[: HEAD.size]) if len(p) >= body else (b"", 0, 0) for p in payloads]
     if any(magic != MAGIC or n > BLOCK for magic, n, _ in heads):
         raise ValueError("not a block of token ids")
     sizes = np.array([n for _, n, _ in heads])
     order = np.argsort(-sizes, kind="stable")
-    ids = code_lanes(Reader([payloads[i][HEAD.size :] for i in order]), sizes[order], None)
+    nibbles = np.array([np.frombuffer(payloads[i], dtype=np.uint8, count=BUCKETS // 2, offset=HEAD.size) for i in order])
+    levels = np.stack([nibbles >> 4, nibbles & 15], axis=2).reshape(len(order), BUCKETS)
+    ids = read_lanes(sizes[order], levels, [payloads[i][body:] for i in order])
     columns = np.ascontiguousarray(ids.T)
     out: list[np.ndarray] = [np.zeros(0, dtype=np.uint32)] * len(payloads)
     for lane, i in enumerate(order):
@@ -320,16 +334,42 @@ def decode_blocks(payloads: list[bytes]) -> list[np.ndarray]:
 
 
 def blocks_of(ids: np.ndarray) -> list[bytes]:
-    """Payloads of a run of ids, LANES blocks at a time."""
+    """Payloads of a run of ids, LANES blocks at a time at most, in equal parts."""
     blocks = [ids[i : i + BLOCK] for i in range(0, len(ids), BLOCK)]
-    return [p for low in range(0, len(blocks), LANES) for p in encode_blocks(blocks[low : low + LANES])]
+    return [p for part in _even(blocks) for p in encode_blocks(part)]
 
 
 def ids_of(payloads: list[bytes]) -> np.ndarray:
-    found = [b for low in range(0, len(payloads), LANES) for b in decode_blocks(payloads[low : low + LANES])]
+    found = [b for part in _even(payloads) for b in decode_blocks(part)]
     return np.concatenate(found) if found else np.zeros(0, dtype=np.uint32)
 
 
+def by_frequency(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids as their ranks by frequency, and the id of each rank."""
+    if len(ids) and ids.max() >= 1 << 20:
+        known, places, counts = np.unique(ids, return_inverse=True, return_counts=True)
+    else:
+        counts = np.bincount(ids, minlength=1)
+        known, places = np.arange(len(counts)), ids
+    order = np.argsort(-counts, kind="stable")[: np.count_nonzero(counts)]
+    ranks = np.zeros(len(counts), dtype=np.uint32)
+    ranks[order] = np.arange(len(order))
+    return ranks.take(places), known[order].astype(np.uint32)
+
+
+def of_ranks(ranks: np.ndarray, known: np.ndarray) -> np.ndarray:
+    if len(ranks) and ranks.max() >= len(known):
+        raise ValueError("a block holds a rank that no id has")
+    return known.take(ranks)
+
+
+def _even(items: list) -> list[list]:
+    """Lists of LANES items at most that differ by one item at most: a step costs nearly as much for few lanes as for many."""
+    parts = -(-len(items) // LANES)
+    bounds = [len(items) * k // parts for k in range(parts + 1)] if parts else [0]
+    return [items[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+
+
 class PieceEncoder:
     """Ids by the library; distinct words are encoded once where the file drops white space, else texts as a whole."""
 
@@ -343,28 +383,85 @@ class PieceEncoder:
         with open(vocabulary_path(name), encoding="utf-8") as file:
             spec = json.load(file)
         self.by_words = drops_spaces(spec) and not any(any(map(str.isspace, t["content"])) for t in spec.get("added_tokens", []))
+        self.specials = [t["content"] for t in spec.get("added_tokens", [])]
+        steps = (spec.get("normalizer") or {}).get("normalizers", [])
+        first = ((spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
+        self.joins = self.by_words and {n["type"] for n in steps} <= {"NFC", "Replace", "Lowercase"} and all(n.get("pattern") == {"Regex": r"\s+"} for n in steps if n["type"] == "Replace") and first.get("pattern") == {"Regex": PARTS} and spec["model"].get("end_of_word_suffix") == "</w>"
+        marked = self.tokenizer.encode(MARK, add_special_tokens=False).ids
+        self.mark = marked[0] if len(marked) == 1 else -1
+        self.joins &= self.mark >= 0 and first.get("behavior") == "Removed"
+        vocabulary = self.tokenizer.get_vocab()
+        #: tokens that end a pre-token
+        self.ending = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        self.ending[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self._forget()
 
     def _forget(self) -> None:
         self.place: dict[str, int] = {}
         self.starts, self.sizes = np.zeros(MEMO, dtype=np.int64), np.zeros(MEMO, dtype=np.int64)
-        self.pool, self.used = np.zeros(1 << 20, dtype=np.uint32), 0
-
-    def _learn(self, words: list[str]) -> None:
+        # the first place is that of the end id
+        self.sizes[0] = 1
+        self.pool, self.used = np.zeros(1 << 20, dtype=np.uint32), 1
+
+    def _learn(self, column: pa.Array) -> None:
+        if self.joins:
+            plain = pc.match_substring_regex(column, r"^[!-~]+$")
+            for special in self.specials:
+                plain = pc.and_not(plain, pc.match_substring(column, special))
+            plain_words = column.filter(plain)
+            self._learn_joined(plain_words.to_pylist(), pc.count_substring_regex(plain_words, PLAIN_PARTS).to_numpy(zero_copy_only=False))
+            column = column.filter(pc.invert(plain))
+            odd = pc.match_substring(column, MARK)
+            for special in self.specials:
+                odd = pc.or_(odd, pc.match_substring(column, special))
+            self._learn_marked(column.filter(pc.invert(odd)).to_pylist())
+            column = column.filter(odd)
+        self._learn_alone(column.to_pylist())
+
+    def _learn_alone(self, words: list[str]) -> None:
         for low in range(0, len(words), 4096):
             part = words[low : low + 4096]
             runs = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
             sizes = np.fromiter(map(len, runs), dtype=np.int64, count=len(runs))
-            total, n = int(sizes.sum()), len(self.place)
-            while self.used + total > len(self.pool):
-                self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-            self.pool[self.used : self.used + total] = np.fromiter(itertools.chain.from_iterable(runs), dtype=np.uint32, count=total)
-            if n + len(runs) > len(self.starts):
-                self.starts, self.sizes = (np.concatenate([x, np.zeros(max(len(x), len(runs)), dtype=np.int64)]) for x in (self.starts, self.sizes))
-            self.starts[n : n + len(runs)] = self.used + np.cumsum(sizes) - sizes
-            self.sizes[n : n + len(runs)] = sizes
-            self.place.update(zip(part, range(n, n + len(runs)), strict=True))
-            self.used += total
+            self._keep(part, np.fromiter(itertools.chain.from_iterable(runs), dtype=np.uint32, count=int(sizes.sum())), sizes)
+
+    def _learn_joined(self, words: list[str], parts: np.ndarray) -> None:
+        """Words of known numbers of pre-tokens, many in a text: what ends the last pre-token of a word ends the word."""
+        for low in range(0, len(words), 4096):
+            part, counts = words[low : low + 4096], parts[low : low + 4096]
+            firsts = np.arange(0, len(part), JOINED)
+            runs = [e.ids for e in self.tokenizer.encode_batch_fast([" ".join(part[a : a + JOINED]) for a in firsts], add_special_tokens=False)]
+            ids = np.fromiter(itertools.chain.from_iterable(runs), dtype=np.uint32)
+            bounds = np.cumsum([0, *map(len, runs)])
+            ends = np.flatnonzero(self.ending.take(ids)) + 1
+            if not np.array_equal(np.diff(np.searchsorted(ends, bounds, side="right")), np.add.reduceat(counts, firsts)):  # pragma: no cover  (a file that drops characters)
+                self._learn_alone(part)
+                continue
+            self._keep(part, ids, np.diff(ends[np.cumsum(counts) - 1], prepend=0))
+
+    def _learn_marked(self, words: list[str]) -> None:
+        """Words without MARK, many in a text with MARK between them, which no other text has the id of."""
+        for low in range(0, len(words), 4096):
+            part = words[low : low + 4096]
+            texts = [f" {MARK} ".join([*part[a : a + JOINED], ""]) for a in range(0, len(part), JOINED)]
+            ids = np.fromiter(itertools.chain.from_iterable(e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)), dtype=np.uint32)
+            marks = ids == self.mark
+            if marks.sum() != len(part):  # pragma: no cover  (a file that drops the mark)
+                self._learn_alone(part)
+                continue
+            self._keep(part, ids[~marks], np.diff(np.flatnonzero(marks), prepend=-1) - 1)
+
+    def _keep(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        total, n = len(ids), len(self.place) + 1
+        while self.used + total > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        self.pool[self.used : self.used + total] = ids
+        if n + len(words) > len(self.starts):
+            self.starts, self.sizes = (np.concatenate([x, np.zeros(max(len(x), len(words)), dtype=np.int64)]) for x in (self.starts, self.sizes))
+        self.starts[n : n + len(words)] = self.used + np.cumsum(sizes) - sizes
+        self.sizes[n : n + len(words)] = sizes
+        self.place.update(zip(words, range(n, n + len(words)), strict=True))
+        self.used += total
 
     def slice_ids(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by ``end``, and the number of each."""
@@ -377,13 +474,18 @@ class PieceEncoder:
         words = coded.dictionary.to_pylist()
         if len(self.place) > MEMO:
             self._forget()
-        self._learn([w for w in words if w not in self.place])
-        at = np.fromiter(map(self.place.__getitem__, words), dtype=np.int64, count=len(words))[coded.indices.to_numpy(zero_copy_only=False)]
-        sizes = self.sizes[at]
+        at = np.fromiter(map(self.place.get, words, itertools.repeat(-1)), dtype=np.int64, count=len(words))
+        fresh = np.flatnonzero(at < 0)
+        if len(fresh):
+            self._learn(coded.dictionary.take(pa.array(fresh)))
+            at[fresh] = np.fromiter(map(self.place.__getitem__, map(words.__getitem__, fresh.tolist())), dtype=np.int64, count=len(fresh))
+        self.pool[0] = end
+        at = np.insert(at[coded.indices.to_numpy(zero_copy_only=False)], offsets[1:], 0)
+        sizes = self.sizes.take(at)
         ends = np.cumsum(sizes)
-        ids = self.pool[np.repeat(self.starts[at] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
-        bounds = np.concatenate([[0], ends])[offsets]
-        return np.insert(ids, bounds[1:], end), np.diff(bounds) + 1
+        places = np.repeat(self.starts.take(at) - (ends - sizes), sizes)
+        places += np.arange(len(places))
+        return self.pool.take(places), np.diff(ends.take(offsets[1:] + np.arange(len(texts))), prepend=0)
 
 
 def worker_encoder(name: str) -> PieceEncoder:
@@ -403,13 +505,14 @@ def write_ids(documents: DataFrame, folder: str, tokenizer: str = "word_bpe_49k.
         part, chunk, done = TaskContext.get().partitionId(), 0, 0
         encoder = worker_encoder(tokenizer)
         ids, counts, runs = [], [], []
-        names = ["part", "chunk", "offset", "n_ids", "doc_ids", "counts", "blocks"]
+        names = ["part", "chunk", "offset", "n_ids", "doc_ids", "counts", "by_rank", "blocks"]
 
         def close():
             nonlocal chunk, done, ids, counts, runs
             flat = np.concatenate(runs)
-            columns = [[part], [chunk], [done], [len(flat)], [pa.concat_arrays(ids)], [np.concatenate(counts)], [blocks_of(flat)]]
-            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(ids[0].type), pa.list_(pa.int64()), pa.list_(pa.binary())]
+            ranks, known = by_frequency(flat)
+            columns = [[part], [chunk], [done], [len(flat)], [pa.concat_arrays(ids)], [np.concatenate(counts)], [known.astype(np.int32)], [blocks_of(ranks)]]
+            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(ids[0].type), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.binary())]
             chunk, done, ids, counts, runs = chunk + 1, done + len(flat), [], [], []
             return pa.RecordBatch.from_arrays([pa.array([c.to_pylist() if isinstance(c, pa.Array) else c for c in col], k) for col, k in zip(columns, kinds, strict=True)], names)
 
@@ -429,7 +532,7 @@ def write_ids(documents: DataFrame, folder: str, tokenizer: str = "word_bpe_49k.
     # rows of one id are told apart by a hash and their place, so that no id is bound to one part
     keyed = rows.withColumn("hash", F.xxhash64("text")).withColumn("row", F.monotonically_increasing_id())
     dealt = keyed.repartitionByRange(parts, "id", "hash", "row").sortWithinPartitions("id", "hash", "row").select("id", "text")
-    dealt.mapInArrow(encoded, f"part int, chunk int, offset long, n_ids long, doc_ids array<{kind}>, counts array<long>, blocks array<binary>").write.parquet(folder)
+    dealt.mapInArrow(encoded, f"part int, chunk int, offset long, n_ids long, doc_ids array<{kind}>, counts array<long>, by_rank array<int>, blocks array<binary>").write.parquet(folder)
 
 
 def starts_of(chunks: DataFrame) -> DataFrame:
@@ -450,7 +553,8 @@ def read_digests(spark: SparkSession, folder: str, id_column: str = "doc_id") ->
         for batch in batches:
             for i in range(batch.num_rows):
                 part, offset, blocks, counts = (common.column(batch, c)[i].as_py() for c in ("part", "offset", "blocks", "counts"))
-                raw = ids_of(blocks).astype("<u4")
+                known = common.column(batch, "by_rank")[i].values.to_numpy(zero_copy_only=False).astype(np.uint32)
+                raw = of_ranks(ids_of(blocks), known).astype("<u4")
                 ends = np.cumsum(counts)
                 if ends[-1] != len(raw):
                     raise ValueError("a chunk's blocks don't hold its documents")
@@ -460,7 +564,7 @@ def read_digests(spark: SparkSession, folder: str, id_column: str = "doc_id") ->
                 columns = [pa.array([part] * n, pa.int32()), common.column(batch, "doc_ids")[i].values, pa.array(starts + offset), pa.array(counts, pa.int64()), pa.array(sums, pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, ["part", "id", "offset", "n_tokens", "ids_crc32"])
 
-    found = chunks.select("part", "offset", "doc_ids", "counts", "blocks").mapInArrow(decoded, f"part int, id {kind}, offset long, n_tokens long, ids_crc32 long")
+    found = chunks.select("part", "offset", "doc_ids", "counts", "by_rank", "blocks").mapInArrow(decoded, f"part int, id {kind}, offset long, n_tokens long, ids_crc32 long")
     return found.join(starts_of(chunks), "part").select(F.col("id").alias(id_column), (F.col("base") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32")
 
 

@@ -342,3 +342,36 @@ def test_a_worker_holds_one_memo_at_a_time():
     order_minhash.worker_hasher()
     gc.collect()
     assert coder() is None
+
+
+def test_words_joined_in_library_calls():
+    encoder = context_coder.PieceEncoder("word_bpe_49k.json")
+    library_of, sent = encoder.tokenizer, []
+
+    class Counted:
+        encode = library_of.encode
+
+        def encode_batch_fast(self, texts, **options):
+            sent.extend(texts)
+            return library_of.encode_batch_fast(texts, **options)
+
+    encoder.tokenizer = Counted()
+    odd = "can't CAN'T it'SS 'tis ''s a\x01b \x01 \x01\x01 <|endoftext|> x<|endoftext|>y <|ENDOFTEXT|> é ́x   a　b İ H̱ ẖ 12a3 --- ...a <|x a\x1cb \x7f 中文 \U0001f600</w> </w>"
+    texts = [odd, " ".join(f"w{i:x}q'll" for i in range(5000)), "", " ".join(f"é{i:x}ж" for i in range(3000)), odd.upper()]
+    ids, counts = encoder.slice_ids(pa.array(texts), 2)
+    runs = np.split(ids, np.cumsum(counts)[:-1])
+    assert [r.tolist() for r in runs] == [[*library_of.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    assert len(sent) < 300  # one for each of some 8,000 words before
+
+
+def test_chunks_code_ranks():
+    draws = np.random.default_rng(3)
+    ids = draws.permutation(49_000)[draws.zipf(1.3, size=40_000).clip(0, 3000)].astype(np.uint32)
+    ranks, known = context_coder.by_frequency(ids)
+    assert (context_coder.of_ranks(ranks, known) == ids).all()
+    high = ids + np.uint32(1 << 27)
+    assert (context_coder.of_ranks(*context_coder.by_frequency(high)) == high).all()
+    size = sum(map(len, context_coder.blocks_of(ranks)))
+    assert size < 0.8 * sum(map(len, context_coder.blocks_of(ids)))
+    with pytest.raises(ValueError):
+        context_coder.of_ranks(np.array([5], dtype=np.uint32), np.arange(5, dtype=np.uint32))
