@@ -59,11 +59,14 @@ MAGIC = b"CMX4"
 HEAD = struct.Struct("<4sII")
 PART_BYTES = 10 << 20
 #: Distinct pieces whose ids a worker holds before it starts anew.
-MEMO = 500_000
+MEMO = 1_000_000
 #: Ranges of ids that order 0 tells apart, and what their sizes sum up to.
 BUCKETS, ORDER0 = 64, 512
-#: A pre-token pattern whose matches in a plain word (of the characters ! to ~) PLAIN_PARTS counts, and words that one library call joins.
-PARTS, PLAIN_PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+", r"(?i:'s|'t|'re|'ve|'m|'ll|'d)|[A-Za-z]+|[0-9]|[^A-Za-z0-9]+"
+#: A pre-token pattern; plain words, of the characters ! to ~ and letters that every Unicode version lowers and composes alike;
+#: what the pattern matches in them in small letters; and words that one text joins for the library.
+PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PLAIN = r"^[!-~À-ÖØ-öø-ÿА-я]+$"
+PLAIN_PARTS = r"('s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿа-я]+|[0-9]|[^a-z0-9ß-öø-ÿа-я]+)"
 JOINED = 64
 #: Stands between other words that one call joins; words that hold it are encoded alone.
 MARK = "\x01"
@@ -91,7 +94,7 @@ def bucket_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """
     bits = np.array([0] * 16 + [k - 2 for k in range(4, 12) for _ in range(4)] + list(range(12, 28)))
     firsts = np.append(0, np.cumsum(np.int64(1) << bits))
-    return firsts, bits, np.searchsorted(firsts, np.arange(1 << 16), side="right") - 1
+    return firsts, bits, (np.searchsorted(firsts, np.arange(1 << 16), side="right") - 1).astype(np.uint8)
 
 
 class Writer:
@@ -233,13 +236,15 @@ def write_lanes(sizes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, list[by
         order[t, :m] = 2 - (by2 * np.uint8(2) + by1)
         model.learn(m, found, by2, by1)
     firsts, _, small = bucket_tables()
-    bucket = small.take(ids) if not ids.size or ids.max() < len(small) else np.searchsorted(firsts, ids, side="right") - 1
-    by0 = (order == 2) & (np.arange(steps)[:, None] < sizes)
-    at = bucket + np.arange(n) * BUCKETS
-    counts = np.bincount(at[by0], minlength=n * BUCKETS).reshape(n, BUCKETS)
-    levels = np.searchsorted(LEVEL_FLOORS, counts, side="right")
-    entries = np.where(by0, order0_entries(levels)[0].ravel().take(at), WHOLE)
-    places = np.where(by0, ids - firsts[bucket], 0).astype(np.uint64)
+    bucket = small.take(ids) if not ids.size or ids.max() < len(small) else (np.searchsorted(firsts, ids, side="right") - 1).astype(np.uint8)
+    # columns of ``table``: a lane's buckets, and one for what order 0 doesn't code
+    bucket[order < 2] = BUCKETS
+    base = np.arange(n) * (BUCKETS + 1)
+    counts = np.zeros(n * (BUCKETS + 1), dtype=np.int64)
+    for t, m in enumerate(live):
+        counts[base[:m] + bucket[t, :m]] += 1
+    levels = np.searchsorted(LEVEL_FLOORS, counts.reshape(n, -1)[:, :BUCKETS], side="right")
+    table = np.column_stack([order0_entries(levels)[0], np.full(n, WHOLE)]).ravel()
     writer = Writer(n, 2 * steps + 4)
     zero = np.uint64(0)
     for t, m in enumerate(live):
@@ -248,12 +253,12 @@ def write_lanes(sizes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, list[by
         first, second = unit * size2[t, :m], unit * below0[t, :m]
         start = np.where(kind == 0, zero, np.where(kind == 1, first, second))
         width = np.where(kind == 0, first, np.where(kind == 1, second, whole)) - start
-        low, size, bits = fields(entries[t, :m])
+        low, size, bits = fields(table.take(base[:m] + bucket[t, :m]))
         unit = width >> np.uint64(9)
         start += unit * low
         writer.put(m, start, unit * size)
         unit = writer.range[:m] >> bits
-        writer.put(m, unit * places[t, :m], unit)
+        writer.put(m, unit * (ids[t, :m] & (ONE << bits) - ONE), unit)
     return levels, writer.finish()
 
 
@@ -370,6 +375,52 @@ def _even(items: list) -> list[list]:
     return [items[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
 
 
+class Runs:
+    """Strings and the run of ids of each; place 0 is that of an id alone, which has no string."""
+
+    def __init__(self):
+        self.strings = [pa.array([None], pa.string())]
+        self.count = 1
+        self.starts, self.sizes = np.zeros(1 << 18, dtype=np.int64), np.zeros(1 << 18, dtype=np.int32)
+        self.sizes[0] = 1
+        self.pool, self.used = np.zeros(1 << 20, dtype=np.uint32), 1
+
+    def __len__(self) -> int:
+        return self.count
+
+    def find(self, strings: pa.Array) -> np.ndarray:
+        """Places of strings, -1 for unknown ones."""
+        self.strings = [pa.concat_arrays(self.strings)]
+        return pc.fill_null(pc.index_in(strings, self.strings[0]), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+
+    def add(self, strings: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> None:
+        total, n = len(ids), self.count
+        while self.used + total > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        self.pool[self.used : self.used + total] = ids
+        while n + len(strings) > len(self.starts):
+            self.starts, self.sizes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.sizes))
+        self.starts[n : n + len(strings)] = self.used + np.cumsum(sizes) - sizes
+        self.sizes[n : n + len(strings)] = sizes
+        self.strings.append(strings)
+        self.count += len(strings)
+        self.used += total
+
+    def joined(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the places ``at`` one after another, and where each run ends; some places at a time."""
+        ends = np.cumsum(self.sizes.take(at), dtype=np.int64)
+        out = np.empty(ends[-1] if len(ends) else 0, dtype=np.uint32)
+        done = 0
+        for low in range(0, len(at), 1 << 17):
+            some, upto = at[low : low + (1 << 17)], ends[low : low + (1 << 17)]
+            sizes = self.sizes.take(some)
+            places = np.repeat(self.starts.take(some) - (upto - sizes), sizes)
+            places += np.arange(done, upto[-1])
+            self.pool.take(places, out=out[done : upto[-1]], mode="clip")
+            done = upto[-1]
+        return out, ends
+
+
 class PieceEncoder:
     """Ids by the library; distinct words are encoded once where the file drops white space, else texts as a whole."""
 
@@ -397,95 +448,93 @@ class PieceEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.place: dict[str, int] = {}
-        self.starts, self.sizes = np.zeros(MEMO, dtype=np.int64), np.zeros(MEMO, dtype=np.int64)
-        # the first place is that of the end id
-        self.sizes[0] = 1
-        self.pool, self.used = np.zeros(1 << 20, dtype=np.uint32), 1
-
-    def _learn(self, column: pa.Array) -> None:
-        if self.joins:
-            plain = pc.match_substring_regex(column, r"^[!-~]+$")
-            for special in self.specials:
-                plain = pc.and_not(plain, pc.match_substring(column, special))
-            plain_words = column.filter(plain)
-            self._learn_joined(plain_words.to_pylist(), pc.count_substring_regex(plain_words, PLAIN_PARTS).to_numpy(zero_copy_only=False))
-            column = column.filter(pc.invert(plain))
-            odd = pc.match_substring(column, MARK)
-            for special in self.specials:
-                odd = pc.or_(odd, pc.match_substring(column, special))
-            self._learn_marked(column.filter(pc.invert(odd)).to_pylist())
-            column = column.filter(odd)
-        self._learn_alone(column.to_pylist())
-
-    def _learn_alone(self, words: list[str]) -> None:
-        for low in range(0, len(words), 4096):
-            part = words[low : low + 4096]
-            runs = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, runs), dtype=np.int64, count=len(runs))
-            self._keep(part, np.fromiter(itertools.chain.from_iterable(runs), dtype=np.uint32, count=int(sizes.sum())), sizes)
-
-    def _learn_joined(self, words: list[str], parts: np.ndarray) -> None:
-        """Words of known numbers of pre-tokens, many in a text: what ends the last pre-token of a word ends the word."""
-        for low in range(0, len(words), 4096):
-            part, counts = words[low : low + 4096], parts[low : low + 4096]
-            firsts = np.arange(0, len(part), JOINED)
-            runs = [e.ids for e in self.tokenizer.encode_batch_fast([" ".join(part[a : a + JOINED]) for a in firsts], add_special_tokens=False)]
-            ids = np.fromiter(itertools.chain.from_iterable(runs), dtype=np.uint32)
-            bounds = np.cumsum([0, *map(len, runs)])
+        self.words, self.parts = Runs(), Runs()
+
+    def _learn(self, words: pa.Array) -> np.ndarray:
+        """Learn new words; returns their places."""
+        if not self.joins:
+            self._learn_alone(self.words, words)
+            return np.arange(len(self.words) - len(words), len(self.words))
+        special = np.zeros(len(words), dtype=bool)
+        for content in self.specials:
+            special |= pc.match_substring(words, content, ignore_case=True).to_numpy(zero_copy_only=False)
+        plain = pc.match_substring_regex(words, PLAIN).to_numpy(zero_copy_only=False) & ~special
+        alone = ~plain & (special | pc.match_substring(words, MARK).to_numpy(zero_copy_only=False))
+        own = [np.flatnonzero(x) for x in (plain, ~plain & ~alone, alone)]
+        self._learn_plain(words.take(pa.array(own[0])))
+        self._learn_marked(words.take(pa.array(own[1])))
+        self._learn_alone(self.words, words.take(pa.array(own[2])))
+        places = np.empty(len(words), dtype=np.int64)
+        places[np.concatenate(own)] = np.arange(len(self.words) - len(words), len(self.words))
+        return places
+
+    def _encoded(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn_alone(self, memo: Runs, words: pa.Array) -> None:
+        runs = self._encoded(words.to_pylist())
+        sizes = np.fromiter(map(len, runs), dtype=np.int64, count=len(runs))
+        memo.add(words, np.fromiter(itertools.chain.from_iterable(runs), dtype=np.uint32, count=int(sizes.sum())), sizes)
+
+    def _learn_plain(self, words: pa.Array) -> None:
+        """Plain words from their pre-tokens."""
+        lists = pc.ascii_split_whitespace(pc.ascii_rtrim_whitespace(pc.replace_substring_regex(pc.utf8_lower(words), PLAIN_PARTS, r"\1 ")))
+        values, offsets = common.list_parts(lists)
+        coded = values.dictionary_encode()
+        at = self.parts.find(coded.dictionary)
+        fresh = np.flatnonzero(at < 0)
+        at[fresh] = np.arange(len(self.parts), len(self.parts) + len(fresh))
+        self._learn_parts(coded.dictionary.take(pa.array(fresh)))
+        at = at.take(coded.indices.to_numpy(zero_copy_only=False))
+        ids, ends = self.parts.joined(at)
+        self.words.add(words, ids, np.diff(np.append(0, ends).take(offsets)))
+
+    def _learn_parts(self, parts: pa.Array) -> None:
+        """Single pre-tokens, many in a text: what ends a pre-token ends its ids."""
+        for low in range(0, len(parts), 1 << 14):
+            part = parts.slice(low, 1 << 14)
+            ids = np.fromiter(itertools.chain.from_iterable(self._encoded(joined(part, " "))), dtype=np.uint32)
             ends = np.flatnonzero(self.ending.take(ids)) + 1
-            if not np.array_equal(np.diff(np.searchsorted(ends, bounds, side="right")), np.add.reduceat(counts, firsts)):  # pragma: no cover  (a file that drops characters)
-                self._learn_alone(part)
-                continue
-            self._keep(part, ids, np.diff(ends[np.cumsum(counts) - 1], prepend=0))
-
-    def _learn_marked(self, words: list[str]) -> None:
-        """Words without MARK, many in a text with MARK between them, which no other text has the id of."""
-        for low in range(0, len(words), 4096):
-            part = words[low : low + 4096]
-            texts = [f" {MARK} ".join([*part[a : a + JOINED], ""]) for a in range(0, len(part), JOINED)]
-            ids = np.fromiter(itertools.chain.from_iterable(e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)), dtype=np.uint32)
+            if len(ends) != len(part) or ends[-1] != len(ids):  # pragma: no cover  (a file that drops characters)
+                self._learn_alone(self.parts, part)
+            else:
+                self.parts.add(part, ids, np.diff(ends, prepend=0))
+
+    def _learn_marked(self, words: pa.Array) -> None:
+        """Words without MARK, many in a text with MARK after each, which no other text has the id of."""
+        for low in range(0, len(words), 1 << 14):
+            part = words.slice(low, 1 << 14)
+            ids = np.fromiter(itertools.chain.from_iterable(self._encoded([f"{t} {MARK}" for t in joined(part, f" {MARK} ")])), dtype=np.uint32)
             marks = ids == self.mark
             if marks.sum() != len(part):  # pragma: no cover  (a file that drops the mark)
-                self._learn_alone(part)
-                continue
-            self._keep(part, ids[~marks], np.diff(np.flatnonzero(marks), prepend=-1) - 1)
-
-    def _keep(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
-        total, n = len(ids), len(self.place) + 1
-        while self.used + total > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-        self.pool[self.used : self.used + total] = ids
-        if n + len(words) > len(self.starts):
-            self.starts, self.sizes = (np.concatenate([x, np.zeros(max(len(x), len(words)), dtype=np.int64)]) for x in (self.starts, self.sizes))
-        self.starts[n : n + len(words)] = self.used + np.cumsum(sizes) - sizes
-        self.sizes[n : n + len(words)] = sizes
-        self.place.update(zip(words, range(n, n + len(words)), strict=True))
-        self.used += total
+                self._learn_alone(self.words, part)
+            else:
+                self.words.add(part, ids[~marks], np.diff(np.flatnonzero(marks), prepend=-1) - 1)
 
     def slice_ids(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by ``end``, and the number of each."""
         if not self.by_words:
-            runs = [[*e.ids, end] for e in self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
+            runs = [[*ids, end] for ids in self._encoded(texts.to_pylist())]
             sizes = np.fromiter(map(len, runs), dtype=np.int64, count=len(runs))
             return np.fromiter(itertools.chain.from_iterable(runs), dtype=np.uint32, count=int(sizes.sum())), sizes
         values, offsets = common.list_parts(pc.ascii_split_whitespace(texts))
         coded = values.dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        if len(self.place) > MEMO:
+        if max(len(self.words), len(self.parts)) > MEMO:
             self._forget()
-        at = np.fromiter(map(self.place.get, words, itertools.repeat(-1)), dtype=np.int64, count=len(words))
+        at = self.words.find(coded.dictionary)
         fresh = np.flatnonzero(at < 0)
         if len(fresh):
-            self._learn(coded.dictionary.take(pa.array(fresh)))
-            at[fresh] = np.fromiter(map(self.place.__getitem__, map(words.__getitem__, fresh.tolist())), dtype=np.int64, count=len(fresh))
-        self.pool[0] = end
-        at = np.insert(at[coded.indices.to_numpy(zero_copy_only=False)], offsets[1:], 0)
-        sizes = self.sizes.take(at)
-        ends = np.cumsum(sizes)
-        places = np.repeat(self.starts.take(at) - (ends - sizes), sizes)
-        places += np.arange(len(places))
-        return self.pool.take(places), np.diff(ends.take(offsets[1:] + np.arange(len(texts))), prepend=0)
+            at[fresh] = self._learn(coded.dictionary.take(pa.array(fresh)))
+        self.words.pool[0] = end
+        at = np.insert(at.take(coded.indices.to_numpy(zero_copy_only=False)), offsets[1:], 0)
+        ids, ends = self.words.joined(at)
+        return ids, np.diff(ends.take(offsets[1:] + np.arange(len(texts))), prepend=0)
+
+
+def joined(words: pa.Array, between: str) -> list[str]:
+    """Texts of JOINED words each."""
+    bounds = np.append(np.arange(0, len(words), JOINED), len(words)).astype(np.int32)
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds), words), between).to_pylist()
 
 
 def worker_encoder(name: str) -> PieceEncoder:
@@ -517,7 +566,7 @@ def write_ids(documents: DataFrame, folder: str, tokenizer: str = "word_bpe_49k.
             return pa.RecordBatch.from_arrays([pa.array([c.to_pylist() if isinstance(c, pa.Array) else c for c in col], k) for col, k in zip(columns, kinds, strict=True)], names)
 
         held = 0
-        for batch in common.text_slices(batches, limit=2 << 20):
+        for batch in common.text_slices(batches, limit=8 << 20):
             found, sizes = encoder.slice_ids(pc.fill_null(common.column(batch, "text"), ""), end_id)
             ids.append(common.column(batch, "id"))
             counts.append(sizes)
