@@ -51,9 +51,9 @@ from .token_counts import drops_spaces
 
 BLOCK = 1024
 #: Ids after which a chunk ends with the document, and blocks that are coded side by side at most.
-CHUNK_IDS, LANES = 6 << 20, 2048
-#: A lane's state is kept small (6 KB), so that the lanes of a chunk stay in a core's cache.
-SLOT_BITS = 9
+CHUNK_IDS, LANES = 6 << 20, 4096
+#: A lane's state is kept small (2 KB, and 2 KB of order 0 in decoding), for a core's cache.
+SLOT_BITS = 8
 ID_BITS = 28
 MAGIC = b"CMX4"
 HEAD = struct.Struct("<4sII")
@@ -67,7 +67,10 @@ BUCKETS, ORDER0 = 64, 512
 PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 PLAIN = r"^[!-~À-ÖØ-öø-ÿА-я]+$"
 PLAIN_PARTS = r"('s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿа-я]+|[0-9]|[^a-z0-9ß-öø-ÿа-я]+)"
+OTHERS = r"([^a-zß-öø-ÿа-я]+)"
 JOINED = 64
+#: The step after the pattern.
+BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
 #: Stands between other words that one call joins; words that hold it are encoded alone.
 MARK = "\x01"
 #: A bucket's level tells its ids in the block roughly: the least count of each level from 1 on, and the weight of each from 0 on.
@@ -77,7 +80,9 @@ LEVEL_WEIGHTS = np.array([0, 2, 4, 8, 12, 17, 24, 34, 48, 68, 97, 137, 193, 273,
 CLASS_BITS = 12
 #: Shares are of 2 ** 16 and move by a part of 2 ** RATE; STEP keeps the two orders' sum below the whole.
 RATE, RATE_MASK, STEP = np.uint32(5), np.uint32(0x07FF07FF), np.uint32(2040)
-ONE, TWO, THREE = np.uint32(1), np.uint32(2), np.uint32(3)
+ONE, TWO, THREE, FOUR = np.uint32(1), np.uint32(2), np.uint32(3), np.uint32(4)
+#: What a confidence of 0 to 3 moves by where its offer is wrong, and where it is right.
+MOVES = np.array([0, -1, -1, -2, 1, 1, 1, 0]).astype(np.uint32)
 U32 = np.uint64(32)
 LEAST = np.uint64(1 << 32)
 #: Shares of the orders 2 and 1 that a block begins with, in 1/64, by the confidence of order 2, that of order 1, and whether they offer the same.
@@ -188,8 +193,10 @@ class Model:
         self.shares[self.rows] = self.held - (self.held >> RATE & RATE_MASK) + (by2 * (STEP << np.uint32(16)) + by1 * STEP)
         fresh = found << TWO
         for table, at, old, sure, offer in zip(self.offers, self.slots, self.packed, self.sure, (self.two, self.one), strict=True):
-            wrong = np.where(sure > 0, old - (sure + ONE >> ONE), fresh)
-            table[at] = np.where(offer == found, old + (sure < 3), wrong)
+            right = offer == found
+            new = old + MOVES.take(sure | right * FOUR)
+            np.copyto(new, fresh, where=~right & (sure == 0))
+            table[at] = new
         self.earlier[:m] = self.before[:m]
         self.before[:m] = found
 
@@ -440,7 +447,10 @@ class PieceEncoder:
         self.joins = self.by_words and {n["type"] for n in steps} <= {"NFC", "Replace", "Lowercase"} and all(n.get("pattern") == {"Regex": r"\s+"} for n in steps if n["type"] == "Replace") and first.get("pattern") == {"Regex": PARTS} and spec["model"].get("end_of_word_suffix") == "</w>"
         marked = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         self.mark = marked[0] if len(marked) == 1 else -1
-        self.joins &= self.mark >= 0 and first.get("behavior") == "Removed"
+        # the same model for texts that are pre-tokens in small letters with spaces between
+        bare = spec | {"normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, BYTES]}}
+        self.joins &= self.mark >= 0 and first.get("behavior") == "Removed" and spec["pre_tokenizer"]["pretokenizers"][1:] == [BYTES]
+        self.bare = Tokenizer.from_str(json.dumps(bare)) if self.joins else self.tokenizer
         vocabulary = self.tokenizer.get_vocab()
         #: tokens that end a pre-token
         self.ending = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
@@ -468,8 +478,8 @@ class PieceEncoder:
         places[np.concatenate(own)] = np.arange(len(self.words) - len(words), len(self.words))
         return places
 
-    def _encoded(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _encoded(self, texts: list[str], bare: bool = False) -> list[list[int]]:
+        return [e.ids for e in (self.bare if bare else self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn_alone(self, memo: Runs, words: pa.Array) -> None:
         runs = self._encoded(words.to_pylist())
@@ -478,7 +488,12 @@ class PieceEncoder:
 
     def _learn_plain(self, words: pa.Array) -> None:
         """Plain words from their pre-tokens."""
-        lists = pc.ascii_split_whitespace(pc.ascii_rtrim_whitespace(pc.replace_substring_regex(pc.utf8_lower(words), PLAIN_PARTS, r"\1 ")))
+        small = pc.utf8_lower(words)
+        # digits are alone and an apostrophe may begin a part; else what is no letter stands between letters
+        mixed = pc.match_substring_regex(small, "['0-9]")
+        spaced = pc.replace_substring_regex(pc.if_else(mixed, "", small), OTHERS, r" \1 ")
+        spaced = pc.replace_with_mask(spaced, mixed, pc.replace_substring_regex(small.filter(mixed), PLAIN_PARTS, r"\1 "))
+        lists = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(spaced))
         values, offsets = common.list_parts(lists)
         coded = values.dictionary_encode()
         at = self.parts.find(coded.dictionary)
@@ -493,7 +508,7 @@ class PieceEncoder:
         """Single pre-tokens, many in a text: what ends a pre-token ends its ids."""
         for low in range(0, len(parts), 1 << 14):
             part = parts.slice(low, 1 << 14)
-            ids = np.fromiter(itertools.chain.from_iterable(self._encoded(joined(part, " "))), dtype=np.uint32)
+            ids = np.fromiter(itertools.chain.from_iterable(self._encoded(joined(part, " "), bare=True)), dtype=np.uint32)
             ends = np.flatnonzero(self.ending.take(ids)) + 1
             if len(ends) != len(part) or ends[-1] != len(ids):  # pragma: no cover  (a file that drops characters)
                 self._learn_alone(self.parts, part)

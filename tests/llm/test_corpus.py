@@ -356,7 +356,7 @@ def test_words_joined_in_library_calls():
             return library_of.encode_batch_fast(texts, **options)
 
     encoder.tokenizer = Counted()
-    odd = "can't CAN'T it'SS 'tis ''s a\x01b \x01 \x01\x01 <|endoftext|> x<|endoftext|>y <|ENDOFTEXT|> é ́x   a　b İ H̱ ẖ 12a3 --- ...a <|x a\x1cb \x7f 中文 \U0001f600</w> </w>"
+    odd = "can't CAN'T it'SS 'tis ''s a\x01b \x01 \x01\x01 <|endoftext|> x<|endoftext|>y <|ENDOFTEXT|> é ́x   a　b İ H̱ ẖ 12a3 --- ...a <|x a\x1cb \x7f 中文 \U0001f600</w> </w> über,Ärger's Straße's7 don't7a,b1é à'LL ж'D ß--ÿ ÿ×÷ª Привет,Мир'ёЁ"
     texts = [odd, " ".join(f"w{i:x}q'll" for i in range(5000)), "", " ".join(f"é{i:x}ж" for i in range(3000)), odd.upper()]
     ids, counts = encoder.slice_ids(pa.array(texts), 2)
     runs = np.split(ids, np.cumsum(counts)[:-1])
