@@ -35,6 +35,7 @@ import functools
 import itertools
 import json
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -58,8 +59,8 @@ ID_BITS = 28
 MAGIC = b"CMX4"
 HEAD = struct.Struct("<4sII")
 PART_BYTES = 10 << 20
-#: Distinct pieces whose ids a worker holds before it starts anew.
-MEMO = 1_000_000
+#: Distinct units whose ids a worker holds before it starts anew.
+MEMO = 1_500_000
 #: Ranges of ids that order 0 tells apart, and what their sizes sum up to.
 BUCKETS, ORDER0 = 64, 512
 #: A pre-token pattern; plain words, of the characters ! to ~ and letters that every Unicode version lowers and composes alike;
@@ -319,7 +320,7 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     nibbles = (levels[:, ::2] << 4 | levels[:, 1::2]).astype(np.uint8)
     out: list[bytes] = [b""] * len(blocks)
     for i, own, body in zip(order, nibbles, words, strict=True):
-        out[i] = HEAD.pack(MAGIC, sizes[i], zlib.crc32(blocks[i].astype("<u4").tobytes())) + own.tobytes() + body
+        out[i] = HEAD.pack(MAGIC, sizes[i], zlib.crc32(np.ascontiguousarray(blocks[i], dtype="<u4"))) + own.tobytes() + body
     return out
 
 
@@ -339,8 +340,8 @@ def decode_blocks(payloads: list[bytes]) -> list[np.ndarray]:
     columns = np.ascontiguousarray(ids.T)
     out: list[np.ndarray] = [np.zeros(0, dtype=np.uint32)] * len(payloads)
     for lane, i in enumerate(order):
-        out[i] = columns[lane, : sizes[i]].astype(np.uint32)
-        if zlib.crc32(out[i].astype("<u4").tobytes()) != heads[i][2]:
+        out[i] = columns[lane, : sizes[i]]
+        if zlib.crc32(out[i].astype("<u4", copy=False)) != heads[i][2]:
             raise ValueError("a block's checksum is wrong")
     return out
 
@@ -429,7 +430,7 @@ class Runs:
 
 
 class PieceEncoder:
-    """Ids by the library; distinct words are encoded once where the file drops white space, else texts as a whole."""
+    """Ids by the library; distinct words or their pre-tokens are encoded once where the file drops white space, else texts as a whole."""
 
     def __init__(self, name: str):
         from tokenizers import Tokenizer
@@ -455,54 +456,42 @@ class PieceEncoder:
         #: tokens that end a pre-token
         self.ending = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
         self.ending[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self._forget()
-
-    def _forget(self) -> None:
-        self.words, self.parts = Runs(), Runs()
-
-    def _learn(self, words: pa.Array) -> np.ndarray:
-        """Learn new words; returns their places."""
-        if not self.joins:
-            self._learn_alone(self.words, words)
-            return np.arange(len(self.words) - len(words), len(self.words))
-        special = np.zeros(len(words), dtype=bool)
-        for content in self.specials:
-            special |= pc.match_substring(words, content, ignore_case=True).to_numpy(zero_copy_only=False)
-        plain = pc.match_substring_regex(words, PLAIN).to_numpy(zero_copy_only=False) & ~special
-        alone = ~plain & (special | pc.match_substring(words, MARK).to_numpy(zero_copy_only=False))
+        self.memo = Runs()
+
+    def _special(self, words: pa.Array) -> np.ndarray:
+        if not self.specials:
+            return np.zeros(len(words), dtype=bool)
+        return pc.match_substring_regex(words, "(?i)" + "|".join(map(re.escape, self.specials))).to_numpy(zero_copy_only=False)
+
+    def _units(self, words: pa.Array) -> pa.Array:
+        """Lists of what each word is encoded from: plain words' pre-tokens in small letters, other words themselves."""
+        plain = pa.array(pc.match_substring_regex(words, PLAIN).to_numpy(zero_copy_only=False) & ~self._special(words)) if self.joins else pa.array(np.zeros(len(words), dtype=bool))
+        small = pc.utf8_lower(words.filter(plain))
+        # digits are alone and an apostrophe may begin a part; else what is no letter stands between letters
+        mixed = pc.match_substring_regex(small, "['0-9]")
+        spaced = pc.replace_substring_regex(pc.if_else(mixed, "", small), OTHERS, r" \1 ")
+        spaced = pc.replace_with_mask(spaced, mixed, pc.replace_substring_regex(small.filter(mixed), PLAIN_PARTS, r"\1 "))
+        return pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pc.replace_with_mask(words, plain, spaced)))
+
+    def _learn(self, units: pa.Array) -> np.ndarray:
+        """Learn new units; returns their places."""
+        special = self._special(units)
+        plain = pc.match_substring_regex(units, PLAIN).to_numpy(zero_copy_only=False) & ~special & self.joins
+        alone = ~plain & (special | pc.match_substring(units, MARK).to_numpy(zero_copy_only=False) | (not self.joins))
         own = [np.flatnonzero(x) for x in (plain, ~plain & ~alone, alone)]
-        self._learn_plain(words.take(pa.array(own[0])))
-        self._learn_marked(words.take(pa.array(own[1])))
-        self._learn_alone(self.words, words.take(pa.array(own[2])))
-        places = np.empty(len(words), dtype=np.int64)
-        places[np.concatenate(own)] = np.arange(len(self.words) - len(words), len(self.words))
+        for learn, at in zip((self._learn_parts, self._learn_marked, self._learn_alone), own, strict=True):
+            learn(units.take(pa.array(at)))
+        places = np.empty(len(units), dtype=np.int64)
+        places[np.concatenate(own)] = np.arange(len(self.memo) - len(units), len(self.memo))
         return places
 
     def _encoded(self, texts: list[str], bare: bool = False) -> list[list[int]]:
         return [e.ids for e in (self.bare if bare else self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn_alone(self, memo: Runs, words: pa.Array) -> None:
+    def _learn_alone(self, words: pa.Array) -> None:
         runs = self._encoded(words.to_pylist())
         sizes = np.fromiter(map(len, runs), dtype=np.int64, count=len(runs))
-        memo.add(words, np.fromiter(itertools.chain.from_iterable(runs), dtype=np.uint32, count=int(sizes.sum())), sizes)
-
-    def _learn_plain(self, words: pa.Array) -> None:
-        """Plain words from their pre-tokens."""
-        small = pc.utf8_lower(words)
-        # digits are alone and an apostrophe may begin a part; else what is no letter stands between letters
-        mixed = pc.match_substring_regex(small, "['0-9]")
-        spaced = pc.replace_substring_regex(pc.if_else(mixed, "", small), OTHERS, r" \1 ")
-        spaced = pc.replace_with_mask(spaced, mixed, pc.replace_substring_regex(small.filter(mixed), PLAIN_PARTS, r"\1 "))
-        lists = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(spaced))
-        values, offsets = common.list_parts(lists)
-        coded = values.dictionary_encode()
-        at = self.parts.find(coded.dictionary)
-        fresh = np.flatnonzero(at < 0)
-        at[fresh] = np.arange(len(self.parts), len(self.parts) + len(fresh))
-        self._learn_parts(coded.dictionary.take(pa.array(fresh)))
-        at = at.take(coded.indices.to_numpy(zero_copy_only=False))
-        ids, ends = self.parts.joined(at)
-        self.words.add(words, ids, np.diff(np.append(0, ends).take(offsets)))
+        self.memo.add(words, np.fromiter(itertools.chain.from_iterable(runs), dtype=np.uint32, count=int(sizes.sum())), sizes)
 
     def _learn_parts(self, parts: pa.Array) -> None:
         """Single pre-tokens, many in a text: what ends a pre-token ends its ids."""
@@ -511,9 +500,9 @@ class PieceEncoder:
             ids = np.fromiter(itertools.chain.from_iterable(self._encoded(joined(part, " "), bare=True)), dtype=np.uint32)
             ends = np.flatnonzero(self.ending.take(ids)) + 1
             if len(ends) != len(part) or ends[-1] != len(ids):  # pragma: no cover  (a file that drops characters)
-                self._learn_alone(self.parts, part)
+                self._learn_alone(part)
             else:
-                self.parts.add(part, ids, np.diff(ends, prepend=0))
+                self.memo.add(part, ids, np.diff(ends, prepend=0))
 
     def _learn_marked(self, words: pa.Array) -> None:
         """Words without MARK, many in a text with MARK after each, which no other text has the id of."""
@@ -522,9 +511,9 @@ class PieceEncoder:
             ids = np.fromiter(itertools.chain.from_iterable(self._encoded([f"{t} {MARK}" for t in joined(part, f" {MARK} ")])), dtype=np.uint32)
             marks = ids == self.mark
             if marks.sum() != len(part):  # pragma: no cover  (a file that drops the mark)
-                self._learn_alone(self.words, part)
+                self._learn_alone(part)
             else:
-                self.words.add(part, ids[~marks], np.diff(np.flatnonzero(marks), prepend=-1) - 1)
+                self.memo.add(part, ids[~marks], np.diff(np.flatnonzero(marks), prepend=-1) - 1)
 
     def slice_ids(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by ``end``, and the number of each."""
@@ -534,15 +523,20 @@ class PieceEncoder:
             return np.fromiter(itertools.chain.from_iterable(runs), dtype=np.uint32, count=int(sizes.sum())), sizes
         values, offsets = common.list_parts(pc.ascii_split_whitespace(texts))
         coded = values.dictionary_encode()
-        if max(len(self.words), len(self.parts)) > MEMO:
-            self._forget()
-        at = self.words.find(coded.dictionary)
+        units, bounds = common.list_parts(self._units(coded.dictionary))
+        parts = units.dictionary_encode()
+        if len(self.memo) > MEMO:
+            self.memo = Runs()
+        at = self.memo.find(parts.dictionary)
         fresh = np.flatnonzero(at < 0)
         if len(fresh):
-            at[fresh] = self._learn(coded.dictionary.take(pa.array(fresh)))
-        self.words.pool[0] = end
-        at = np.insert(at.take(coded.indices.to_numpy(zero_copy_only=False)), offsets[1:], 0)
-        ids, ends = self.words.joined(at)
+            at[fresh] = self._learn(parts.dictionary.take(pa.array(fresh)))
+        ids, ends = self.memo.joined(at.take(parts.indices.to_numpy(zero_copy_only=False)))
+        words = Runs()
+        words.pool[0] = end
+        words.add(coded.dictionary, ids, np.diff(np.append(0, ends).take(bounds)))
+        at = np.insert(coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) + 1, offsets[1:], 0)
+        ids, ends = words.joined(at)
         return ids, np.diff(ends.take(offsets[1:] + np.arange(len(texts))), prepend=0)
 
 
@@ -618,7 +612,7 @@ def read_digests(spark: SparkSession, folder: str, id_column: str = "doc_id") ->
             for i in range(batch.num_rows):
                 part, offset, blocks, counts = (common.column(batch, c)[i].as_py() for c in ("part", "offset", "blocks", "counts"))
                 known = common.column(batch, "by_rank")[i].values.to_numpy(zero_copy_only=False).astype(np.uint32)
-                raw = of_ranks(ids_of(blocks), known).astype("<u4")
+                raw = of_ranks(ids_of(blocks), known).astype("<u4", copy=False)
                 ends = np.cumsum(counts)
                 if ends[-1] != len(raw):
                     raise ValueError("a chunk's blocks don't hold its documents")
