@@ -176,6 +176,30 @@ def test_palette():
     assert sum(n for _, n in palette.palette(big)) == palette.SAMPLE
 
 
+def test_colours_count_every_pixel(spark):
+    planted = {0xC83C28: 9000, 0x28A03C: 7001, 0x2850C8: 5500, 0xC8A01E: 40, 0x8C28A0: 1}
+    flat = np.full(150 * 200, 0xFFFFFF)
+    flat[draw.permutation(flat.size)[: sum(planted.values())]] = np.repeat(list(planted), list(planted.values()))
+    rgb = np.stack([flat >> 16, flat >> 8 & 255, flat & 255], axis=-1).astype(np.uint8)
+    rows = spark.createDataFrame([(1, 200, 150, bytearray(rgb.tobytes()))], "image_id long, width int, height int, rgb binary")
+    found = pixels.traced(rows, "colours").collect()[0].colours
+    assert [(c.colour, c.pixels) for c in found] == [(f"#{c:06x}", n) for c, n in planted.items()]
+
+
+def test_whole_palette_equals_plain_k_means():
+    planted = np.array([(200, 60, 40), (40, 160, 60), (40, 80, 200), (200, 160, 30)])
+    which = np.arange(90 * 120) % 7 % 4
+    rgb = np.clip(planted[which] + draw.integers(-30, 31, size=(len(which), 3)), 0, 255).astype(np.uint8).reshape(90, 120, 3)
+    flat = palette.coloured(rgb).astype(float)
+    assert len(flat) > palette.SAMPLE
+    centres = planted.astype(float)
+    for _ in range(200):
+        owner = ((flat[:, None] - centres[None]) ** 2).sum(axis=2).argmin(axis=1)
+        centres = np.stack([flat[owner == k].mean(axis=0) for k in range(4)])
+    plain = [("#%02x%02x%02x" % tuple(c.astype(int).tolist()), int(n)) for c, n in zip(centres, np.bincount(owner), strict=True)]
+    assert palette.palette(rgb, 4, turns=200, sample=None) == sorted(plain, key=lambda r: (-r[1], r[0]))
+
+
 def test_png():
     for pixels_ in (draw.integers(0, 256, size=(13, 7, 3)), draw.integers(0, 256, size=(4, 9))):
         own = pixels_.astype(np.uint8)
